@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reach_workers
+
 #: Bytes that separate words; all are ASCII, so UTF-8 bytes can be cut at them.
 WORD_SPACES = b" \t\n\x0b\x0c\r"
 
@@ -45,6 +47,7 @@ def map_rows(df: DataFrame, columns: Iterable[str], fn: Callable[..., Iterable[t
     given) and yields rows of ``schema``.  Only ``columns`` are sent to Python.
     """
     columns = list(columns)
+    reach_workers(df.sparkSession)
     out = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

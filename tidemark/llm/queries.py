@@ -47,6 +47,18 @@ def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op5_packing, op6_bpe, op8_urls, op9_tokens)}
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pairwise import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rlz import substring_dedup
+
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings)}
 
 ORACLE_SQL: dict[str, str] = {}
