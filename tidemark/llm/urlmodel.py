@@ -70,10 +70,10 @@ def log_ratio(counts: DataFrame) -> DataFrame:
     def total(key: str) -> DataFrame:
         return t.groupBy(key).agg(F.sum("good").alias(f"good_{key}"), F.sum("bad").alias(f"bad_{key}"))
 
-    whole = t.agg(F.sum("good").alias("good_n"), F.sum("bad").alias("bad_n")).withColumn("one", F.lit(1))
+    n = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     for key in ("ab", "bc", "b", "c"):
         t = t.join(total(key), key)
-    t = t.withColumn("one", F.lit(1)).join(F.broadcast(whole), "one")
+    t = t.withColumns({"good_n": F.lit(n.good or 0), "bad_n": F.lit(n.bad or 0)})
 
     def likelihood(side: str) -> Column:
         col = lambda k: F.col(f"{side}_{k}").cast("double")
