@@ -1,13 +1,64 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread as the next one's input."""
+"""The corpus pipeline: five stages over ``documents``, each on all that the one before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
+last return the columns of ``documents``; ``run`` writes each stage's rows to
+the shared folder and rereads them as the next one's input.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.llm.common import materialise
+from tidemark.llm.minhash import near_duplicates
+from tidemark.llm.packing import best_fit_pack
+from tidemark.llm.pairwise import keep_good
+from tidemark.llm.repetition import keep_varied
+from tidemark.llm.rlz import without_duplicates
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the repetition rules keep."""
+    return keep_varied(docs)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on the labelled among them, predicts to be good."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates; repeated rows of an id are one."""
+    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that stand in a document with a smaller id."""
+    return without_duplicates(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    return best_fit_pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("near dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("packing", packing),
+]
 
-#: SQL can't express the stages (a trained classifier, a packing plan).
+#: SQL can't express a trained classifier or a packing plan; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -23,6 +23,12 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_quality(_table(spark, sf_dir, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .templates import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .kmtree import nearest_neighbours
 
@@ -71,6 +77,6 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op3_neighbours, op4_minhash, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op2_main_text, op3_neighbours, op4_minhash, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reach_workers
 from .common import WORD_SPACES, map_rows
 
 #: Fixed values of the base rule.
@@ -122,3 +124,14 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield (i, *measure(t))
 
     return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), ["doc_id", "text"], rows, SCHEMA)
+
+
+def keep_varied(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``repetition_quality`` keeps, judged in place without a join."""
+    reach_workers(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def kept(texts: pd.Series) -> pd.Series:
+        return pd.Series([measure(t)[6] for t in texts], dtype=bool)
+
+    return docs.filter(kept(text_col))
