@@ -1,4 +1,4 @@
-"""All registered queries of the library and their oracle SQL, filled by the modules of this package."""
+"""All registered queries of the library and their oracle SQL."""
 
 from __future__ import annotations
 
@@ -6,5 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..session import reach_workers
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+class Tables:
+    """The tables of one folder, read on access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+
+def query(sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Query]:
+    """Register a function of Tables under its own name, with the SQL that gives the same rows."""
+
+    def add(fn: Callable[[Tables], DataFrame]) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reach_workers(spark)
+            return fn(Tables(spark, sf_dir))
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[fn.__name__] = run
+        if sql:
+            ORACLE_SQL[fn.__name__] = sql
+        return run
+
+    return add
