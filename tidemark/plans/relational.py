@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric
 from ..operators import corpus, intervals, vocabulary
+from ..streaming.incremental import windowed_counts
 from .registry import Tables, query
 
 DAYS = "(epoch_us({}) / 86400e6)"
@@ -130,3 +131,10 @@ def q55_vocabulary(t: Tables) -> DataFrame:
     """The closed vocabulary's main families, ids by position."""
     v = vocabulary.vocabulary(t.spark, (("seed2", 8192), ("cosmos", 64000), ("avclm", 8192)))
     return v.groupBy(F.substring("token", 2, 4).alias("family")).agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query("""SELECT epoch_us(date_trunc('day', ts)) // 86400000000 AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+def q54_streaming_windows(t: Tables) -> DataFrame:
+    """Daily windows by type; the same function runs on a stream (see the streaming tests)."""
+    w = windowed_counts(t.events)
+    return w.select(F.floor(F.unix_micros("start") / 86400000000).alias("day"), "event_type", "n", F.round("total", 4).alias("total"))

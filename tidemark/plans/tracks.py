@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import text, tokens
@@ -10,20 +10,31 @@ from ..operators import asof, corpus, flatten, intervals, windows
 from .registry import Tables, query
 
 FR = "WITH fr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS f FROM events)"
-BY_TRACK = Window.partitionBy("user_id").orderBy("f")
-KIND = F.expr("CASE event_type WHEN 'view' THEN 'seed2' WHEN 'click' THEN 'cosmos' WHEN 'purchase' THEN 'avc_lm' WHEN 'signup' THEN 'caption' ELSE 'agent' END")
 KIND_SQL = "CASE event_type WHEN 'view' THEN 'seed2' WHEN 'click' THEN 'cosmos' WHEN 'purchase' THEN 'avc_lm' WHEN 'signup' THEN 'caption' ELSE 'agent' END"
-K = F.get_json_object("props", "$.k").cast("bigint")
 K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
 
+def by_track() -> WindowSpec:
+    return Window.partitionBy("user_id").orderBy("f")
+
+
+def kind_of() -> Column:
+    """The block kind that stands for an event's type."""
+    return F.expr(KIND_SQL)
+
+
+def k_of() -> Column:
+    """The number in an event's JSON."""
+    return F.get_json_object("props", "$.k").cast("bigint")
+
+
 def fr(t: Tables) -> DataFrame:
     return windows.frames(t.events)
 
 
 def streams(t: Tables) -> DataFrame:
     """One token stream per user: a block per event, its payload the event's k and whole value."""
-    block = F.concat(F.lit("<"), KIND, F.lit("> "), K, F.lit(" "), F.floor("value"), F.lit(" </"), KIND, F.lit(">"))
+    block = F.concat(F.lit("<"), kind_of(), F.lit("> "), k_of(), F.lit(" "), F.floor("value"), F.lit(" </"), kind_of(), F.lit(">"))
     rows = fr(t).select("user_id", "f", block.alias("block"))
     return rows.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "block"))), lambda x: x.block), " ").alias("stream"))
 
@@ -42,7 +53,7 @@ SELECT user_id, string_agg(piece, ' ' ORDER BY pos) AS text FROM pieces WHERE pi
 def q01_merge_flatten(t: Tables) -> DataFrame:
     """Parse every user's stream, merge a speech block after each avc_lm by chunk, and flatten."""
     blocks = flatten.explode_blocks(streams(t), "user_id", "stream")
-    chunks = fr(t).filter(KIND == "avc_lm").groupBy("user_id").agg(F.count("*").alias("n"))
+    chunks = fr(t).filter(kind_of() == "avc_lm").groupBy("user_id").agg(F.count("*").alias("n"))
     speech = chunks.select("user_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("chunk")).withColumn("payload", F.concat(F.lit("chunk "), "chunk"))
     return flatten.flatten_blocks(flatten.merge_side(blocks, speech, "user_id", "speech"), "user_id")
 
@@ -52,7 +63,7 @@ c AS (SELECT user_id, CASE WHEN regexp_matches(token, '^<seed2_[0-9]+>') THEN 's
 SELECT family, count(*) AS n, count(DISTINCT user_id) AS users, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS pct FROM c GROUP BY family""")
 def q03_family_counts(t: Tables) -> DataFrame:
     """Tokens by family with the share of the total."""
-    token = F.concat(F.expr("CASE event_type WHEN 'view' THEN '<seed2_' WHEN 'click' THEN '<cosmos_' WHEN 'purchase' THEN '<avclm_' WHEN 'error' THEN '<x_' ELSE 'word' END"), K, F.when(F.col("event_type") == "signup", "").otherwise(">"))
+    token = F.concat(F.expr("CASE event_type WHEN 'view' THEN '<seed2_' WHEN 'click' THEN '<cosmos_' WHEN 'purchase' THEN '<avclm_' WHEN 'error' THEN '<x_' ELSE 'word' END"), k_of(), F.when(F.col("event_type") == "signup", "").otherwise(">"))
     c = t.events.select("user_id", tokens.classify_token(token).alias("family"))
     out = c.groupBy("family").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
     return out.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
@@ -129,7 +140,7 @@ a AS (SELECT *, v1 - lag(v1) OVER (PARTITION BY user_id ORDER BY f) AS v2, quant
 SELECT user_id, f, coalesce(abs(v1) / span > 2.0, false) AS jump, coalesce(abs(v2) / span > 3.0, false) AS jerk FROM a""")
 def q16_jumps(t: Tables) -> DataFrame:
     """Frames whose first or second difference is large against the track's median."""
-    d = fr(t).withColumn("v1", F.col("value") - F.lag("value").over(BY_TRACK)).withColumn("v2", F.col("v1") - F.lag("v1").over(BY_TRACK))
+    d = fr(t).withColumn("v1", F.col("value") - F.lag("value").over(by_track())).withColumn("v2", F.col("v1") - F.lag("v1").over(by_track()))
     span = t.events.groupBy("user_id").agg(F.percentile("value", 0.5).alias("span"))
     d = d.join(span, "user_id")
     big = lambda v, x: F.coalesce(F.abs(F.col(v)) / F.col("span") > x, F.lit(False))
@@ -171,7 +182,7 @@ SELECT user_id, count(*) FILTER (flip) AS flips, count(*) AS n FROM x GROUP BY u
 def q20_flips(t: Tables) -> DataFrame:
     """Flips of the error flag per track; their debounced choice is ``q20b_anchors``."""
     d = fr(t).withColumn("flag", F.col("event_type") == "error")
-    d = d.withColumn("flip", F.lag("flag").over(BY_TRACK) != F.col("flag"))
+    d = d.withColumn("flip", F.lag("flag").over(by_track()) != F.col("flag"))
     return d.groupBy("user_id").agg(F.count_if("flip").alias("flips"), F.count("*").alias("n"))
 
 
@@ -220,7 +231,7 @@ def q28_projection(t: Tables) -> DataFrame:
 SELECT user_id, regexp_replace(x, '<seed_([0-9]+)>', '<seed2_\\1>', 'g') AS text, CAST(len(regexp_extract_all(x, '<seed_[0-9]+>')) AS BIGINT) AS renamed FROM s""")
 def q29_rename(t: Tables) -> DataFrame:
     """A token family renamed, with the number of tokens changed."""
-    s = fr(t).filter("event_type = 'view'").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("f", F.concat(F.lit("<seed_"), K, F.lit(">")).alias("x")))).alias("s"))
+    s = fr(t).filter("event_type = 'view'").groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("f", F.concat(F.lit("<seed_"), k_of(), F.lit(">")).alias("x")))).alias("s"))
     x = F.array_join(F.transform("s", lambda r: r.x), " ")
     return s.select("user_id", tokens.rename_family(x, "seed", "seed2").alias("text"), tokens.family_count(x, "seed").alias("renamed"))
 
@@ -229,7 +240,7 @@ def q29_rename(t: Tables) -> DataFrame:
 SELECT user_id, chunk, count(*) AS n, count(*) FILTER (k > 90) AS bad_t, count(*) FILTER (v > 255) AS bad_coord, count(*) FILTER (event_type = 'click') <> count(*) FILTER (event_type = 'view') AS unbalanced FROM b GROUP BY ALL""")
 def q30_validate(t: Tables) -> DataFrame:
     """Bounds and balance of the tokens of each chunk."""
-    b = fr(t).select("user_id", F.floor(F.col("f") / 8).alias("chunk"), K.alias("k"), F.floor(F.col("value") * 3).alias("v"), "event_type")
+    b = fr(t).select("user_id", F.floor(F.col("f") / 8).alias("chunk"), k_of().alias("k"), F.floor(F.col("value") * 3).alias("v"), "event_type")
     of = lambda e: F.count_if(F.col("event_type") == e)
     return b.groupBy("user_id", "chunk").agg(F.count("*").alias("n"), F.count_if(F.col("k") > 90).alias("bad_t"), F.count_if(F.col("v") > 255).alias("bad_coord"), (of("click") != of("view")).alias("unbalanced"))
 
@@ -238,7 +249,7 @@ def q30_validate(t: Tables) -> DataFrame:
 SELECT user_id, frame, l[1] + 128266 AS l0, l[2] + 132362 AS l1a, l[3] + 144650 AS l1b, (l[1] < 4096)::INT + (l[2] < 4096)::INT + (l[3] < 4096)::INT AS valid FROM g""")
 def q31_codec(t: Tables) -> DataFrame:
     """Three codes packed into their bands and unpacked again; ``valid`` counts those inside the band."""
-    g = fr(t).groupBy("user_id", F.floor(F.col("f") / 3).alias("frame")).agg(F.array_sort(F.collect_list(F.struct("f", (K * 41).alias("v")))).alias("s")).filter(F.size("s") == 3)
+    g = fr(t).groupBy("user_id", F.floor(F.col("f") / 3).alias("frame")).agg(F.array_sort(F.collect_list(F.struct("f", (k_of() * 41).alias("v")))).alias("s")).filter(F.size("s") == 3)
     one = lambda k: F.array(F.get("s", F.lit(k)).v)
     g = g.withColumn("ids", tokens.pack_listen(one(0), one(1), one(2)))
     back = tokens.unpack_codec(F.col("ids"), tokens.LISTEN_BANDS)
@@ -248,7 +259,7 @@ def q31_codec(t: Tables) -> DataFrame:
 @query(f"""SELECT event_id, round(CASE WHEN event_type = 'error' THEN 0.0 ELSE floor(value / 60) * 60 + {K_SQL} % 60 + 0.5 END, 6) AS seconds, CASE WHEN event_type = 'view' THEN NULL ELSE CAST(floor(value) AS BIGINT) % 60 * 60 + {K_SQL} % 60 END AS short_seconds FROM events""")
 def q32_clock(t: Tables) -> DataFrame:
     """Clock strings made from the events and read back."""
-    d = t.events.withColumns({"m": F.floor(F.col("value") / 60), "s": K % 60})
+    d = t.events.withColumns({"m": F.floor(F.col("value") / 60), "s": k_of() % 60})
     long = F.when(F.col("event_type") == "error", "bad:time").otherwise(F.format_string("%02d:%02d:%02d.500", F.floor(F.col("m") / 60), F.col("m") % 60, F.col("s")))
     short = F.when(F.col("event_type") == "view", "none").otherwise(F.format_string("%02d:%02d", F.floor("value") % 60, F.col("s")))
     return d.select("event_id", F.round(text.clock_seconds(long), 6).alias("seconds"), text.short_clock_seconds(short).alias("short_seconds"))
@@ -257,7 +268,7 @@ def q32_clock(t: Tables) -> DataFrame:
 @query(f"""SELECT event_type, {K_SQL} % 10 AS bucket, count(*) AS n, sum({K_SQL})::BIGINT AS total, max(len(json_keys(props)))::BIGINT AS n_keys FROM events GROUP BY ALL""")
 def q39_json(t: Tables) -> DataFrame:
     """Numbers inside a JSON column."""
-    d = t.events.select("event_type", K.alias("k"), F.size(F.json_object_keys("props")).cast("bigint").alias("keys"))
+    d = t.events.select("event_type", k_of().alias("k"), F.size(F.json_object_keys("props")).cast("bigint").alias("keys"))
     return d.groupBy("event_type", (F.col("k") % 10).alias("bucket")).agg(F.count("*").alias("n"), F.sum("k").alias("total"), F.max("keys").alias("n_keys"))
 
 
@@ -284,7 +295,7 @@ def q49_distinct(t: Tables) -> DataFrame:
 SELECT event_type, round(n * (total::DOUBLE / part), 4) AS estimated, round(k * (total::DOUBLE / part), 4) AS estimated_k FROM s, a""")
 def q51_extrapolate(t: Tables) -> DataFrame:
     """Counters of a quarter of the rows scaled up by the share read."""
-    e = t.events.select("event_type", K.alias("k"), (F.col("event_id") % 4 == 0).alias("part"))
+    e = t.events.select("event_type", k_of().alias("k"), (F.col("event_id") % 4 == 0).alias("part"))
     c = e.groupBy("event_type").agg(F.count("*").alias("total"), F.count_if("part").alias("n"), F.sum(F.when(F.col("part"), F.col("k"))).alias("k"))
     w = Window.partitionBy()
     scale = F.sum("total").over(w) / F.sum("n").over(w)
@@ -313,7 +324,7 @@ def q58_padded_chunks(t: Tables) -> DataFrame:
 SELECT user_id, chunk, bool_or(kind = 'seed2') AS has_seed2, bool_or(kind = 'cosmos') AS has_cosmos, bool_or(kind = 'agent') AS has_agent, count(DISTINCT kind) AS kinds, arg_min(k, f) FILTER (kind = 'cosmos') AS first_cosmos FROM b GROUP BY ALL""")
 def q59_chunk_flags(t: Tables) -> DataFrame:
     """Which kinds each chunk has and the first id of its first cosmos block, read from parsed streams."""
-    block = F.concat(F.lit("<"), KIND, F.lit("> "), K, F.lit(" "), F.floor("value"), F.lit(" </"), KIND, F.lit(">"))
+    block = F.concat(F.lit("<"), kind_of(), F.lit("> "), k_of(), F.lit(" "), F.floor("value"), F.lit(" </"), kind_of(), F.lit(">"))
     s = fr(t).groupBy("user_id", F.floor(F.col("f") / 8).alias("chunk")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", block.alias("b")))), lambda x: x.b), " ").alias("stream"))
     s = s.withColumn("blocks", tokens.parse_blocks(F.col("stream")))
     has = lambda k: F.exists("blocks", lambda b: b.kind == k)
