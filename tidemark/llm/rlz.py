@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reach_workers
 from .common import map_rows, materialise
 from .rolling import roll, word_hashes
 
@@ -117,6 +118,7 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, anchor_words: int =
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=out)
 
+    reach_workers(docs.sparkSession)
     blocks = sent.filter("not hot").select("anchor", "doc_id", "row_key", "first", "windows").repartition(F.col("anchor")).sortWithinPartitions("anchor", "doc_id", "first")
     factors = blocks.mapInArrow(parse, FACTORS)
 
@@ -138,14 +140,14 @@ def _arrow_factors() -> pa.Schema:
     return pa.schema([pa.field(x.split()[0], pa.int64()) for x in FACTORS.split(", ")])
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, others: list[str], **how) -> DataFrame:
-    """``docs`` with ``row_key`` and ``spans``: the distinct [start, start + length) of its factors as start << 32 | end, or null."""
-    text = F.col(text_col)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_key(text).alias("row_key"), text.alias("text"), *others)
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, rest: Column, **how) -> DataFrame:
+    """``doc_id``, ``text``, ``rest`` and ``spans``: the distinct [start, start + length) of a row's factors as start << 32 | end, or null."""
+    text = docs[text_col]
+    base = docs.select(docs[id_col].cast("long").alias("doc_id"), _row_key(text).alias("row_key"), text.alias("text"), rest.alias("rest"))
     factors = duplicate_factors(base.select("doc_id", "row_key", "text"), **how)
     span = F.shiftleft("start", 32) + F.col("start") + F.col("length")
     spans = factors.groupBy(F.col("doc_id").alias("d"), F.col("row_key").alias("k")).agg(F.collect_set(span).alias("spans"))
-    return base.join(spans, (base.doc_id == spans.d) & (base.row_key == spans.k), "left").drop("d", "k")
+    return base.join(spans, (base.doc_id == spans.d) & (base.row_key == spans.k), "left").select("doc_id", "text", "rest", "spans")
 
 
 def kept_mask(n: int, spans: list[int] | None) -> np.ndarray:
@@ -177,13 +179,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             left = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
             yield i, len(words), len(words) - len(left), hashlib.sha256(b" ".join(left)).hexdigest()
 
-    return map_rows(_with_spans(docs, id_col, text_col, [], **how), ["doc_id", "text", "spans"], rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return map_rows(_with_spans(docs, id_col, text_col, F.lit(None), **how), ["doc_id", "text", "spans"], rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_duplicates(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with the duplicate spans cut from ``text`` and ``n_chars`` counted again; texts that lose nothing stay as they are, others are their kept words joined by one space."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    joined = _with_spans(docs, "doc_id", "text", others, **how)
+    reach_workers(docs.sparkSession)
+    joined = _with_spans(docs, "doc_id", "text", F.struct(*[docs[c] for c in docs.columns if c != "text"]), **how)
 
     @F.pandas_udf("string")
     def cut(text, spans):  # noqa: ANN001, ANN202
@@ -199,7 +201,8 @@ def without_duplicates(docs: DataFrame, **how) -> DataFrame:
         return pd.Series(done, dtype="object")
 
     text = F.when(F.col("spans").isNotNull(), cut("text", "spans")).otherwise(F.col("text"))
-    out = joined.withColumn("text", text)
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = joined.select(text.alias("text"), "rest")
+    kept = {c: F.col("text") if c == "text" else F.col("rest").getField(c) for c in docs.columns}
+    if "n_chars" in kept:
+        kept["n_chars"] = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(kept["n_chars"])
+    return out.select(*[v.alias(c) for c, v in kept.items()])
