@@ -79,4 +79,58 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op2_main_text, op3_neighbours, op4_minhash, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings)}
 
-ORACLE_SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words_sql(text: str) -> str:
+    return f"list_filter(string_split_regex(coalesce({text}, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+
+_GROUPS = f"""WITH RECURSIVE w AS (SELECT doc_id, {_words_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+e AS (SELECT doc_id, unnest(s) AS g FROM s), n AS (SELECT doc_id, len(s) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT r.doc_id, ways.b FROM r JOIN ways ON ways.a = r.c)
+SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id, n.doc_id = min(r.c) AS kept FROM n JOIN r USING (doc_id) GROUP BY n.doc_id, n.n"""
+
+_SPANS = f"""WITH t AS (SELECT doc_id, {_words_sql("text")} AS ws FROM documents),
+k AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS pos, unnest(list_transform(range(1, len(ws) - 48), lambda i: md5(array_to_string(ws[i:i + 49], ' ')))) AS h FROM t),
+m AS (SELECT h, min(doc_id) AS low FROM k GROUP BY h), d AS (SELECT doc_id, pos FROM k JOIN m USING (h) WHERE low < doc_id),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM t),
+c AS (SELECT w.doc_id, w.pos, w.word, max(CASE WHEN d.pos IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY w.doc_id ORDER BY w.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM w LEFT JOIN d ON d.doc_id = w.doc_id AND d.pos = w.pos),
+a AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone = 1) AS g, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(g, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN a USING (doc_id)"""
+
+
+def _urls() -> str:
+    from .urlmodel import ALPHABET, BACK_OFF, RULES, SIZE
+
+    by_length = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{{v}}}".replace(f"{{{v}}}", f"['{v}', '{h}{p}']") for v, h, p in by_length)
+    at = lambda k: f"(instr('{ALPHABET}', substr(t, i + {k}, 1)) - 1)"
+
+    def likelihood(side: str) -> str:
+        p = f"(({side}_c + {BACK_OFF} * {1.0 / SIZE!r}) / ({side}_n + {BACK_OFF}))"
+        p = f"(({side}_bc + {BACK_OFF} * {p}) / ({side}_b + {BACK_OFF}))"
+        return f"(({side} + {BACK_OFF} * {p}) / ({side}_ab + {BACK_OFF}))"
+
+    keys = {"ab": f"code // {SIZE}", "bc": f"code % {SIZE * SIZE}", "b": f"(code // {SIZE}) % {SIZE}", "c": f"code % {SIZE}"}
+    sums = ", ".join(f"sum({side}) OVER (PARTITION BY {expr})::DOUBLE AS {side}_{k}" for side in ("good", "bad") for k, expr in keys.items())
+    return f"""WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+f AS (SELECT *, CASE {fits} END AS fit, '^^' || regexp_replace(translate(translate(host || path, '{_UPPER}', '{_LOWER}'), '123456789', '000000000'), '[^a-z0/.\\-_]', '~', 'g') || '$' AS t FROM h),
+c AS (SELECT *, list_transform(range(1, length(t) - 1), lambda i: ({at(0)} * {SIZE} + {at(1)}) * {SIZE} + {at(2)}) AS codes FROM f),
+u AS (SELECT fit[1] AS verdict, unnest(codes) AS code FROM c WHERE fit IS NOT NULL),
+n AS (SELECT code, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM u GROUP BY code),
+g AS (SELECT r.code, coalesce(good, 0)::DOUBLE AS good, coalesce(bad, 0)::DOUBLE AS bad FROM range({SIZE**3}) r(code) LEFT JOIN n ON n.code = r.code),
+m AS (SELECT code, good, bad, {sums}, sum(good) OVER () AS good_n, sum(bad) OVER () AS bad_n FROM g),
+q AS (SELECT code, CAST(round(1000 * (ln({likelihood("good")}) - ln({likelihood("bad")}))) AS BIGINT) AS ratio FROM m),
+x AS (SELECT page_id, unnest(codes) AS code FROM c), y AS (SELECT page_id, CAST(floor(sum(ratio) * 1000.0::DOUBLE / count(*)) AS BIGINT) AS score FROM x JOIN q USING (code) GROUP BY page_id),
+z AS (SELECT c.*, y.score FROM c JOIN y USING (page_id)),
+k AS (SELECT avg_a, avg_b FROM (SELECT (sum(score) FILTER (fit[1] = 'allow'))::DOUBLE / count(*) FILTER (fit[1] = 'allow') AS avg_a, (sum(score) FILTER (fit[1] = 'block'))::DOUBLE / count(*) FILTER (fit[1] = 'block') AS avg_b FROM z))
+SELECT page_id, host, path, fit[2] AS rule, coalesce(fit[1], CASE WHEN avg_a IS NULL OR avg_b IS NULL OR score >= (avg_a + avg_b) / 2 THEN 'allow' ELSE 'block' END) AS verdict, score FROM z, k"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_minhash": _GROUPS, "op8_urls": _urls(), "op10_substrings": _SPANS}
