@@ -217,3 +217,10 @@ def q61b_marker_split(t: Tables) -> DataFrame:
     x = corpus.concat_wins(t.conversations.withColumn("x", line), ["conv_id"], "x", "turn")
     at = F.instr("x", " ASSISTANT: ")
     return x.select("conv_id", F.substring_index("x", " ASSISTANT: ", 1).alias("prompt"), F.when(at > 0, F.expr("substring(x, instr(x, ' ASSISTANT: ') + 12)")).otherwise("").alias("answer"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents)
+SELECT doc_id, len(w)::BIGINT AS words, len(list_filter(w, lambda x, i: NOT coalesce(i >= 3 AND x = w[i - 1] AND x = w[i - 2], false)))::BIGINT AS left_over FROM d""")
+def q68_collapse_repeats(t: Tables) -> DataFrame:
+    """Words without the third and later of equal ones in a row."""
+    return words_of(t.documents).select("doc_id", F.size("w").cast("bigint").alias("words"), F.size(text.collapse_triples(F.col("w"))).cast("bigint").alias("left_over"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, tokens
 from ..operators import asof, corpus, flatten, intervals, windows
+from ..operators import streams as stream_ops
 from .registry import Tables, query
 
 FR = "WITH fr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS f FROM events)"
@@ -359,3 +360,45 @@ def q62_quality_summary(t: Tables) -> DataFrame:
     """Share of missing frames, range and flags per track."""
     v = F.col("value")
     return t.events.groupBy("user_id").agg(F.count("*").alias("found"), F.ceil(F.count("*") / 8.0).alias("expected_chunks"), F.round(F.avg((F.col("event_type") == "error").cast("double")), 6).alias("null_share"), F.min(v).alias("low"), F.max(v).alias("high"), (F.max(v) > 200).alias("out_of_range"))
+
+
+@query(f"""{FR}, c AS (SELECT user_id, f, event_type, CAST(least(greatest(floor(f * 0.4::DOUBLE * 30.0::DOUBLE / 8), 0), 9) AS BIGINT) AS chunk FROM fr)
+SELECT user_id, chunk, string_agg(event_type, ' ' ORDER BY f) AS speech, count(*) - 1 AS joined FROM c GROUP BY ALL""")
+def q63_anchor_chunks(t: Tables) -> DataFrame:
+    """Segments put on the chunk of their start, late ones on the last chunk, texts joined where they meet."""
+    d = fr(t).withColumn("chunk", asof.anchor_chunk(F.col("f") * F.lit(0.4), 30.0, 8, F.lit(10)))
+    joined = corpus.concat_wins(d, ["user_id", "chunk"], "event_type", "f").withColumnRenamed("event_type", "speech")
+    return joined.join(d.groupBy("user_id", "chunk").agg((F.count("*") - 1).alias("joined")), ["user_id", "chunk"])
+
+
+@query(f"""{FR}, s AS (SELECT *, coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM fr),
+c AS (SELECT user_id, CAST(seg AS BIGINT) AS chunk_idx, CAST(seg AS BIGINT) * 8 AS abs_frame, bool_or(event_type = 'view') AS has_seed2 FROM s GROUP BY user_id, seg HAVING bool_or(event_type = 'purchase')),
+a AS (SELECT DISTINCT user_id, f // 8 * 8 AS w FROM fr WHERE event_type = 'error')
+SELECT c.user_id, chunk_idx, abs_frame, round(abs_frame / 30.0::DOUBLE, 4) AS start_sec, round((abs_frame + 8) / 30.0::DOUBLE, 4) AS end_sec, has_seed2, true AS has_avc_lm, EXISTS (SELECT 1 FROM a WHERE a.user_id = c.user_id AND a.w IN (abs_frame, abs_frame - 8, abs_frame + 8)) AS has_agent FROM c""")
+def q64_chunk_timing(t: Tables) -> DataFrame:
+    """Chunk times and presence flags of every user's stream."""
+    blocks = flatten.explode_blocks(streams(t), "user_id", "stream")
+    agent = fr(t).filter("event_type = 'error'").select("user_id", (F.floor(F.col("f") / 8) * 8).alias("window_id"))
+    return stream_ops.chunk_timing(blocks, agent, "user_id", F.lit(0))
+
+
+@query(f"""{FR} SELECT user_id, f // 30 * 4 + f % 30 // 8 AS chunk, count(*) AS frames, min(f) AS first_frame FROM fr GROUP BY ALL""")
+def q65_second_chunks(t: Tables) -> DataFrame:
+    """Chunks of eight frames that also end at each full second."""
+    c = stream_ops.second_chunks(F.col("f")).cast("bigint")
+    return fr(t).groupBy("user_id", c.alias("chunk")).agg(F.count("*").alias("frames"), F.min("f").alias("first_frame"))
+
+
+@query(f"""{FR}, w AS (SELECT user_id, f // 8 * 8 AS window_id, arg_min(value, f) AS a, arg_max(value, f) AS b FROM fr GROUP BY ALL HAVING count(*) = 8)
+SELECT user_id, window_id, round(abs(a - lag(b) OVER (PARTITION BY user_id ORDER BY window_id)), 6) AS shift, abs(a - b) < 0.05 AS frozen FROM w""")
+def q66_window_shift(t: Tables) -> DataFrame:
+    """Jump between neighbouring windows, and windows that end where they began."""
+    w = windows.tumbling(fr(t), "user_id", 8, "value").withColumn("states", F.transform("states", lambda x: F.array(x)))
+    s = stream_ops.window_shift(w, "user_id", 0.05)
+    return s.select("user_id", F.col("window_id").cast("bigint").alias("window_id"), F.round("shift", 6).alias("shift"), "frozen")
+
+
+@query(f"""{FR} SELECT user_id, arg_max(event_type, f) AS last_type FROM fr GROUP BY user_id""")
+def q67_last_wins(t: Tables) -> DataFrame:
+    """A manifest where the last writer wins."""
+    return stream_ops.last_wins(fr(t), "user_id", "event_type", "f").withColumnRenamed("event_type", "last_type")
