@@ -10,6 +10,7 @@ their length and look their slot up.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,6 +32,10 @@ RANKED_TOGETHER = 50_000
 
 #: White space for str.split() that the tokenizer takes for symbols.
 _NOT_SPACE = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
+#: A full stop or comma that ends a word is a token of its own.
+_END = re.compile(r"(?<=[A-Za-z])([.,])(?=[ \t\n\r\f\v]|\Z)")
+#: Words whose ids a worker keeps, in each of two generations.
+WORDS_KEPT = 200_000
 
 
 class WordIds:
@@ -43,12 +48,14 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Cache()
+        self.words = Cache(limit=WORDS_KEPT)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian unsigned 32-bit integers."""
         self.words.turn()
         known, old = self.words, self.words.old
+        # the tokenizer lower-cases; special strings in capitals are no special strings and must stay so
+        texts = [_END.sub(r" \1", t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
         split = [t.split() if len(t) == len(t.translate(_NOT_SPACE)) else [w.decode() for w in t.encode().split()] for t in texts]
         new = set().union(*split).difference(known)
         for w in new & old.keys():
@@ -56,7 +63,7 @@ class WordIds:
         new = list(new - old.keys())
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.array(e.ids, "<u4").tobytes()
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
