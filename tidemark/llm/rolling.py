@@ -5,18 +5,11 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from .common import Cache
-
 _BASE = 0xD6E8FEB86659FD93
-_MASK = (1 << 64) - 1
-
-#: Hashes of words, shared by all tasks of a worker.
-_words = Cache(xxhash.xxh3_64_intdigest)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    _words.turn()
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
