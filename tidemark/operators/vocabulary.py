@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,8 +18,6 @@ def vocabulary(spark: SparkSession, families: tuple[tuple[str, int], ...], first
 
 def append_missing(base: DataFrame, more: DataFrame) -> DataFrame:
     """``base`` and those tokens of ``more`` (``token``, ``ord``) it lacks, in order of ``ord``, with the next ids."""
-    from pyspark.sql import Window
-
     top = base.agg(F.max("id")).first()[0]
     fresh = more.join(base, "token", "left_anti").groupBy("token").agg(F.min("ord").alias("ord"))
     ids = F.row_number().over(Window.orderBy("ord", "token")) + (-1 if top is None else top)

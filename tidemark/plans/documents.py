@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, tokens
-from ..functions.sampling import hash_uniform
+from ..functions.sampling import hash_uniform, keep_at_rate
 from ..operators import corpus, windows
 from .registry import Tables, query
 
@@ -92,7 +92,7 @@ def q35_stop_words(t: Tables) -> DataFrame:
 
 @query(f"""WITH b AS (SELECT d.doc_id, unnest([('lang', d.lang), ('source', d.source), ('quality', coalesce(l.quality::VARCHAR, 'none'))]) AS b FROM documents d LEFT JOIN labels l USING (doc_id)),
 k AS (SELECT doc_id, b[1] || ': ' || b[2] AS line, {UNIFORM_SQL.format("doc_id || '|' || b[1]")} AS u FROM (SELECT doc_id, [b[1], b[2]] AS b FROM b))
-SELECT doc_id, string_agg(line, ' . ' ORDER BY u, line) AS raw FROM k GROUP BY doc_id""".replace("raw FROM k", "header FROM k"))
+SELECT doc_id, string_agg(line, ' . ' ORDER BY u, line) AS header FROM k GROUP BY doc_id""")
 def q36_header(t: Tables) -> DataFrame:
     """Header blocks in hash order."""
     d = t.documents.join(t.labels, "doc_id", "left")
@@ -156,8 +156,6 @@ def q43b_set_operations(t: Tables) -> DataFrame:
 @query(f"""SELECT doc_id, {UNIFORM_SQL.format("doc_id || '|cosmos|42'")} > 0.5 AS keeps_half, {UNIFORM_SQL.format("doc_id || '|seed2|42'")} > 0.0 AS keeps_all, false AS keeps_none FROM documents""")
 def q45_dropout(t: Tables) -> DataFrame:
     """Independent dropout by hash at rates of a half, none and all."""
-    from ..functions.sampling import keep_at_rate
-
     i = F.col("doc_id")
     return t.documents.select("doc_id", keep_at_rate(0.5, i, "cosmos", "42").alias("keeps_half"), keep_at_rate(0.0, i, "seed2", "42").alias("keeps_all"), keep_at_rate(1.0, i, "snac", "42").alias("keeps_none"))
 

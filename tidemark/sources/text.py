@@ -36,7 +36,7 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType | s
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    """``row`` elements of an XML dump with their position among the file's rows by id."""
+    """``row`` elements of an XML dump of posts."""
     schema = "_Id bigint, _PostTypeId int, _ParentId bigint, _Title string, _Body string, _Tags string"
     posts = spark.read.format("xml").option("rowTag", "row").schema(schema).load(path)
     return posts.select(*[F.col(c).alias(c[1:]) for c in posts.columns])

@@ -23,10 +23,11 @@ def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, latene
     State for a window is dropped once the watermark passes it.
     """
     d = frames.withWatermark("seen_at", lateness) if frames.isStreaming else frames
-    at = F.timestamp_seconds(F.floor(F.col("f") / width) * width)
-    w = d.withColumn("window_id", F.floor(F.col("f") / width) * width).withColumn("_slot", at)
-    keys = [F.window("seen_at", "1 day"), "track", "window_id"] if frames.isStreaming else ["track", "window_id"]
-    return w.groupBy(*keys).agg(F.count("*").alias("frames"), F.count_if(~F.col("present")).alias("absent")).filter((F.col("frames") == width) & (F.col("absent") <= most_absent)).select("track", "window_id", "absent")
+    keys = ["track", (F.floor(F.col("f") / width) * width).alias("window_id")]
+    if frames.isStreaming:
+        keys.append(F.window("seen_at", "1 day").alias("day"))  # lets the watermark drop old state
+    w = d.groupBy(*keys).agg(F.count("*").alias("frames"), F.count_if(~F.col("present")).alias("absent"))
+    return w.filter((F.col("frames") == width) & (F.col("absent") <= most_absent)).select("track", "window_id", "absent")
 
 
 def run_available(stream: DataFrame, target: str, checkpoint: str, step: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append") -> None:
