@@ -31,7 +31,7 @@ SCHEMA = PIECES + ", sequence_id long, offset long"
 RANKED_TOGETHER = 50_000
 
 #: White space for str.split() that the tokenizer takes for symbols.
-_NOT_SPACE = str.maketrans("", "", "\x1c\x1d\x1e\x1f")
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: A full stop or comma that ends a word is a token of its own.
 _END = re.compile(r"(?<=[A-Za-z])([.,])(?=[ \t\n\r\f\v]|\Z)")
 #: Words whose ids a worker keeps, in each of two generations.
@@ -56,7 +56,7 @@ class WordIds:
         known, old = self.words, self.words.old
         # the tokenizer lower-cases; special strings in capitals are no special strings and must stay so
         texts = [_END.sub(r" \1", t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
-        split = [t.split() if len(t) == len(t.translate(_NOT_SPACE)) else [w.decode() for w in t.encode().split()] for t in texts]
+        split = [[w.decode() for w in t.encode().split()] if any(c in t for c in _NOT_SPACE) else t.split() for t in texts]
         new = set().union(*split).difference(known)
         for w in new & old.keys():
             known[w] = old[w]
