@@ -53,6 +53,18 @@ def test_pages_through_spark(spark):
     assert templates.extract_main_text(df.filter("page_id = -1")).count() == 0
 
 
+def test_repeated_text_inside_articles_is_template():
+    pages = [f"<article><h1>Head {i}</h1><p>text {i}<div class=x>Send this to a friend</div></article>" for i in range(10)]
+    assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(10)]
+
+
+def test_tokens_out_of_order_leave_the_class():
+    pages = [templates.tokens(f"<body><i>x</i><b>y</b><p>{k}</p></body>" if k % 2 else f"<body><b>y</b><i>x</i><p>{k}</p></body>") for k in range(4)]
+    made = templates._template(pages)
+    assert len({c for c, _, _ in made.place.values()}) == 1
+    assert {"b", "i"} - {what for kind, what, _ in templates.template(pages)[0] if kind == 0}
+
+
 URLS = ["http://a.example.com/en/7", "https://www.B.com/en/x?q=1", "http://example.com/en/7abc#t", "http://example.net/de/81", "ftp://x.net/de/9", "http://y.org/es/", "http://z.org", "noscheme/en/", None, "", "http://com/en/", "http://notcom/en/7", "HTTP://Ü.COM/en/", "http://a.example.com/en/6"]
 
 

@@ -1,39 +1,53 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Pages of one host are read together.  A token is a tag, comment or text with
-the path of elements it stands in.  Tokens with the same occurrence vector
-(how often they occur on each page) form an equivalence class; a class is
-valid if it occurs on enough pages and its tokens keep their order on all of
-them.  Valid classes nest: one lies in a gap between two tokens of another.
-Together they are the template, and what remains between its tokens are the
-slots.  A slot holds main text unless its place in the template says
-otherwise: menus, page headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles.  Where the template has an article, only slots
-in it count; where it has none, text that is itself template is left out.
-
-Hosts of any size are read in groups of at most GROUP_PAGES pages; hosts with
-more than a share of all pages are dealt over several tasks.
+A token is a tag, comment or text with the path of elements it stands in.  The
+template of a host is deduced from all its distinct pages, however they are
+dealt over tasks; pages with the same content count once.  Tokens with the
+same occurrence vector (how often they occur on each page) form an equivalence
+class; a class is valid if it occurs on enough pages, and its tokens keep their
+order on all of them (those that break it leave the class).  On a page the
+classes nest, one in a gap between two tokens of another; tokens that overlap
+are no part of the template there.  What remains between are the slots.
+
+Template text is dropped; inside an article or main only from MAIN_PAGES
+distinct pages on, as fewer pages can share real sentences.  Tags and words
+label the slots: menus, page headers, footers, sidebars, notices, adverts,
+forms, comments, scripts and styles are dropped, and where a page has an
+article, so is what stands outside it.  A class, id or role word counts only
+if the element's start tag is part of the template, and is not handed down into
+an article.
+
+Four passes: pages to token hashes, dealt by host; candidates of blocks of
+pages (what occurs on half of a host's pages does so in one of its blocks);
+their exact vectors and order over all blocks; pages beside their template.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reach_workers
+from .common import materialise
 
+#: Distinct pages of one block; a block also ends at BLOCK_TOKENS tokens.
 GROUP_PAGES = 64
+BLOCK_TOKENS = 500_000
 #: A host is dealt over tasks if it has more pages than this, or than one in HOT_SHARE of all pages if that is more.
 HOT_PAGES, HOT_SHARE = 256, 10_000
-#: Share of a group's pages on which a class must occur to be part of the template.
+#: Share of a host's distinct pages on which a class must occur to be part of the template.
 SUPPORT = 0.5
+#: Distinct pages from which a host has a template, and from which template text inside an article goes.
+LEAST_PAGES, MAIN_PAGES = 3, 8
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -44,6 +58,8 @@ BOILERPLATE = frozenset("head script style title noscript template nav footer as
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars widget widgets related recommended recommendations share sharing social footer header masthead topbar comment comments commentlist disqus replies reply respond form search pagination pager copyright legal toolbar skip".split()
 )
+#: No label inside an article, as its own header is text.
+NOT_IN_MAIN = frozenset(("header", "masthead"))
 MAIN = frozenset(("article", "main"))
 NEVER_BY_CLASS = frozenset("html body article main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -59,17 +75,24 @@ Token = tuple  # (kind, what, path, block, inside): kind 0 tag, 1 text
 
 
 class Element:
-    __slots__ = ("name", "key", "path", "boilerplate", "main")
+    __slots__ = ("name", "key", "path", "hard", "main", "whole", "labelled")
 
     def __init__(self, name: str, attributes: str, parent: Element | None):
         names = {k.lower(): v.strip("\"'") for k, v in _NAME.findall(attributes)} if attributes and "=" in attributes else {}
         self.name = name
         self.key = _DIGITS.sub("9", " ".join([name, *(f"{k}={v}" for k, v in sorted(names.items()))]))
         self.path = self.key if parent is None else parent.path if name in INLINE else f"{parent.path}>{self.key}"
-        self.main = (parent is not None and parent.main) or name in MAIN or names.get("role") in ("main", "article")
-        by_word = name not in NEVER_BY_CLASS and any(w.lower() in BOILERPLATE_WORDS for v in names.values() for w in _WORDS.findall(v))
-        in_page_header = name == "header" and not self.main
-        self.boilerplate = (parent is not None and parent.boilerplate) or name in BOILERPLATE or by_word or in_page_header
+        starts_main = name in MAIN or names.get("role") in ("main", "article")
+        self.main = (parent is not None and parent.main) or starts_main
+        self.hard = (parent is not None and parent.hard) or name in BOILERPLATE or (name == "header" and not self.main)
+        #: Elements from the article or page down whose names hold a word of boilerplate; ``whole`` if it is a name by itself.
+        self.labelled = () if parent is None or starts_main else parent.labelled
+        self.whole = False
+        if names and name not in NEVER_BY_CLASS and not starts_main:
+            words = BOILERPLATE_WORDS - NOT_IN_MAIN if self.main else BOILERPLATE_WORDS
+            if any(w.lower() in words for v in names.values() for w in _WORDS.findall(v)):
+                self.whole = any(x.lower() in words for v in names.values() for x in v.split())
+                self.labelled = (*self.labelled, self)
 
 
 def tokens(page: str) -> list[Token]:
@@ -134,86 +157,243 @@ def tokens(page: str) -> list[Token]:
     return out
 
 
-def template(pages: list[list[Token]]) -> tuple[set[tuple], dict[tuple, int]]:
-    """The template tokens of a group of pages, and how deep the class of each is nested.
+def _hashes(page: list[Token]) -> list[int | None]:
+    """A number for every token of a page; none for blanks."""
+    seen: dict[tuple, int] = {}
+    out: list[int | None] = []
+    for kind, what, path, _, _ in page:
+        if kind and what == " ":
+            out.append(None)
+            continue
+        token = kind, what.strip() if kind else what, path
+        if token not in seen:
+            seen[token] = xxhash.xxh3_64_intdigest("\0".join((str(kind), *token[1:])).encode("utf-8", "surrogatepass")) - (1 << 63)
+        out.append(seen[token])
+    return out
 
-    A token of the template is (kind, what, path).
-    """
-    places = [defaultdict(list) for _ in pages]
-    for found, page in zip(places, pages, strict=True):
-        for at, (kind, what, path, _, _) in enumerate(page):
-            if kind == 0 or what != " ":
-                found[kind, what.strip() if kind else what, path].append(at)
-    vectors: dict[tuple, list[int]] = defaultdict(lambda: [0] * len(pages))
-    for k, found in enumerate(places):
-        for token, at in found.items():
-            vectors[token][k] = len(at)
-    classes: dict[tuple, list[tuple]] = defaultdict(list)
-    for token, vector in vectors.items():
-        if sum(map(bool, vector)) >= SUPPORT * len(pages):
-            classes[tuple(vector)].append(token)
-
-    valid: list[tuple[tuple, list[tuple]]] = []
-    for vector, members in classes.items():
-        on = [k for k, n in enumerate(vector) if n]
-        members.sort(key=lambda t: places[on[0]][t][0])
-        ordered = [members[0]]  # tokens that break the order on some page leave the class
-        for t in members[1:]:
-            last = ordered[-1]
-            if all(b > a for k in on for a, b in zip(places[k][last], places[k][t], strict=True)):
-                ordered.append(t)
-        valid.append((vector, ordered))
-
-    valid.sort(key=lambda c: (sum(c[0]), -len(c[1])))  # outer classes occur less often
+
+def _has_main(page: list[Token]) -> bool:
+    return any(e.main and not e.hard for *_, e in page)
+
+
+def features(page: list[Token]) -> tuple[int, list[int]]:
+    """What makes a page distinct, its text in the article or outside menus and the like, and its token numbers in order."""
+    inside = _has_main(page)
+    content = (what.strip() for kind, what, _, _, e in page if kind and not e.hard and (e.main or not inside))
+    key = xxhash.xxh3_64_intdigest("\0".join(x for x in content if x).encode("utf-8", "surrogatepass")) - (1 << 63)
+    return key, [h for h in _hashes(page) if h is not None]
+
+
+Block = list  # of (key, token numbers), each key once
+
+
+def candidates(block: Block) -> dict[int, tuple[int, int]]:
+    """Tokens on enough of a block's pages, with the least key of a page that has them and their place on it."""
+    count: dict[int, int] = defaultdict(int)
+    for _, seq in block:
+        for t in set(seq):
+            count[t] += 1
+    found: dict[int, tuple[int, int]] = {}
+    for key, seq in sorted(block, key=lambda x: x[0]):
+        for at, t in enumerate(seq):
+            if count[t] >= SUPPORT * len(block) and t not in found:
+                found[t] = key, at
+    return found
+
+
+def vectors(block: Block, wanted: dict[int, tuple[int, int]]) -> tuple[dict[int, list[int]], set[tuple[int, int]]]:
+    """Of the wanted tokens: pages and a digest of the occurrence vector, and pairs of equal vector that break the order."""
+    pages: list[dict[int, list[int]]] = []
+    found: dict[int, list[int]] = {}
+    for key, seq in block:
+        places: dict[int, list[int]] = defaultdict(list)
+        for at, t in enumerate(seq):
+            if t in wanted:
+                places[t].append(at)
+        for t, at in places.items():
+            v = found.setdefault(t, [0, 0])
+            v[0] += 1
+            v[1] ^= hash((key, len(at)))
+        pages.append(places)
+    alike: dict[tuple, list[int]] = defaultdict(list)
+    for t, v in found.items():
+        alike[tuple(v)].append(t)
+    bad: set[tuple[int, int]] = set()
+    for members in alike.values():
+        members.sort(key=wanted.__getitem__)
+        for places in pages:
+            if members[0] not in places:
+                continue
+            follows = lambda a, b: all(y > x for x, y in zip(places[a], places[b], strict=True))  # noqa: B023, E731
+            if not all(follows(a, b) for a, b in pairwise(members)):
+                bad |= {(a, b) for i, a in enumerate(members) for b in members[i + 1 :] if not follows(a, b)}
+    return found, bad
+
+
+class Template:
+    """The valid classes of a host, from rows (token, pages, digest, first page, place on it) over its ``total`` distinct pages."""
+
+    def __init__(self, total: int, rows: Iterable[tuple[int, int, int, int, int]], bad: set[tuple[int, int]]):
+        self.total = total
+        classes: dict[tuple, list[tuple]] = defaultdict(list)
+        for t, n, digest, page, at in rows:
+            if n >= SUPPORT * total:
+                classes[n, digest].append((page, at, t))
+        self.place: dict[int, tuple[int, int, int]] = {}  # token: class, place in it, size of it
+        for c, members in enumerate(classes.values()):
+            ordered: list[int] = []
+            for *_, t in sorted(members):
+                if not bad or not any((a, t) in bad for a in ordered):
+                    ordered.append(t)
+            self.place |= {t: (c, i, len(ordered)) for i, t in enumerate(ordered)}
+
+    def depths(self, seq: list[int | None]) -> list[int]:
+        """How deep each token of a page is nested; -1 for what is in slots and for tokens that overlap another class."""
+        out, open_classes = [], []  # of [class, place of its last token]
+        for t in seq:
+            c, i, size = self.place.get(t, (-1, 0, 0))
+            j = next((j for j in range(len(open_classes) - 1, -1, -1) if open_classes[j][0] == c), None)
+            if c < 0 or (j is None and i) or (j is not None and 0 < i <= open_classes[j][1]):
+                out.append(-1)
+                continue
+            j = len(open_classes) if j is None else j
+            del open_classes[j:]
+            if i < size - 1:
+                open_classes.append([c, i])
+            out.append(j)
+        return out
+
+
+def _template(pages: list[list[Token]]) -> Template:
+    block = list(dict(map(features, pages)).items())
+    wanted = candidates(block)
+    found, bad = vectors(block, wanted)
+    return Template(len(block), ((t, *v, *wanted[t]) for t, v in found.items()), bad)
+
+
+def template(pages: list[list[Token]]) -> tuple[set[tuple], dict[tuple, int]]:
+    """The template tokens (kind, what, path) of all pages of a host, and how deep the class of each is nested."""
+    made = _template(pages)
     depth: dict[tuple, int] = {}
-    levels: list[tuple[tuple, list[tuple], int]] = []
-    for vector, members in valid:
-        level = 0
-        for outer, others, outer_level in levels:
-            if all(v == 0 or o for v, o in zip(vector, outer, strict=True)) and _in_one_gap(places, vector, members, others):
-                level = max(level, outer_level + 1)
-        levels.append((vector, members, level))
-        depth |= dict.fromkeys(members, level)
+    for page in pages:
+        for (kind, what, path, _, _), d in zip(page, made.depths(_hashes(page)), strict=True):
+            if d >= 0:
+                token = kind, what.strip() if kind else what, path
+                depth[token] = max(d, depth.get(token, 0))
     return set(depth), depth
 
 
-def _in_one_gap(places: list[dict], vector: tuple, inner: list[tuple], outer: list[tuple]) -> bool:
-    """Whether all occurrences of the inner class lie between the same two neighbouring tokens of the outer one."""
-    gaps = set()
-    for k, n in enumerate(vector):
-        if not n:
+def main_text(page: list[Token], made: Template) -> str:
+    """What the slots of a page hold that are main text."""
+    depths = made.depths(_hashes(page)) if made.total >= LEAST_PAGES else [-1] * len(page)
+    inside = _has_main(page)
+    confirmed = {id(e) for (kind, what, _, _, e), d in zip(page, depths, strict=True) if d >= 0 and not kind and what == e.key}
+    chars, held = 0, defaultdict(int)
+    for kind, what, _, _, e in page:
+        if kind and not e.hard and (e.main or not inside):
+            chars += len(what)
+            for x in e.labelled:
+                held[id(x)] += len(what)
+    blocks: dict[int, list[str]] = {}
+    for (kind, what, _, block, e), d in zip(page, depths, strict=True):
+        if not kind or e.hard or (inside and not e.main):
+            continue
+        labels = [x for x in e.labelled if id(x) in confirmed]
+        if any(x.whole for x in labels):
+            continue
+        if d >= 0 and (not e.main or labels or made.total >= MAIN_PAGES):
+            continue
+        if not e.main and any(2 * held[id(x)] < chars for x in labels):  # one that holds most of the page is a wrapper
             continue
-        marks = [places[k][t][0] for t in outer if places[k].get(t)]
-        low, high = places[k][inner[0]][0], places[k][inner[-1]][-1]
-        gap = [i for i, (a, b) in enumerate(pairwise(marks)) if a < low and high < b]
-        if not gap:
-            return False
-        gaps.add(gap[0])
-    return len(gaps) == 1
+        blocks.setdefault(block, []).append(what)
+    lines = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
+    return "\n".join(x for x in lines if x)
 
 
 def main_texts(group: list[str | None]) -> list[str]:
-    """The main text of every page of a group."""
+    """The main text of all pages of a host."""
     pages = [tokens(p or "") for p in group]
-    fixed, _ = template(pages)
-    has_article = Counter(any(e.main and not e.boilerplate for *_, e in page) for page in pages)
-    articles = has_article[True] > 0
-    out = []
-    for page in pages:
-        inside = articles and any(e.main and not e.boilerplate and e.name != "#" for *_, e in page)
-        blocks: dict[int, list[str]] = {}
-        for kind, what, path, block, e in page:
-            if kind == 0 or e.boilerplate:
-                continue
-            if inside:
-                if not e.main:
-                    continue
-            elif len(pages) > 2 and (1, what.strip(), path) in fixed:
-                continue  # text that the template brings
-            blocks.setdefault(block, []).append(what)
-        lines = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
-        out.append("\n".join(x for x in lines if x))
-    return out
+    made = _template(pages)
+    return [main_text(p, made) for p in pages]
+
+
+_CANDIDATE = pa.list_(pa.struct([("token", pa.int64()), ("page", pa.int64()), ("at", pa.int64())]))
+_VECTOR = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("page", pa.int64()), ("at", pa.int64())]))
+_PAIR = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+
+
+def _batch(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
+
+
+def _templates(base: DataFrame, hot: DataFrame, block_pages: int) -> DataFrame:
+    """``host``, ``total`` (distinct pages), ``vectors`` and ``bad`` of every host with a template."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()  # spares copies the way; bounded
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = []
+                for host, page in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                    key, seq = features(tokens(page or ""))
+                    if (host, key) not in seen:
+                        if len(seen) >= 100_000:
+                            seen.clear()
+                        seen.add((host, key))
+                        rows.append((host, key, np.array(seq, np.int64).tobytes()))
+                hosts, keys, seqs = zip(*rows, strict=True) if rows else ((), (), ())
+                yield _batch(host=(hosts, pa.string()), key=(keys, pa.int64()), seq=(seqs, pa.binary()))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, block, size, last = None, [], 0, None
+
+        def flush() -> pa.RecordBatch:
+            found = [{"token": t, "page": p, "at": a} for t, (p, a) in candidates(block).items()]
+            data = b"".join(np.array(s, np.int64).tobytes() for _, s in block)
+            return _batch(host=([place[0]], pa.string()), part=([place[1]], pa.int64()), keys=([[k for k, _ in block]], pa.list_(pa.int64())), sizes=([[len(s) for _, s in block]], pa.list_(pa.int64())), seqs=([data], pa.binary()), found=([found], _CANDIDATE))
+
+        for batch in batches:
+            for host, part, key, seq in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block and ((host, part) != place or len(block) >= block_pages or size >= BLOCK_TOKENS):
+                    yield flush()
+                    block, size = [], 0
+                if (host, part, key) == last:
+                    continue  # a copy
+                place, last = (host, part), (host, part, key)
+                block.append((key, np.frombuffer(seq, np.int64).tolist()))
+                size += len(block[-1][1])
+        if block:
+            yield flush()
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for host, keys, sizes, seqs, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                cuts = np.split(np.frombuffer(seqs, np.int64), np.cumsum(sizes)[:-1])
+                wanted = {x["token"]: (x["page"], x["at"]) for x in found}
+                got, bad = vectors([(k, c.tolist()) for k, c in zip(keys, cuts, strict=True)], wanted)
+                rows = [{"token": t, "n": n, "digest": d, "page": wanted[t][0], "at": wanted[t][1]} for t, (n, d) in got.items()]
+                yield _batch(host=([host], pa.string()), vectors=([rows], _VECTOR), bad=([[{"a": a, "b": b} for a, b in bad]], _PAIR))
+
+    pages = base.select("host", "html").mapInArrow(read, "host string, key long, seq binary")
+    pages = pages.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod("key", F.coalesce("parts", F.lit(1)))).select("host", "part", "key", "seq")
+    dealt = pages.repartition("host", "part").sortWithinPartitions("host", "part", "key")
+    found = "array<struct<token:long,page:long,at:long>>"
+    blocks = materialise(dealt.mapInArrow(gather, f"host string, part long, keys array<long>, sizes array<long>, seqs binary, found {found}"), "blocks")
+    total = blocks.groupBy("host").agg(F.sum(F.size("keys")).alias("total")).filter(F.col("total") >= LEAST_PAGES)
+    each = blocks.select("host", F.explode("found").alias("x")).groupBy("host", "x.token").agg(F.min(F.struct("x.page", "x.at")).alias("x"))
+    wanted = _at_parts(each.groupBy("host").agg(F.collect_list(F.struct("token", "x.page", "x.at")).alias("found")), hot)
+    joined = blocks.drop("found").join(wanted, ["host", "part"]).select("host", "keys", "sizes", "seqs", "found")
+    measured = materialise(joined.mapInArrow(measure, "host string, vectors array<struct<token:long,n:long,digest:long,page:long,at:long>>, bad array<struct<a:long,b:long>>"), "vectors")
+    v = measured.select("host", F.explode("vectors").alias("v")).groupBy("host", "v.token").agg(F.sum("v.n").alias("n"), F.bit_xor("v.digest").alias("digest"), F.min(F.struct("v.page", "v.at")).alias("x"))
+    v = v.join(total, "host").filter(F.col("n") >= SUPPORT * F.col("total"))
+    v = v.groupBy("host", "total").agg(F.collect_list(F.struct("token", "n", "digest", "x.page", "x.at")).alias("vectors"))
+    bad = measured.select("host", F.explode("bad").alias("x")).groupBy("host").agg(F.collect_set("x").alias("bad"))
+    return v.join(bad, "host", "left")
+
+
+def _at_parts(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """Each host's row once for every part of it."""
+    return rows.join(F.broadcast(hot), "host", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", group_pages: int = GROUP_PAGES) -> DataFrame:
@@ -221,7 +401,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Null and empty pages give an empty text.  Pages without a host (null url)
     are one host.  Repeated rows are extracted each.  Other columns are not
-    read.  One shuffle brings the pages of a host together.
+    read.  ``group_pages`` bounds a block and does not change the result.  One
+    shuffle brings the pages to their host's template; before, token numbers
+    are shuffled.
     """
     reach_workers(pages.sparkSession)
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
@@ -229,26 +411,27 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     hosts = base.groupBy("host").agg(F.count("*").alias("n"))
     total = hosts.agg(F.sum("n")).first()[0] or 0
     most = max(HOT_PAGES, total // HOT_SHARE)
-    hot = hosts.filter(F.col("n") > most).select(F.col("host").alias("hot_host"), F.ceil(F.col("n") / most).alias("parts"))  # HOT_SHARE rows at most
-    dealt = base.join(F.broadcast(hot), F.col("host") == F.col("hot_host"), "left")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))))
-    dealt = dealt.select("host", "part", "page_id", "url", "html").repartition("host", "part").sortWithinPartitions("host", "part", "page_id", "url")
-
-    def flush(group: list[tuple]) -> pa.RecordBatch:
-        found = main_texts([r[2] for r in group])
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in group], pa.int64()), pa.array([r[1] for r in group], pa.string()), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
+    hot = hosts.filter(F.col("n") > most).select("host", F.ceil(F.col("n") / most).alias("parts"))  # HOT_SHARE rows at most
+    made = _at_parts(materialise(_templates(base, hot, group_pages), "templates"), hot)
+    dealt = base.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    dealt = dealt.withColumn("is_page", F.lit(True)).unionByName(made.withColumn("is_page", F.lit(False)), allowMissingColumns=True)
+    columns = ["host", "part", "is_page", "page_id", "url", "html", "total", "vectors", "bad"]
+    dealt = dealt.select(*columns).repartition("host", "part").sortWithinPartitions("host", "part", "is_page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
+        place, now = None, Template(0, (), set())
         for batch in batches:
+            rows: list[tuple] = []
             for at in range(batch.num_rows):
-                host, part, page_id, url, page = (c[at].as_py() for c in batch.columns)
-                if group and ((host, part) != key or len(group) >= group_pages):
-                    yield flush(group)
-                    group = []
-                key = host, part
-                group.append((page_id, url, page))
-        if group:
-            yield flush(group)
+                host, part, is_page, page_id, url, page = (batch.column(k)[at].as_py() for k in range(6))
+                if (host, part) != place:
+                    place, now = (host, part), Template(0, (), set())
+                if is_page:
+                    rows.append((page_id, url, main_text(tokens(page or ""), now)))
+                else:
+                    n, found, bad = (batch.column(k)[at].as_py() for k in range(6, 9))
+                    now = Template(n, (tuple(x.values()) for x in found), {(x["a"], x["b"]) for x in bad or ()})
+            ids, urls, texts = zip(*rows, strict=True) if rows else ((), (), ())
+            yield _batch(page_id=(ids, pa.int64()), url=(urls, pa.string()), text=(texts, pa.string()), n_chars=(list(map(len, texts)), pa.int64()))
 
     return dealt.mapInArrow(run, SCHEMA)
