@@ -53,6 +53,12 @@ def test_pages_through_spark(spark):
     assert templates.extract_main_text(df.filter("page_id = -1")).count() == 0
 
 
+def test_words_of_names_drop_no_article():
+    pages = [f'<body><div class="layout-with-sidebar"><article><div class="entry-header"><h1>Head {i}</h1></div><section id="form-of-government"><p>text {i}</section><div class="ad">buy {i}</div></article></div></body>' for i in range(4)]
+    assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(4)]
+    assert templates.main_texts(pages[:1]) == ["Head 0\ntext 0\nbuy 0"]  # one page shows no template
+
+
 def test_repeated_text_inside_articles_is_template():
     pages = [f"<article><h1>Head {i}</h1><p>text {i}<div class=x>Send this to a friend</div></article>" for i in range(10)]
     assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(10)]
