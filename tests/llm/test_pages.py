@@ -64,6 +64,17 @@ def test_repeated_text_inside_articles_is_template():
     assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(10)]
 
 
+def test_template_is_of_all_pages_of_a_host(spark):
+    html = lambda c: f"<body><div class=top>Welcome here</div><div class=body><p>text {c}</div></body>"
+    rows = [(i, f"http://one.org/{i}", html(i)) for i in range(66)]
+    rows += [(100 + i, f"http://two.org/{i}", html("copied" if i < 40 else f"w{i}")) for i in range(60)]
+    rows += [(1000 + i, f"http://hot.org/{i}", html(f"h{i}")) for i in range(600)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted((i, h.split("<p>")[1].split("<")[0]) for i, _, h in rows)
+    for n in (7, templates.GROUP_PAGES):
+        assert sorted((r.page_id, r.text) for r in templates.extract_main_text(df, group_pages=n).collect()) == want
+
+
 def test_tokens_out_of_order_leave_the_class():
     pages = [templates.tokens(f"<body><i>x</i><b>y</b><p>{k}</p></body>" if k % 2 else f"<body><b>y</b><i>x</i><p>{k}</p></body>") for k in range(4)]
     made = templates._template(pages)
