@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 from tidemark.llm.minhash import near_duplicates
@@ -29,9 +30,27 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates; repeated rows of an id are one."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    """One document, that with the smallest id, of each group of near-duplicates.
+
+    Rows without an id are kept.  Rows that agree on id and text are one, the
+    least by the other columns.  Of an id with several texts, that with the
+    least hash stands at its id; each other is a document of its own, after
+    all others in the order of ids.
+    """
+    columns = docs.columns
+    named = docs.filter("doc_id is not null")
+    texts = named.select("doc_id", F.xxhash64("text").alias("_hash")).groupBy("doc_id").agg(F.min("_hash").alias("_least"), F.max("_hash").alias("_most"))
+    several = materialise(texts.filter("_least < _most").select("doc_id", "_least"), "several")
+    if several.isEmpty():
+        named = named.withColumn("_id", F.col("doc_id").cast("long"))
+    else:
+        late = F.xxhash64("doc_id", "text").bitwiseAND((1 << 62) - 1) + (1 << 62)
+        other = F.xxhash64("text") != F.col("_least")
+        named = materialise(named.join(several, "doc_id", "left").withColumn("_id", F.when(other, late).otherwise(F.col("doc_id").cast("long"))).select("_id", *columns), "named")
+    kept = near_duplicates(named.select("_id", "text"), id_col="_id").filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    least = F.min(F.struct(*[c for c in columns if c != "text"], "text")).alias("row")
+    found = named.join(kept, "_id", "left_semi").groupBy("_id").agg(least).select("row.*").select(*columns)
+    return found.unionByName(docs.filter("doc_id is null"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,18 @@ def test_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == len(docs.collect())
 
 
+def test_near_dedup_keeps_rows_without_id_and_all_texts_of_an_id(spark):
+    text = lambda k, n=40: " ".join(f"{k}{i}" for i in range(n))
+    rows = [(None, text("a")), (None, text("a")), (1, text("b")), (7, text("c")), (7, text("d")), (7, text("d")), (8, text("d") + " end"), (9, text("e")), (9, text("b") + " end"), (9, text("e"))]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    seen = [(r.doc_id, r.text[0]) for r in got]
+    assert seen.count((None, "a")) == 2 and {(1, "b"), (7, "c"), (9, "e")} <= set(seen)
+    assert len(got) == 6 and sum(t == "d" for _, t in seen) == 1
+    assert [r.source for r in got if r.text[0] == "e"] == ["s7"]
+    assert corpus_pipeline.substring_dedup(spark, spark.createDataFrame(got, docs.schema), "").count() == 6
+
+
 def test_empty_table(spark, folder, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{t}.parquet").filter("doc_id < 0").write.parquet(f"{tmp_path}/{t}.parquet")
