@@ -81,6 +81,20 @@ def test_links_at_exactly_three_quarters(spark):
     assert got == {1: 1, 2: 1, 3: 1}
 
 
+def test_pairs_with_one_common_band_in_a_large_bucket(spark, monkeypatch):
+    def bands(values):  # all in one bucket, and nothing else in common
+        import numpy as np
+
+        return np.array([1, *(values[:31].view(np.int64) ^ values.view(np.int64).sum())])
+
+    monkeypatch.setattr(minhash, "bands", bands)
+    rows = [(2 * k + j, " ".join(f"w{k}x{i}" for i in range(20 + j))) for k in range(15) for j in range(2)]
+    rows[0:2] = [(0, "some other words stand in this one"), (1, "and none of them in the next one")]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows), bucket_rows=4).collect()}
+    assert got == {i: c for i, (_, c) in brute_groups(rows).items()}
+    assert sum(i != c for i, c in got.items()) == 14
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

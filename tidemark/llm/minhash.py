@@ -16,8 +16,9 @@ is connectivity, so not all pairs of a bucket are looked at:
    components are compared by longer sketches (the low byte of each of 1,024
    signature values), and pairs with enough agreement are confirmed too.
 
-A bucket with more classes than BUCKET_ROWS is cut by a second band of its
-members first; classes with a link agree on some other band as well.
+A bucket with more classes than BUCKET_ROWS is cut into tiles of about that
+size by a hash of the class, and each pair of tiles is a task of its own, so
+all its pairs are compared.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from .rolling import mix, roll, word_hashes
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
 PERMUTATIONS, BANDS = 64, 32
-#: Classes of one bucket that are compared in one task.
+#: Classes of one tile of a bucket; a task compares one tile, or two with each other.
 BUCKET_ROWS = 2_000
 #: Sketches hold two values of each of so many permutations.
 SKETCH_PERMUTATIONS = 512
@@ -104,26 +105,26 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 def sketch_pairs(members: DataFrame) -> DataFrame:
     """Pairs of different components whose sketches agree enough, each once.
 
-    ``members`` has ``bucket``, ``rep``, ``component``, ``sketch``, ``bands``
-    and the band hashes that make the bucket: ``outer`` and, in cut buckets,
-    ``inner``.  A pair that shares several bands is looked at only in the
-    bucket of its first (and second) common band.
+    ``members`` has ``bucket``, ``rep``, ``component``, ``sketch``, ``bands``,
+    ``outer``, the band hash that makes the bucket, and ``side``: 0 or 1 where
+    two tiles of a bucket meet, which are compared only with each other, else
+    -1.  A pair that shares several bands is looked at only in the bucket of
+    the first.
     """
     reach_workers(members.sparkSession)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def close(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-        reps, comps, hashes = (np.array([r[k] for r in group], np.int64) for k in (1, 2, 4))
+        reps, comps, hashes, sides = (np.array([r[k] for r in group], np.int64) for k in (1, 2, 4, 6))
         sketches = np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1)
-        _, _, _, _, _, outer, inner = group[0]
+        outer = group[0][5]
         for i in range(len(group) - 1):
-            others = np.flatnonzero(comps[i + 1 :] != comps[i]) + i + 1
+            meets = comps[i + 1 :] != comps[i]
+            if sides[i] >= 0:
+                meets &= sides[i + 1 :] != sides[i]
+            others = np.flatnonzero(meets) + i + 1
             common = hashes[others] == hashes[i]
-            first = common.argmax(1)
-            here = hashes[i][first] == outer
-            if inner is not None:
-                common[np.arange(len(others)), first] = False
-                here &= common.any(1) & (hashes[i][common.argmax(1)] == inner)
+            here = hashes[i][common.argmax(1)] == outer
             near = others[here]
             near = near[(sketches[near, :128] == sketches[i, :128]).sum(1) >= FIRST_LEAST]
             near = near[(sketches[near] == sketches[i]).sum(1) >= SKETCH_LEAST]
@@ -141,7 +142,7 @@ def sketch_pairs(members: DataFrame) -> DataFrame:
         if group:
             yield from close(group)
 
-    dealt = members.select("bucket", "rep", "component", "sketch", "bands", "outer", "inner").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
+    dealt = members.select("bucket", "rep", "component", "sketch", "bands", "outer", "side").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -192,11 +193,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     open_members = placed(members.select("bucket", "rep"), component)
     open_members = materialise(open_members.join(_mixed_buckets(open_members), "bucket"), "open")
-    large = open_members.filter(F.col("size") > bucket_rows).select(F.col("bucket").alias("outer"), "rep", "component")
-    again = large.join(classes.select("rep", F.explode("bands").alias("inner")), "rep").filter("outer <> inner")
-    again = again.withColumn("bucket", F.xxhash64("outer", "inner"))
-    again = again.join(_mixed_buckets(again), "bucket").select("bucket", "rep", "component", "outer", "inner")
-    small = open_members.filter(F.col("size") <= bucket_rows).select("bucket", "rep", "component", F.col("bucket").alias("outer"), F.lit(None).cast("long").alias("inner"))
+    large = open_members.filter(F.col("size") > bucket_rows).select(F.col("bucket").alias("outer"), "rep", "component", F.ceil(F.col("size") / bucket_rows).alias("tiles"))
+    again = large.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    again = again.withColumn("bucket", F.xxhash64("outer", F.least("tile", "other"), F.greatest("tile", "other")))
+    again = again.withColumn("side", F.when(F.col("tile") == F.col("other"), -1).otherwise((F.col("tile") > F.col("other")).cast("int")))
+    again = again.join(_mixed_buckets(again), "bucket").select("bucket", "rep", "component", "outer", "side")
+    small = open_members.filter(F.col("size") <= bucket_rows).select("bucket", "rep", "component", F.col("bucket").alias("outer"), F.lit(-1).alias("side"))
     sketches = map_rows(texts.join(open_members.select("rep").distinct(), "rep", "left_semi"), ["rep", "text"], sketch, "rep long, sketch binary")
     sketches = sketches.join(classes.select("rep", "bands"), "rep").dropDuplicates(["rep"])
     near = sketch_pairs(small.unionByName(again).join(sketches, "rep"))
