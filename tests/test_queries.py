@@ -69,3 +69,12 @@ def test_same_on_any_partitioning(spark, name):
 def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
     plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
+
+
+def test_whole_turns_reach_templates_and_split(spark, tmp_path):
+    rows = [(1, 0, "user", "a question of more than twenty characters ASSISTANT: in it"), (1, 1, "assistant", "an answer of more than twenty characters")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = registry.QUERIES["q37b_whole_templates"](spark, str(tmp_path)).first()
+    assert got.chain == " -> ".join(r[3] for r in rows) and got.chat.endswith(rows[1][3])
+    got = registry.QUERIES["q61c_whole_marker_split"](spark, str(tmp_path)).first()
+    assert got.prompt == "USER: a question of more than twenty characters" and got.answer == "in it ASSISTANT: " + rows[1][3]

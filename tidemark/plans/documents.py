@@ -14,6 +14,12 @@ WORDS_SQL = "list_filter(string_split_regex(text, '[ \\t\\n\\v\\f\\r]+'), lambda
 UNIFORM_SQL = "CAST('0x' || substr(md5({}), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE"
 
 
+def corpus_turns(t: Tables) -> DataFrame:
+    """The texts of each conversation in order."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("x"))))
+    return t.conversations.groupBy("conv_id").agg(F.transform(turns, lambda s: s.x).alias("o"))
+
+
 def words_of(t: DataFrame) -> DataFrame:
     return t.withColumn("w", tokens.words(F.col("text")))
 
@@ -109,6 +115,14 @@ def q37_templates(t: Tables) -> DataFrame:
     return o.select("conv_id", text.lettered_options(F.col("o")).alias("options"), text.chain(F.col("o")).alias("chain"), text.chat_turn(F.get("o", F.lit(0)), F.element_at("o", -1), F.lit("calm")).alias("chat"))
 
 
+@query("""WITH o AS (SELECT conv_id, list(text ORDER BY turn) AS o FROM conversations GROUP BY conv_id)
+SELECT conv_id, array_to_string(list_transform(o[1:26], lambda x, i: chr(CAST(64 + i AS INT)) || '. ' || x), chr(10)) AS options, array_to_string(o, ' -> ') AS chain, 'USER: ' || o[1] || ' [Voice: calm] ASSISTANT:' || chr(10) || o[len(o)] AS chat FROM o""")
+def q37b_whole_templates(t: Tables) -> DataFrame:
+    """As q37, over the whole text of every turn."""
+    o = corpus_turns(t)
+    return o.select("conv_id", text.lettered_options(F.col("o")).alias("options"), text.chain(F.col("o")).alias("chain"), text.chat_turn(F.get("o", F.lit(0)), F.element_at("o", -1), F.lit("calm")).alias("chat"))
+
+
 @query("""SELECT page_id, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1) AS host, lower(regexp_extract(url, '^[^?#]*/[^/?#]*\\.([A-Za-z0-9]{1,5})(?:[?#]|$)', 1)) AS extension, regexp_extract(regexp_replace(regexp_replace(url, '[^A-Za-z0-9]', '', 'g') || '_seed2', '_seed2$', ''), '^([A-Za-z0-9_-]{11})', 1) AS tube FROM pages""")
 def q38_url_parts(t: Tables) -> DataFrame:
     """Host, extension and an 11-character id."""
@@ -217,6 +231,14 @@ def q61b_marker_split(t: Tables) -> DataFrame:
     return x.select("conv_id", F.substring_index("x", " ASSISTANT: ", 1).alias("prompt"), F.when(at > 0, F.expr("substring(x, instr(x, ' ASSISTANT: ') + 12)")).otherwise("").alias("answer"))
 
 
+@query("""SELECT conv_id, split_part(x, ' ASSISTANT: ', 1) AS prompt, CASE WHEN instr(x, ' ASSISTANT: ') > 0 THEN substr(x, instr(x, ' ASSISTANT: ') + 12) ELSE '' END AS answer FROM (SELECT conv_id, string_agg(upper(role) || ': ' || text, ' ' ORDER BY turn) AS x FROM conversations GROUP BY conv_id)""")
+def q61c_whole_marker_split(t: Tables) -> DataFrame:
+    """As q61b, over the whole text of every turn."""
+    x = corpus.concat_wins(t.conversations.withColumn("x", F.concat(F.upper("role"), F.lit(": "), "text")), ["conv_id"], "x", "turn")
+    at = F.instr("x", " ASSISTANT: ")
+    return x.select("conv_id", F.substring_index("x", " ASSISTANT: ", 1).alias("prompt"), F.when(at > 0, F.expr("substring(x, instr(x, ' ASSISTANT: ') + 12)")).otherwise("").alias("answer"))
+
+
 @query(f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents)
 SELECT doc_id, len(w)::BIGINT AS words, len(list_filter(w, lambda x, i: NOT coalesce(i >= 3 AND x = w[i - 1] AND x = w[i - 2], false)))::BIGINT AS left_over FROM d""")
 def q68_collapse_repeats(t: Tables) -> DataFrame:
