@@ -78,3 +78,11 @@ def test_whole_turns_reach_templates_and_split(spark, tmp_path):
     assert got.chain == " -> ".join(r[3] for r in rows) and got.chat.endswith(rows[1][3])
     got = registry.QUERIES["q61c_whole_marker_split"](spark, str(tmp_path)).first()
     assert got.prompt == "USER: a question of more than twenty characters" and got.answer == "in it ASSISTANT: " + rows[1][3]
+
+
+def test_every_window_of_a_vector_has_a_row(spark, tmp_path):
+    rows = [(1, 0, [0.0] * 8 + [0.0, 1.0] * 4), (2, 0, [0.0] * 20)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.vec_id, r.win): r.points for r in registry.QUERIES["q24b_window_control_points"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 0): 2, (1, 1): 8, (2, 0): 2, (2, 1): 2}
+    assert (r := registry.QUERIES["q25b_window_tiers"](spark, str(tmp_path)).first()).p2 == 3 and r.p8 == 1

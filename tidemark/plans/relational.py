@@ -93,6 +93,39 @@ def q25_tier_histogram(t: Tables) -> DataFrame:
     return h.join(d.groupBy("label").agg(F.round(F.avg("tokens"), 6).alias("adaptive"), saved.alias("saved_pct")), "label")
 
 
+_WINDOWS = """v AS (SELECT vec_id, label, embedding, unnest(range(0, len(embedding) // 8)) AS win FROM embeddings),
+e AS (SELECT vec_id, label, win, list_transform(embedding[8 * win + 1:8 * win + 8], lambda x: CAST(round_even(x * 100, 0) AS BIGINT)) AS xs FROM v),
+d AS (SELECT vec_id, label, win, unnest(range(1, 7)) AS i, xs FROM e), s AS (SELECT vec_id, label, win, i, abs(xs[i] - 2 * xs[i + 1] + xs[i + 2]) AS c FROM d),
+t AS (SELECT vec_id, label, win, max(c) AS curve, CASE WHEN max(c) < 40 THEN 2 WHEN max(c) < 55 THEN 4 ELSE 8 END AS points FROM s GROUP BY ALL)"""
+
+
+def _window_tiers(t: Tables) -> DataFrame:
+    """Every whole window of eight components of each vector; fewer left over are no window."""
+    n = F.floor(F.size("embedding") / 8).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice("embedding", k * 8 + 1, 8))
+    e = t.embeddings.filter(F.size("embedding") >= 8).select("vec_id", "label", F.posexplode(cut).alias("win", "part"))
+    e = e.select("vec_id", "label", F.col("win").cast("bigint").alias("win"), F.transform("part", lambda x: F.rint(x.cast("double") * 100).cast("bigint")).alias("xs"))
+    return e.withColumn("curve", numeric.curvature(F.col("xs")).cast("bigint")).withColumn("points", numeric.tier(F.col("curve"), 40, 55))
+
+
+@query(f"""WITH {_WINDOWS}, r AS (SELECT vec_id, win, i, row_number() OVER (PARTITION BY vec_id, win ORDER BY c DESC, i DESC) AS r FROM s),
+k AS (SELECT t.vec_id, t.win, string_agg(i::VARCHAR, ',' ORDER BY i) AS kept FROM t JOIN r ON r.vec_id = t.vec_id AND r.win = t.win AND r.r <= t.points - 2 GROUP BY ALL)
+SELECT t.vec_id, t.win, curve::BIGINT AS curve, points::BIGINT AS points, '0,' || coalesce(kept || ',', '') || '7' AS kept FROM t LEFT JOIN k ON k.vec_id = t.vec_id AND k.win = t.win""")
+def q24b_window_control_points(t: Tables) -> DataFrame:
+    """As q24, for every eight-frame window of each vector."""
+    d = _window_tiers(t)
+    return d.select("vec_id", "win", "curve", F.col("points").cast("bigint").alias("points"), F.array_join(numeric.control_points(F.col("xs"), F.col("points")), ",").alias("kept"))
+
+
+@query(f"""WITH {_WINDOWS} SELECT label, count(*) FILTER (points = 2) AS p2, count(*) FILTER (points = 4) AS p4, count(*) FILTER (points = 8) AS p8, round(avg(2 + 4 * points), 6) AS adaptive, round(100.0 - 100.0 * sum(2 + 4 * points) / (34.0 * count(*)), 4) AS saved_pct FROM t GROUP BY label""")
+def q25b_window_tiers(t: Tables) -> DataFrame:
+    """As q25, over every window."""
+    d = _window_tiers(t).withColumn("tokens", 2 + 4 * F.col("points"))
+    count = lambda p: F.count_if(F.col("points") == p).alias(f"p{p}")
+    saved = F.round(100.0 - 100.0 * F.sum("tokens") / (34.0 * F.count("*")), 4)
+    return d.groupBy("label").agg(count(2), count(4), count(8), F.round(F.avg("tokens"), 6).alias("adaptive"), saved.alias("saved_pct"))
+
+
 @query("""WITH e AS (SELECT label, unnest(embedding)::DOUBLE AS x FROM embeddings) SELECT label, round(avg(abs(x)), 6) AS mean_abs, round(quantile_cont(abs(x), 0.95), 6) AS p95 FROM e GROUP BY label""")
 def q27_percentile(t: Tables) -> DataFrame:
     """Mean and 95th percentile, linear between ranks."""
