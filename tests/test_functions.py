@@ -136,3 +136,8 @@ def test_hash_uniform_is_fixed(spark):
     assert value(spark, hash_uniform(F.lit("a"))) == 214005177 / 4294967296
     assert value(spark, keep_at_rate(1.0, F.lit("a"))) is False
     assert value(spark, keep_at_rate(0.0, F.lit("a"))) is True
+
+
+def test_ids_over_the_limit_are_counted(spark):
+    t = "<seed2_8191> <seed2_8192> <cosmos_64000> <avc_lm_8191> <agent_256> <agent_99999999999999999999> <other_999999>"
+    assert value(spark, tokens.over_limit_count(F.col("t")), t=t) == 4

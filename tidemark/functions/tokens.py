@@ -48,6 +48,15 @@ def family_count(text: Column, family: str) -> Column:
     return F.regexp_count(text, F.lit(f"<{family}_[0-9]+>")).cast("bigint")
 
 
+def over_limit_count(text: Column) -> Column:
+    """Tokens of the families in VOCAB_LIMIT whose id is at or over the limit."""
+    out = F.lit(0).cast("bigint")
+    for family, limit in VOCAB_LIMIT.items():
+        ids = F.regexp_extract_all(text, F.lit(f"<{family}_([0-9]+)>"), 1)
+        out = out + F.size(F.filter(ids, lambda x: F.coalesce(x.try_cast("bigint") >= limit, F.lit(True)))).cast("bigint")  # noqa: B023
+    return out
+
+
 def plain_word_count(text: Column) -> Column:
     """Words that are not tokens in angle brackets."""
     return F.size(F.filter(words(text), lambda w: ~w.rlike("^<[^>]+>$"))).cast("bigint")
