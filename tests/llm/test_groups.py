@@ -155,6 +155,34 @@ def test_factors_point_at_their_reference(spark):
     assert covered[2] == set(range(60)) | set(range(61, 116))
 
 
+@pytest.mark.parametrize("hot_rows", [1, rlz.HOT_ROWS])
+def test_factors_are_maximal(spark, hot_rows):
+    draw = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(base))]
+    for i in range(2, 12):
+        a, b = sorted(draw.sample(range(300), 2))
+        rows.append((i, " ".join([f"u{i}", *base[a:b], f"v{i}", *base[:200], *base[a:b]])))
+    text = {i: t.split() for i, t in rows}
+    docs = documents(spark, rows, clash=False).selectExpr("doc_id", "xxhash64(text) as row_key", "text")
+    got = rlz.duplicate_factors(docs, window=10, anchor_words=3, hot_rows=hot_rows).collect()
+    assert len(got) > 20
+    for r in got:
+        own, ref = text[r.doc_id], text[r.ref_doc]
+        assert r.length >= 10 and own[r.start : r.start + r.length] == ref[r.ref_start : r.ref_start + r.length]
+        if r.ref_doc == 1:  # nothing before it could be the reference of a neighbouring window
+            assert not r.start or not r.ref_start or own[r.start - 1] != ref[r.ref_start - 1]
+            ends = r.start + r.length == len(own) or r.ref_start + r.length == len(ref)
+            assert ends or own[r.start + r.length] != ref[r.ref_start + r.length]
+
+
+def test_equal_hashes_do_not_make_a_factor(spark, monkeypatch):
+    block = rlz.Block(3)
+    monkeypatch.setattr(rlz, "roll", lambda hashes, n: hashes[: len(hashes) - n + 1] * 0)
+    assert block.parse(1, 0, [b"a", b"b", b"c", b"d"]) == []
+    assert block.parse(2, 5, [b"x", b"b", b"c", b"d", b"e"]) == [(6, 3, 1, 1)]
+
+
 def test_texts_are_cut_and_other_columns_kept(spark):
     w = [f"w{i}" for i in range(60)]
     rows = [(1, " ".join(w)), (2, "own words\n" + "  ".join(w) + " end"), (3, "left  as\nit is"), (4, None)]

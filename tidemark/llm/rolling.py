@@ -37,3 +37,12 @@ def roll(hashes: np.ndarray, n: int) -> np.ndarray:
             return mix(block)
         power = power[:-size] * np.uint64(pow(_BASE, size, 1 << 64)) + power[size:]
         size *= 2
+
+
+def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of every run of ``n`` values, by doubling."""
+    size = 1
+    while size * 2 <= n:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[: len(x) - n + size], x[n - size :]) if n > size else x
