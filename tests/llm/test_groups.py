@@ -95,6 +95,42 @@ def test_pairs_with_one_common_band_in_a_large_bucket(spark, monkeypatch):
     assert sum(i != c for i, c in got.items()) == 14
 
 
+def test_a_large_family_is_not_compared_in_pairs(spark, monkeypatch):
+    """Documents that share 60 % of their shingles in pairs fill buckets but meet in none of the prefix lists; linked ones among them do."""
+    draw = random.Random(5)
+    core = [f"c{i}" for i in range(160)]
+    rows = [(i, " ".join(core + [f"d{i}x{j}" for j in range(52)])) for i in range(300)]
+    rows += [(1000 + i, " ".join(core + [f"d{i}x{j}" for j in range(49)] + [f"e{i}"] * 3)) for i in range(0, 300, 10)]
+    draw.shuffle(rows)
+    most = []
+    meetings = minhash.meetings
+    monkeypatch.setattr(minhash, "meetings", lambda lists, n: (most.append(meetings(lists, n)), most[0])[1])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows), bucket_rows=20).collect()}
+    assert got == {i: c for i, (_, c) in brute_groups(rows).items()}
+    blocks = most[0].groupBy("bucket").agg({"*": "count"}).collect()
+    assert len(most) == 1 and max((r[1] for r in blocks), default=0) <= 4
+
+
+def test_prefixes_lose_no_link(spark):
+    draw = random.Random(6)
+    rows = []
+    for f in range(6):
+        base = [f"f{f}w{i}" for i in range(draw.randint(8, 60))]
+        rows += [(100 * f + i, edited(draw, base, draw.randint(0, 3)) + " tail" * draw.randint(0, 5)) for i in range(25)]
+    sets = {i: shingles(t) for i, t in rows}
+    lists = {}
+    for r in minhash.prefixes(spark.createDataFrame(rows, "rep long, text string"), 5, 75).collect():
+        lists.setdefault(r.bucket, {})[r.rep] = r.indexed
+    met = set()
+    for of in lists.values():
+        for a in of:
+            met |= {(a, b) for b in of if of[a] and (len(sets[a]), a) < (len(sets[b]), b)}
+    for a in sets:
+        for b in sets:
+            if (len(sets[a]), a) < (len(sets[b]), b) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and sets[a] != sets[b]:
+                assert (a, b) in met
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

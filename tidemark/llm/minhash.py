@@ -16,9 +16,15 @@ is connectivity, so not all pairs of a bucket are looked at:
    components are compared by longer sketches (the low byte of each of 1,024
    signature values), and pairs with enough agreement are confirmed too.
 
-A bucket with more classes than BUCKET_ROWS is cut into tiles of about that
-size by a hash of the class, and each pair of tiles is a task of its own, so
-all its pairs are compared.
+In buckets of more than BUCKET_ROWS classes not all pairs are compared, however
+large a family of half-similar documents is: their classes are met again by
+prefix filtering, which loses no link.  Shingles are ordered from the rarest to
+the most frequent; two sets as similar as wanted have one in common among the
+first ``n - ceil(0.75 n) + 1`` of the larger and the first
+``n - ceil(1.5 n / 1.75) + 1`` of the smaller.  So only classes that share a
+rare shingle are compared, and what a large family has in common, which is
+frequent, brings nobody together.  A shingle with more than BUCKET_ROWS classes
+even so is cut into blocks of about that size, each a task of its own.
 """
 
 from __future__ import annotations
@@ -32,15 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reach_workers
-from .common import map_rows, materialise
+from .common import join_counted, map_arrays, map_rows, materialise
 from .components import connected_components
 from .rolling import mix, roll, word_hashes
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 75
 PERMUTATIONS, BANDS = 64, 32
-#: Classes of one tile of a bucket; a task compares one tile, or two with each other.
+#: Classes whose pairs one task compares: those of a bucket, or of a block.
 BUCKET_ROWS = 2_000
+#: Pairs with one class that are confirmed beside one copy of its text.
+PAIRS_AT_ONCE = 500
 #: Sketches hold two values of each of so many permutations.
 SKETCH_PERMUTATIONS = 512
 #: Agreeing sketch values, of the first 128 and of all 1,024, from which a pair is confirmed on full sets.  A similarity of 0.75 gives 96 and 768 on average; these are 6 and 5.2 deviations less.
@@ -88,44 +96,68 @@ def _sizes_fit(a: str, b: str, percent: int) -> str:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar; ``texts`` has ``rep`` and ``text``."""
-    full = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
+    """Those of ``pairs`` (a, b) whose sets are similar; ``texts`` has ``rep`` and ``text``.
 
-    def rows(a: list, text_a: list, b: list, text_b: list) -> Iterator[tuple]:
-        last, left = None, None
-        for i, t, j, u in zip(a, text_a, b, text_b, strict=True):
-            if last != (i, t):
-                last, left = (i, t), shingle_set(t, words)
-            if similar(left, shingle_set(u, words), percent):
-                yield i, j
+    The pairs of one ``a`` are cut into slots of about PAIRS_AT_ONCE; each slot
+    gets the text of ``a`` once, before the texts of its ``b``.
+    """
+    pairs = materialise(pairs, "pairs")
+    many = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("slots", F.ceil(F.col("n") / PAIRS_AT_ONCE))
+    slotted = join_counted(pairs, many, ["a"], pairs.count()).select("a", "b", F.pmod(F.xxhash64("b"), "slots").alias("slot"))
+    left = slotted.select("a", "slot").distinct().join(texts.withColumnRenamed("rep", "a"), "a").select("a", "slot", F.lit(None).cast("long").alias("b"), "text")
+    right = slotted.join(texts.withColumnRenamed("rep", "b"), "b").select("a", "slot", "b", "text")
+    dealt = left.unionByName(right).repartition("a", "slot").sortWithinPartitions("a", "slot", F.col("b").asc_nulls_first())
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    return map_rows(full, ["a", "text_a", "b", "text_b"], rows, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, sets = None, []
+        for batch in batches:
+            found = []
+            for at in range(0, batch.num_rows, 64):  # texts can be long
+                for a, slot, b, text in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    if b is None:
+                        sets = [*sets, shingle_set(text, words)] if place == (a, slot) else [shingle_set(text, words)]
+                        place = a, slot
+                    else:
+                        other = shingle_set(text, words)
+                        if any(similar(x, other, percent) for x in sets):
+                            found.append((a, b))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found, strict=True)], schema=schema)
+
+    reach_workers(pairs.sparkSession)
+    return dealt.mapInArrow(run, "a long, b long")
 
 
-def sketch_pairs(members: DataFrame) -> DataFrame:
-    """Pairs of different components whose sketches agree enough, each once.
+def sketch_pairs(members: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
+    """Pairs (a, b) of different components whose sketches agree enough.
 
-    ``members`` has ``bucket``, ``rep``, ``component``, ``sketch``, ``bands``,
-    ``outer``, the band hash that makes the bucket, and ``side``: 0 or 1 where
-    two tiles of a bucket meet, which are compared only with each other, else
-    -1.  A pair that shares several bands is looked at only in the bucket of
-    the first.
+    ``members`` has ``bucket``, ``rep``, ``n``, ``component``, ``sketch``,
+    ``bands``, ``outer``, ``side`` and ``indexed``.  Pairs are those of one
+    bucket whose sizes fit and of which the smaller by (n, rep) is
+    ``indexed``; where ``side`` is 0 or 1 and not -1, those of two sides.  Where
+    ``outer`` is set it is the band hash that makes the bucket, and a pair that
+    shares several bands is looked at only in the bucket of the first.
     """
     reach_workers(members.sparkSession)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def close(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-        reps, comps, hashes, sides = (np.array([r[k] for r in group], np.int64) for k in (1, 2, 4, 6))
-        sketches = np.frombuffer(b"".join(r[3] for r in group), np.uint8).reshape(len(group), -1)
-        outer = group[0][5]
+        group.sort(key=lambda r: (r[2], r[1]))
+        reps, sizes, comps, sides = (np.array([r[k] for r in group], np.int64) for k in (1, 2, 3, 7))
+        sketches = np.frombuffer(b"".join(r[4] for r in group), np.uint8).reshape(len(group), -1)
+        outer = group[0][6]
+        hashes = None if outer is None else np.array([r[5] for r in group], np.int64)
         for i in range(len(group) - 1):
-            meets = comps[i + 1 :] != comps[i]
+            if not group[i][8]:
+                continue
+            fits = (comps[i + 1 :] != comps[i]) & (100 * sizes[i] >= percent * sizes[i + 1 :])
             if sides[i] >= 0:
-                meets &= sides[i + 1 :] != sides[i]
-            others = np.flatnonzero(meets) + i + 1
-            common = hashes[others] == hashes[i]
-            here = hashes[i][common.argmax(1)] == outer
-            near = others[here]
+                fits &= sides[i + 1 :] != sides[i]
+            near = np.flatnonzero(fits) + i + 1
+            if outer is not None:
+                common = hashes[near] == hashes[i]
+                near = near[hashes[i][common.argmax(1)] == outer]
             near = near[(sketches[near, :128] == sketches[i, :128]).sum(1) >= FIRST_LEAST]
             near = near[(sketches[near] == sketches[i]).sum(1) >= SKETCH_LEAST]
             if len(near):
@@ -142,14 +174,54 @@ def sketch_pairs(members: DataFrame) -> DataFrame:
         if group:
             yield from close(group)
 
-    dealt = members.select("bucket", "rep", "component", "sketch", "bands", "outer", "side").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
+    dealt = members.select("bucket", "rep", "n", "component", "sketch", "bands", "outer", "side", "indexed").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
     return dealt.mapInArrow(run, "a long, b long")
 
 
 def _mixed_buckets(members: DataFrame) -> DataFrame:
-    """``bucket``, ``size`` of the buckets that hold several components."""
-    found = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    return found.filter("low < high").select("bucket", "size")
+    """``bucket``, ``n`` (rows) of the buckets that hold several components."""
+    found = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    return found.filter("low < high").select("bucket", "n")
+
+
+def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """``bucket`` (a shingle hash), ``rep`` and ``indexed``: the rarest shingles of every text that it shares with another.
+
+    A text of n shingles gives those among its first n - ceil(p n) + 1, rarest
+    first; ``indexed`` are those among the first n - ceil(2 p n / (1 + p)) + 1.
+    """
+
+    def shingles(reps: list, bodies: list) -> Iterator[tuple]:
+        sets = [shingle_set(t, words).view(np.int64) for t in bodies]
+        sizes = np.array([len(s) for s in sets])
+        yield np.repeat(np.array(reps), sizes), np.repeat(sizes, sizes), np.concatenate(sets)
+
+    each = materialise(map_arrays(texts, ["rep", "text"], shingles, "rep long, size long, bucket long"), "shingles")
+    count = materialise(each.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").withColumn("common", F.col("n")), "counts")
+    shared = join_counted(each, count, ["bucket"], each.count())  # a shingle of one text only is rarer than these and joins nothing
+    ranked = shared.groupBy("rep", "size").agg(F.array_sort(F.collect_list(F.struct("common", "bucket"))).alias("found"))
+    size, own = F.col("size"), F.col("size") - F.size("found")
+    probe = size - F.ceil(size * percent / 100) + 1 - own
+    index = size - F.ceil(size * (2 * percent) / (100 + percent)) + 1 - own
+    cut = ranked.select("rep", index.alias("index"), F.posexplode(F.slice("found", F.lit(1), F.greatest(probe, F.lit(0)).cast("int"))).alias("at", "x"))
+    return cut.select("x.bucket", "rep", (F.col("at") < F.col("index")).alias("indexed"))
+
+
+def meetings(lists: DataFrame, bucket_rows: int) -> DataFrame:
+    """``lists`` (bucket, rep, component, indexed) as blocks of about ``bucket_rows`` rows for ``sketch_pairs``.
+
+    In each block indexed rows (``side`` 0) meet rows of their bucket (1).
+    Buckets with nothing to compare go.
+    """
+    each = F.lit(max(1, bucket_rows // 2))
+    found = lists.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), F.count_if("indexed").alias("left"))
+    found = materialise(found.filter("low < high and left > 0").select("bucket", "n", F.ceil(F.col("left") / each).alias("lefts"), F.ceil(F.col("n") / each).alias("rights")), "lists")
+    cut = join_counted(lists, found, ["bucket"], lists.count())
+    own = lambda parts: F.pmod(F.xxhash64("rep"), parts)
+    every = lambda parts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+    left = cut.filter("indexed").withColumns({"l": own("lefts"), "side": F.lit(0)}).withColumn("r", every("rights"))
+    right = cut.withColumns({"r": own("rights"), "side": F.lit(1), "indexed": F.lit(False)}).withColumn("l", every("lefts"))
+    return left.unionByName(right).select(F.xxhash64("bucket", "l", "r").alias("bucket"), "rep", "component", "side", "indexed", F.lit(None).cast("long").alias("outer"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -159,6 +231,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least ``percent`` / 100.  Null, empty and blank texts have no shingles and
     are linked with nothing; neither are rows with a null id, whose component
     is null and which are kept.  Rows that share an id are one document.
+    Texts of any length count whole; an empty table gives no rows; other
+    columns are not read, whatever their names.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -180,11 +254,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = materialise(classes, "classes")
 
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    full = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("least"), F.max("rep").alias("high")).filter("least.rep < high").select("bucket", "least")
-    members = materialise(buckets.join(full, "bucket").select("bucket", "rep", "n", F.col("least.rep").alias("least"), F.col("least.n").alias("least_n")), "members")
+    full = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("least"), F.max("rep").alias("high"), F.count("*").alias("rows")).filter("least.rep < high")
+    full = materialise(full.select("bucket", "least", F.col("rows").alias("n")), "buckets")
+    buckets = buckets.withColumnRenamed("n", "size")
+    members = join_counted(buckets, full, ["bucket"], BANDS * classes.count())
+    members = materialise(members.select("bucket", "rep", "size", F.col("least.rep").alias("least"), F.col("least.n").alias("least_n")), "members")
     texts = materialise(base.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi"), "texts")
 
-    stars = members.filter("rep <> least").filter(_sizes_fit("n", "least_n", percent)).select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
+    stars = members.filter("rep <> least").filter(_sizes_fit("size", "least_n", percent)).select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
     links = materialise(confirm(stars, texts, words, percent), "links")
     component = connected_components(links)
 
@@ -192,16 +269,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return rows.join(of.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
     open_members = placed(members.select("bucket", "rep"), component)
-    open_members = materialise(open_members.join(_mixed_buckets(open_members), "bucket"), "open")
-    large = open_members.filter(F.col("size") > bucket_rows).select(F.col("bucket").alias("outer"), "rep", "component", F.ceil(F.col("size") / bucket_rows).alias("tiles"))
-    again = large.withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    again = again.withColumn("bucket", F.xxhash64("outer", F.least("tile", "other"), F.greatest("tile", "other")))
-    again = again.withColumn("side", F.when(F.col("tile") == F.col("other"), -1).otherwise((F.col("tile") > F.col("other")).cast("int")))
-    again = again.join(_mixed_buckets(again), "bucket").select("bucket", "rep", "component", "outer", "side")
-    small = open_members.filter(F.col("size") <= bucket_rows).select("bucket", "rep", "component", F.col("bucket").alias("outer"), F.lit(-1).alias("side"))
+    open_members = materialise(join_counted(open_members, _mixed_buckets(open_members).withColumn("many", F.col("n")), ["bucket"], members.count()), "open")
     sketches = map_rows(texts.join(open_members.select("rep").distinct(), "rep", "left_semi"), ["rep", "text"], sketch, "rep long, sketch binary")
-    sketches = sketches.join(classes.select("rep", "bands"), "rep").dropDuplicates(["rep"])
-    near = sketch_pairs(small.unionByName(again).join(sketches, "rep"))
+    sketches = sketches.join(classes.select("rep", "n", "bands"), "rep").dropDuplicates(["rep"])
+    small = open_members.filter(F.col("many") <= bucket_rows).select("bucket", "rep", "component", F.col("bucket").alias("outer"), F.lit(-1).alias("side"), F.lit(True).alias("indexed"))
+    near = sketch_pairs(small.join(sketches, "rep"), percent)
+
+    large = open_members.filter(F.col("many") > bucket_rows).select("rep", "component").distinct()
+    if not large.isEmpty():
+        met = materialise(prefixes(texts.join(large.select("rep"), "rep", "left_semi").dropDuplicates(["rep"]), words, percent).join(large, "rep"), "prefixes")
+        near = near.unionByName(sketch_pairs(meetings(met, bucket_rows).join(sketches, "rep"), percent)).distinct()
     near = near.join(stars, ["a", "b"], "left_anti")
     more = materialise(confirm(near, texts, words, percent), "links")
     if not more.isEmpty():
