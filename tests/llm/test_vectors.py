@@ -39,6 +39,24 @@ def test_recall_and_scores(spark, monkeypatch, block):
     assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
 
 
+def test_large_leaves_grow_subtrees(spark, monkeypatch):
+    for name, value in {"FIT_ROWS": 200, "LEAF_ROWS": 30, "SPLIT_ROWS": 120, "BLOCK_ROWS": 100}.items():
+        monkeypatch.setattr(kmtree, name, value)
+    draw = np.random.default_rng(2)
+    centres = draw.normal(size=(12, 8)) * 6
+    rows = [(i, [float(np.float32(x)) for x in centres[draw.integers(12) if i % 3 else 0] + draw.normal(size=8)]) for i in range(5000)]
+    rows += [(i, [0.5] * 8) for i in range(5000, 6500)]
+    split = []
+    grow = kmtree._split
+    monkeypatch.setattr(kmtree, "_split", lambda index, level: (split.append(grow(index, level)), split[-1])[1])
+    got, want = search(spark, rows, every=50), brute(rows, 10, 50)
+    assert got.keys() == want.keys() and all(len(f) == 10 for f in got.values())
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
+    assert [v for v, _ in got[6000]] == list(range(5000, 5010)) and [v for v, _ in got[5000]] == list(range(5001, 5011))
+    assert len(split) > 1 and split[0][1] is not None
+    assert max(r["count"] for r in split[-1][0].groupBy("leaf").count().collect()) <= 120
+
+
 def test_ties_and_copies_go_to_smaller_ids(spark, monkeypatch):
     monkeypatch.setattr(kmtree, "BLOCK_ROWS", 50)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(0, 900, 3)] + [(i, v) for i, v in vectors(200, 3) if i % 3]
