@@ -39,6 +39,32 @@ def test_base_measures(text):
     assert repetition.measure(text)[:6] == base_measures(text)
 
 
+def verdict(text):
+    """Shares of word characters in repeated n-grams and lines, and the verdict, counted with sets."""
+    words = (text or "").encode().split()
+    chars = sum(len(w.decode()) for w in words)
+    shares = {}
+    for n in repetition.MAX_NGRAM_SHARE:
+        seen = Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        inside = {i + j for i in range(len(words) - n + 1) if seen[tuple(words[i : i + n])] > 1 for j in range(n)}
+        shares[n] = sum(len(words[i].decode()) for i in inside) / chars if chars else 0.0
+    lines, dup = set(), 0
+    for line in (text or "").split("\n"):
+        dup += sum(len(w.decode()) for w in line.encode().split()) if line in lines else 0
+        lines.add(line)
+    line_share = dup / chars if chars else 0.0
+    high = any(shares[n] > m for n, m in repetition.MAX_NGRAM_SHARE.items()) or line_share > repetition.MAX_LINE_SHARE
+    return not base_measures(text)[5] and not high, line_share
+
+
+@given(st.lists(st.sampled_from(["ab", "cde", "f", "g\n", "ab cde f g\n", "é h", "x y z w v "]), max_size=80).map(" ".join))
+@settings(max_examples=300, deadline=None)
+def test_verdicts(text):
+    got = repetition.measure(text)
+    kept, line_share = verdict(text)
+    assert bool(got[6]) == kept and abs(got[8] - line_share) < 1e-9
+
+
 def test_repetition_on_odd_documents(spark):
     got = repetition.repetition_quality(documents(spark)).collect()
     want = sorted((repr(i), *base_measures(t)) for i, t in odd_documents())
@@ -79,6 +105,35 @@ def test_ids_and_counts_are_the_librarys(text):
     assert ranksync.load(BYTE).count([text, text + " x"])[0] == len(ids)
 
 
+def unbroken(n):
+    draw = np.random.default_rng(n)
+    return ["".join(map(chr, draw.integers(97, 123, n))), "a" * n, "".join(map(chr, draw.integers(0x4E00, 0x4F00, n // 3))), "the" * (n // 3), "x1" * (n // 2)]
+
+
+@pytest.mark.parametrize("n", [200, 256, 300, 5000, 120_000])
+def test_long_texts_without_a_space(n):
+    want, coder, counter = byte_library(), bpe.load(BYTE), ranksync.load(BYTE)
+    for text in unbroken(n):
+        ids = want.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == ids
+        assert counter.count([text, "b " + text]) == [len(ids), len(want.encode("b " + text, add_special_tokens=False).ids)]
+    assert max(map(len, coder.pieces)) <= 64 and max(map(len, counter.pieces)) <= 64
+
+
+@given(st.text(alphabet="abn'1 é", min_size=1, max_size=400))
+@settings(max_examples=200, deadline=None)
+def test_merging_alone_is_merging_together(word):
+    counter = ranksync.load(BYTE)
+    assert counter._alone(word.encode()) == counter._together([word.encode(), b"x"])[0]
+
+
+def test_unbroken_texts_pack_whole(library):
+    words = packing.WordIds(WORD)
+    for text in unbroken(3000):
+        assert np.frombuffer(words.encode([text + " and " + text])[0], "<u4").tolist() == library[1].encode(text + " and " + text, add_special_tokens=False).ids
+    assert max(map(len, words.words)) <= 64
+
+
 def test_stale_queue_entries_and_caches_do_not_matter():
     coder = bpe.ByteBPE(BYTE)
     coder.pieces.limit = 1

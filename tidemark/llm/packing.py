@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reach_workers
-from .common import Cache, map_rows, materialise
+from .common import LONGEST_KEPT, Cache, map_rows, materialise
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SCHEMA = PIECES + ", sequence_id long, offset long"
@@ -60,12 +60,13 @@ class WordIds:
         new = set().union(*split).difference(known)
         for w in new & old.keys():
             known[w] = old[w]
-        new = list(new - old.keys())
+        new, long = list(new - old.keys()), {}
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+                (known if len(w) <= LONGEST_KEPT else long)[w] = np.array(e.ids, "<u4").tobytes()
+        found = (lambda w: long[w] if w in long else known[w]) if long else known.__getitem__
+        return [b"".join(map(found, ws)) for ws in split]
 
 
 @cache

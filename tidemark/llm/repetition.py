@@ -116,7 +116,8 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Null and empty texts have no words: all counts are 0, ``base_failed`` is
     true and ``kept`` false.  Repeated rows are judged alike, one row each.  A
-    null id stays null.  Other columns of ``docs`` are not read.
+    null id stays null.  Texts of any length are measured whole; an empty table
+    gives no rows.  Other columns of ``docs`` are not read.
     """
 
     def rows(ids: list, texts: list) -> Iterator[tuple]:
@@ -127,7 +128,7 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_varied(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``repetition_quality`` keeps, judged in place without a join."""
+    """The rows of ``docs`` that ``repetition_quality`` keeps, all columns with them, judged in place without a join."""
     reach_workers(docs.sparkSession)
 
     @F.pandas_udf("boolean")
