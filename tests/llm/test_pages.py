@@ -1,5 +1,6 @@
 """Main text and URL verdicts."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -106,29 +107,55 @@ def test_rules_hosts_and_paths(spark):
 def test_model_matches_plain_python(spark):
     urls = [f"http://{h}.{d}/{c}/{n}" for n in (7, 71, 8, 12) for h in ("ab", "cd", "spam-x") for d in ("example.com", "example.net", "other.org") for c in ("en", "de", "fr")]
     got = urlmodel.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()
-    a = urlmodel.ALPHABET
+    a, weight = urlmodel.ALPHABET, urlmodel.BACK_OFF
+    held = {u for u in urls if int(hashlib.md5(u.encode()).hexdigest()[:8], 16) % urlmodel.HELD_OUT == 0}
 
-    def grams(url):
-        host, path, *_ = rule_of(url)
-        s = "^^" + "".join("0" if c in "123456789" else c if c in a[3:] else "~" for c in host + path) + "$"
-        return [s[i : i + 3] for i in range(len(s) - 2)]
+    def text(url):
+        return "^" + "".join(c if c in a[3:] else "~" for c in "".join(rule_of(url)[:2])) + "$"
 
     counts = {"allow": Counter(), "block": Counter()}
     for u in urls:
-        if rule_of(u)[3]:
-            counts[rule_of(u)[3]].update(grams(u))
-
-    def log_p(side, g):
-        c, k = counts[side], urlmodel.BACK_OFF
-        n = lambda test: sum(v for x, v in c.items() if test(x))
-        p = (n(lambda x: x[2] == g[2]) + k / len(a)) / (sum(c.values()) + k)
-        p = (n(lambda x: x[1:] == g[1:]) + k * p) / (n(lambda x: x[1] == g[1]) + k)
-        return math.log((c[g] + k * p) / (n(lambda x: x[:2] == g[:2]) + k))
-
-    ratio = {g: round(1000 * (log_p("allow", g) - log_p("block", g))) for u in urls for g in grams(u)}
-    score = [math.floor(sum(ratio[g] for g in grams(u)) * 1000 / len(grams(u))) for u in urls]
-    mean = {v: sum(s for u, s in zip(urls, score, strict=True) if rule_of(u)[3] == v) / sum(rule_of(u)[3] == v for u in urls) for v in counts}
+        if rule_of(u)[3] and u not in held:
+            t = text(u)
+            counts[rule_of(u)[3]].update(t[i - k : i + 1] for i in range(1, len(t)) for k in range(min(i, urlmodel.DEPTH) + 1))
+    followed = {v: Counter() for v in counts}
+    for v, c in counts.items():
+        for g, n in c.items():
+            followed[v][g[:-1]] += n
+    total = sum(followed[v][""] for v in counts)
+    known = {c for v in counts for c in followed[v] if sum(followed[x][c] for x in counts) * urlmodel.CONTEXTS >= total}
+    assert {len(c) for c in known} == set(range(urlmodel.DEPTH + 1))
+
+    def likelihood(side, context, symbol):
+        lower = likelihood(side, context[1:], symbol) if context else 1 / len(a)
+        return (counts[side][context + symbol] + weight * lower) / (followed[side][context] + weight)
+
+    def score(url):
+        t, out = text(url), 0
+        for i in range(1, len(t)):
+            context = next(t[i - k : i] for k in range(min(i, urlmodel.DEPTH), -1, -1) if t[i - k : i] in known)
+            out += round(1000 * (math.log(likelihood("allow", context, t[i])) - math.log(likelihood("block", context, t[i]))))
+        return math.floor(out * 1000 / (len(t) - 1))
+
+    scores = {u: score(u) for u in urls}
+    mean = {v: sum(scores[u] for u in held if rule_of(u)[3] == v) / sum(rule_of(u)[3] == v for u in held) for v in counts}
     for r in got:
-        assert r.score == score[r.page_id]
-        assert r.verdict == (rule_of(urls[r.page_id])[3] or ("allow" if r.score >= sum(mean.values()) / 2 else "block"))
+        url = urls[r.page_id]
+        assert r.score == scores[url]
+        assert r.verdict == (rule_of(url)[3] or ("allow" if r.score >= sum(mean.values()) / 2 else "block"))
     assert {r.verdict for r in got if r.rule is None} == {"allow", "block"}
+
+
+def test_rare_contexts_are_shortened(spark, monkeypatch):
+    monkeypatch.setattr(urlmodel, "CONTEXTS", 8)
+    counts = [("aab", 9, 9), ("ab", 9, 9), ("b", 9, 9), ("a", 9, 9), ("c", 1, 0), ("bc", 1, 0), ("abc", 1, 0)]
+    cells, start = urlmodel.automaton(spark.createDataFrame(counts, "gram string, good long, bad long"))
+    states = ["", "a", "aa"]  # "b" and "ab" are followed once in 37 symbols
+    assert len(cells) == len(states) * urlmodel.SIZE and start == 0
+    at = lambda s, x: cells[s * urlmodel.SIZE + urlmodel.ALPHABET.index(x)] % 8192
+    assert (at(0, "a"), at(1, "a"), at(2, "a"), at(2, "b"), at(1, "c")) == (1, 2, 2, 0, 0)
+
+
+def test_one_sided_rules_allow_the_rest(spark):
+    df = spark.createDataFrame([(1, "http://x.org/es/1"), (2, "http://x.org/de/1"), (3, None)], "page_id long, url string")
+    assert {(r.page_id, r.verdict, r.score) for r in urlmodel.judge_urls(df).collect()} == {(1, "block", None), (2, "allow", None), (3, "allow", None)}

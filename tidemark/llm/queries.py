@@ -105,32 +105,32 @@ SELECT doc_id, coalesce(n, 0) AS n_words, coalesce(g, 0) AS n_removed, sha256(co
 
 
 def _urls() -> str:
-    from .urlmodel import ALPHABET, BACK_OFF, RULES, SIZE
+    from .urlmodel import ALPHABET, BACK_OFF, CONTEXTS, DEPTH, HELD_OUT, RULES, SIZE
 
     by_length = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
-    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN {{{v}}}".replace(f"{{{v}}}", f"['{v}', '{h}{p}']") for v, h, p in by_length)
-    at = lambda k: f"(instr('{ALPHABET}', substr(t, i + {k}, 1)) - 1)"
-
-    def likelihood(side: str) -> str:
-        p = f"(({side}_c + {BACK_OFF} * {1.0 / SIZE!r}) / ({side}_n + {BACK_OFF}))"
-        p = f"(({side}_bc + {BACK_OFF} * {p}) / ({side}_b + {BACK_OFF}))"
-        return f"(({side} + {BACK_OFF} * {p}) / ({side}_ab + {BACK_OFF}))"
-
-    keys = {"ab": f"code // {SIZE}", "bc": f"code % {SIZE * SIZE}", "b": f"(code // {SIZE}) % {SIZE}", "c": f"code % {SIZE}"}
-    sums = ", ".join(f"sum({side}) OVER (PARTITION BY {expr})::DOUBLE AS {side}_{k}" for side in ("good", "bad") for k, expr in keys.items())
-    return f"""WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
-f AS (SELECT *, CASE {fits} END AS fit, '^^' || regexp_replace(translate(translate(host || path, '{_UPPER}', '{_LOWER}'), '123456789', '000000000'), '[^a-z0/.\\-_]', '~', 'g') || '$' AS t FROM h),
-c AS (SELECT *, list_transform(range(1, length(t) - 1), lambda i: ({at(0)} * {SIZE} + {at(1)}) * {SIZE} + {at(2)}) AS codes FROM f),
-u AS (SELECT fit[1] AS verdict, unnest(codes) AS code FROM c WHERE fit IS NOT NULL),
-n AS (SELECT code, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM u GROUP BY code),
-g AS (SELECT r.code, coalesce(good, 0)::DOUBLE AS good, coalesce(bad, 0)::DOUBLE AS bad FROM range({SIZE**3}) r(code) LEFT JOIN n ON n.code = r.code),
-m AS (SELECT code, good, bad, {sums}, sum(good) OVER () AS good_n, sum(bad) OVER () AS bad_n FROM g),
-q AS (SELECT code, CAST(round(1000 * (ln({likelihood("good")}) - ln({likelihood("bad")}))) AS BIGINT) AS ratio FROM m),
-x AS (SELECT page_id, unnest(codes) AS code FROM c), y AS (SELECT page_id, CAST(floor(sum(ratio) * 1000.0::DOUBLE / count(*)) AS BIGINT) AS score FROM x JOIN q USING (code) GROUP BY page_id),
-z AS (SELECT c.*, y.score FROM c JOIN y USING (page_id)),
-k AS (SELECT avg_a, avg_b FROM (SELECT (sum(score) FILTER (fit[1] = 'allow'))::DOUBLE / count(*) FILTER (fit[1] = 'allow') AS avg_a, (sum(score) FILTER (fit[1] = 'block'))::DOUBLE / count(*) FILTER (fit[1] = 'block') AS avg_b FROM z))
-SELECT page_id, host, path, fit[2] AS rule, coalesce(fit[1], CASE WHEN avg_a IS NULL OR avg_b IS NULL OR score >= (avg_a + avg_b) / 2 THEN 'allow' ELSE 'block' END) AS verdict, score FROM z, k"""
+    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN ['{v}', '{h}{p}']" for v, h, p in by_length)
+
+    def likelihood(side: str, lower: str) -> str:
+        return f"(({side}::DOUBLE + {BACK_OFF} * {lower}) / ({side}_n::DOUBLE + {BACK_OFF}))"
+
+    levels = [f"l0 AS (SELECT c, s, {likelihood('good', repr(1.0 / SIZE))} AS pg, {likelihood('bad', repr(1.0 / SIZE))} AS pb FROM z WHERE c = '')"]
+    levels += [f"l{k} AS (SELECT z.c, z.s, {likelihood('good', 'q.pg')} AS pg, {likelihood('bad', 'q.pb')} AS pb FROM z JOIN l{k - 1} q ON q.c = substr(z.c, 2) AND q.s = z.s WHERE length(z.c) = {k})" for k in range(1, DEPTH + 1)]
+    every = " UNION ALL ".join(f"SELECT c, s, CAST(round(1000 * (ln(pg) - ln(pb))) AS BIGINT) AS ratio FROM l{k}" for k in range(DEPTH + 1))
+    joins = " ".join(f"LEFT JOIN k k{k} ON x.i > {k} AND k{k}.c = substr(x.t, x.i - {k}, {k})" for k in range(DEPTH + 1))
+    longest = ", ".join(f"k{k}.c" for k in range(DEPTH, -1, -1))
+    mean = lambda v: f"coalesce((sum(score) FILTER (fit[1] = '{v}' AND held))::DOUBLE / nullif(count(*) FILTER (fit[1] = '{v}' AND held), 0), (sum(score) FILTER (fit[1] = '{v}'))::DOUBLE / nullif(count(*) FILTER (fit[1] = '{v}'), 0))"
+    return f"""WITH p AS (SELECT page_id, CAST('0x' || substr(md5(coalesce(url, '')), 1, 8) AS BIGINT) % {HELD_OUT} = 0 AS held, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, held, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+f AS (SELECT *, CASE {fits} END AS fit, '^' || regexp_replace(translate(host || path, '{_UPPER}', '{_LOWER}'), '[^a-z0-9/.\\-_]', '~', 'g') || '$' AS t FROM h),
+u AS (SELECT fit[1] AS verdict, t, unnest(range(2, length(t) + 1)) AS i FROM f WHERE fit IS NOT NULL AND NOT held),
+n AS (SELECT substr(t, i - o, o) AS c, substr(t, i, 1) AS s, count(*) FILTER (verdict = 'allow') AS good, count(*) FILTER (verdict = 'block') AS bad FROM u, range({DEPTH + 1}) r(o) WHERE i > o GROUP BY ALL),
+k AS (SELECT c, sum(good) AS good_n, sum(bad) AS bad_n FROM (SELECT c, good, bad FROM n UNION ALL SELECT '', 0, 0) GROUP BY c HAVING (sum(good) + sum(bad)) * {CONTEXTS} >= coalesce((SELECT sum(good + bad) FROM n WHERE c = ''), 0)),
+a AS (SELECT unnest(string_split('{ALPHABET}', '')) AS s), z AS (SELECT k.c, a.s, good_n, bad_n, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad FROM k CROSS JOIN a LEFT JOIN n ON n.c = k.c AND n.s = a.s),
+{", ".join(levels)}, q AS ({every}),
+x AS (SELECT page_id, t, unnest(range(2, length(t) + 1)) AS i FROM f), m AS (SELECT page_id, coalesce({longest}) AS c, substr(x.t, x.i, 1) AS s FROM x {joins}),
+y AS (SELECT page_id, CAST(floor(sum(ratio) * 1000.0::DOUBLE / count(*)) AS BIGINT) AS score FROM m JOIN q USING (c, s) GROUP BY page_id),
+w AS (SELECT f.*, y.score FROM f JOIN y USING (page_id)), e AS (SELECT {mean("allow")} AS ma, {mean("block")} AS mb FROM w)
+SELECT page_id, host, path, fit[2] AS rule, coalesce(fit[1], CASE WHEN ma IS NULL OR mb IS NULL OR score >= (ma + mb) / 2 THEN 'allow' ELSE 'block' END) AS verdict, CASE WHEN ma IS NOT NULL AND mb IS NOT NULL THEN score END AS score FROM w, e"""
 
 
 ORACLE_SQL: dict[str, str] = {"op4_minhash": _GROUPS, "op8_urls": _urls(), "op10_substrings": _SPANS}

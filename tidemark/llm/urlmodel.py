@@ -1,19 +1,27 @@
 """URL filter: rules, and a character language-model ratio where no rule fits.
 
-Two variable-order Markov models (orders 2, 1, 0, each smoothed with the next
-lower one) are counted from the URLs that the rules accept and reject.  A URL
-that no rule fits is judged by the difference of its log-likelihoods under the
-two, divided by its length, against a threshold half-way between the mean
-scores of the accepted and the rejected URLs.  DataFrame functions only.
-
-Log ratios are kept in whole thousandths, so sums do not depend on order.
+Two variable-order Markov models are counted from the URLs that the rules accept
+and reject.  The order of a context is chosen by count: up to DEPTH symbols, as
+long as one symbol in CONTEXTS follows it, so frequent starts get long contexts
+and rare ones short ones.  Each context's counts are smoothed with those of the
+next shorter one.  A URL that no rule fits is judged by the difference of its
+log-likelihoods under the two, divided by its length.  The threshold is
+calibrated on rule URLs that the models were not counted from (one in HELD_OUT,
+by hash): half-way between the mean scores of the accepted and the rejected.
+DataFrame functions only.
+
+Scoring walks an automaton whose states are the contexts: one look-up a symbol
+gives the log ratio and the next state.  Log ratios are kept in whole
+thousandths, so sums do not depend on order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 #: Fixed values: (verdict, host, path start).
 RULES = (
     ("block", "com", "/en/"),
@@ -23,11 +31,17 @@ RULES = (
     ("block", "org", "/es/"),
 )
 
-#: The models' symbols.  Digits count as 0, anything not listed as ~.
-ALPHABET = "^$~abcdefghijklmnopqrstuvwxyz0/.-_"
-#: Weight of the lower order in the smoothing.
-BACK_OFF = 4.0
+#: The models' symbols; anything not listed counts as ~.
+ALPHABET = "^$~abcdefghijklmnopqrstuvwxyz0123456789/.-_"
 SIZE = len(ALPHABET)
+#: Longest context, and the share of all symbols that a context must be followed by: of each length there are CONTEXTS at most.
+DEPTH, CONTEXTS = 4, 1_000
+#: Weight of the shorter context in the smoothing.
+BACK_OFF = 4.0
+#: One rule URL in so many is kept for calibration.
+HELD_OUT = 5
+#: States take the low bits of a cell; more than DEPTH * CONTEXTS + 1.
+_STATES = 8_192
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,39 +64,64 @@ def fitting_rule(host: Column, path: Column, rules: tuple = RULES) -> Column:
 
 
 def symbols(host: Column, path: Column) -> Column:
-    """The modelled string: host and path in the models' symbols, two start marks and an end mark."""
-    plain = F.translate(F.translate(F.concat(host, path), UPPER, LOWER), "123456789", "000000000")
-    return F.concat(F.lit("^^"), F.regexp_replace(plain, r"(?s)[^a-z0/.\-_]", "~"), F.lit("$"))
+    """The modelled string: host and path in the models' symbols between a start and an end mark."""
+    plain = F.translate(F.concat(host, path), UPPER, LOWER)
+    return F.concat(F.lit("^"), F.regexp_replace(plain, r"(?s)[^a-z0-9/.\-_]", "~"), F.lit("$"))
 
 
-def codes(text: str) -> Column:
-    """The codes of all symbol triples of column ``text``."""
-    at = f"transform(split({text}, ''), c -> instr('{ALPHABET}', c) - 1)"
-    return F.expr(f"transform(array({at}), x -> transform(sequence(0, size(x) - 3), i -> (x[i] * {SIZE} + x[i + 1]) * {SIZE} + x[i + 2]))[0]")
+def held_out(url: Column) -> Column:
+    return F.conv(F.substring(F.md5(F.coalesce(url, F.lit(""))), 1, 8), 16, 10).cast("long") % HELD_OUT == 0
 
 
-def log_ratio(counts: DataFrame) -> DataFrame:
-    """``code``, ``ratio`` for all SIZE ** 3 triples from counts (``code``, ``good``, ``bad``)."""
-    grid = counts.sparkSession.range(SIZE**3).withColumnRenamed("id", "code")
-    t = grid.join(counts, "code", "left").na.fill(0, ["good", "bad"])
-    t = t.withColumns({"ab": F.expr(f"code div {SIZE}"), "bc": F.expr(f"code % {SIZE * SIZE}"), "b": F.expr(f"(code div {SIZE}) % {SIZE}"), "c": F.expr(f"code % {SIZE}")})
+def grams(text: str) -> Column:
+    """Every symbol after the start mark with each of its contexts of up to DEPTH symbols before it."""
+    return F.expr(f"flatten(transform(sequence(2, length({text})), i -> transform(sequence(0, least({DEPTH}, i - 1)), k -> substring({text}, i - k, k + 1))))")
 
-    def total(key: str) -> DataFrame:
-        return t.groupBy(key).agg(F.sum("good").alias(f"good_{key}"), F.sum("bad").alias(f"bad_{key}"))
 
-    n = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
-    for key in ("ab", "bc", "b", "c"):
-        t = t.join(total(key), key)
-    t = t.withColumns({"good_n": F.lit(n.good or 0), "bad_n": F.lit(n.bad or 0)})
+def automaton(counts: DataFrame) -> tuple[list[int], int]:
+    """The cells of all states and symbols, ratio * _STATES + next state, and the start state, from counts (``gram``, ``good``, ``bad``).
 
-    def likelihood(side: str) -> Column:
-        col = lambda k: F.col(f"{side}_{k}").cast("double")
-        p = F.lit(1.0 / SIZE)
-        p = (col("c") + BACK_OFF * p) / (col("n") + BACK_OFF)
-        p = (col("bc") + BACK_OFF * p) / (col("b") + BACK_OFF)
-        return (F.col(side).cast("double") + BACK_OFF * p) / (col("ab") + BACK_OFF)
-
-    return t.select("code", F.round(1000 * (F.log(likelihood("good")) - F.log(likelihood("bad")))).cast("long").alias("ratio"))
+    There are at most DEPTH * CONTEXTS + 1 states, whatever the input is.
+    """
+    spark = counts.sparkSession
+    split = counts.select(F.expr("left(gram, length(gram) - 1)").alias("context"), F.expr("right(gram, 1)").alias("symbol"), "good", "bad")
+    empty = spark.range(1).select(F.lit("").alias("context"), F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("bad"))
+    total = split.filter("context = ''").agg(F.coalesce(F.sum(F.col("good") + F.col("bad")), F.lit(0))).first()[0]
+    found = split.select("context", "good", "bad").unionByName(empty).groupBy("context").agg(F.sum("good").alias("good_n"), F.sum("bad").alias("bad_n"))
+    found = found.filter((F.col("good_n") + F.col("bad_n")) * CONTEXTS >= total)
+    states = materialise(found.withColumn("state", F.row_number().over(Window.orderBy(F.length("context"), "context")) - 1), "states")
+    cells = states.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SIZE - 1)))).withColumn("symbol", F.substring(F.lit(ALPHABET), F.col("at") + 1, F.lit(1)))
+    cells = materialise(cells.join(split, ["context", "symbol"], "left").na.fill(0, ["good", "bad"]), "cells")
+
+    def likelihood(side: str, lower: Column) -> Column:
+        return (F.col(side).cast("double") + BACK_OFF * lower) / (F.col(f"{side}_n").cast("double") + BACK_OFF)
+
+    of = lambda k: cells.filter(F.length("context") == k)
+    levels = [of(0).withColumns({f"{x}_p": likelihood(x, F.lit(1.0 / SIZE)) for x in ("good", "bad")})]
+    for k in range(1, DEPTH + 1):
+        lower = levels[-1].select(F.col("context").alias("rest"), "symbol", F.col("good_p").alias("good_q"), F.col("bad_p").alias("bad_q"))
+        level = of(k).withColumn("rest", F.expr("substring(context, 2)")).join(lower, ["rest", "symbol"])
+        levels.append(level.withColumns({f"{x}_p": likelihood(x, F.col(f"{x}_q")) for x in ("good", "bad")}).drop("rest", "good_q", "bad_q"))
+    ratio = F.round(1000 * (F.log("good_p") - F.log("bad_p"))).cast("long")
+    out = levels[0].select("state", "at", "context", "symbol", ratio.alias("ratio"))
+    for level in levels[1:]:
+        out = out.unionByName(level.select("state", "at", "context", "symbol", ratio.alias("ratio")))
+    follows = F.concat("context", "symbol")
+    for k in range(DEPTH + 1):
+        there = states.filter(F.length("context") == k).select(F.col("context").alias(f"c{k}"), F.col("state").alias(f"s{k}"))
+        out = out.join(F.broadcast(there), (F.length(follows) >= k) & (F.expr(f"right(concat(context, symbol), {k})") == F.col(f"c{k}")), "left")
+    out = out.select("state", "at", (F.col("ratio") * _STATES + F.coalesce(*[F.col(f"s{k}") for k in range(DEPTH, -1, -1)])).alias("cell"))
+    start = {r.context: r.state for r in states.filter("context in ('', '^')").collect()}
+    return [r.cell for r in out.orderBy("state", "at").collect()], start.get("^", start[""])
+
+
+def total_ratio(text: str, cells: list[int], start: int) -> Column:
+    """The sum of the log ratios of all symbols of column ``text``, in thousandths."""
+    table = F.split(F.lit(",".join(map(str, cells))), ",").cast("array<long>")
+    codes = F.expr(f"transform(split(substring({text}, 2), ''), c -> instr('{ALPHABET}', c) - 1)")
+    low = lambda x: x.bitwiseAND(F.lit(_STATES - 1).cast("long"))
+    walked = F.aggregate(codes, F.lit(start).cast("long"), lambda acc, x: acc - low(acc) + F.get(table, (low(acc) * SIZE + x).cast("int")))
+    return F.shiftright(walked, _STATES.bit_length() - 1)
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple = RULES) -> DataFrame:
@@ -90,30 +129,33 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Null URLs and URLs without ``://`` have an empty host and path, fit no
     rule and are judged by the models as the empty string.  Where the rules
-    accept no URL, or reject none, there is nothing to compare and URLs
-    without a rule are allowed.  Equal URLs get equal verdicts.
-
-    The model table has SIZE ** 3 rows whatever the input is, so it is taken
-    to the driver and sent out as a constant; counting it combines before the
+    accept no URL, or reject none, there is nothing to compare: URLs without a
+    rule are allowed and ``score`` is null.  Where one side has no held-out
+    URL, all of its URLs calibrate it.  Equal URLs get equal verdicts; URLs of
+    any length are judged whole; an empty table gives no rows; other columns
+    are not read.
+
+    The models' table is of bounded size whatever the input is, so it is taken
+    to the driver and sent out as a constant; counting combines before the
     shuffle, and no other step shuffles.
     """
-    spark = pages.sparkSession
     host, path = host_and_path("url")
-    judged = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url")).select("page_id", host.alias("host"), path.alias("path"))
-    judged = judged.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
-    judged = judged.withColumn("text", symbols(F.col("host"), F.col("path"))).withColumn("codes", codes("text")).drop("text")
+    judged = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url")).select("page_id", host.alias("host"), path.alias("path"), held_out(F.col("url")).alias("held"))
+    judged = judged.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("text", symbols(F.col("host"), F.col("path")))
 
     good = F.col("verdict") == "allow"
-    taught = judged.filter("fit is not null").select("fit.verdict", F.explode("codes").alias("code"))
-    counts = taught.groupBy("code").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
-    ratios = [str(r.ratio) for r in log_ratio(counts).orderBy("code").collect()]  # SIZE ** 3 rows
-
-    table = F.split(F.lit(",".join(ratios)), ",").cast("array<int>")
-    total = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, k: acc + F.get(table, k))
-    scored = judged.withColumn("score", F.floor(total * 1000.0 / F.size("codes"))).drop("codes")
-    n = scored.filter("fit is not null").select("fit.verdict", "score").groupBy("verdict").agg(F.sum("score").alias("total"), F.count("*").alias("n"))
-    means = {r.verdict: r.total / r.n for r in n.collect()}  # two rows
-    model = F.lit("allow")
-    if len(means) == 2:
-        model = F.when(F.col("score") >= (means["allow"] + means["block"]) / 2, "allow").otherwise("block")
-    return scored.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), model).alias("verdict"), "score")
+    taught = judged.filter("fit is not null and not held").select("fit.verdict", F.explode(grams("text")).alias("gram"))
+    counts = materialise(taught.groupBy("gram").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad")), "grams")
+    scored = judged.withColumn("score", F.floor(total_ratio("text", *automaton(counts)) * 1000.0 / (F.length("text") - 1)))
+    threshold = calibrated(scored)
+    model, score = F.lit("allow"), F.lit(None).cast("long")
+    if threshold is not None:
+        model, score = F.when(F.col("score") >= threshold, "allow").otherwise("block"), F.col("score")
+    return scored.select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.coalesce(F.col("fit.verdict"), model).alias("verdict"), score.alias("score"))
+
+
+def calibrated(scored: DataFrame) -> float | None:
+    """The threshold half-way between the mean scores of accepted and rejected held-out rule URLs; none if a side has no URL."""
+    sums = scored.filter("fit is not null").groupBy("fit.verdict").agg(F.sum("score").alias("total"), F.count("*").alias("n"), F.sum(F.when(F.col("held"), F.col("score"))).alias("held_total"), F.count_if("held").alias("held_n"))
+    means = {r.verdict: r.held_total / r.held_n if r.held_n else r.total / r.n for r in sums.collect()}  # two rows
+    return (means["allow"] + means["block"]) / 2 if len(means) == 2 else None
