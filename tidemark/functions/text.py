@@ -105,10 +105,37 @@ def tube_id(name: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(name, "_seed2$", ""), "^([A-Za-z0-9_-]{11})", 1)
 
 
-def ngrams(w: Column, n: int) -> Column:
-    """All n-grams of an array of words, joined by a space."""
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+def ngrams(w: Column, n: int, last: bool = True) -> Column:
+    """All n-grams of an array of words, joined by a space; without ``last``, all but the last one."""
+    fewer = n - 1 if last else n
+    grams = F.transform(F.sequence(F.lit(1), F.size(w) - fewer), lambda i: F.array_join(F.slice(w, i, n), " "))
+    return F.when(F.size(w) > fewer, grams).otherwise(F.array().cast("array<string>"))
+
+
+#: Replacements that turn spoken text into sentences, in this order.
+SPOKEN = ((" sorry", ". Sorry"), (" um ", ". "), (" uh ", ". "), (" and ", ". And "), (" so ", ". So "), (" .", "."), ("..", "."), (",.", "."))
+
+
+def punctuate(text: Column) -> Column:
+    """Spoken text with full stops for fillers and joints, none at its start."""
+    for old, new in SPOKEN:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return F.regexp_replace(text, r"^[. ]+", "")
+
+
+def images_to_tokens(text: Column, blocks: Column) -> Column:
+    """Image tags and markdown images replaced by `` <BOI> block <EOI> `` where the map ``blocks`` (file name to block) has their file.
+
+    Each distinct tag is looked up once and replaced everywhere.
+    """
+    tags = F.array_distinct(F.regexp_extract_all(text, F.lit(r"""(<img[^>]+src="[^">]+"[^>]*>|!\[.*?\]\(.*?\))"""), 1))
+
+    def step(acc: Column, tag: Column) -> Column:
+        source = F.coalesce(F.nullif(F.regexp_extract(tag, r"""<img[^>]+src="([^">]+)\"""", 1), F.lit("")), F.regexp_extract(tag, r"!\[.*?\]\((.*?)\)", 1))
+        block = F.try_element_at(blocks, F.regexp_extract(source, "([^/]*)$", 1))
+        return F.when(block.isNotNull(), F.replace(acc, tag, F.concat(F.lit(" <BOI> "), block, F.lit(" <EOI> ")))).otherwise(acc)
+
+    return F.aggregate(tags, text, step)
 
 
 def collapse_triples(w: Column) -> Column:

@@ -19,8 +19,10 @@ _BLOCK = "(?s)<(" + "|".join(KINDS) + r")>(.*?)</\1>"
 
 def parse_blocks(stream: Column) -> Column:
     """The blocks of a stream in document order: array of (pos, kind, payload)."""
-    kinds, payloads = F.regexp_extract_all(stream, F.lit(_BLOCK), 1), F.regexp_extract_all(stream, F.lit(_BLOCK), 2)
-    return F.transform(kinds, lambda k, i: F.struct(i.alias("pos"), k.alias("kind"), F.get(payloads, i).alias("payload")))
+    whole = F.regexp_extract_all(stream, F.lit(_BLOCK), 0)  # one pass; tags are cut off by length
+    kind = lambda b: F.substring_index(F.substr(b, F.lit(2)), ">", 1)
+    payload = lambda b: F.substr(b, F.length(kind(b)) + 3, F.length(b) - 2 * F.length(kind(b)) - 5)
+    return F.transform(whole, lambda b, i: F.struct(i.alias("pos"), kind(b).alias("kind"), payload(b).alias("payload")))
 
 
 def words(text: Column) -> Column:
@@ -57,6 +59,18 @@ def over_limit_count(text: Column) -> Column:
     return out
 
 
+def wrapped_count(text: Column, wrapper: str, family: str) -> Column:
+    """Tokens of a family inside the wrapper's blocks."""
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s)<{wrapper}>(.*?)</{wrapper}>"), 1)
+    return F.aggregate(blocks, F.lit(0).cast("bigint"), lambda n, b: n + F.regexp_count(b, F.lit(f"<{family}_[0-9]+>")))
+
+
+def speech_split(text: Column) -> Column:
+    """Codec tokens (total, listen, speak, orphan): orphans stand in neither wrapper."""
+    total, listen, speak = family_count(text, "snac"), wrapped_count(text, "listen", "snac"), wrapped_count(text, "speak", "snac")
+    return F.struct(total.alias("total"), listen.alias("listen"), speak.alias("speak"), (total - listen - speak).alias("orphan"))
+
+
 def plain_word_count(text: Column) -> Column:
     """Words that are not tokens in angle brackets."""
     return F.size(F.filter(words(text), lambda w: ~w.rlike("^<[^>]+>$"))).cast("bigint")

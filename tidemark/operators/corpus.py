@@ -6,20 +6,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sampling import hash_uniform
+from ..functions.tokens import words
 
 
 def split_units(units: DataFrame, key: str, ratio: float, seed: str, rounding: str = "max1") -> DataFrame:
     """``split`` for every distinct unit: the first ``count`` units in hash order are test.
 
     ``count`` is max(1, int(n * ratio)) ("max1"), int(n * ratio) ("floor") or
-    round(n * ratio) ("round").  The threshold comes from the units' rank, so
-    all rows of a unit fall on one side.
+    round(n * ratio) ("round").  Where that rank lies is found from counts of
+    the hash's upper and lower 16 bits, so no task sorts the units; equal
+    hashes are told apart by the key.  All rows of a unit fall on one side.
     """
-    ids = units.select(key).distinct().withColumn("u", hash_uniform(F.col(key), seed))
-    n = ids.count()
-    count = {"max1": max(1, int(n * ratio)), "floor": int(n * ratio), "round": round(n * ratio)}[rounding]
-    test = ids.orderBy("u", key).limit(count).select(key, F.lit("test").alias("split"))
-    return ids.join(test, key, "left").select(key, F.coalesce("split", F.lit("train")).alias("split"))
+    ids = units.select(key).distinct().withColumn("u", (hash_uniform(F.col(key), seed) * 4294967296.0).cast("bigint"))
+    place, test = {}, F.lit(False)
+    for bits in (16, 0):
+        inside = ids.filter(F.shiftright("u", 16) == place[16]) if place else ids
+        counts = sorted(inside.groupBy(F.shiftright("u", bits).alias("b")).count().collect())  # 65,536 rows at most
+        if not place:
+            n = sum(r["count"] for r in counts)
+            left = {"max1": max(1, int(n * ratio)), "floor": int(n * ratio), "round": round(n * ratio)}[rounding]
+        for r in counts:
+            place[bits] = r.b
+            if r["count"] >= left:
+                break
+            left -= r["count"]
+    if place:
+        ties = sorted(r[0] for r in ids.filter(F.col("u") == place[0]).select(key).collect())[:left]  # units with one hash
+        test = (F.col("u") < place[0]) | ((F.col("u") == place[0]) & F.col(key).isin(ties))
+    return ids.select(key, F.when(test, "test").otherwise("train").alias("split"))
 
 
 def oversample(rows: DataFrame, id_col: str, times: int) -> DataFrame:
@@ -42,8 +56,8 @@ def concat_wins(rows: DataFrame, keys: list[str], value: str, order: str, sep: s
     return rows.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x.v), sep).alias(value))
 
 
-def longest_prefix(rows: DataFrame, name: str, prefixes: DataFrame, prefix: str, value: str) -> DataFrame:
-    """``value`` of the longest prefix of each row's ``name``, or null.
+def longest_prefix(rows: DataFrame, name: str, prefixes: DataFrame, prefix: str, value: str, strict: bool = False) -> DataFrame:
+    """``value`` of the longest prefix of each row's ``name``, or null; with ``strict`` a name without one raises.
 
     Each name is cut at the lengths that prefixes have, which makes an equi
     join; lengths are few.
@@ -53,25 +67,47 @@ def longest_prefix(rows: DataFrame, name: str, prefixes: DataFrame, prefix: str,
     for i, n in enumerate(lengths):
         of_length = prefixes.filter(F.length(prefix) == n).select(F.col(prefix).alias(f"_p{i}"), F.col(value).alias(f"_v{i}"))
         out = out.join(of_length, F.substring(name, 1, n) == F.col(f"_p{i}"), "left").withColumn("_best", F.coalesce("_best", f"_v{i}")).drop(f"_p{i}", f"_v{i}")
+    if strict:
+        missing = F.raise_error(F.concat(F.lit("no prefix fits "), F.col(name))).cast(prefixes.schema[value].dataType)
+        out = out.withColumn("_best", F.coalesce("_best", missing))
     return out.withColumnRenamed("_best", value)
 
 
-def size_shards(rows: DataFrame, order: str, size: str, limit: int, slices: int = 32) -> DataFrame:
+def size_shards(rows: DataFrame, order: str, size: str, limit: int, slices: int | None = None) -> DataFrame:
     """``shard`` by running size in ``order``: a new shard every ``limit``.
 
-    Running sums are taken within ``slices`` ranges of ``order`` and shifted by
-    the totals before, so no single task sees all rows.
+    Running sums are taken within ``slices`` parts of about equal row counts
+    (by approximate quantiles of ``order``; the session's partitions if not
+    given) and shifted by the totals before, so no single task sees all rows.
     """
-    bounds = rows.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    width = max(1, ((bounds.hi or 0) - (bounds.lo or 0)) // slices + 1)
-    ranged = rows.withColumn("_slice", F.floor((F.col(order) - F.lit(bounds.lo or 0)) / width))
+    slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = rows.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)] or [0.5], 10 * slices)).first()[0] or []
+    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array(F.lit(None).cast(rows.schema[order].dataType))
+    ranged = rows.withColumn("_slice", F.size(F.filter(bounds, lambda c: c < F.col(order))))
     totals = ranged.groupBy("_slice").agg(F.sum(size).alias("_t"))
     before = totals.withColumn("_skip", F.coalesce(F.sum("_t").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
-    inside = F.sum(size).over(Window.partitionBy("_slice").orderBy(order))
+    inside = F.sum(size).over(Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     out = ranged.withColumn("_sum", inside).join(F.broadcast(before), "_slice")
     return out.withColumn("shard", F.floor((F.col("_sum") + F.col("_skip") - F.col(size)) / limit).cast("bigint")).drop("_sum", "_skip", "_slice")
 
 
+def drop_repeated_ngrams(docs: DataFrame, key: str, text: str, n: int = 3, dull: tuple[str, ...] = ()) -> DataFrame:
+    """(key, at, word): words in order, without those inside later copies of an n-gram that the text has before.
+
+    A copy counts from where the first one ends, and only if the n-gram has a
+    word of more than three letters that is not in ``dull``.  Windows by
+    document and n-gram; no text is held in one row.
+    """
+    w = docs.select(key, F.posexplode(words(F.col(text))).alias("at", "word"))
+    rows = Window.partitionBy(key).orderBy("at")
+    ahead = rows.rowsBetween(0, n - 1)
+    telling = (F.length("word") > 3) & (~F.lower("word").isin(*dull) if dull else F.lit(True))
+    w = w.withColumns({"gram": F.array_join(F.collect_list("word").over(ahead), " "), "whole": F.count("*").over(ahead) == n, "telling": F.max(telling).over(ahead)})
+    first = F.min("at").over(Window.partitionBy(key, "gram", "whole"))
+    w = w.withColumn("copy", F.col("whole") & F.col("telling") & (F.col("at") >= first + n))
+    return w.withColumn("gone", F.max("copy").over(rows.rowsBetween(1 - n, 0))).filter(~F.col("gone")).select(key, "at", "word")
+
+
 def compare_sets(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Sizes of both id sets, of what they share, and its share of each in percent."""
     sides = a.select(key).distinct().withColumn("a", F.lit(1)).unionByName(b.select(key).distinct().withColumn("b", F.lit(1)), allowMissingColumns=True)

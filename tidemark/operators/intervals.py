@@ -36,3 +36,22 @@ def snap_to_chunk(chunks: Column, at: Column) -> Column:
     """Of an array of (idx, start, end), in order, the idx of the first that contains ``at``, else of the nearest by start, the first of equals."""
     scored = F.transform(chunks, lambda c: F.struct(F.when((c.start <= at) & (at < c.end), 0).otherwise(1).alias("out"), F.when((c.start <= at) & (at < c.end), 0.0).otherwise(F.abs(c.start - at)).alias("far"), c.idx.alias("idx")))
     return F.array_min(scored).idx
+
+
+def snap_rows(rows: DataFrame, at: Column, chunks: DataFrame, track: str) -> DataFrame:
+    """``rows`` with ``chunk``: the idx of the chunk that contains ``at``, else of the nearest by start, the first of equals.
+
+    ``chunks`` (track, idx, start, end) follow each other in time.  Rows and
+    chunk starts are sorted together, so each row sees the last start before
+    it and the first after it: one exchange, no array of a whole track.
+    """
+    c = chunks.select(track, F.struct("start", "idx", "end").alias("_c"), F.col("start").alias("_at"), F.min("idx").over(Window.partitionBy(track, "start")).alias("_first"))
+    both = rows.withColumn("_row", F.struct(*rows.columns)).select(track, "_row", at.alias("_at")).unionByName(c, allowMissingColumns=True)
+    seen = F.when(F.col("_c").isNotNull(), F.struct("_c.start", "_c.idx", "_c.end", "_first"))
+    w = Window.partitionBy(track).orderBy("_at", F.col("_row").isNotNull(), F.col("_c.idx"))
+    last = F.last(seen, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.first(seen, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    d = both.withColumns({"_l": last, "_n": following}).filter("_row is not null")
+    far = lambda x: F.abs(F.col(f"{x}.start") - F.col("_at"))
+    near = F.when(F.col("_l").isNull() | (far("_n") < far("_l")), F.col("_n._first")).otherwise(F.col("_l._first"))
+    return d.select("_row.*", F.when(F.col("_at") < F.col("_l.end"), F.col("_l.idx")).otherwise(near).alias("chunk"))

@@ -107,12 +107,14 @@ def q36_header(t: Tables) -> DataFrame:
     return d.select("doc_id", F.array_join(F.transform(F.array_sort(blocks), lambda b: b.line), " . ").alias("header"))
 
 
-@query("""WITH o AS (SELECT conv_id, list(substr(text, 1, 12) ORDER BY turn) AS o FROM conversations GROUP BY conv_id)
-SELECT conv_id, array_to_string(list_transform(o, lambda x, i: chr(CAST(64 + i AS INT)) || '. ' || x), chr(10)) AS options, array_to_string(o, ' -> ') AS chain, 'USER: ' || o[1] || ' [Voice: calm] ASSISTANT:' || chr(10) || o[len(o)] AS chat FROM o""")
+@query("""WITH o AS (SELECT conv_id, list(text ORDER BY turn) FILTER (role = 'user') AS q, list(text ORDER BY turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id)
+SELECT conv_id, array_to_string(list_transform(q[1:26], lambda x, i: chr(CAST(64 + i AS INT)) || '. ' || x), chr(10)) AS options, array_to_string(a, ' -> ') AS chain, 'USER: ' || q[1] || ' [Voice: calm] ASSISTANT:' || chr(10) || a[len(a)] AS chat FROM o""")
 def q37_templates(t: Tables) -> DataFrame:
-    """Lettered options, answer chain and chat template of each conversation."""
-    o = t.conversations.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 12).alias("x")))), lambda s: s.x).alias("o"))
-    return o.select("conv_id", text.lettered_options(F.col("o")).alias("options"), text.chain(F.col("o")).alias("chain"), text.chat_turn(F.get("o", F.lit(0)), F.element_at("o", -1), F.lit("calm")).alias("chat"))
+    """The questions of each conversation as lettered options, its answers as a chain, and the first and last of them as a chat turn."""
+    of = lambda role: F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == role, F.struct("turn", "text")))), lambda s: s.text)
+    o = t.conversations.groupBy("conv_id").agg(of("user").alias("q"), of("assistant").alias("a"))
+    some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    return o.select("conv_id", text.lettered_options(some("q")).alias("options"), text.chain(some("a")).alias("chain"), text.chat_turn(F.get("q", F.lit(0)), F.try_element_at("a", F.lit(-1)), F.lit("calm")).alias("chat"))
 
 
 @query("""WITH o AS (SELECT conv_id, list(text ORDER BY turn) AS o FROM conversations GROUP BY conv_id)
@@ -148,8 +150,18 @@ def q41_scripts(t: Tables) -> DataFrame:
 SELECT gram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY gram HAVING count(*) >= 5""")
 def q42_ngrams(t: Tables) -> DataFrame:
     """Three-word grams found five times or more."""
-    g = words_of(t.documents).select("doc_id", F.explode(text.ngrams(F.col("w"), 3)).alias("gram"))
-    return g.groupBy("doc_id", "gram").agg(F.count("*").alias("c")).groupBy("gram").agg(F.sum("c").alias("n"), F.count("*").alias("docs")).filter("n >= 5")
+    g = words_of(t.documents).select(F.array_sort(text.ngrams(F.col("w"), 3)).alias("grams"))
+    # sorted inside the document, the first of each run stands for it: one aggregate that combines before its shuffle
+    g = g.select(F.explode(F.transform("grams", lambda x, i: F.struct(x.alias("gram"), F.coalesce((x != F.get("grams", i - 1)).cast("bigint"), F.lit(1)).alias("new")))).alias("x"))
+    return g.groupBy("x.gram").agg(F.count("*").alias("n"), F.sum("x.new").alias("docs")).filter("n >= 5")
+
+
+@query(f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), g AS (SELECT unnest(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram FROM d)
+SELECT gram, count(*) AS n FROM g GROUP BY gram HAVING count(*) >= 2""")
+def q42b_inner_ngrams(t: Tables) -> DataFrame:
+    """Repeated three-word grams, the last of each document left out."""
+    g = words_of(t.documents).select(F.explode(text.ngrams(F.col("w"), 3, last=False)).alias("gram"))
+    return g.groupBy("gram").agg(F.count("*").alias("n")).filter("n >= 2")
 
 
 @query("""WITH a AS (SELECT DISTINCT doc_id FROM documents), b AS (SELECT DISTINCT doc_id FROM labels UNION SELECT item_id + 100000000 FROM benchmark), c AS (SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a JOIN b USING (doc_id)) AS n_both)
@@ -222,13 +234,15 @@ def q61_hash_sample(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", hash_uniform(F.col("doc_id"), "pick").alias("u")).orderBy("u", "doc_id").limit(50)
 
 
-@query("""SELECT conv_id, split_part(x, ' ASSISTANT: ', 1) AS prompt, CASE WHEN instr(x, ' ASSISTANT: ') > 0 THEN substr(x, instr(x, ' ASSISTANT: ') + 12) ELSE '' END AS answer FROM (SELECT conv_id, string_agg(upper(role) || ': ' || substr(text, 1, 20), ' ' ORDER BY turn) AS x FROM conversations GROUP BY conv_id)""")
+@query("""WITH x AS (SELECT conv_id, string_split(string_agg(upper(role) || ': ' || text, ' ' ORDER BY turn), ' ASSISTANT: ') AS p FROM conversations GROUP BY conv_id)
+SELECT conv_id, array_to_string(p[:greatest(len(p) - 1, 1)], ' ASSISTANT: ') AS prompt, CASE WHEN len(p) > 1 THEN p[len(p)] ELSE '' END AS answer FROM x""")
 def q61b_marker_split(t: Tables) -> DataFrame:
-    """Prompt and answer around the first marker."""
-    line = F.concat(F.upper("role"), F.lit(": "), F.substring("text", 1, 20))
-    x = corpus.concat_wins(t.conversations.withColumn("x", line), ["conv_id"], "x", "turn")
-    at = F.instr("x", " ASSISTANT: ")
-    return x.select("conv_id", F.substring_index("x", " ASSISTANT: ", 1).alias("prompt"), F.when(at > 0, F.expr("substring(x, instr(x, ' ASSISTANT: ') + 12)")).otherwise("").alias("answer"))
+    """Prompt and answer around the last marker."""
+    x = corpus.concat_wins(t.conversations.withColumn("x", F.concat(F.upper("role"), F.lit(": "), "text")), ["conv_id"], "x", "turn")
+    answer = F.substring_index("x", " ASSISTANT: ", -1)
+    there = F.contains("x", F.lit(" ASSISTANT: "))
+    prompt = F.substr("x", F.lit(1), F.length("x") - F.length(answer) - 12)
+    return x.select("conv_id", F.when(there, prompt).otherwise(F.col("x")).alias("prompt"), F.when(there, answer).otherwise("").alias("answer"))
 
 
 @query("""SELECT conv_id, split_part(x, ' ASSISTANT: ', 1) AS prompt, CASE WHEN instr(x, ' ASSISTANT: ') > 0 THEN substr(x, instr(x, ' ASSISTANT: ') + 12) ELSE '' END AS answer FROM (SELECT conv_id, string_agg(upper(role) || ': ' || text, ' ' ORDER BY turn) AS x FROM conversations GROUP BY conv_id)""")

@@ -66,20 +66,20 @@ def q23_quantise(t: Tables) -> DataFrame:
     return e.groupBy("vec_id").agg(F.sum("q").alias("level_sum"), F.min("q").alias("low"), F.max("q").alias("high"), F.round(F.max(back), 6).alias("worst"))
 
 
-_CURVE = """e AS (SELECT vec_id, label, list_transform(embedding[1:8], lambda x: CAST(round_even(x * 100, 0) AS BIGINT)) AS xs FROM embeddings),
-d AS (SELECT vec_id, label, unnest(range(1, 7)) AS i, xs FROM e), s AS (SELECT vec_id, label, i, abs(xs[i] - 2 * xs[i + 1] + xs[i + 2]) AS c FROM d),
-t AS (SELECT vec_id, label, max(c) AS curve, CASE WHEN max(c) < 40 THEN 2 WHEN max(c) < 55 THEN 4 ELSE 8 END AS points FROM s GROUP BY ALL)"""
+_CURVE = """e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(round_even(x * 100, 0) AS BIGINT)) AS xs FROM embeddings),
+d AS (SELECT vec_id, label, unnest(range(1, len(xs) - 1)) AS i, xs FROM e), s AS (SELECT vec_id, label, i, abs(xs[i] - 2 * xs[i + 1] + xs[i + 2]) AS c FROM d),
+t AS (SELECT vec_id, label, max(i) + 2 AS frames, max(c) AS curve, CASE WHEN max(c) < 75 THEN 2 WHEN max(c) < 90 THEN 4 ELSE 8 END AS points FROM s GROUP BY ALL)"""
 
 
 def _tiers(t: Tables) -> DataFrame:
-    e = t.embeddings.select("vec_id", "label", F.transform(F.slice("embedding", 1, 8), lambda x: F.rint(x.cast("double") * 100).cast("bigint")).alias("xs"))
-    return e.withColumn("curve", numeric.curvature(F.col("xs")).cast("bigint")).withColumn("points", numeric.tier(F.col("curve"), 40, 55))
+    e = t.embeddings.select("vec_id", "label", F.transform("embedding", lambda x: F.rint(x.cast("double") * 100).cast("bigint")).alias("xs"))
+    return e.withColumn("curve", numeric.curvature(F.col("xs")).cast("bigint")).withColumn("points", numeric.tier(F.col("curve"), 75, 90))
 
 
 @query(f"""WITH {_CURVE}, r AS (SELECT s.vec_id, s.i, row_number() OVER (PARTITION BY s.vec_id ORDER BY c DESC, s.i DESC) AS r FROM s)
-SELECT t.vec_id, curve::BIGINT AS curve, points::BIGINT AS points, '0,' || coalesce((SELECT string_agg(i::VARCHAR, ',' ORDER BY i) FROM r WHERE r.vec_id = t.vec_id AND r.r <= t.points - 2) || ',', '') || '7' AS kept FROM t""")
+SELECT t.vec_id, curve::BIGINT AS curve, points::BIGINT AS points, '0,' || coalesce((SELECT string_agg(i::VARCHAR, ',' ORDER BY i) FROM r WHERE r.vec_id = t.vec_id AND r.r <= t.points - 2) || ',', '') || (t.frames - 1) AS kept FROM t""")
 def q24_control_points(t: Tables) -> DataFrame:
-    """Curvature tier and the control points kept of each eight-frame trajectory."""
+    """Curvature tier and the control points kept of each vector as one trajectory."""
     d = _tiers(t)
     return d.select("vec_id", "curve", F.col("points").cast("bigint").alias("points"), F.array_join(numeric.control_points(F.col("xs"), F.col("points")), ",").alias("kept"))
 

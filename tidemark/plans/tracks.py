@@ -77,8 +77,7 @@ def q06_snap_to_chunk(t: Tables) -> DataFrame:
     """The chunk that holds the time an hour after each event, else the nearest."""
     f = fr(t).withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
     c = f.groupBy("user_id", F.floor(F.col("f") / 8).alias("idx")).agg(F.min("at").alias("start"), F.max("at").alias("end"))
-    c = c.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("idx", "start", "end"))).alias("chunks"))
-    return f.join(c, "user_id").select("event_id", intervals.snap_to_chunk(F.col("chunks"), F.col("at") + 3600.0).alias("chunk"))
+    return intervals.snap_rows(f.select("user_id", "event_id", "at"), F.col("at") + 3600.0, c, "user_id").select("event_id", "chunk")
 
 
 _MINUTE = "CAST(floor((epoch_us(ts) / 1e6 - 1704067200.0) / 60) AS BIGINT)"
