@@ -17,7 +17,7 @@ from ..session import reach_workers
 WORD_SPACES = b" \t\n\x0b\x0c\r"
 
 #: A key is hot if more rows have it than HOT_ROWS and than one in HOT_SHARE of all.
-HOT_ROWS, HOT_SHARE = 10_000, 1_000
+HOT_ROWS, HOT_SHARE = 1_000, 1_000
 
 #: Input rows handled by one numpy pass at most; bounds what a Python worker holds.
 ROWS_AT_ONCE = 512

@@ -34,7 +34,7 @@ from ..session import reach_workers
 from .common import join_counted, materialise
 
 #: Rows that one tree is fitted on, chosen by hash; children of a node; sample rows of a leaf; rounds of Lloyd's algorithm.
-FIT_ROWS, BRANCHES, LEAF_ROWS, ROUNDS = 16_384, 8, 256, 8
+FIT_ROWS, BRANCHES, LEAF_ROWS, ROUNDS = 16_384, 8, 512, 8
 #: Rows from which a leaf gets a subtree, and levels of trees at most (each divides by the number of leaves of one tree).
 SPLIT_ROWS, LEVELS = 4_096, 4
 #: Rows compared with all rows for calibration, and the recall they must reach.
