@@ -32,3 +32,10 @@ def index_map(i: Column, native: Column, resampled: Column) -> Column:
 def anchor_chunk(start: Column, fps: Column, width: int, chunks: Column) -> Column:
     """floor(start * fps / width), held inside [0, chunks - 1]."""
     return F.least(F.greatest(F.floor(start * fps / width), F.lit(0)), chunks - 1).cast("bigint")
+
+
+def fan_out(tracks: DataFrame, track: str, native: str, resampled: str) -> DataFrame:
+    """(track, native, resampled): for each native frame that is used the resampled frames it gives, in order."""
+    i = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(resampled) - 1)).alias("_i")
+    each = tracks.select(track, native, resampled, i).select(track, "_i", index_map(F.col("_i"), F.col(native), F.col(resampled)).alias("native"))
+    return each.groupBy(track, "native").agg(F.array_sort(F.collect_list("_i")).alias("resampled"))

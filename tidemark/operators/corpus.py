@@ -113,3 +113,12 @@ def compare_sets(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     sides = a.select(key).distinct().withColumn("a", F.lit(1)).unionByName(b.select(key).distinct().withColumn("b", F.lit(1)), allowMissingColumns=True)
     counted = sides.groupBy(key).agg(F.max("a").alias("a"), F.max("b").alias("b")).agg(F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("n_both"))
     return counted.select("n_a", "n_b", "n_both", F.round(100.0 * F.col("n_both") / F.col("n_a"), 4).alias("pct_a"), F.round(100.0 * F.col("n_both") / F.col("n_b"), 4).alias("pct_b"))
+
+
+def labelled_union(parts: dict[str, DataFrame]) -> DataFrame:
+    """All parts one after the other with their names in ``source``; columns that a part lacks are null."""
+    out = None
+    for name, part in parts.items():
+        part = part.withColumn("source", F.lit(name))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out

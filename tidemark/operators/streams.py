@@ -156,3 +156,9 @@ def question_answers(media: DataFrame, key: str) -> DataFrame:
     e = media.select(key, F.explode(F.map_entries(F.from_json("media", "map<string,string>"))).alias("e"))
     ask = F.get(wordings, F.floor(hash_uniform(F.col(key), F.col("e.key")) * 3).cast("int"))
     return e.select(key, F.concat(F.lit("USER: "), F.replace(ask, F.lit("{}"), F.col("e.key")), F.lit(" ASSISTANT: "), F.col("e.value")).alias("text"))
+
+
+def rate_histogram(rates: DataFrame, fps: str) -> DataFrame:
+    """Rows per frame rate, rounded to whole numbers; rates outside (0, 240] are left out."""
+    rounded = F.bround(F.when((F.col(fps) > 0) & (F.col(fps) <= 240), F.col(fps)))
+    return rates.groupBy(rounded.alias(fps)).agg(F.count("*").alias("n")).filter(F.col(fps).isNotNull())

@@ -95,3 +95,11 @@ def padded_chunks(states: Column, width: int) -> Column:
     n = F.size(states)
     cut = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1)), F.lit(width)), lambda i: F.slice(states, i, width))
     return F.when(n > 0, F.transform(cut, lambda c: F.concat(c, F.array_repeat(F.element_at(c, -1), F.lit(width) - F.size(c))))).otherwise(F.slice(cut, 1, 0))
+
+
+def sampled_chunks(fr: DataFrame, track: str, width: int, stride: int, keyframe: int) -> DataFrame:
+    """(track, chunk, keyframes, frames): every ``stride``-th frame, ``width`` to a chunk, the last chunk filled up with its last frame; ``keyframes`` counts the chunk's multiples of ``keyframe``."""
+    chunk = F.floor(F.col("f") / (width * stride))
+    taken = F.array_sort(F.collect_list(F.when(F.col("f") % stride == 0, F.col("f"))))
+    c = fr.groupBy(track, chunk.alias("chunk")).agg(F.count_if(F.col("f") % keyframe == 0).alias("keyframes"), taken.alias("taken"))
+    return c.select(track, "chunk", "keyframes", F.concat("taken", F.array_repeat(F.element_at("taken", -1), F.lit(width) - F.size("taken"))).alias("frames"))
