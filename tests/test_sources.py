@@ -145,5 +145,22 @@ def test_presence_windows_stream(spark, tmp_path):
     d = spark.createDataFrame(rows, "track string, f bigint, present boolean, seen_at string").withColumn("seen_at", F.col("seen_at").cast("timestamp"))
     assert [tuple(r) for r in incremental.presence_windows(d, 8).collect()] == [("a", 8, 0)]
     d.write.parquet(f"{tmp_path}/in")
-    incremental.run_available(incremental.presence_windows(incremental.stream_parquet(spark, f"{tmp_path}/in"), 8), f"{tmp_path}/out", f"{tmp_path}/c", mode="complete")
-    assert spark.read.parquet(f"{tmp_path}/out").select("window_id").distinct().collect()[0][0] == 8
+    incremental.run_available(incremental.presence_windows(incremental.stream_parquet(spark, f"{tmp_path}/in"), 8), f"{tmp_path}/out", f"{tmp_path}/c")
+    assert [r.window_id for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [8]
+
+
+def test_presence_windows_cross_midnight_and_batches(spark, tmp_path):
+    start = 1704067199.0  # one second before midnight
+    rows = [("a", i, True, start + i * 0.25) for i in range(16)] + [("b", 0, True, start)] + [("c", i, i > 3, start + 400 + i) for i in range(8)]
+    d = spark.createDataFrame(rows, "track string, f bigint, present boolean, at double").withColumn("seen_at", F.timestamp_seconds("at")).drop("at")
+    key = lambda df: sorted((r.track, r.window_id, r.absent) for r in df.collect())
+    assert key(incremental.presence_windows(d, 8)) == [("a", 0, 0), ("a", 8, 0)]
+    stream = lambda **how: incremental.presence_windows(incremental.stream_parquet(spark, f"{tmp_path}/in", 1), 8, lateness="1 second", **how)
+    for part in ("f < 5 and track <> 'c'", "f >= 5 and track <> 'c'", "track = 'c'"):
+        d.filter(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        incremental.run_available(stream(), f"{tmp_path}/out", f"{tmp_path}/c")
+    assert key(spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out")) == [("a", 0, 0), ("a", 8, 0)]
+    with pytest.raises(Exception, match="window 0 of b has 1 of 8 frames"):
+        incremental.run_available(stream(unresolved="raise"), f"{tmp_path}/out2", f"{tmp_path}/c2")
+        spark.createDataFrame([("z", 0, True, start + 9000)], "track string, f bigint, present boolean, at double").withColumn("seen_at", F.timestamp_seconds("at")).drop("at").write.mode("append").parquet(f"{tmp_path}/in")
+        incremental.run_available(stream(unresolved="raise"), f"{tmp_path}/out2", f"{tmp_path}/c2")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -17,3 +19,24 @@ def reach_workers(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset a temporary folder serves in local mode (tests); a
+    cluster without it is an error, as executors share no local folder.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nobody else uses."""
+    return f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex}"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def windowed_counts(events: DataFrame, window: str = "1 day", lateness: str = "1 hour", time: str = "ts") -> DataFrame:
@@ -17,17 +19,41 @@ def windowed_counts(events: DataFrame, window: str = "1 day", lateness: str = "1
     return w.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, lateness: str = "1 minute") -> DataFrame:
+def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, lateness: str = "1 minute", unresolved: str = "drop") -> DataFrame:
     """Windows of ``width`` frames with at most ``most_absent`` absent ones; ``frames`` has ``track``, ``f``, ``present``, ``seen_at``.
 
-    State for a window is dropped once the watermark passes it.
+    On a stream a window is decided as soon as its last frame is in, whatever
+    day it is, and its state goes.  A window that is still not whole when the
+    watermark is ``lateness`` past its last frame seen is dropped like in a
+    batch, or, with ``unresolved="raise"``, an error.  Rows of one frame count
+    once each.
     """
-    d = frames.withWatermark("seen_at", lateness) if frames.isStreaming else frames
-    keys = ["track", (F.floor(F.col("f") / width) * width).alias("window_id")]
-    if frames.isStreaming:
-        keys.append(F.window("seen_at", "1 day").alias("day"))  # lets the watermark drop old state
-    w = d.groupBy(*keys).agg(F.count("*").alias("frames"), F.count_if(~F.col("present")).alias("absent"))
-    return w.filter((F.col("frames") == width) & (F.col("absent") <= most_absent)).select("track", "window_id", "absent")
+    keyed = frames.withColumn("window_id", (F.floor(F.col("f") / width) * width).cast("bigint"))
+    if not frames.isStreaming:
+        w = keyed.groupBy("track", "window_id").agg(F.count("*").alias("frames"), F.count_if(~F.col("present")).alias("absent"))
+        return w.filter((F.col("frames") == width) & (F.col("absent") <= most_absent)).select("track", "window_id", "absent")
+
+    def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            if unresolved == "raise":
+                raise ValueError(f"window {key[1]} of {key[0]} has {state.get[0]} of {width} frames")
+            state.remove()
+            return
+        seen, absent, last = state.get if state.exists else (0, 0, 0)
+        for b in batches:
+            seen, absent = seen + len(b), absent + int((~b["present"].astype(bool)).sum())
+            last = max(last, int(b["seen_at"].max().timestamp() * 1000))
+        if seen >= width:
+            state.remove() if state.exists else None
+            if seen == width and absent <= most_absent:
+                yield pd.DataFrame({"track": [key[0]], "window_id": [key[1]], "absent": [absent]})
+            return
+        state.update((seen, absent, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
+
+    kinds = f"track {frames.schema['track'].dataType.simpleString()}, window_id bigint, absent bigint"
+    grouped = keyed.withWatermark("seen_at", lateness).select("track", "window_id", "present", "seen_at").groupBy("track", "window_id")
+    return grouped.applyInPandasWithState(decide, kinds, "seen bigint, absent bigint, last bigint", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_available(stream: DataFrame, target: str, checkpoint: str, step: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append") -> None:
