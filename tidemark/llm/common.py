@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import reach_workers
+from ..session import new_path, reach_workers
 
 #: Bytes that separate words; all are ASCII, so UTF-8 bytes can be cut at them.
 WORD_SPACES = b" \t\n\x0b\x0c\r"
@@ -23,25 +21,9 @@ HOT_ROWS, HOT_SHARE = 1_000, 1_000
 ROWS_AT_ONCE = 512
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    Where that is unset a temporary folder serves in local mode (tests); a
-    cluster without it is an error, as executors share no local folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut, and a lost executor loses nothing."""
-    path = f"{shared_folder(df.sparkSession)}/tidemark-{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
