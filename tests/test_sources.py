@@ -42,6 +42,26 @@ def test_json_documents_and_capped_scan(spark, tmp_path):
     assert [json.loads(r.record)["id"] for r in got] == [1, 2] and 0 < got[0].share < 1
 
 
+def test_strict_jsonl_refuses_other_types_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"window_id": "x"}\n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|window_id"):
+        text.read_jsonl_strict(spark, str(tmp_path), "window_id int", ("window_id",)).collect()
+    (tmp_path / "b.jsonl").write_text("")
+    with pytest.raises(ValueError, match="empty file"):
+        text.read_jsonl_strict(spark, str(tmp_path), "window_id int")
+    with pytest.raises(ValueError, match="total"):
+        text.partition_of(F.lit(1), 3, "contiguous")
+    got = text.peek(spark.createDataFrame([('{"a": 1, "b": "<seed2_3>"}',), ("plain",)], "t string"), 5, "t").collect()
+    assert [(r.has_tokens, r["keys"]) for r in got] == [(True, ["a", "b"]), (False, None)]
+
+
+def test_broken_lines_and_members_in_batches(spark, tmp_path, monkeypatch):
+    assert list(archives.json_values('{"a": 1}\n{broken\n{"b": {"c": "}"}}\n{"d"')) == ['{"a": 1}', '{"b": {"c": "}"}}']
+    (tmp_path / "a.tar.gz").write_bytes(tar_bytes({f"{i}.txt": b"x" * 1000 for i in range(50)}))
+    monkeypatch.setattr(archives, "BATCH_BYTES", 2000)
+    assert archives.tar_members(spark, str(tmp_path), ".txt").count() == 50
+
+
 def test_posts(spark, tmp_path):
     (tmp_path / "p.xml").write_text('<posts><row Id="1" PostTypeId="1" Title="Q" Body="b"/><row Id="2" PostTypeId="2" ParentId="1" Body="a"/><row Id="3" PostTypeId="2" ParentId="9" Body="x"/></posts>')
     got = text.answers_with_questions(text.read_posts(spark, str(tmp_path))).collect()
@@ -85,6 +105,8 @@ def test_zip_and_npy(spark, tmp_path):
     np.save(tmp_path / "a.npy", np.arange(6, dtype=np.float32).reshape(2, 3))
     r = archives.npy_arrays(spark, str(tmp_path)).first()
     assert r.shape == [2, 3] and r.values == [0, 1, 2, 3, 4, 5]
+    r = archives.npy_shapes(spark, str(tmp_path)).first()
+    assert r.shape == [2, 3] and r.kind == "float32"
 
 
 def field(number, body):
@@ -110,6 +132,23 @@ def test_tfrecords(spark, tmp_path):
     assert got == {(0, -1, "n"): ("int64", ["300", "-1"]), (0, -1, "s"): ("bytes", ["abc"]), (0, 0, "l"): ("float", ["1.5", "2.0"]), (0, 1, "l"): ("bytes", ["abc"])}
 
 
+def test_messages_without_a_schema(spark, tmp_path):
+    body = field(1, b"hello world") + field(2, field(3, b"\xff\xfe") + bytes([4 << 3, 7])) + bytes([5 << 3 | 5]) + b"abcd"
+    assert sorted(archives.walk(body)) == [("1", 2, "hello world"), ("2.3", 2, "fffe"), ("2.4", 0, "7"), ("5", 5, "abcd")]
+    assert ("2", 2, field(3, b"\xff\xfe").hex() + "2007") in set(archives.walk(body, most_depth=1))
+    (tmp_path / "a.tfrecord").write_bytes(struct.pack("<Q", len(body)) + b"0000" + body + b"0000")
+    assert archives.message_fields(spark, str(tmp_path)).count() == 4
+
+
+def test_named_shards_and_ranks(spark, tmp_path):
+    d = spark.range(100).withColumn("name", F.concat(F.lit("x_rank_"), F.col("id") % 3, F.lit(".jsonl")))
+    sinks.write_named_shards(d, f"{tmp_path}/n", "train", 4, "id")
+    assert sorted(p.name for p in (tmp_path / "n").iterdir() if not p.name.startswith(".")) == [f"train-{i:05d}-of-00004.jsonl.gz" for i in range(4)]
+    assert spark.read.json(f"{tmp_path}/n").count() == 100
+    sinks.write_per_rank(d, f"{tmp_path}/r", "name")
+    assert {(r["rank"], r["count"]) for r in spark.read.json(f"{tmp_path}/r").groupBy("rank").count().collect()} == {(0, 34), (1, 33), (2, 33)}
+
+
 def test_sinks(spark, tmp_path):
     d = spark.range(100).withColumn("v", F.col("id") % 3)
     sinks.write_parquet_shards(d, f"{tmp_path}/p", 4)

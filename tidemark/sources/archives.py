@@ -1,18 +1,21 @@
 """Archive and binary sources: one file per task, members as rows.
 
-Files come through Spark's ``binaryFile`` reader, so any store that Spark
-reads will do; a file must fit in a Python worker's memory.
+Spark lists the files; each task opens its file through its file system and
+reads it as a stream, so what a worker holds is one member (or one record) and
+BATCH_BYTES of rows, not the archive.
 """
 
 from __future__ import annotations
 
 import gzip
 import io
+import json
 import re
 import struct
 import tarfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -21,46 +24,67 @@ from pyspark.sql import functions as F
 
 from ..session import reach_workers
 
+#: Rows are handed on when they hold about so many bytes.
+BATCH_BYTES = 16 << 20
 
-def _per_file(spark: SparkSession, path: str, fn: Callable[[str, bytes], Iterable[tuple]], schema: str, glob: str | None = None) -> DataFrame:
+
+def _open(path: str) -> BinaryIO:
+    from pyarrow import fs
+
+    where = path if "://" in path else "file://" + path.removeprefix("file:")
+    system, name = fs.FileSystem.from_uri(where)
+    return system.open_input_file(name)
+
+
+def _per_file(spark: SparkSession, path: str, fn: Callable[[str, BinaryIO, int], Iterable[tuple]], schema: str, glob: str | None = None) -> DataFrame:
+    """Rows that ``fn`` makes of each file's path, open stream and length."""
     reach_workers(spark)
     names = [c.split()[0] for c in schema.split(", ")]
     reader = spark.read.format("binaryFile")
-    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "content")
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "length")  # contents are not read
+
+    def size(row: tuple) -> int:
+        return 64 + sum(len(v) if isinstance(v, (bytes, str, list)) else 8 for v in row)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for p, content in zip(batch["path"], batch["content"], strict=True):
-                rows = list(fn(p, bytes(content)))
+            for p, length in zip(batch["path"], batch["length"], strict=True):
+                rows, held = [], 0
+                with _open(p) as stream:
+                    for row in fn(p, stream, length):
+                        rows.append(row)
+                        held += size(row)
+                        if held >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows, held = [], 0
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
     return files.mapInPandas(run, schema)
 
 
-def _tar(content: bytes, suffix: str, depth: int) -> Iterator[tuple[str, bytes]]:
-    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+def _tar(stream: BinaryIO, suffix: str, depth: int) -> Iterator[tuple[str, bytes]]:
+    with tarfile.open(fileobj=stream, mode="r|*") as tar:
         for m in tar:
             if not m.isfile():
                 continue
-            data = tar.extractfile(m).read()
             if m.name.endswith((".tar", ".tar.gz", ".tgz")) and depth:
-                yield from ((f"{m.name}!{n}", d) for n, d in _tar(data, suffix, depth - 1))
+                yield from ((f"{m.name}!{n}", d) for n, d in _tar(tar.extractfile(m), suffix, depth - 1))
             elif m.name.endswith(suffix):
-                yield m.name, data
+                yield m.name, tar.extractfile(m).read()
 
 
 def tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """Members of tar files, gzip or not, whose name ends with ``suffix``; archives inside are opened one level deep."""
-    return _per_file(spark, path, lambda p, c: ((p, n, d) for n, d in _tar(c, suffix, 1)), "path string, member string, content binary")
+    return _per_file(spark, path, lambda p, f, _: ((p, n, d) for n, d in _tar(f, suffix, 1)), "path string, member string, content binary")
 
 
 def zip_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """Members of zip files whose name matches ``pattern``, with its two groups ``category`` and ``seq_id``, in order of name."""
     regex = re.compile(pattern)
 
-    def rows(p: str, content: bytes) -> Iterator[tuple]:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
+    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
+        with zipfile.ZipFile(stream) as z:
             for name in sorted(z.namelist()):
                 if m := regex.search(name):
                     yield p, name, m[1], m[2], z.read(name)
@@ -77,70 +101,118 @@ def webdataset_pairs(records: DataFrame, members: DataFrame) -> DataFrame:
 def npy_arrays(spark: SparkSession, path: str) -> DataFrame:
     """``.npy`` files as ``shape`` and flat ``values``."""
 
-    def rows(p: str, content: bytes) -> Iterator[tuple]:
-        a = np.load(io.BytesIO(content))
+    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
+        a = np.load(io.BytesIO(stream.read()))
         yield p, list(a.shape), a.astype(np.float64).ravel().tolist()
 
     return _per_file(spark, path, rows, "path string, shape array<bigint>, values array<double>", "*.npy")
 
 
-def read_varint(buf: bytes, at: int) -> tuple[int, int]:
-    """A base-128 number and the place after it."""
-    value = shift = 0
-    while True:
-        b = buf[at]
-        value |= (b & 127) << shift
-        at, shift = at + 1, shift + 7
+def npy_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """Shape and element type of ``.npy`` files, from their headers alone."""
+
+    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
+        version = np.lib.format.read_magic(stream)
+        read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
+        shape, _, kind = read(stream)
+        yield p, list(shape), str(kind)
+
+    return _per_file(spark, path, rows, "path string, shape array<bigint>, kind string", "*.npy")
+
+
+def _base128(buf: bytes, at: int) -> tuple[int, int]:
+    """A base-128 number of at most ten bytes and the place after it."""
+    value = 0
+    for i, b in enumerate(buf[at : at + 10]):
+        value |= (b & 127) << (7 * i)
         if b < 128:
-            return value, at
+            return value, at + i + 1
+    raise ValueError("number breaks off")
 
 
 def fields(buf: bytes) -> Iterator[tuple[int, int, int | bytes]]:
     """(number, wire type, value) of every field of a protobuf message."""
-    at = 0
+    at, fixed = 0, {1: 8, 5: 4}
     while at < len(buf):
-        tag, at = read_varint(buf, at)
+        tag, at = _base128(buf, at)
         number, wire = tag >> 3, tag & 7
         if wire == 0:
-            value, at = read_varint(buf, at)
-        elif wire == 2:
-            n, at = read_varint(buf, at)
-            value, at = buf[at : at + n], at + n
-        elif wire in (1, 5):
-            n = 8 if wire == 1 else 4
+            value, at = _base128(buf, at)
+        elif wire == 2 or wire in fixed:
+            n, at = _base128(buf, at) if wire == 2 else (fixed[wire], at)
+            if at + n > len(buf):
+                raise ValueError("field breaks off")
             value, at = buf[at : at + n], at + n
         else:
             raise ValueError(f"wire type {wire}")
         yield number, wire, value
 
 
-def tfrecords(content: bytes) -> Iterator[bytes]:
-    """Records of a TFRecord file; checksums are skipped, a record that breaks off ends the file."""
-    at = 0
-    while at + 12 <= len(content):
-        (n,) = struct.unpack_from("<Q", content, at)
-        if at + 12 + n > len(content):
+def walk(buf: bytes, most_depth: int = 6) -> Iterator[tuple[str, int, str]]:
+    """(path of field numbers, wire type, value) of every field of a message without its schema.
+
+    Bytes that read as a message are walked in turn, down to ``most_depth``;
+    other bytes are text if they are UTF-8 that prints, else hex.
+    """
+    todo = [("", buf, 1)]
+    while todo:
+        path, body, depth = todo.pop()
+        inner = []
+        for number, wire, value in fields(body):
+            name = f"{path}.{number}".lstrip(".")
+            if wire == 2 and value and depth < most_depth and _is_message(value):
+                inner.append((name, value, depth + 1))
+            else:
+                yield name, wire, _shown(value)
+        todo += reversed(inner)
+
+
+def _is_message(body: bytes) -> bool:
+    try:
+        return all(number > 0 for number, _, _ in fields(body))
+    except ValueError:
+        return False
+
+
+def _shown(value: int | bytes) -> str:
+    if isinstance(value, int):
+        return str(value)
+    try:
+        text = value.decode()
+    except UnicodeDecodeError:
+        return value.hex()
+    return text if text.isprintable() else value.hex()
+
+
+def tfrecords(stream: BinaryIO) -> Iterator[bytes]:
+    """Records of a TFRecord stream; checksums are skipped, a record that breaks off ends it."""
+    while len(head := stream.read(12)) == 12:
+        (n,) = struct.unpack("<Q", head[:8])
+        body = stream.read(n + 4)
+        if len(body) < n:
             return
-        yield content[at + 12 : at + 12 + n]
-        at += 16 + n
+        yield body[:n]
+
+
+def _signed(v: int) -> int:
+    return v - (1 << 64) if v >> 63 else v
+
+
+def _packed(body: bytes) -> Iterator[int]:
+    at = 0
+    while at < len(body):
+        v, at = _base128(body, at)
+        yield _signed(v)
 
 
 def _feature(buf: bytes) -> tuple[str, list]:
     for kind, _, body in fields(buf):
-        values: list = []
-        for _, wire, v in fields(body):
-            if kind == 1:
-                values.append(v.decode("utf-8", "replace"))
-            elif kind == 2:
-                values += np.frombuffer(v, "<f4").tolist()
-            elif wire == 0:
-                values.append(v - (1 << 64) if v >> 63 else v)
-            else:
-                at = 0
-                while at < len(v):
-                    x, at = read_varint(v, at)
-                    values.append(x - (1 << 64) if x >> 63 else x)
-        return ("", "bytes", "float", "int64")[kind], values
+        entries = [(wire, v) for _, wire, v in fields(body)]
+        if kind == 1:
+            return "bytes", [v.decode("utf-8", "replace") for _, v in entries]
+        if kind == 2:
+            return "float", [x for _, v in entries for x in np.frombuffer(v, "<f4").tolist()]
+        return "int64", [x for wire, v in entries for x in ([_signed(v)] if wire == 0 else _packed(v))]
     return "empty", []
 
 
@@ -158,12 +230,18 @@ def sequence_example(buf: bytes) -> tuple[dict[str, tuple[str, list]], dict[str,
     return context, lists
 
 
+def _unzipped(stream: BinaryIO) -> BinaryIO:
+    """The stream itself, or what it unpacks to if it is gzip."""
+    magic = stream.read(2)
+    stream.seek(0)
+    return gzip.GzipFile(fileobj=stream) if magic == b"\x1f\x8b" else stream
+
+
 def sequence_examples(spark: SparkSession, path: str) -> DataFrame:
     """TFRecord files of SequenceExamples, a row per feature: ``record``, ``list`` (-1 for context), ``name``, ``kind``, ``values``."""
 
-    def rows(p: str, content: bytes) -> Iterator[tuple]:
-        content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-        for r, record in enumerate(tfrecords(content)):
+    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
+        for r, record in enumerate(tfrecords(_unzipped(stream))):
             context, lists = sequence_example(record)
             for name, (kind, values) in context.items():
                 yield p, r, -1, name, kind, [str(v) for v in values]
@@ -174,32 +252,38 @@ def sequence_examples(spark: SparkSession, path: str) -> DataFrame:
     return _per_file(spark, path, rows, "path string, record bigint, list bigint, name string, kind string, values array<string>")
 
 
-def json_values(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of the complete top-level JSON objects in a text that may break off: lines, or entries of one array."""
-    depth, start, quoted, escaped = 0, -1, False, False
-    for i, c in enumerate(text):
-        if quoted:
-            escaped, quoted = c == "\\" and not escaped, not (c == '"' and not escaped)
-        elif c == '"':
-            quoted = True
-        elif c == "{":
-            if depth == 0:
-                start = i
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if depth == 0:
-                yield start, i + 1
+def message_fields(spark: SparkSession, path: str, most_depth: int = 6) -> DataFrame:
+    """Every field of every record of TFRecord files, without a schema: ``record``, ``field`` (path of numbers), ``wire``, ``value``."""
+
+    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
+        for r, record in enumerate(tfrecords(_unzipped(stream))):
+            for name, wire, value in walk(record, most_depth):
+                yield p, r, name, wire, value
+
+    return _per_file(spark, path, rows, "path string, record bigint, field string, wire int, value string")
+
+
+def json_values(text: str) -> Iterator[str]:
+    """The complete top-level JSON objects in a text that may break off: lines, or entries of one array."""
+    decoder, at = json.JSONDecoder(), text.find("{")
+    while at >= 0:
+        try:
+            _, end = decoder.raw_decode(text, at)
+        except json.JSONDecodeError:
+            line = text.find("\n", at)  # a broken line, or the end of what was read
+            at = text.find("{", line) if line >= 0 else -1
+            continue
+        yield text[at:end]
+        at = text.find("{", end)
 
 
 def capped_json(spark: SparkSession, path: str, most_bytes: int) -> DataFrame:
-    """JSON objects in the first ``most_bytes`` decompressed bytes of each file: a sampling scan, with the share that was read."""
-
-    def rows(p: str, content: bytes) -> Iterator[tuple]:
-        stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
-        text = stream.read(most_bytes).decode("utf-8", "ignore")
-        used = stream.fileobj.tell() if isinstance(stream, gzip.GzipFile) else len(text.encode())
-        for a, b in json_values(text):
-            yield p, text[a:b], min(1.0, used / max(1, len(content)))
+    """JSON objects in the first ``most_bytes`` decompressed bytes of each file: a sampling scan that reads no more, with the share that was read."""
+
+    def rows(p: str, stream: BinaryIO, length: int) -> Iterator[tuple]:
+        text = _unzipped(stream).read(most_bytes).decode("utf-8", "ignore")
+        used = stream.tell()
+        for record in json_values(text):
+            yield p, record, min(1.0, used / max(1, length))
 
     return _per_file(spark, path, rows, "path string, record string, share double")

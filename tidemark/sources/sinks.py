@@ -12,6 +12,12 @@ def write_jsonl(df: DataFrame, path: str, shards: int | None = None, compress: b
     (out.partitionBy(by) if by else out).json(path)
 
 
+def write_per_rank(df: DataFrame, path: str, name: str = "file_name") -> None:
+    """JSON lines in one folder ``rank=N`` for each input file, N from ``_rank_N`` in its name; files without one go to -1."""
+    rank = F.coalesce(F.regexp_extract(F.col(name), r"_rank_(\d+)", 1).try_cast("int"), F.lit(-1))
+    df.withColumn("rank", rank).repartition("rank").write.partitionBy("rank").option("compression", "gzip").json(path)
+
+
 def write_row_shards(df: DataFrame, path: str, rows: int = 5000) -> None:
     """Files of at most ``rows`` rows."""
     df.write.option("maxRecordsPerFile", rows).json(path)
@@ -26,6 +32,25 @@ def shard_name(prefix: str, index: int, total: int) -> str:
     return f"{prefix}-{index:05d}-of-{total:05d}.jsonl.gz"
 
 
+def write_named_shards(df: DataFrame, path: str, prefix: str, total: int, order: str) -> None:
+    """``total`` gzip JSON-line files named ``shard_name(prefix, i, total)``, rows dealt by hash of ``order``.
+
+    Spark writes one folder per shard; a finishing step on the driver, which
+    sees names only, moves each folder's one file to its name.
+    """
+    spark = df.sparkSession
+    dealt = df.withColumn("_shard", F.pmod(F.xxhash64(order), F.lit(total))).repartition(total, "_shard").sortWithinPartitions("_shard", order)
+    dealt.write.partitionBy("_shard").option("compression", "gzip").json(f"{path}/_parts")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(total):
+        here = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_parts/_shard={i}")
+        found = [f.getPath() for f in system.listStatus(here)] if system.exists(here) else []
+        for part in found:
+            system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{shard_name(prefix, i, total)}"))
+    system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_parts"), True)
+
+
 def check_shards(spark: SparkSession, path: str, expected: int) -> None:
     """Raise unless ``path`` holds ``expected`` data files."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").distinct().count()

@@ -22,7 +22,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, toler
 
 
 def read_jsonl_strict(spark: SparkSession, path: str, schema: T.StructType | str, required: tuple[str, ...] = ()) -> DataFrame:
-    """JSON lines; malformed lines and nulls in ``required`` columns raise when rows are read."""
+    """JSON lines; malformed lines, values of another type and nulls in ``required`` columns raise when rows are read, an empty file at once."""
+    lines = spark.read.text(path)
+    listed = spark.createDataFrame([(f,) for f in lines.inputFiles()], "file string")
+    empty = listed.join(lines.select(F.input_file_name().alias("file")).distinct(), "file", "left_anti").limit(1).collect()
+    if empty:
+        raise ValueError(f"empty file {empty[0].file}")
     df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     for name in required:
         message = F.lit(f"missing or malformed {name}")
@@ -49,15 +54,17 @@ def answers_with_questions(posts: DataFrame, order: str = "Id") -> DataFrame:
 
 
 def peek(df: DataFrame, n: int, text: str) -> DataFrame:
-    """The first ``n`` records and whether each has token tags."""
-    return df.limit(n).withColumn("has_tokens", F.col(text).rlike(r"<[a-z0-9_]+_[0-9]+>"))
+    """The first ``n`` records, whether each has token tags, and its keys if it is a JSON object."""
+    return df.limit(n).withColumns({"has_tokens": F.col(text).rlike(r"<[a-z0-9_]+_[0-9]+>"), "keys": F.json_object_keys(text)})
 
 
 def partition_of(index: Column, parts: int, how: str, total: int | None = None) -> Column:
     """The part of the i-th file: ``modulo`` (also stride slices) or ``contiguous`` blocks of ceil(total / parts)."""
     if how == "modulo":
         return F.pmod(index, F.lit(parts))
-    return F.least(F.floor(index / F.lit(-(-(total or 0) // parts))), F.lit(parts - 1))
+    if not total:
+        raise ValueError("contiguous parts need the total number of files")
+    return F.least(F.floor(index / F.lit(-(-total // parts))), F.lit(parts - 1))
 
 
 def valid_fps(fps: Column) -> Column:
