@@ -329,10 +329,11 @@ def _lists(a: np.ndarray) -> list:
 
 def clean_tracks(tracks: DataFrame, src_fps: float = 30.0, most_gap: int = 5, **how) -> DataFrame:
     """Each track resampled to 30 frames a second, filled and cleaned.  A track is one row, so this neither groups nor shuffles."""
-    return _map_tracks(tracks, lambda a: clean(fill_gaps(resample(a, src_fps), most_gap), **how))
+    return map_tracks(tracks, lambda a: clean(fill_gaps(resample(a, src_fps), most_gap), **how))
 
 
-def _map_tracks(tracks: DataFrame, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+def map_tracks(tracks: DataFrame, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``fn`` over the frames of every track."""
     reach_workers(tracks.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -359,6 +360,18 @@ def track_tokens(tracks: DataFrame, width: int = 8, stride: int = 8, fps: int =
     return tracks.select("track", "frames").mapInPandas(run, schema)
 
 
+def track_windows(tracks: DataFrame, render: Callable[[np.ndarray], str], width: int = 8, stride: int = 8) -> DataFrame:
+    """``track``, ``window_id`` and in ``token_str`` what ``render`` makes of every complete window."""
+    reach_workers(tracks.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(track, at, render(w)) for track, frames in zip(b["track"], b["frames"], strict=True) for at, w in windows(_array(frames), width, stride) if not np.isnan(w).any()]
+            yield pd.DataFrame(rows, columns=["track", "window_id", "token_str"])
+
+    return tracks.select("track", "frames").mapInPandas(run, "track string, window_id bigint, token_str string")
+
+
 def first_seen(states: DataFrame) -> DataFrame:
     """Overlapping windows back to frames: of (track, window_id, states) the value of each frame and joint that the first window has."""
     f = states.select("track", "window_id", F.posexplode("states").alias("i", "joints"))

@@ -13,9 +13,13 @@ from .asof import nearest_grid
 BLOCK_SIZES = (200, 896)
 
 
+def _strip(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def header_of(text: Column) -> Column:
     """What stands before the first block tag."""
-    return F.trim(F.regexp_extract(text, "(?s)^(.*?)(?:<(?:" + "|".join(KINDS) + ")>|$)", 1))
+    return _strip(F.regexp_extract(text, "(?s)^(.*?)(?:<(?:" + "|".join(KINDS) + ")>|$)", 1))
 
 
 def chunk_timing(blocks: DataFrame, agent: DataFrame, track: str, start: Column, width: int = 8, fps: float = 30.0) -> DataFrame:
@@ -94,7 +98,7 @@ def slices(ids: Column, size: int) -> Column:
 
 def spans(text: Column, tag: str) -> Column:
     """Texts of a wrapper; the last may be unclosed."""
-    return F.transform(F.regexp_extract_all(text, F.lit(f"(?s)<{tag}>(.*?)(?:</{tag}>|$)"), 1), lambda x: F.trim(x))
+    return F.transform(F.regexp_extract_all(text, F.lit(f"(?s)<{tag}>(.*?)(?:</{tag}>|$)"), 1), _strip)
 
 
 def conversation_parts(text: Column) -> Column:

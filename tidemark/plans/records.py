@@ -192,6 +192,14 @@ def q87_images_to_tokens(t: Tables) -> DataFrame:
     return t.pages.select("page_id", text.images_to_tokens(page, blocks).alias("text"))
 
 
+def side_streams(t: Tables) -> DataFrame:
+    """Agent, audio and speech entries by user and chunk, some missing, some empty."""
+    i = F.col("chunk")
+    return fr(t).select("user_id", F.col("f").alias("chunk")).select(
+        "user_id", "chunk", F.when(i % 2 == 0, F.concat(F.lit("a "), i)).alias("agent"), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("s "), i)).alias("snac"), F.concat(F.lit("words "), i).alias("speech")
+    )
+
+
 @query(f"""{FR}, b AS (SELECT user_id, f, {KIND_SQL} AS kind, {K_SQL} AS k, CAST(floor(value) AS BIGINT) AS v FROM fr),
 n AS (SELECT *, count(*) FILTER (kind = 'avc_lm') OVER (PARTITION BY user_id ORDER BY f ROWS UNBOUNDED PRECEDING) - 1 AS a, count(*) FILTER (kind = 'cosmos') OVER (PARTITION BY user_id ORDER BY f ROWS UNBOUNDED PRECEDING) - 1 AS c, count(*) FILTER (kind = 'avc_lm') OVER (PARTITION BY user_id) AS avcs, bool_or(kind = 'agent') OVER (PARTITION BY user_id) AS had FROM b),
 p AS (SELECT user_id, f::DOUBLE AS pos, '<' || kind || '> ' || k || ' ' || v || ' </' || kind || '>' AS piece FROM n
@@ -201,11 +209,7 @@ p AS (SELECT user_id, f::DOUBLE AS pos, '<' || kind || '> ' || k || ' ' || v ||
 SELECT user_id, string_agg(piece, ' ' ORDER BY pos) AS stream FROM p GROUP BY user_id""")
 def q88_four_way_merge(t: Tables) -> DataFrame:
     """Agent, audio and speech blocks merged by chunk behind avc_lm blocks; tracks with agent blocks of their own get no more, empty entries nothing."""
-    i = F.col("chunk")
-    sides = fr(t).select("user_id", F.col("f").alias("chunk")).select(
-        "user_id", "chunk", F.when(i % 2 == 0, F.concat(F.lit("a "), i)).alias("agent"), F.when(i % 3 == 0, "").otherwise(F.concat(F.lit("s "), i)).alias("snac"), F.concat(F.lit("words "), i).alias("speech")
-    )
-    return flatten.serialise(flatten.merge_sides(flatten.explode_blocks(streams(t), "user_id", "stream"), sides, "user_id"), "user_id")
+    return flatten.serialise(flatten.merge_sides(flatten.explode_blocks(streams(t), "user_id", "stream"), side_streams(t), "user_id"), "user_id")
 
 
 @query(f"""{FR}, b AS (SELECT user_id, f, {KIND_SQL} AS kind FROM fr WHERE event_type IN ('view', 'click', 'purchase')),

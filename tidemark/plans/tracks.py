@@ -186,12 +186,17 @@ def q20_flips(t: Tables) -> DataFrame:
     return d.groupBy("user_id").agg(F.count_if("flip").alias("flips"), F.count("*").alias("n"))
 
 
-@query()
+@query(f"""{FR}, h AS (SELECT user_id, f, epoch_us(ts) / 1e6 AS t, event_type = 'error' AS flag FROM fr), x AS (SELECT *, coalesce(lag(flag) OVER (PARTITION BY user_id ORDER BY f) <> flag, false) AS flip FROM h),
+a AS (SELECT user_id, list([t] ORDER BY f) FILTER (flip) AS flips, list(t ORDER BY f) AS ts, count(*) AS n FROM x GROUP BY user_id),
+k AS (SELECT *, CASE WHEN flips IS NULL THEN []::DOUBLE[] ELSE list_reduce(flips, lambda acc, y: CASE WHEN y[1] - acc[len(acc)] >= 86400.0 THEN list_append(acc, y[1]) ELSE acc END) END AS kept FROM a),
+r AS (SELECT user_id, list_reduce([kept, [ts[1]], [ts[n // 4 + 1]], [ts[2 * n // 4 + 1]], [ts[3 * n // 4 + 1]]], lambda acc, y: CASE WHEN len(acc) < 4 AND len(list_filter(acc, lambda z: abs(z - y[1]) < 86400.0)) = 0 THEN list_append(acc, y[1]) ELSE acc END) AS c FROM k)
+SELECT user_id, array_to_string(list_transform(list_sort(c), lambda z: CAST(floor(z) AS BIGINT)), ',') AS anchors FROM r""")
 def q20b_anchors(t: Tables) -> DataFrame:
     """Debounced anchor times per track: flips a day apart or more, filled up to four."""
     d = fr(t).select("user_id", "f", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"), (F.col("event_type") == "error").alias("flag"))
     flags = d.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("f", "t", "flag"))).alias("flags"))
-    return flags.select("user_id", windows.debounced_flips(F.col("flags"), 86400.0).alias("anchors"))
+    anchors = windows.debounced_flips(F.col("flags"), 86400.0)
+    return flags.select("user_id", F.array_join(F.transform(anchors, lambda x: F.floor(x)), ",").alias("anchors"))
 
 
 @query(f"""{FR}, w AS (SELECT user_id, f // 8 * 8 AS window_id FROM fr GROUP BY ALL HAVING count(*) = 8)
