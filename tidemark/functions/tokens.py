@@ -99,6 +99,19 @@ def tags_balanced(text: Column, family: str) -> Column:
     return F.regexp_count(text, F.lit(f"<{family}>")) == F.regexp_count(text, F.lit(f"</{family}>"))
 
 
+def agent_errors(text: Column, joints: tuple[str, ...], most_frame: int = 7) -> Column:
+    """Faults of an agent text: (no_fps, missing joints, coordinates over 255, frame numbers over ``most_frame``)."""
+    over = lambda pattern, most: F.size(F.filter(F.regexp_extract_all(text, F.lit(pattern), 1), lambda v: v.try_cast("bigint") > most)).cast("bigint")
+    found = F.array_intersect(F.regexp_extract_all(text, F.lit("<([a-z_]+)>"), 1), F.array(*[F.lit(j) for j in joints]))
+    return F.struct((F.regexp_count(text, F.lit("<fps_[0-9]+>")) == 0).alias("no_fps"), (F.lit(len(joints)) - F.size(found)).cast("bigint").alias("missing"), over("<[a-z0-9_]+_[xyz]_([0-9]+)>", 255).alias("bad_coord"), over("<[a-z0-9_]+_t_([0-9]+)>", most_frame).alias("bad_t"))
+
+
+def strict_count(found: Column, expected: Column, name: Column) -> Column:
+    """``found``, or an error that names the record if it isn't ``expected``."""
+    message = F.concat(name, F.lit(": found "), found.cast("string"), F.lit(" blocks, expected "), expected.cast("string"))
+    return F.when(found == expected, found).otherwise(F.raise_error(message).cast("bigint"))
+
+
 def fold_stream(blocks: Column) -> Column:
     """Flatten a parsed stream to an array of rendered pieces, as one native fold.
 

@@ -122,3 +122,43 @@ def labelled_union(parts: dict[str, DataFrame]) -> DataFrame:
         part = part.withColumn("source", F.lit(name))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
+
+
+def token_modes(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Words of each text by kind (seed2, cosmos, snac, caption, speech, agent), one row per key and kind.
+
+    Between its tags every word counts as caption or speech, and the tags
+    too; what no other kind claims is agent.  The mode at a word is the last
+    caption or speech tag before it, so windows by key do the work.
+    """
+    w = texts.select(key, F.posexplode(words(F.col(text))).alias("at", "w"))
+    tag = F.when(F.col("w").rlike("^</?(caption|speech)>$"), F.col("w"))
+    before = F.last(tag, ignorenulls=True).over(Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    name = lambda c: F.regexp_extract(c, "(caption|speech)", 1)
+    kind = F.when(tag.isNotNull(), name(F.col("w"))).when(before.isin("<caption>", "<speech>"), name(before))
+    for k, pattern in (("seed2", "^</?seed2>$|^<seed2_"), ("cosmos", "^</?cosmos>$|^<cosmos_"), ("snac", "^</?(snac|listen|speak)>$|^<snac_")):
+        kind = kind.when(F.col("w").rlike(pattern), k)
+    return w.select(key, kind.otherwise("agent").alias("kind")).groupBy(key, "kind").agg(F.count("*").alias("n"))
+
+
+def grouped_percentile(rows: DataFrame, group: str, value: str, share: float, bins: int = 4096) -> DataFrame:
+    """(group, percentile): exact, linear between ranks, without sorting or holding a group.
+
+    A histogram of each group, combined before its shuffle, tells in which bins
+    the two ranks lie and how many values come before; only those bins' values
+    are ranked.
+    """
+    d = rows.select(group, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    span = d.groupBy(group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / bins).otherwise(F.lit(1.0))
+    binned = d.join(span, group).withColumn("_bin", F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1)))
+    rank = (F.col("_n") - 1) * F.lit(share)
+    counts = binned.groupBy(group, "_bin").agg(F.count("*").alias("_c"), F.max("_n").alias("_n"))
+    end = F.sum("_c").over(Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+    wanted = counts.withColumn("_end", end).withColumn("_skip", F.col("_end") - F.col("_c"))
+    wanted = wanted.filter((F.col("_end") > F.floor(rank)) & (F.col("_skip") <= F.ceil(rank))).select(group, "_bin", "_skip", "_n")
+    inside = binned.drop("_n").join(wanted, [group, "_bin"])
+    place = F.row_number().over(Window.partitionBy(group, "_bin").orderBy("_v")) - 1 + F.col("_skip")
+    ends = inside.withColumn("_at", place).filter((F.col("_at") == F.floor(rank)) | (F.col("_at") == F.ceil(rank)))
+    low, high = F.min("_v"), F.max("_v")
+    return ends.groupBy(group).agg((low + (high - low) * (F.max(rank) - F.floor(F.max(rank)))).alias("percentile"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text, tokens
 from ..functions.numeric import pchip
 from ..functions.sampling import hash_uniform
-from ..operators import flatten, pose, windows
+from ..operators import corpus, flatten, pose, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
 from ..sources import archives, sinks
@@ -18,7 +18,7 @@ from ..sources import text as text_sources
 from ..streaming import incremental
 from .documents import UNIFORM_SQL
 from .records import side_streams
-from .registry import ORACLE_SQL, Tables, query
+from .registry import ORACLE_SQL, QUERIES, Tables, query
 from .tracks import FR, K_SQL, KIND_SQL, fr, k_of, kind_of, streams
 
 
@@ -119,6 +119,35 @@ def q109_slices_and_header(t: Tables) -> DataFrame:
     return d.select("user_id", "chunk", F.size("s.slices").cast("bigint").alias("slices"), F.col("s.left_over").cast("bigint").alias("left_over"), header.alias("header"))
 
 
+@query(f"""WITH t AS ({ORACLE_SQL["q01_merge_flatten"]}), w AS (SELECT user_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS nr FROM t),
+m AS (SELECT *, last_value(CASE WHEN regexp_full_match(w, '</?(caption|speech)>') THEN w END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY nr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM w),
+k AS (SELECT user_id, CASE WHEN regexp_full_match(w, '</?caption>') THEN 'caption' WHEN regexp_full_match(w, '</?speech>') THEN 'speech' WHEN before = '<caption>' THEN 'caption' WHEN before = '<speech>' THEN 'speech' WHEN regexp_matches(w, '^(</?seed2>|<seed2_)') THEN 'seed2' WHEN regexp_matches(w, '^(</?cosmos>|<cosmos_)') THEN 'cosmos' ELSE 'agent' END AS kind FROM m)
+SELECT user_id, kind, count(*) AS n FROM k GROUP BY ALL""")
+def q130_token_modes(t: Tables) -> DataFrame:
+    """Words of each flattened stream by kind, captions and speech by what they stand in."""
+    return corpus.token_modes(QUERIES["q01_merge_flatten"](t.spark, t.sf_dir), "user_id", "text")
+
+
+@query(f"""SELECT event_id, event_type = 'click' AS no_fps, CASE WHEN event_type = 'signup' THEN 2 ELSE 0 END AS missing, CASE WHEN event_type = 'purchase' THEN 2 ELSE 0 END AS bad_coord, CASE WHEN event_type = 'error' AND {K_SQL} % 16 > 7 THEN 1 ELSE 0 END AS bad_t FROM events""")
+def q131_agent_errors(t: Tables) -> DataFrame:
+    """Faults of agent texts: no frame rate, missing joints, coordinates and frames out of range."""
+    e, k = F.col("event_type"), k_of()
+    joints = F.concat(*[F.lit(f" <{j}> <{j}_t_0> <{j}_x_255> </{j}>") for j in pose.JOINTS[2:]])
+    two = F.when(e == "signup", "").otherwise(F.concat(*[F.lit(f" <{j}> </{j}>") for j in pose.JOINTS[:2]]))
+    extra = F.when(e == "purchase", " <nose_x_256> <nose_z_300>").when(e == "error", F.concat(F.lit(" <nose_t_"), k % 16, F.lit(">"))).otherwise("")
+    body = F.concat(F.when(e == "click", "").otherwise("<fps_30>"), joints, two, extra)
+    return t.events.select("event_id", tokens.agent_errors(body, pose.JOINTS).alias("e")).select("event_id", "e.*")
+
+
+@query(f"""{_BLOCKS} SELECT user_id, count(*) FILTER (kind = 'avc_lm') AS blocks FROM b GROUP BY user_id""")
+def q132_strict_counts(t: Tables) -> DataFrame:
+    """Blocks of each stream, counted in its text; a count that differs from the expected one would raise."""
+    expected = t.events.groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("expected"))
+    found = F.size(F.filter(tokens.parse_blocks(F.col("stream")), lambda b: b.kind == "avc_lm")).cast("bigint")
+    d = streams(t).join(expected, "user_id")
+    return d.select("user_id", tokens.strict_count(found, F.col("expected"), F.col("user_id").cast("string")).alias("blocks"))
+
+
 # Poses: component c of a vector stands for coordinate c % 3 of joint c // 3, and the vectors of a label in order for frames.
 
 _FACTORS = (0.004, 0.05, 1.0)

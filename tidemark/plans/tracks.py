@@ -141,7 +141,7 @@ SELECT user_id, f, coalesce(abs(v1) / span > 2.0, false) AS jump, coalesce(abs(v
 def q16_jumps(t: Tables) -> DataFrame:
     """Frames whose first or second difference is large against the track's median."""
     d = fr(t).withColumn("v1", F.col("value") - F.lag("value").over(by_track())).withColumn("v2", F.col("v1") - F.lag("v1").over(by_track()))
-    span = t.events.groupBy("user_id").agg(F.percentile("value", 0.5).alias("span"))
+    span = corpus.grouped_percentile(t.events, "user_id", "value", 0.5).withColumnRenamed("percentile", "span")
     d = d.join(span, "user_id")
     big = lambda v, x: F.coalesce(F.abs(F.col(v)) / F.col("span") > x, F.lit(False))
     return d.select("user_id", "f", big("v1", 2.0).alias("jump"), big("v2", 3.0).alias("jerk"))
