@@ -65,6 +65,62 @@ def test_near_dedup_keeps_rows_without_id_and_all_texts_of_an_id(spark):
     assert corpus_pipeline.substring_dedup(spark, spark.createDataFrame(got, docs.schema), "").count() == 6
 
 
+def odd_rows():
+    """Nulls in every column, repeated rows, an id with several texts, a long text, and columns named like the operators' own."""
+    draw = random.Random(7)
+    text = lambda n: " ".join(f"{draw.choice('abcdefgh')}{draw.randrange(900)}" for _ in range(n)) + "."
+    plain = [(i, text(80)) for i in range(40)]
+    rows = [*plain, (100, plain[3][1] + " end"), (101, plain[4][1]), (102, text(70) + " " + " ".join(plain[5][1].split()[:60])), (103, text(20_000))]
+    rows += [(None, text(60)), (None, plain[6][1]), (None, None), (104, None), (105, ""), (7, plain[7][1]), (7, text(50)), (106, " ".join(plain[8][1].split()[:60]))]
+    return [(i, t, None if k % 5 == 0 else "en", None, len(t or ""), k, "x") for k, (i, t) in enumerate(rows)]
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, component_id int, score string"
+
+
+def test_rows_in_and_out_of_each_stage_are_explained(spark, tmp_path):
+    rows = odd_rows()
+    labels = spark.createDataFrame([(None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, ODD)
+    key = lambda rs: sorted(map(repr, map(tuple, rs)))
+
+    kept = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and key(kept.collect()) == key(r for r in rows if repetition.measure(r[1])[6])
+    good = corpus_pipeline.quality_classifier(spark, docs, str(tmp_path))
+    assert key(good.collect()) == key(rows)  # no labels, nothing to reject
+
+    near = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert near.columns == docs.columns
+    got = near.collect()
+    ids = [r for r in rows if r[0] is not None]
+    apart, used = {}, {}  # each text of an id is a document of its own
+    for r in ids:
+        apart.setdefault((r[0], r[1]), []).append(r)
+    numbers = {k: n for n, k in enumerate(sorted(apart, key=lambda k: (k[0], k[1] or "")))}
+    groups = brute_groups([(numbers[k], k[1]) for k in apart])
+    for k, n in numbers.items():
+        used.setdefault(groups[n][1], []).append(k)
+    null = [r for r in rows if r[0] is None]
+    assert key(r for r in got if r.doc_id is None) == key(null)
+    left = [(r.doc_id, r.text) for r in got if r.doc_id is not None]
+    assert len(left) == len(set(left)) == len(used)
+    assert all(sum(k in left for k in members) == 1 for members in used.values())
+    assert {tuple(r) for r in got} <= set(rows)
+
+    cut = corpus_pipeline.substring_dedup(spark, near, str(tmp_path))
+    assert cut.columns == docs.columns
+    after = cut.collect()
+    assert len(after) == len(got)
+    want = brute_spans([(r.doc_id, r.text) for r in got if r.doc_id != 7], 50)
+    for r in after:
+        if r.doc_id not in (None, 7):
+            assert len((r.text or "").split()) == want[r.doc_id][0] - want[r.doc_id][1]
+    assert any(v[1] for v in want.values())
+    packed = corpus_pipeline.packing(spark, cut, str(tmp_path)).collect()
+    assert sum(r.piece == 0 for r in packed) == len(after)
+
+
 def test_empty_table(spark, folder, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{folder}/{t}.parquet").filter("doc_id < 0").write.parquet(f"{tmp_path}/{t}.parquet")
