@@ -1,8 +1,11 @@
 """The corpus pipeline: five stages over ``documents``, each on all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
-last return the columns of ``documents``; ``run`` writes each stage's rows to
-the shared folder and rereads them as the next one's input.
+last return the columns of ``docs``, further ones with any name included;
+``run`` writes each stage's rows to the shared folder and rereads them as the
+next one's input.  An empty table gives an empty result at every stage, texts of
+any length are handled whole, and rows with a null id go through all stages as
+documents of their own.
 """
 
 from __future__ import annotations
@@ -20,12 +23,16 @@ from tidemark.llm.rlz import without_duplicates
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules keep."""
+    """Documents that the repetition rules keep; null and empty texts are rejected, equal texts share a verdict."""
     return keep_varied(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled among them, predicts to be good."""
+    """Documents that the classifier, fitted on the labelled among them, predicts to be good.
+
+    A score of exactly a half is good.  Null and empty texts are scored like
+    any other; without labels of both classes all documents stay.
+    """
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -35,7 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows without an id are kept.  Rows that agree on id and text are one, the
     least by the other columns.  Of an id with several texts, that with the
     least hash stands at its id; each other is a document of its own, after
-    all others in the order of ids.
+    all others in the order of ids.  Null and empty texts are near nothing and
+    stay.
     """
     columns = docs.columns
     named = docs.filter("doc_id is not null")
@@ -54,12 +62,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that stand in a document with a smaller id."""
+    """All documents, without the passages that stand in a document with a smaller id.
+
+    Rows stay also if they lose all words or have a null text; rows with a null
+    id lose nothing and take nothing from others.
+    """
     return without_duplicates(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    """The pieces of all documents and their places in sequences of 2048 tokens; null and empty texts are one piece with the end token alone, repeated rows are packed each."""
     return best_fit_pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
 
 
