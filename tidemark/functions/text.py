@@ -113,7 +113,13 @@ def ngrams(w: Column, n: int, last: bool = True) -> Column:
 
 
 #: Replacements that turn spoken text into sentences, in this order.
-SPOKEN = ((" sorry", ". Sorry"), (" um ", ". "), (" uh ", ". "), (" and ", ". And "), (" so ", ". So "), (" .", "."), ("..", "."), (",.", "."))
+SPOKEN = (
+    ("it's", ". It's"), (" sorry", ". Sorry"), (" um ", ". "), (" uh ", ". "), (" ugh ", " . "), (" uhm ", " . "),
+    ("Okay", ". "), ("okay", ". "), ("yeah", ". "), ("Yeah", ". "), (" hey ", ". Hey"), (" so ", ". So "),
+    (" let's", ". Let's"), (" and ", ". And "), (" I'", ". I'"), (" I am", ". I am"), (" I will", ". I will"),
+    (" An", ". An"), (" It", ". It"), (" She", ". She"), (" He", ". He"), (" Th", ". Th"),
+    (". And. ", ". And"), (" .", "."), ("..", "."), (",.", "."),
+)
 
 
 def punctuate(text: Column) -> Column:

@@ -174,6 +174,7 @@ def q85_repeated_ngrams(t: Tables) -> DataFrame:
 def _spoken_sql() -> str:
     out = "text"
     for old, new in text.SPOKEN:
+        old, new = old.replace("'", "''"), new.replace("'", "''")
         out = f"replace({out}, '{old}', '{new}')"
     return f"SELECT doc_id, md5(regexp_replace({out}, '^[. ]+', '')) AS text_md5 FROM documents"
 
