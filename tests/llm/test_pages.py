@@ -5,6 +5,8 @@ import math
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import templates, urlmodel
 
@@ -159,3 +161,76 @@ def test_rare_contexts_are_shortened(spark, monkeypatch):
 def test_one_sided_rules_allow_the_rest(spark):
     df = spark.createDataFrame([(1, "http://x.org/es/1"), (2, "http://x.org/de/1"), (3, None)], "page_id long, url string")
     assert {(r.page_id, r.verdict, r.score) for r in urlmodel.judge_urls(df).collect()} == {(1, "block", None), (2, "allow", None), (3, "allow", None)}
+
+
+def brute_classes(pages):
+    """Classes by whole occurrence vectors: tokens on half of the distinct pages or more, in an order that all pages keep."""
+    distinct = {}
+    for page in pages:
+        key, seq = templates.features(page)
+        distinct[key] = seq
+    keys = sorted(distinct)
+    places = {}
+    for k in keys:
+        for at, t in enumerate(distinct[k]):
+            places.setdefault(t, {}).setdefault(k, []).append(at)
+    by_vector = {}
+    for t, on in places.items():
+        if len(on) >= templates.SUPPORT * len(keys):
+            by_vector.setdefault(tuple(len(on.get(k, ())) for k in keys), []).append(t)
+    out = set()
+    for members in by_vector.values():
+        first = lambda t: next((k, places[t][k][0]) for k in keys if k in places[t])
+        ordered = []
+        for t in sorted(members, key=first):
+            if all(x < y for a in ordered for k in places[t] for x, y in zip(places[a][k], places[t][k], strict=True)):
+                ordered.append(t)
+        out.add(tuple(ordered))
+    return out
+
+
+PIECES = st.sampled_from(["<div>", "</div>", "<p class='a'>", "</p>", "<ul><li>", "</li></ul>", "home", "about us", "story one", "story two", "<nav>menu</nav>", "<footer>", "</footer>", "x"])
+
+
+@given(st.lists(st.lists(PIECES, max_size=12).map("".join), min_size=1, max_size=7))
+@settings(max_examples=300, deadline=None)
+def test_classes_match_brute_force(htmls):
+    pages = [templates.tokens(h) for h in htmls]
+    made = templates._template(pages)
+    classes = {}
+    for t, (c, i, size) in made.place.items():
+        classes.setdefault(c, {})[i] = t
+        assert i < size
+    assert {tuple(m[i] for i in sorted(m)) for m in classes.values()} == brute_classes(pages)
+
+
+def nested(page, place):
+    """Depth of each token by looking for the innermost open class it continues."""
+    out, stack = [], []
+    for t in page:
+        if t not in place:
+            out.append(-1)
+            continue
+        c, i, size = place[t]
+        level = max((k for k, (d, _) in enumerate(stack) if d == c), default=None)
+        if level is None:
+            if i:
+                out.append(-1)
+                continue
+            level = len(stack)
+        elif 0 < i <= stack[level][1]:
+            out.append(-1)
+            continue
+        stack = stack[:level] + ([(c, i)] if i < size - 1 else [])
+        out.append(level)
+    return out
+
+
+@given(st.lists(st.lists(PIECES, max_size=12).map("".join), min_size=3, max_size=7))
+@settings(max_examples=200, deadline=None)
+def test_nesting_matches_brute_force(htmls):
+    pages = [templates.tokens(h) for h in htmls]
+    made = templates._template(pages)
+    for page in pages:
+        seq = templates._hashes(page)
+        assert made.depths(seq) == nested(seq, made.place)

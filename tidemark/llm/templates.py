@@ -400,8 +400,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
     Null and empty pages give an empty text.  Pages without a host (null url)
-    are one host.  Repeated rows are extracted each.  Other columns are not
-    read.  ``group_pages`` bounds a block and does not change the result.  One
+    are one host; hosts of one or two distinct pages have no template, so only
+    tags count there.  Repeated rows are extracted each, pages of any length
+    whole; an empty table gives no rows.  Other columns are not read.  ``group_pages`` bounds a block and does not change the result.  One
     shuffle brings the pages to their host's template; before, token numbers
     are shuffled.
     """
@@ -422,15 +423,14 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         place, now = None, Template(0, (), set())
         for batch in batches:
             rows: list[tuple] = []
-            for at in range(batch.num_rows):
-                host, part, is_page, page_id, url, page = (batch.column(k)[at].as_py() for k in range(6))
-                if (host, part) != place:
-                    place, now = (host, part), Template(0, (), set())
-                if is_page:
-                    rows.append((page_id, url, main_text(tokens(page or ""), now)))
-                else:
-                    n, found, bad = (batch.column(k)[at].as_py() for k in range(6, 9))
-                    now = Template(n, (tuple(x.values()) for x in found), {(x["a"], x["b"]) for x in bad or ()})
+            for at in range(0, batch.num_rows, 64):  # pages can be long
+                for host, part, is_page, page_id, url, page, n, found, bad in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    if (host, part) != place:
+                        place, now = (host, part), Template(0, (), set())
+                    if is_page:
+                        rows.append((page_id, url, main_text(tokens(page or ""), now)))
+                    else:
+                        now = Template(n, (tuple(x.values()) for x in found), {(x["a"], x["b"]) for x in bad or ()})
             ids, urls, texts = zip(*rows, strict=True) if rows else ((), (), ())
             yield _batch(page_id=(ids, pa.int64()), url=(urls, pa.string()), text=(texts, pa.string()), n_chars=(list(map(len, texts)), pa.int64()))
 
