@@ -372,6 +372,33 @@ def track_windows(tracks: DataFrame, render: Callable[[np.ndarray], str], width:
     return tracks.select("track", "frames").mapInPandas(run, "track string, window_id bigint, token_str string")
 
 
+def decoded(windows_: DataFrame, times: int = 1) -> DataFrame:
+    """``track``, ``window_id``, ``joint``, ``step``, ``x``, ``y``, ``z`` of every window's ``token_str``, at ``times`` steps a frame."""
+    reach_workers(windows_.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for track, at, tokens in zip(b["track"], b["window_id"], b["token_str"], strict=True):
+                for w in decode_tokens(tokens, times=times):
+                    step, joint = np.indices(w.shape[:2]).reshape(2, -1)
+                    yield pd.DataFrame({"track": track, "window_id": at, "joint": joint, "step": step, **{n: w[..., k].ravel() for k, n in enumerate("xyz")}})
+
+    return windows_.select("track", "window_id", "token_str").mapInPandas(run, "track string, window_id bigint, joint bigint, step bigint, x double, y double, z double")
+
+
+def track_flags(tracks: DataFrame, test: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``track``, ``f``, ``flag``: what ``test`` says of every frame."""
+    reach_workers(tracks.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for track, frames in zip(b["track"], b["frames"], strict=True):
+                flags = test(_array(frames))
+                yield pd.DataFrame({"track": track, "f": np.arange(len(flags)), "flag": flags})
+
+    return tracks.select("track", "frames").mapInPandas(run, "track string, f bigint, flag boolean")
+
+
 def first_seen(states: DataFrame) -> DataFrame:
     """Overlapping windows back to frames: of (track, window_id, states) the value of each frame and joint that the first window has."""
     f = states.select("track", "window_id", F.posexplode("states").alias("i", "joints"))

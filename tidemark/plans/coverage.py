@@ -238,6 +238,42 @@ def q114_normalised_poses(t: Tables) -> DataFrame:
     return d.select("track", "f", F.col("joint").cast("bigint").alias("joint"), *[F.round(F.get("q", F.lit(k)), 5).alias(n) for k, n in enumerate("xyz")])
 
 
+@query(f"""{_POINTS}, b AS (SELECT *, lag(x) OVER o - 2 * x + lead(x) OVER o AS bx, lag(y) OVER o - 2 * y + lead(y) OVER o AS by_, lag(z) OVER o - 2 * z + lead(z) OVER o AS bz FROM w WINDOW o AS (PARTITION BY track, win, j ORDER BY i)),
+t AS (SELECT track, win, j, arg_min(x, i) AS x0, arg_max(x, i) AS x7 FROM b GROUP BY ALL HAVING max(sqrt(bx * bx + by_ * by_ + bz * bz)) < 0.005),
+v AS (SELECT track, win, j, {_CODE.format("x0")} / 255.0::DOUBLE * 4 - 2 AS a, {_CODE.format("x7")} / 255.0::DOUBLE * 4 - 2 AS b FROM t)
+SELECT track, win AS window_id, j AS joint, step, round(a + (b - a) * (step / 14.0::DOUBLE), 6) AS x FROM v, range(15) r(step)""")
+def q118_decoded_poses(t: Tables) -> DataFrame:
+    """Tokens decoded at twice the frame rate: joints with two control points move on a line."""
+    names = F.array(*[F.lit(n) for n in pose.JOINTS])
+    w = pose.track_tokens(_tracks(t)).select("track", "window_id", "token_str", F.explode("cp_counts").alias("name", "points")).filter("points = 2")
+    d = pose.decoded(w.select("track", "window_id", "token_str").distinct(), times=2)
+    still = w.select("track", "window_id", (F.array_position(names, F.col("name")) - 1).alias("joint"))
+    return d.join(still, ["track", "window_id", "joint"]).select("track", "window_id", "joint", "step", F.round("x", 6).alias("x"))
+
+
+def _distance(a: str, b: str) -> str:
+    return f"sqrt(({a}[1] - {b}[1]) * ({a}[1] - {b}[1]) + ({a}[2] - {b}[2]) * ({a}[2] - {b}[2]) + ({a}[3] - {b}[3]) * ({a}[3] - {b}[3]))"
+
+
+@query(f"""{_POINTS}, a AS (SELECT track, f, list([x, y, z] ORDER BY j) AS ps FROM p GROUP BY ALL),
+d AS (SELECT track, f, {_distance("ps[1]", "ps[9]")} + 1e-6::DOUBLE AS torso, {_distance("ps[15]", "ps[12]")} AS shoulders, greatest({", ".join(_distance(f"ps[{c + 1}]", f"ps[{p + 1}]") for p, c, _ in pose.BONES)}) AS longest, list_median([{", ".join(_distance(f"ps[{k + 1}]", "ps[1]") for k in range(1, 17))}]) AS middle FROM a)
+SELECT track, f, shoulders / torso < {pose.SHOULDER_RATIO[0]} OR shoulders / torso > {pose.SHOULDER_RATIO[1]} OR longest > {pose.LONGEST_BONE} * torso OR middle < {pose.NEAREST_MEDIAN} * torso AS implausible FROM d""")
+def q119_implausible_poses(t: Tables) -> DataFrame:
+    """Frames that no body can make."""
+    d = pose.track_flags(_tracks(t), pose.implausible)
+    return d.select("track", "f", F.col("flag").alias("implausible"))
+
+
+@query(f"""{_POINTS}, a AS (SELECT track, max(abs(x)) FILTER (j = 0) AS mx, max(abs(y)) FILTER (j = 0) AS my, max(abs(z)) FILTER (j = 0) AS mz FROM p GROUP BY track),
+c AS (SELECT p.track, greatest(mx, my, mz) >= 1e-4 AS moved, max(greatest(abs(p.x - CASE WHEN greatest(mx, my, mz) >= 1e-4 THEN r.x ELSE 0 END), abs(p.y - CASE WHEN greatest(mx, my, mz) >= 1e-4 THEN r.y ELSE 0 END), abs(p.z - CASE WHEN greatest(mx, my, mz) >= 1e-4 THEN r.z ELSE 0 END))) AS far FROM p JOIN a ON a.track = p.track JOIN p r ON r.track = p.track AND r.f = p.f AND r.j = 0 GROUP BY ALL)
+SELECT track, far > 2 AS out_of_range, round(far, 6) AS far FROM c""")
+def q119b_input_guard(t: Tables) -> DataFrame:
+    """Tracks centred on the pelvis if they are not, and whether a coordinate is out of the coded range."""
+    guarded = pose.map_tracks(_tracks(t), lambda a: pose.centre_if_needed(a)[0])
+    far = F.array_max(F.flatten(F.transform("frames", lambda f: F.transform(f, lambda j: F.array_max(F.transform(j, lambda v: F.abs(v)))))))
+    return guarded.select("track", (far > 2).alias("out_of_range"), F.round(far, 6).alias("far"))
+
+
 @query()
 def q115_cleaned_poses(t: Tables) -> DataFrame:
     """Raw tracks resampled, filled and cleaned: frames and joints left of each track (iterative, tested against numpy by hand)."""
@@ -282,6 +318,37 @@ def q120_json_lines(t: Tables) -> DataFrame:
     return text_sources.read_jsonl(t.spark, path, "event_id bigint, event_type string, k bigint")
 
 
+@query(f"""SELECT event_id, {K_SQL} AS k FROM events""")
+def q120b_strict_json_lines(t: Tables) -> DataFrame:
+    """Events as JSON lines, read strictly."""
+    path = new_path(t.spark, "strict")
+    t.events.select("event_id", k_of().alias("k")).write.json(path)
+    return text_sources.read_jsonl_strict(t.spark, f"{path}/part-*", "event_id bigint, k bigint", ("event_id", "k"))
+
+
+@query("""WITH q AS (SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0), a AS (SELECT doc_id, doc_id - 1 AS parent FROM documents WHERE doc_id % 2 = 1)
+SELECT a.doc_id AS answer_id, q.lang AS question FROM a JOIN q ON q.doc_id = a.parent""")
+def q120c_posts(t: Tables) -> DataFrame:
+    """Documents as an XML dump of questions and answers, read back and joined."""
+    path = new_path(t.spark, "posts")
+    asks = F.col("doc_id") % 2 == 0
+    row = F.concat(F.lit('<row Id="'), "doc_id", F.when(asks, F.concat(F.lit('" PostTypeId="1" Title="'), "lang")).otherwise(F.concat(F.lit('" PostTypeId="2" ParentId="'), F.col("doc_id") - 1)), F.lit('" Body="b"/>'))
+    rows = t.documents.select(F.floor(F.col("doc_id") / 1000).alias("file"), F.lit(1).alias("at"), row.alias("value"))
+    ends = [rows.select("file").distinct().select("file", F.lit(at).alias("at"), F.lit(tag).alias("value")) for at, tag in ((0, "<posts>"), (2, "</posts>"))]
+    whole = rows.unionByName(ends[0]).unionByName(ends[1]).repartition("file").sortWithinPartitions("file", "at")
+    whole.drop("at").write.partitionBy("file").text(path)
+    found = text_sources.answers_with_questions(text_sources.read_posts(t.spark, f"{path}/file=*"))
+    return found.select(F.col("Id").alias("answer_id"), "question")
+
+
+@query("""WITH n AS (SELECT count(*) AS total FROM documents), d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents) SELECT doc_id, i % 7 AS by_modulo, least(i // CAST(ceil(total / 7.0) AS BIGINT), 6) AS by_block FROM d, n""")
+def q120d_file_parts(t: Tables) -> DataFrame:
+    """Files dealt over seven parts, by number and by blocks."""
+    total = t.documents.count()
+    d = corpus.size_shards(t.documents.select("doc_id", F.lit(1).cast("bigint").alias("one")), "doc_id", "one", 1).withColumnRenamed("shard", "i")
+    return d.select("doc_id", text_sources.partition_of(F.col("i"), 7, "modulo").alias("by_modulo"), text_sources.partition_of(F.col("i"), 7, "contiguous", total).alias("by_block"))
+
+
 @query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 24.0 ELSE 30.0 END AS fps FROM documents""")
 def q121_shards_with_new_columns(t: Tables) -> DataFrame:
     """Parquet shards, checked for completeness, with a column replaced and a fallback where the lookup has none."""
