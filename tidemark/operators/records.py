@@ -40,6 +40,12 @@ def window_inside(start: Column, width: int, frames: Column) -> Column:
     return (start >= 0) & (start + width - 1 < frames)
 
 
+def whole_window(window_id: Column, states: Column, stride: int, width: int) -> Column:
+    """Whether a window is one of every ``stride``, has ``width`` frames and misses nothing in them."""
+    missing = F.exists(states, lambda v: v.isNull() | F.isnan(v))
+    return (F.pmod(window_id, F.lit(stride)) == 0) & (F.size(states) == width) & ~missing
+
+
 def long_enough(start: Column, end: Column, least: float = 0.1) -> Column:
     """Segments of at least ``least`` seconds."""
     return end - start >= F.lit(least)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sampling import hash_uniform, keep_at_rate
-from ..functions.tokens import KINDS, family_ids, parse_blocks, words
+from ..functions.tokens import KINDS, family_ids, fold_stream, parse_blocks, words
 from .asof import nearest_grid
 
 #: Tokens of one cosmos block.
@@ -22,6 +22,17 @@ def header_of(text: Column) -> Column:
     return _strip(F.regexp_extract(text, "(?s)^(.*?)(?:<(?:" + "|".join(KINDS) + ")>|$)", 1))
 
 
+def headed_flatten(text: Column) -> Column:
+    """A record's header and its flattened video blocks, joined by a space; null if it has no block that is written.
+
+    Agent and audio blocks are left out, unclosed blocks and text between
+    blocks too.
+    """
+    video = F.filter(parse_blocks(text), lambda b: b.kind.isin("caption", "seed2", "cosmos", "avc_lm"))
+    pieces = fold_stream(video)
+    return F.when(F.size(pieces) > 0, F.concat_ws(" ", F.nullif(header_of(text), F.lit("")), F.array_join(pieces, " ")))
+
+
 def chunk_timing(blocks: DataFrame, agent: DataFrame, track: str, start: Column, width: int = 8, fps: float = 30.0) -> DataFrame:
     """One row per avc_lm block (track, pos, kind, payload rows): chunk number, frame, seconds and what the chunk has.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text, tokens
 from ..functions.numeric import pchip
 from ..functions.sampling import hash_uniform
-from ..operators import corpus, flatten, pose, windows
+from ..operators import corpus, flatten, pose, records, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
 from ..sources import archives, sinks
@@ -148,6 +148,24 @@ def q132_strict_counts(t: Tables) -> DataFrame:
     return d.select("user_id", tokens.strict_count(found, F.col("expected"), F.col("user_id").cast("string")).alias("blocks"))
 
 
+@query(f"""{_BLOCKS}, s AS (SELECT *, coalesce(sum(CASE WHEN kind = 'avc_lm' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, chunk ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM b),
+g AS (SELECT user_id, chunk, seg, max_by('<caption> ' || k || ' ' || v || ' </caption>', pos) FILTER (kind = 'caption') AS c, max_by('<seed2> <seed2_' || k || '> <seed2_' || v || '> </seed2>', pos) FILTER (kind = 'seed2') AS s2,
+ max_by('<cosmos> <cosmos_' || k || '> <cosmos_' || v || '> </cosmos>', pos) FILTER (kind = 'cosmos') AS co FROM s GROUP BY ALL HAVING bool_or(kind = 'avc_lm'))
+SELECT user_id, chunk, 'doc ' || user_id || ' ' || string_agg(concat_ws(' ', c, s2, co), ' ' ORDER BY seg) FILTER (coalesce(c, s2, co) IS NOT NULL) AS text FROM g GROUP BY user_id, chunk HAVING count(*) FILTER (coalesce(c, s2, co) IS NOT NULL) > 0""")
+def q133_headed_flatten(t: Tables) -> DataFrame:
+    """Header and flattened video blocks of each chunk's record; records without any are left out."""
+    text_of = stream_ops.headed_flatten(F.concat(F.lit("doc "), "user_id", F.lit("\n "), "stream"))
+    return _chunk_streams(t).select("user_id", "chunk", text_of.alias("text")).filter("text is not null")
+
+
+@query(f"""{FR}, w AS (SELECT user_id, f AS window_id, count(*) OVER s AS n, count(*) FILTER (event_type = 'error') OVER s AS missing FROM fr WINDOW s AS (PARTITION BY user_id ORDER BY f ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)) SELECT user_id, window_id FROM w WHERE n = 8 AND missing = 0 AND window_id % 2 = 0""")
+def q134_whole_windows(t: Tables) -> DataFrame:
+    """Every second window of eight frames without a missing value."""
+    d = fr(t).withColumn("x", F.coalesce(F.when(F.col("event_type") != "error", F.col("value")), F.lit(float("nan"))))
+    w = windows.sliding(d, "user_id", 8, "x")
+    return w.filter(records.whole_window(F.col("window_id"), F.col("states"), 2, 8)).select("user_id", "window_id")
+
+
 # Poses: component c of a vector stands for coordinate c % 3 of joint c // 3, and the vectors of a label in order for frames.
 
 _FACTORS = (0.004, 0.05, 1.0)
@@ -368,6 +386,15 @@ def q122_named_shards(t: Tables) -> DataFrame:
     return d.agg(F.count("*").alias("rows"), F.countDistinct("file").cast("int").alias("files"), F.min("file").alias("first_name"))
 
 
+@query("""WITH d AS (SELECT doc_id, n_chars, (sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - n_chars)::BIGINT // 100000 AS shard FROM documents) SELECT shard, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM d GROUP BY shard""")
+def q122b_rolled_shards(t: Tables) -> DataFrame:
+    """Shards rolled at a number of characters, written and read back."""
+    path = new_path(t.spark, "rolled")
+    sinks.write_size_shards(t.documents.select("doc_id", "n_chars"), path, "doc_id", "n_chars", 100_000)
+    d = t.spark.read.json(path)
+    return d.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
+
+
 @query("""SELECT user_id % 3 AS rank, count(*) AS n FROM events GROUP BY ALL""")
 def q123_files_by_rank(t: Tables) -> DataFrame:
     """Output by the rank in the input file's name."""

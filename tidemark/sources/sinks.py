@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.corpus import size_shards
+
 
 def write_jsonl(df: DataFrame, path: str, shards: int | None = None, compress: bool = True, by: str | None = None) -> None:
     """JSON lines, in ``shards`` files or one folder per value of ``by``."""
@@ -51,6 +53,12 @@ def write_named_shards(df: DataFrame, path: str, prefix: str, total: int, order:
     system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_parts"), True)
 
 
+def write_size_shards(df: DataFrame, path: str, order: str, size: str, limit: int) -> None:
+    """JSON lines in one folder ``shard=N`` for every ``limit`` of running ``size`` in ``order``, sorted inside."""
+    sharded = size_shards(df, order, size, limit)
+    sharded.repartition("shard").sortWithinPartitions("shard", order).write.partitionBy("shard").option("compression", "gzip").json(path)
+
+
 def check_shards(spark: SparkSession, path: str, expected: int) -> None:
     """Raise unless ``path`` holds ``expected`` data files."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path").distinct().count()
