@@ -64,6 +64,12 @@ def test_ties_and_copies_go_to_smaller_ids(spark, monkeypatch):
     assert [v for v, _ in got[300]] == [0, 3, 6, 9, 12, 15, 18, 21, 24, 27] and all(s == 0 for _, s in got[300])
 
 
+def test_repeated_rows_of_a_query_hide_nobody(spark):
+    rows = [(0, [1.0, 2.0])] * 20 + [(i, [1.0, 2.0]) for i in range(1, 6)] + [(7, [9.0, 9.0])] * 2
+    got = search(spark, rows, every=100)
+    assert [v for v, _ in got[0]] == [1, 2, 3, 4, 5, 7, 7]
+
+
 def test_few_rows_give_all_of_them(spark):
     rows = vectors(5)
     assert {q: [v for v, _ in f] for q, f in search(spark, rows, every=2).items()} == {q: [v for v, _ in f] for q, f in brute(rows, 10, 2).items()}

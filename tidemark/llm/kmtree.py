@@ -239,7 +239,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col
     placed = materialise(clean.mapInArrow(put, _INDEX), "placed")
     queries = placed.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     copies = Window.partitionBy("v").orderBy("vec_id")
-    index = materialise(placed.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"), "index")
+    index = materialise(placed.withColumn("copy", F.dense_rank().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"), "index")
 
     tree.counts[:] = 0
     for r in index.groupBy("leaf").count().collect():  # NUMBERS rows at most
