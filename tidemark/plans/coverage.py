@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text, tokens
 from ..functions.numeric import pchip
-from ..functions.sampling import hash_uniform
 from ..operators import corpus, flatten, pose, records, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
