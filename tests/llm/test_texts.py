@@ -127,6 +127,21 @@ def test_merging_alone_is_merging_together(word):
     assert counter._alone(word.encode()) == counter._together([word.encode(), b"x"])[0]
 
 
+@functools.cache
+def word_library():
+    return Tokenizer.from_file(WORD), packing.WordIds(WORD)
+
+
+WORDY = [*"aZé'sİΣßǅ1²½_ .,!%#(\u0301\u0338\x1c\n<|>", "it's", "don't,", "Word%%%", "x.y...", "<|endoftext|>", "<|STARTOFTEXT|>", "ΟΔΟΣ", "'LL "]
+
+
+@given(st.lists(st.sampled_from(WORDY), max_size=40).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_word_ids_are_the_librarys(text):
+    want, words = word_library()
+    assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == want.encode(text, add_special_tokens=False).ids
+
+
 def test_unbroken_texts_pack_whole(library):
     words = packing.WordIds(WORD)
     for text in unbroken(3000):

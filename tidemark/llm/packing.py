@@ -10,7 +10,7 @@ their length and look their slot up.
 from __future__ import annotations
 
 import os
-import re
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -32,10 +32,8 @@ RANKED_TOGETHER = 50_000
 
 #: White space for str.split() that the tokenizer takes for symbols.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
-#: A full stop or comma that ends a word is a token of its own.
-_END = re.compile(r"(?<=[A-Za-z])([.,])(?=[ \t\n\r\f\v]|\Z)")
-#: Words whose ids a worker keeps, in each of two generations.
-WORDS_KEPT = 200_000
+#: Words, and words without their end symbols, whose ids a worker keeps, in each of two generations.
+WORDS_KEPT, STEMS_KEPT = 600_000, 200_000
 
 
 class WordIds:
@@ -48,26 +46,59 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Cache(limit=WORDS_KEPT)
+        self.words, self.stems = Cache(limit=WORDS_KEPT), Cache(limit=STEMS_KEPT)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text as little-endian unsigned 32-bit integers."""
         self.words.turn()
+        self.stems.turn()
         known, old = self.words, self.words.old
-        # the tokenizer lower-cases; special strings in capitals are no special strings and must stay so
-        texts = [_END.sub(r" \1", t.lower() if t.isascii() and "<|" not in t else t) for t in texts]
         split = [[w.decode() for w in t.encode().split()] if any(c in t for c in _NOT_SPACE) else t.split() for t in texts]
         new = set().union(*split).difference(known)
         for w in new & old.keys():
             known[w] = old[w]
-        new, long = list(new - old.keys()), {}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                (known if len(w) <= LONGEST_KEPT else long)[w] = np.array(e.ids, "<u4").tobytes()
+        new -= old.keys()
+        parts = [_stem(w) for w in new]
+        ids = self._stem_ids({x for pair in parts for x in pair if x})
+        long = {}
+        for w, (stem, end) in zip(new, parts, strict=True):
+            (known if len(w) <= LONGEST_KEPT else long)[w] = ids[stem] + ids[end] if end else ids[stem]
         found = (lambda w: long[w] if w in long else known[w]) if long else known.__getitem__
         return [b"".join(map(found, ws)) for ws in split]
 
+    def _stem_ids(self, stems: set[str]) -> dict[str, bytes]:
+        known, old, out = self.stems, self.stems.old, {}
+        new = []
+        for x in stems:
+            if x in known:
+                out[x] = known[x]
+            elif x in old:
+                out[x] = known[x] = old[x]
+            else:
+                new.append(x)
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for x, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                out[x] = np.array(e.ids, "<u4").tobytes()
+        known.update((x, out[x]) for x in new if len(x) <= LONGEST_KEPT)
+        return out
+
+
+def _stem(word: str) -> tuple[str, str]:
+    """A word without the ASCII symbols at its end, in lower case, and these symbols.
+
+    The tokenizer lower-cases, and parts letters and digits from symbols, so
+    the two have the word's ids.  Words that may hold a special string, which
+    has no other spelling, stay whole; so do other letters, whose lower case
+    is the tokenizer's affair.
+    """
+    if "<|" in word:
+        return word, ""
+    stem = word.rstrip(string.punctuation)
+    if not stem or not stem[-1].lower().isalnum():  # a lower-case mark would join the symbols
+        stem = word
+    return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
+
 
 @cache
 def load(path: str) -> WordIds:
