@@ -44,6 +44,8 @@ GROUP_PAGES = 64
 BLOCK_TOKENS = 500_000
 #: A host is dealt over tasks if it has more pages than this, or than one in HOT_SHARE of all pages if that is more.
 HOT_PAGES, HOT_SHARE = 256, 10_000
+#: Pages that one task gets on average.
+TASK_PAGES = 1_024
 #: Share of a host's distinct pages on which a class must occur to be part of the template.
 SUPPORT = 0.5
 #: Distinct pages from which a host has a template, and from which template text inside an article goes.
@@ -326,7 +328,7 @@ def _batch(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
-def _templates(base: DataFrame, hot: DataFrame, block_pages: int) -> DataFrame:
+def _templates(base: DataFrame, hot: DataFrame, block_pages: int, tasks: int) -> DataFrame:
     """``host``, ``total`` (distinct pages), ``vectors`` and ``bad`` of every host with a template."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +378,7 @@ def _templates(base: DataFrame, hot: DataFrame, block_pages: int) -> DataFrame:
 
     pages = base.select("host", "html").mapInArrow(read, "host string, key long, seq binary")
     pages = pages.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod("key", F.coalesce("parts", F.lit(1)))).select("host", "part", "key", "seq")
-    dealt = pages.repartition("host", "part").sortWithinPartitions("host", "part", "key")
+    dealt = pages.repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "key")
     found = "array<struct<token:long,page:long,at:long>>"
     blocks = materialise(dealt.mapInArrow(gather, f"host string, part long, keys array<long>, sizes array<long>, seqs binary, found {found}"), "blocks")
     total = blocks.groupBy("host").agg(F.sum(F.size("keys")).alias("total")).filter(F.col("total") >= LEAST_PAGES)
@@ -411,13 +413,13 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     base = base.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#]*)", 1)))
     hosts = base.groupBy("host").agg(F.count("*").alias("n"))
     total = hosts.agg(F.sum("n")).first()[0] or 0
-    most = max(HOT_PAGES, total // HOT_SHARE)
+    most, tasks = max(HOT_PAGES, total // HOT_SHARE), max(pages.sparkSession.sparkContext.defaultParallelism, total // TASK_PAGES)
     hot = hosts.filter(F.col("n") > most).select("host", F.ceil(F.col("n") / most).alias("parts"))  # HOT_SHARE rows at most
-    made = _at_parts(materialise(_templates(base, hot, group_pages), "templates"), hot)
+    made = _at_parts(materialise(_templates(base, hot, group_pages, tasks), "templates"), hot)
     dealt = base.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
     dealt = dealt.withColumn("is_page", F.lit(True)).unionByName(made.withColumn("is_page", F.lit(False)), allowMissingColumns=True)
     columns = ["host", "part", "is_page", "page_id", "url", "html", "total", "vectors", "bad"]
-    dealt = dealt.select(*columns).repartition("host", "part").sortWithinPartitions("host", "part", "is_page")
+    dealt = dealt.select(*columns).repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "is_page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, now = None, Template(0, (), set())
