@@ -77,7 +77,25 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op2_main_text, op3_neighbours, op4_minhash, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings)}
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import simhash_groups
+
+    return simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectorcodes import compress_vectors
+
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_repetition, op2_main_text, op3_neighbours, op4_minhash, op5_packing, op6_bpe, op7_quality, op8_urls, op9_tokens, op10_substrings, op11_simhash, op12_codes, op13_whitening)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -133,4 +151,21 @@ w AS (SELECT f.*, y.score FROM f JOIN y USING (page_id)), e AS (SELECT {mean("al
 SELECT page_id, host, path, fit[2] AS rule, coalesce(fit[1], CASE WHEN ma IS NULL OR mb IS NULL OR score >= (ma + mb) / 2 THEN 'allow' ELSE 'block' END) AS verdict, CASE WHEN ma IS NOT NULL AND mb IS NOT NULL THEN score END AS score FROM w, e"""
 
 
-ORACLE_SQL: dict[str, str] = {"op4_minhash": _GROUPS, "op8_urls": _urls(), "op10_substrings": _SPANS}
+def _codes() -> str:
+    from .vectorcodes import ENTRIES, PARTS, ROUNDS, SCALE
+
+    distance = "list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    nearest = lambda k: f"a{k} AS (SELECT p.row, p.j, arg_min(c.e, {{'d': {distance}, 'e': c.e}}) AS e, min({distance}) AS d FROM p JOIN c{k} c USING (j) GROUP BY ALL)"
+    mean = lambda k: f"m{k} AS (SELECT j, e, list(q ORDER BY i) AS v FROM (SELECT j, a{k}.e, i, CAST(sum(p.v[i]) - ((sum(p.v[i]) % count(*) + count(*)) % count(*)) AS BIGINT) // count(*) AS q FROM a{k} JOIN p USING (row, j), range(1, (SELECT width FROM d) + 1) r(i) GROUP BY ALL) GROUP BY ALL), c{k + 1} AS (SELECT j, e, coalesce(m{k}.v, c{k}.v) AS v FROM c{k} LEFT JOIN m{k} USING (j, e))"
+    steps = ", ".join(f"{nearest(k)}, {mean(k)}" for k in range(ROUNDS))
+    return f"""WITH x AS (SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda v: CAST(floor({SCALE} * v::DOUBLE) AS BIGINT)) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+d AS (SELECT CAST(ceil(max(len(v)) / {PARTS}) AS BIGINT) AS width FROM x),
+p AS (SELECT row, vec_id, label, j, x.v[j * width + 1:(j + 1) * width] AS v FROM x, d, range({PARTS}) r(j)),
+c0 AS (SELECT j, row_number() OVER (PARTITION BY j ORDER BY p.vec_id, x.v) - 1 AS e, p.v FROM p JOIN x USING (row) QUALIFY e < {ENTRIES}),
+{steps}, {nearest(ROUNDS)},
+o AS (SELECT row, string_agg(printf('%02x', e), '' ORDER BY j) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{ROUNDS} GROUP BY row),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY j, e)) AS h FROM c{ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM x JOIN o USING (row), h"""
+
+
+ORACLE_SQL: dict[str, str] = {"op4_minhash": _GROUPS, "op8_urls": _urls(), "op10_substrings": _SPANS, "op12_codes": _codes()}
