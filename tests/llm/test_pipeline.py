@@ -132,6 +132,6 @@ def test_registered_queries_run_over_whole_tables(spark):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     for n in ("op1_repetition", "op6_bpe", "op9_tokens", "op10_substrings"):
         assert entry.queries()[n](spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()

@@ -133,6 +133,8 @@ def word_library():
 
 
 WORDY = [*"aZé'sİΣßǅ1²½_ .,!%#(\u0301\u0338\x1c\n<|>", "it's", "don't,", "Word%%%", "x.y...", "<|endoftext|>", "<|STARTOFTEXT|>", "ΟΔΟΣ", "'LL "]
+#: Letters that composition takes apart, with marks behind them; and letters with neighbours that compose.
+APART = [chr(c) for a, b in ((0x958, 0x95F), (0x9DC, 0x9DF), (0xA33, 0xA36), (0xA59, 0xA5E), (0xF43, 0xF69), (0xFB1D, 0xFB4E), (0x340, 0x344), (0x2126, 0x212B)) for c in range(a, b + 1)]
 
 
 @given(st.lists(st.sampled_from(WORDY), max_size=40).map("".join))
@@ -142,6 +144,20 @@ def test_word_ids_are_the_librarys(text):
     assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == want.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.one_of(st.sampled_from([*WORDY, " ", "क", "ন", "e"]), st.sampled_from(APART), st.characters(exclude_categories=["Cs"])), max_size=40).map("".join))
+@settings(max_examples=4000, deadline=None)
+def test_letters_that_fall_apart_keep_the_librarys_ids(text):
+    want, words = word_library()
+    assert np.frombuffer(words.encode([text])[0], "<u4").tolist() == want.encode(text, add_special_tokens=False).ids
+
+
+def test_every_letter_before_a_symbol():
+    want, words = word_library()
+    texts = [f"{c}? x{c}. {c}" for c in map(chr, range(0x20, 0x30000)) if not 0xD800 <= ord(c) < 0xE000]
+    for text, ids in zip(texts, words.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_unbroken_texts_pack_whole(library):
     words = packing.WordIds(WORD)
     for text in unbroken(3000):
