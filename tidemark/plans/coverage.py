@@ -12,7 +12,7 @@ from ..functions.numeric import pchip
 from ..operators import corpus, flatten, pose, records, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
-from ..sources import archives, sinks
+from ..sources import sinks
 from ..sources import text as text_sources
 from ..streaming import incremental
 from .documents import UNIFORM_SQL
@@ -402,15 +402,6 @@ def q123_files_by_rank(t: Tables) -> DataFrame:
     return t.spark.read.json(path).groupBy(F.col("rank").cast("bigint").alias("rank")).agg(F.count("*").alias("n"))
 
 
-@query(f"""SELECT event_type, count(*) AS n, sum({K_SQL})::BIGINT AS k FROM events GROUP BY event_type""")
-def q124_capped_scan(t: Tables) -> DataFrame:
-    """A scan capped in bytes whose cap lies beyond the files reads all records."""
-    path = new_path(t.spark, "capped")
-    t.events.select("event_type", k_of().alias("k")).write.option("compression", "gzip").json(path)
-    r = archives.capped_json(t.spark, f"{path}/part-*", 1 << 30).select(F.from_json("record", "event_type string, k bigint").alias("r"))
-    return r.groupBy("r.event_type").agg(F.count("*").alias("n"), F.sum("r.k").alias("k"))
-
-
 @query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'given' ELSE 'rows' END AS video_id FROM documents""")
 def q125_injected_ids(t: Tables) -> DataFrame:
     """Ids from the file's name where a line lacks one."""

@@ -1,95 +1,38 @@
-"""Archive and binary sources: one file per task, members as rows.
-
-Spark lists the files; each task opens its file through its file system and
-reads it as a stream, so what a worker holds is one member (or one record) and
-BATCH_BYTES of rows, not the archive.
-"""
+"""Archives and binary records as DataFrames, over the sources of ``containers``."""
 
 from __future__ import annotations
 
-import gzip
-import io
 import json
-import re
-import struct
-import tarfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from typing import BinaryIO
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reach_workers
+from .containers import npy_header, opened, register
 
 #: Rows are handed on when they hold about so many bytes.
 BATCH_BYTES = 16 << 20
 
 
-def _open(path: str) -> BinaryIO:
-    from pyarrow import fs
-
-    where = path if "://" in path else "file://" + path.removeprefix("file:")
-    system, name = fs.FileSystem.from_uri(where)
-    return system.open_input_file(name)
-
-
-def _per_file(spark: SparkSession, path: str, fn: Callable[[str, BinaryIO, int], Iterable[tuple]], schema: str, glob: str | None = None) -> DataFrame:
-    """Rows that ``fn`` makes of each file's path, open stream and length."""
-    reach_workers(spark)
-    names = [c.split()[0] for c in schema.split(", ")]
-    reader = spark.read.format("binaryFile")
-    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "length")  # contents are not read
-
-    def size(row: tuple) -> int:
-        return 64 + sum(len(v) if isinstance(v, (bytes, str, list)) else 8 for v in row)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for p, length in zip(batch["path"], batch["length"], strict=True):
-                rows, held = [], 0
-                with _open(p) as stream:
-                    for row in fn(p, stream, length):
-                        rows.append(row)
-                        held += size(row)
-                        if held >= BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=names)
-                            rows, held = [], 0
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
-
-    return files.mapInPandas(run, schema)
-
-
-def _tar(stream: BinaryIO, suffix: str, depth: int) -> Iterator[tuple[str, bytes]]:
-    with tarfile.open(fileobj=stream, mode="r|*") as tar:
-        for m in tar:
-            if not m.isfile():
-                continue
-            if m.name.endswith((".tar", ".tar.gz", ".tgz")) and depth:
-                yield from ((f"{m.name}!{n}", d) for n, d in _tar(tar.extractfile(m), suffix, depth - 1))
-            elif m.name.endswith(suffix):
-                yield m.name, tar.extractfile(m).read()
+def read(spark: SparkSession, kind: str, path: str, **options: object) -> DataFrame:
+    """A container source, with its members or records as rows."""
+    register(spark)
+    return spark.read.format(kind).options(**options).load(path)
 
 
 def tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """Members of tar files, gzip or not, whose name ends with ``suffix``; archives inside are opened one level deep."""
-    return _per_file(spark, path, lambda p, f, _: ((p, n, d) for n, d in _tar(f, suffix, 1)), "path string, member string, content binary")
+    found = read(spark, "tar", path)
+    return found.filter(F.col("member").endswith(suffix)) if suffix else found
 
 
 def zip_members(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """Members of zip files whose name matches ``pattern``, with its two groups ``category`` and ``seq_id``, in order of name."""
-    regex = re.compile(pattern)
-
-    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
-        with zipfile.ZipFile(stream) as z:
-            for name in sorted(z.namelist()):
-                if m := regex.search(name):
-                    yield p, name, m[1], m[2], z.read(name)
-
-    return _per_file(spark, path, rows, "path string, member string, category string, seq_id string, content binary")
+    """Members of zip files whose name matches ``pattern``, with its two groups ``category`` and ``seq_id``."""
+    found = read(spark, "zip", path).filter(F.col("member").rlike(pattern))
+    return found.select("path", "member", F.regexp_extract("member", pattern, 1).alias("category"), F.regexp_extract("member", pattern, 2).alias("seq_id"), "content")
 
 
 def webdataset_pairs(records: DataFrame, members: DataFrame) -> DataFrame:
@@ -99,25 +42,49 @@ def webdataset_pairs(records: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def npy_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """``.npy`` files as ``shape`` and flat ``values``."""
-
-    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
-        a = np.load(io.BytesIO(stream.read()))
-        yield p, list(a.shape), a.astype(np.float64).ravel().tolist()
-
-    return _per_file(spark, path, rows, "path string, shape array<bigint>, values array<double>", "*.npy")
+    """Rows of ``.npy`` arrays: ``path``, ``row``, ``shape`` of the whole and ``values``."""
+    return read(spark, "npy", path)
 
 
 def npy_shapes(spark: SparkSession, path: str) -> DataFrame:
     """Shape and element type of ``.npy`` files, from their headers alone."""
+    reach_workers(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").option("recursiveFileLookup", "true").load(path).select("path")  # contents are not read
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            found = []
+            for p in paths:
+                with opened(p) as stream:
+                    found.append(npy_header(stream))
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([list(s) for s, *_ in found], pa.list_(pa.int64())), pa.array([str(k) for _, _, k, _ in found], pa.string())], names=["path", "shape", "kind"])
 
-    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
-        version = np.lib.format.read_magic(stream)
-        read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
-        shape, _, kind = read(stream)
-        yield p, list(shape), str(kind)
+    return files.mapInArrow(run, "path string, shape array<bigint>, kind string")
 
-    return _per_file(spark, path, rows, "path string, shape array<bigint>, kind string", "*.npy")
+
+def _each_record(records: DataFrame, fn: Callable[[bytes], Iterable[tuple]], schema: str, kinds: list[pa.DataType]) -> DataFrame:
+    """Rows that ``fn`` makes of each record's ``content``, after its ``path`` and place."""
+    reach_workers(records.sparkSession)
+    kinds = [pa.string(), pa.int64(), *kinds]
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, held = [], 0
+            for path, at, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(path, at, *row) for row in fn(content)]
+                held += len(content)
+                if held >= BATCH_BYTES:
+                    yield made(rows)
+                    rows, held = [], 0
+            if rows:
+                yield made(rows)
+
+    return records.select("path", "at", "content").mapInArrow(run, schema)
 
 
 def _base128(buf: bytes, at: int) -> tuple[int, int]:
@@ -148,23 +115,24 @@ def fields(buf: bytes) -> Iterator[tuple[int, int, int | bytes]]:
         yield number, wire, value
 
 
-def walk(buf: bytes, most_depth: int = 6) -> Iterator[tuple[str, int, str]]:
-    """(path of field numbers, wire type, value) of every field of a message without its schema.
+def walk(buf: bytes, most_depth: int = 6) -> dict[str, list]:
+    """Every field of a message without its schema: lists of values by field number, in order.
 
     Bytes that read as a message are walked in turn, down to ``most_depth``;
     other bytes are text if they are UTF-8 that prints, else hex.
     """
-    todo = [("", buf, 1)]
+    out: dict[str, list] = {}
+    todo = [(out, buf, 1)]
     while todo:
-        path, body, depth = todo.pop()
-        inner = []
+        into, body, depth = todo.pop()
         for number, wire, value in fields(body):
-            name = f"{path}.{number}".lstrip(".")
             if wire == 2 and value and depth < most_depth and _is_message(value):
-                inner.append((name, value, depth + 1))
+                shown: object = {}
+                todo.append((shown, value, depth + 1))
             else:
-                yield name, wire, _shown(value)
-        todo += reversed(inner)
+                shown = value if isinstance(value, int) else _shown(value)
+            into.setdefault(str(number), []).append(shown)
+    return out
 
 
 def _is_message(body: bytes) -> bool:
@@ -174,9 +142,7 @@ def _is_message(body: bytes) -> bool:
         return False
 
 
-def _shown(value: int | bytes) -> str:
-    if isinstance(value, int):
-        return str(value)
+def _shown(value: bytes) -> str:
     try:
         text = value.decode()
     except UnicodeDecodeError:
@@ -184,16 +150,6 @@ def _shown(value: int | bytes) -> str:
     return text if text.isprintable() else value.hex()
 
 
-def tfrecords(stream: BinaryIO) -> Iterator[bytes]:
-    """Records of a TFRecord stream; checksums are skipped, a record that breaks off ends it."""
-    while len(head := stream.read(12)) == 12:
-        (n,) = struct.unpack("<Q", head[:8])
-        body = stream.read(n + 4)
-        if len(body) < n:
-            return
-        yield body[:n]
-
-
 def _signed(v: int) -> int:
     return v - (1 << 64) if v >> 63 else v
 
@@ -230,60 +186,66 @@ def sequence_example(buf: bytes) -> tuple[dict[str, tuple[str, list]], dict[str,
     return context, lists
 
 
-def _unzipped(stream: BinaryIO) -> BinaryIO:
-    """The stream itself, or what it unpacks to if it is gzip."""
-    magic = stream.read(2)
-    stream.seek(0)
-    return gzip.GzipFile(fileobj=stream) if magic == b"\x1f\x8b" else stream
+def sequence_examples(spark: SparkSession, path: str) -> DataFrame:
+    """TFRecord files of SequenceExamples, a row per feature: ``record`` (its place in the file), ``list`` (-1 for context), ``name``, ``kind``, ``values``."""
 
+    def rows(content: bytes) -> Iterator[tuple]:
+        context, lists = sequence_example(content)
+        for name, (kind, values) in context.items():
+            yield -1, name, kind, [str(v) for v in values]
+        for name, steps in lists.items():
+            for i, (kind, values) in enumerate(steps):
+                yield i, name, kind, [str(v) for v in values]
 
-def sequence_examples(spark: SparkSession, path: str) -> DataFrame:
-    """TFRecord files of SequenceExamples, a row per feature: ``record``, ``list`` (-1 for context), ``name``, ``kind``, ``values``."""
+    return _each_record(read(spark, "tfrecord", path), rows, "path string, record bigint, list bigint, name string, kind string, values array<string>", [pa.int64(), pa.string(), pa.string(), pa.list_(pa.string())])
+
+
+def message_trees(records: DataFrame, most_depth: int = 6) -> DataFrame:
+    """``records`` (path, at, content) with every message, without its schema, as a VARIANT ``tree``: field numbers, and a list of values for each."""
 
-    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
-        for r, record in enumerate(tfrecords(_unzipped(stream))):
-            context, lists = sequence_example(record)
-            for name, (kind, values) in context.items():
-                yield p, r, -1, name, kind, [str(v) for v in values]
-            for name, steps in lists.items():
-                for i, (kind, values) in enumerate(steps):
-                    yield p, r, i, name, kind, [str(v) for v in values]
+    def rows(content: bytes) -> Iterator[tuple]:
+        yield (json.dumps(walk(content, most_depth)),)
 
-    return _per_file(spark, path, rows, "path string, record bigint, list bigint, name string, kind string, values array<string>")
+    return _each_record(records, rows, "path string, at bigint, tree string", [pa.string()]).withColumn("tree", F.parse_json("tree"))
 
 
-def message_fields(spark: SparkSession, path: str, most_depth: int = 6) -> DataFrame:
-    """Every field of every record of TFRecord files, without a schema: ``record``, ``field`` (path of numbers), ``wire``, ``value``."""
+def capped_json(spark: SparkSession, path: str, most_bytes: int) -> DataFrame:
+    """JSON values in the first ``most_bytes`` compressed bytes of each file: a sampling scan that reads no more.
+
+    ``share`` is the part of its file that had been read when a value was
+    complete.
+    """
+    share = F.least(F.lit(1.0), F.col("consumed") / F.greatest(F.lit(1), "length"))
+    return read(spark, "capped_json", path, cap=most_bytes).select("path", "at", "record", share.alias("share"))
 
-    def rows(p: str, stream: BinaryIO, _: int) -> Iterator[tuple]:
-        for r, record in enumerate(tfrecords(_unzipped(stream))):
-            for name, wire, value in walk(record, most_depth):
-                yield p, r, name, wire, value
 
-    return _per_file(spark, path, rows, "path string, record bigint, field string, wire int, value string")
+def varint(n: int) -> bytes:
+    """A number in base 128; negative ones as 64 bits."""
+    n &= (1 << 64) - 1
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
 
 
-def json_values(text: str) -> Iterator[str]:
-    """The complete top-level JSON objects in a text that may break off: lines, or entries of one array."""
-    decoder, at = json.JSONDecoder(), text.find("{")
-    while at >= 0:
-        try:
-            _, end = decoder.raw_decode(text, at)
-        except json.JSONDecodeError:
-            line = text.find("\n", at)  # a broken line, or the end of what was read
-            at = text.find("{", line) if line >= 0 else -1
-            continue
-        yield text[at:end]
-        at = text.find("{", end)
+def message(parts: Iterable[tuple[int, int | bytes]]) -> bytes:
+    """A protobuf message of (field number, number or bytes)."""
+    return b"".join(varint(k << 3) + varint(v) if isinstance(v, int) else varint(k << 3 | 2) + varint(len(v)) + v for k, v in parts)
 
 
-def capped_json(spark: SparkSession, path: str, most_bytes: int) -> DataFrame:
-    """JSON objects in the first ``most_bytes`` decompressed bytes of each file: a sampling scan that reads no more, with the share that was read."""
+def _coded(values: list) -> bytes:
+    if all(isinstance(v, int) for v in values):
+        return message([(3, message([(1, b"".join(map(varint, values)))]))])
+    if all(isinstance(v, float) for v in values):
+        return message([(2, message([(1, np.array(values, "<f4").tobytes())]))])
+    return message([(1, message([(1, str(v).encode()) for v in values]))])
 
-    def rows(p: str, stream: BinaryIO, length: int) -> Iterator[tuple]:
-        text = _unzipped(stream).read(most_bytes).decode("utf-8", "ignore")
-        used = stream.tell()
-        for record in json_values(text):
-            yield p, record, min(1.0, used / max(1, length))
 
-    return _per_file(spark, path, rows, "path string, record string, share double")
+def coded_example(context: dict[str, list], lists: dict[str, list[list]]) -> bytes:
+    """A SequenceExample."""
+    entry = lambda name, body: (1, message([(1, name.encode()), (2, body)]))
+    head = message([entry(k, _coded(v)) for k, v in context.items()])
+    body = message([entry(k, message([(1, _coded(v)) for v in steps])) for k, steps in lists.items()])
+    return message([(1, head), (2, body)])

@@ -6,21 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .containers import register
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, tolerate_truncation: bool = False) -> DataFrame:
-    """JSON lines, plain or gzip by suffix; blank and malformed lines are skipped.
 
-    With ``tolerate_truncation`` a file that breaks off keeps the rows read so
-    far.
-    """
+def _parsed(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Rows of JSON lines (``value``); blank and malformed ones are skipped."""
     struct = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    reader = spark.read.option("ignoreCorruptFiles", "true") if tolerate_truncation else spark.read
-    lines = reader.text(path).filter(F.col("value").rlike(r"\S"))
     marked = T.StructType([*struct.fields, T.StructField("_bad", T.StringType())])
-    parsed = lines.select(F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    parsed = lines.filter(F.col("value").rlike(r"\S")).select(F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
     return parsed.filter(F.col("r._bad").isNull()).select("r.*").drop("_bad")
 
 
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines, plain or gzip by suffix; blank and malformed lines are skipped."""
+    return _parsed(spark.read.text(path), schema)
+
+
+def read_salvaged(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines of a file or folder; a gzip file that breaks off or is broken keeps every line that could be unpacked."""
+    register(spark)
+    return _parsed(spark.read.format("lines").load(path).select("value"), schema)
+
+
 def read_jsonl_strict(spark: SparkSession, path: str, schema: T.StructType | str, required: tuple[str, ...] = ()) -> DataFrame:
     """JSON lines; malformed lines, values of another type and nulls in ``required`` columns raise when rows are read, an empty file at once."""
     lines = spark.read.text(path)
@@ -58,6 +65,13 @@ def peek(df: DataFrame, n: int, text: str) -> DataFrame:
     return df.limit(n).withColumns({"has_tokens": F.col(text).rlike(r"<[a-z0-9_]+_[0-9]+>"), "keys": F.json_object_keys(text)})
 
 
+def peek_files(lines: DataFrame, n: int) -> DataFrame:
+    """Of every file (``path``, ``line``, ``value``) the first ``n`` JSON records: their ``keys`` with types, as one schema, how many they are and whether any has tokens."""
+    first = lines.filter(F.col("line") < n).withColumn("v", F.try_parse_json("value"))
+    tokens = F.bool_or(F.col("value").rlike(r"<[a-z0-9_]+_[0-9]+>"))
+    return first.groupBy("path").agg(F.schema_of_variant_agg("v").alias("keys"), F.count("*").alias("records"), tokens.alias("has_tokens"))
+
+
 def partition_of(index: Column, parts: int, how: str, total: int | None = None) -> Column:
     """The part of the i-th file: ``modulo`` (also stride slices) or ``contiguous`` blocks of ceil(total / parts)."""
     if how == "modulo":
