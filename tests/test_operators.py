@@ -216,15 +216,6 @@ def test_legacy_codes_and_resampling():
     assert np.allclose(moved[:, 0], 0) and not wide
 
 
-def test_tracks_through_spark(spark):
-    raw = body()
-    raw[3] = np.nan
-    d = spark.createDataFrame([("a", [[[None if np.isnan(v) else float(v) for v in p] for p in f] for f in raw])], pose.TRACK)
-    cleaned = pose.clean_tracks(d)
-    tokens = pose.track_tokens(cleaned).orderBy("window_id").collect()
-    assert [r.window_id for r in tokens] == [0, 8, 16, 24, 32] and len(tokens[0].cp_counts) == 17
-
-
 def test_joint_mapping(spark):
     pts = [[float(i), float(i) + 0.5, 0.9] for i in range(17)]
     pts[5][2] = 0.1

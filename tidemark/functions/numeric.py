@@ -48,25 +48,28 @@ def control_points(xs: Column, points: Column) -> Column:
 
 def pchip(t: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Monotone cubic through (t, y), t increasing, evaluated at ``at``; constant for one point, a line for two."""
+    return pchip_rows(t, np.asarray(y, float)[None], at)[0]
+
+
+def pchip_rows(t: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``pchip`` of many curves with the same knots, a row of ``y`` each."""
     t, y, at = np.asarray(t, float), np.asarray(y, float), np.asarray(at, float)
     if len(t) == 1:
-        return np.full(len(at), y[0])
-    h, d = np.diff(t), np.diff(y) / np.diff(t)
+        return np.repeat(y, len(at), 1)
+    h, d = np.diff(t), np.diff(y, axis=1) / np.diff(t)
     if len(t) == 2:
-        return y[0] + d[0] * (at - t[0])
-    m = np.zeros(len(t))
-    same = d[:-1] * d[1:] > 0
+        return y[:, :1] + d * (at - t[0])
+    m = np.zeros_like(y)
     w1, w2 = 2 * h[1:] + h[:-1], h[1:] + 2 * h[:-1]
     with np.errstate(divide="ignore", invalid="ignore"):
-        m[1:-1] = np.where(same, (w1 + w2) / (w1 / d[:-1] + w2 / d[1:]), 0)
+        m[:, 1:-1] = np.where(d[:, :-1] * d[:, 1:] > 0, (w1 + w2) / (w1 / d[:, :-1] + w2 / d[:, 1:]), 0)
 
-    def end(h0: float, h1: float, d0: float, d1: float) -> float:
+    def end(h0: float, h1: float, d0: np.ndarray, d1: np.ndarray) -> np.ndarray:
         slope = ((2 * h0 + h1) * d0 - h0 * d1) / (h0 + h1)
-        if slope * d0 <= 0:
-            return 0.0
-        return 3 * d0 if d0 * d1 <= 0 and abs(slope) > 3 * abs(d0) else slope
+        steep = (d0 * d1 <= 0) & (np.abs(slope) > 3 * np.abs(d0))
+        return np.where(slope * d0 <= 0, 0.0, np.where(steep, 3 * d0, slope))
 
-    m[0], m[-1] = end(h[0], h[1], d[0], d[1]), end(h[-1], h[-2], d[-1], d[-2])
+    m[:, 0], m[:, -1] = end(h[0], h[1], d[:, 0], d[:, 1]), end(h[-1], h[-2], d[:, -1], d[:, -2])
     k = np.clip(np.searchsorted(t, at, "right") - 1, 0, len(h) - 1)
-    s = (at - t[k]) / h[k]
-    return (1 + 2 * s) * (1 - s) ** 2 * y[k] + s * (1 - s) ** 2 * h[k] * m[k] + s * s * (3 - 2 * s) * y[k + 1] + s * s * (s - 1) * h[k] * m[k + 1]
+    s, h = (at - t[k]) / h[k], h[k]
+    return (1 + 2 * s) * (1 - s) ** 2 * y[:, k] + s * (1 - s) ** 2 * h * m[:, k] + s * s * (3 - 2 * s) * y[:, k + 1] + s * s * (s - 1) * h * m[:, k + 1]

@@ -1,16 +1,14 @@
-"""Pose tracks: joint mapping, cleaning, windows and control-point tokens.
+"""Poses in numpy: joint mapping, cleaning, windows and control-point tokens.
 
-A track is one row: ``track`` and ``frames``, an array over frames of arrays
-over 17 joints of (x, y, z), nulls for what is missing.  Its steps depend on
-each other in order, so they run in numpy over whole tracks; every track is
-handled alone and nothing is shuffled.
+Arrays are (frames, 17, 3) with NaN for what is missing.  ``poseframes`` runs
+these steps over tracks of any length in Spark.
 """
 
 from __future__ import annotations
 
 import re
 import warnings
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -18,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import LEVELS, LOW, MOST_POINTS, SPAN, TAU_HIGH, TAU_LOW, pchip
-from ..session import reach_workers
 
 #: The joints in order.
 JOINTS = ("pelvis", "r_hip", "r_knee", "r_ankle", "l_hip", "l_knee", "l_ankle", "spine", "thorax", "nose", "head_top", "l_shoulder", "l_elbow", "l_wrist", "r_shoulder", "r_elbow", "r_wrist")
@@ -35,8 +32,6 @@ HEAD_RATIO = 0.8
 SHOULDER_RATIO, LONGEST_BONE, NEAREST_MEDIAN, PELVIS_JUMP = (0.1, 3.0), 2.5, 0.15, 0.5
 MOST_SPEED, MOST_ACCELERATION, FOOT_MARGIN, BEND_LEAST = 150.0, 250.0, 0.1, -0.1
 
-TRACK = "track string, frames array<array<array<double>>>"
-
 
 def map_joints(points: Column, least: float, binary: bool = True) -> Column:
     """17 joints of (coordinates..., confidence) in the other order to ours; those under ``least`` are null.
@@ -77,9 +72,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def resample(frames: np.ndarray, src: float, dst: float = 30.0) -> np.ndarray:
     """Linear in normalised time to max(2, round(n / src * dst)) frames; within 5 % of ``dst`` and under two frames it stays."""
     n = len(frames)
-    if n < 2 or abs(src / dst - 1) < 0.05:
+    if unchanged(n, src, dst):
         return frames
-    return _at_times(frames, np.arange(n) / (n - 1), np.linspace(0, 1, max(2, round(n / src * dst))))
+    m = max(2, round(n / src * dst))
+    return between(frames, 0, n, m, np.arange(m))
+
+
+def unchanged(n: int, src: float, dst: float = 30.0) -> bool:
+    return n < 2 or abs(src / dst - 1) < 0.05
+
+
+def between(frames: np.ndarray, first: int, n: int, m: int, at: np.ndarray) -> np.ndarray:
+    """Frames ``at`` of the ``m`` that ``n`` are resampled to, from the ``frames`` that start with frame ``first``.
+
+    Places are fractions of whole numbers, so they don't depend on how a track
+    is cut.
+    """
+    k = np.minimum(at * (n - 1) // (m - 1), n - 2)
+    s = ((at * (n - 1) - k * (m - 1)) / (m - 1)).reshape(-1, *[1] * (frames.ndim - 1))
+    a, b = frames[k - first], frames[k + 1 - first]
+    return np.where(s == 0, a, np.where(s == 1, b, a + (b - a) * s))
 
 
 def resample_times(frames: np.ndarray, index: np.ndarray, src: float = 20.0, dst: float = 30.0) -> np.ndarray:
@@ -150,6 +162,12 @@ def clean(frames: np.ndarray, fps: float = 30.0, vertical: int = 1, down: bool =
     lengths, smoothing, speed and acceleration limits, legs that bend the
     wrong way made straight along the spine.
     """
+    q, bad = settled(frames)
+    return limited(q, bad, median(reach(q)), fps, vertical, down, legs)
+
+
+def settled(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The steps up to smoothing, and frames whose pelvis is missing or jumps: a frame depends on three before it and two after it."""
     p = frames.copy()
     p[implausible(p)] = np.nan
     no_root = (p[:, 0] == 0).all(-1)
@@ -160,12 +178,27 @@ def clean(frames: np.ndarray, fps: float = 30.0, vertical: int = 1, down: bool =
     p[jump > PELVIS_JUMP] = np.nan
     q = np.full_like(p, np.nan)
     q[~bad] = normalise((p - p[:, :1])[~bad])
-    q = smooth(q)
-    with np.errstate(invalid="ignore"), warnings.catch_warnings():
+    return smooth(q), bad
+
+
+def reach(q: np.ndarray) -> np.ndarray:
+    """Mean distance of each frame's joints from its pelvis; NaN where there are none."""
+    with warnings.catch_warnings():
         warnings.simplefilter("ignore", RuntimeWarning)  # slices without any value
-        span = np.nanmedian(np.nanmean(_norm(q - q[:, :1]), 1)) if len(q) else np.nan
-        if np.isnan(span) or span == 0:
-            return np.full_like(q, np.nan)
+        return np.nanmean(_norm(q - q[:, :1]), 1) if len(q) else np.zeros(0)
+
+
+def median(values: np.ndarray) -> float:
+    there = values[~np.isnan(values)]
+    return float(np.median(there)) if len(there) else np.nan
+
+
+def limited(q: np.ndarray, bad: np.ndarray, span: float, fps: float = 30.0, vertical: int = 1, down: bool = True, legs: bool = True) -> np.ndarray:
+    """The steps after smoothing, given the track's median reach ``span``: a frame depends on two before it."""
+    if np.isnan(span) or span == 0:
+        return np.full_like(q, np.nan)
+    q = q.copy()
+    with np.errstate(invalid="ignore"):
         v = np.full_like(q, np.nan)
         v[1:] = (q[1:] - q[:-1]) * fps
         a = np.full_like(q, np.nan)
@@ -202,15 +235,8 @@ def centre_if_needed(frames: np.ndarray) -> tuple[np.ndarray, bool]:
     return moved, bool(np.nanmax(np.abs(moved), initial=0) > -LOW)
 
 
-def windows(frames: np.ndarray, width: int = 8, stride: int = 1) -> Iterator[tuple[int, np.ndarray]]:
-    """Windows whose pelvis is there in every frame, gaps in them filled forward and then backward."""
-    for at in range(0, len(frames) - width + 1, stride):
-        w = frames[at : at + width]
-        if not np.isnan(w[:, 0]).any():
-            yield at, _hold(w)
-
-
-def _hold(w: np.ndarray) -> np.ndarray:
+def hold(w: np.ndarray) -> np.ndarray:
+    """Gaps of a window filled forward and then backward."""
     flat = pd.DataFrame(w.reshape(len(w), -1))
     return flat.ffill().bfill().to_numpy().reshape(w.shape)
 
@@ -275,15 +301,6 @@ def decode_tokens(text: str, least_frames: int = 8, times: int = 1) -> list[np.n
     return out
 
 
-def sweep_error(points: np.ndarray, count: int) -> float:
-    """Mean distance between one joint's trajectory and what ``count`` evenly spaced coded points give back."""
-    n = len(points)
-    kept = np.unique(np.rint(np.linspace(0, n - 1, count)).astype(int))
-    coded = dequantise(quantise(points[kept]))
-    back = np.stack([pchip(kept, coded[:, d], np.arange(n)) for d in range(3)], 1)
-    return float(_norm(points - back).mean())
-
-
 def dense_tokens(states: np.ndarray, fps: int = 30) -> str:
     """Every coordinate of every joint and frame as a token."""
     coded = quantise(states)
@@ -311,6 +328,17 @@ def pack_legacy(states: np.ndarray) -> dict[str, object]:
     return {"anchor": anchor, "scale": scale, "kept": kept, "arc": arc[kept], "tokens": ((np.clip(norm[kept], -1, 1) + 1) * 127.5).astype(np.uint8)}
 
 
+#: Ranges of the coded scale and anchor.
+SCALE_MAX, ANCHOR_RANGE = 2.0, 2.0
+
+
+def legacy_tokens(package: dict[str, object]) -> list[int]:
+    """A package as 256 numbers: scale, anchor (both rounded) and the coded points."""
+    scale = np.rint(np.clip(package["scale"], 0, SCALE_MAX) / SCALE_MAX * 255)
+    anchor = np.rint((np.clip(package["anchor"], -ANCHOR_RANGE, ANCHOR_RANGE) + ANCHOR_RANGE) / (2 * ANCHOR_RANGE) * 255)
+    return [int(scale), *anchor.ravel().astype(int).tolist(), *np.asarray(package["tokens"]).ravel().astype(int).tolist()]
+
+
 def unpack_legacy(package: dict, steps: int = 50) -> np.ndarray:
     """``steps`` frames along the arc from a legacy package."""
     points = (package["tokens"].astype(float) / 127.5 - 1) * package["scale"] + package["anchor"]
@@ -319,86 +347,6 @@ def unpack_legacy(package: dict, steps: int = 50) -> np.ndarray:
     return np.stack([pchip(package["arc"], flat[:, d], at) for d in range(flat.shape[1])], 1).reshape(steps, *points.shape[1:])
 
 
-def _array(frames: list) -> np.ndarray:
-    return np.array([[[np.nan if v is None else v for v in (p if p is not None else (None,) * 3)] for p in f] for f in frames], float).reshape(-1, 17, 3)
-
-
-def _lists(a: np.ndarray) -> list:
-    return [[[None if np.isnan(v) else float(v) for v in p] for p in f] for f in a]
-
-
-def clean_tracks(tracks: DataFrame, src_fps: float = 30.0, most_gap: int = 5, **how) -> DataFrame:
-    """Each track resampled to 30 frames a second, filled and cleaned.  A track is one row, so this neither groups nor shuffles."""
-    return map_tracks(tracks, lambda a: clean(fill_gaps(resample(a, src_fps), most_gap), **how))
-
-
-def map_tracks(tracks: DataFrame, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``fn`` over the frames of every track."""
-    reach_workers(tracks.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"track": b["track"], "frames": [_lists(fn(_array(f))) for f in b["frames"]]})
-
-    return tracks.select("track", "frames").mapInPandas(run, TRACK)
-
-
-def track_tokens(tracks: DataFrame, width: int = 8, stride: int = 8, fps: int = 30) -> DataFrame:
-    """Control-point tokens of every complete window: ``track``, ``window_id``, ``token_str``, ``cp_counts``."""
-    reach_workers(tracks.sparkSession)
-    schema = "track string, window_id bigint, token_str string, cp_counts map<string,int>"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for track, frames in zip(b["track"], b["frames"], strict=True):
-                for at, w in windows(_array(frames), width, stride):
-                    if not np.isnan(w).any():
-                        rows.append((track, at, *token_string(w, fps)))
-            yield pd.DataFrame(rows, columns=["track", "window_id", "token_str", "cp_counts"])
-
-    return tracks.select("track", "frames").mapInPandas(run, schema)
-
-
-def track_windows(tracks: DataFrame, render: Callable[[np.ndarray], str], width: int = 8, stride: int = 8) -> DataFrame:
-    """``track``, ``window_id`` and in ``token_str`` what ``render`` makes of every complete window."""
-    reach_workers(tracks.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(track, at, render(w)) for track, frames in zip(b["track"], b["frames"], strict=True) for at, w in windows(_array(frames), width, stride) if not np.isnan(w).any()]
-            yield pd.DataFrame(rows, columns=["track", "window_id", "token_str"])
-
-    return tracks.select("track", "frames").mapInPandas(run, "track string, window_id bigint, token_str string")
-
-
-def decoded(windows_: DataFrame, times: int = 1) -> DataFrame:
-    """``track``, ``window_id``, ``joint``, ``step``, ``x``, ``y``, ``z`` of every window's ``token_str``, at ``times`` steps a frame."""
-    reach_workers(windows_.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for track, at, tokens in zip(b["track"], b["window_id"], b["token_str"], strict=True):
-                for w in decode_tokens(tokens, times=times):
-                    step, joint = np.indices(w.shape[:2]).reshape(2, -1)
-                    yield pd.DataFrame({"track": track, "window_id": at, "joint": joint, "step": step, **{n: w[..., k].ravel() for k, n in enumerate("xyz")}})
-
-    return windows_.select("track", "window_id", "token_str").mapInPandas(run, "track string, window_id bigint, joint bigint, step bigint, x double, y double, z double")
-
-
-def track_flags(tracks: DataFrame, test: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``track``, ``f``, ``flag``: what ``test`` says of every frame."""
-    reach_workers(tracks.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for track, frames in zip(b["track"], b["frames"], strict=True):
-                flags = test(_array(frames))
-                yield pd.DataFrame({"track": track, "f": np.arange(len(flags)), "flag": flags})
-
-    return tracks.select("track", "frames").mapInPandas(run, "track string, f bigint, flag boolean")
-
-
 def first_seen(states: DataFrame) -> DataFrame:
     """Overlapping windows back to frames: of (track, window_id, states) the value of each frame and joint that the first window has."""
     f = states.select("track", "window_id", F.posexplode("states").alias("i", "joints"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, tokens
 from ..functions.numeric import pchip
-from ..operators import corpus, flatten, pose, records, windows
+from ..operators import corpus, flatten, pose, poseframes, records, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
 from ..sources import sinks
@@ -170,11 +170,13 @@ def q134_whole_windows(t: Tables) -> DataFrame:
 _FACTORS = (0.004, 0.05, 1.0)
 
 
-def _tracks(t: Tables) -> DataFrame:
-    at = lambda c: F.get("embedding", F.lit(c)).cast("double") * F.lit(_FACTORS[c // 3 % 3])
-    joints = F.array(*[F.array(*[at(3 * j + d) for d in range(3)]) for j in range(17)])
-    frames = F.transform(F.array_sort(F.collect_list(F.struct("vec_id", joints.alias("p")))), lambda x: x.p)
-    return t.embeddings.groupBy(F.col("label").cast("string").alias("track")).agg(frames.alias("frames"))
+def _frames(t: Tables) -> DataFrame:
+    xyz = F.array(*[F.get("embedding", F.lit(c)).cast("double") * F.lit(_FACTORS[c // 3 % 3]) for c in range(51)])
+    return poseframes.pose_frames(t.embeddings, F.col("label"), "vec_id", xyz)
+
+
+def _windows(t: Tables) -> DataFrame:
+    return poseframes.pose_windows(_frames(t))
 
 
 _NAMES = "[" + ", ".join(f"'{n}'" for n in pose.JOINTS) + "]"
@@ -193,10 +195,8 @@ c AS (SELECT *, sqrt(bx * bx + by_ * by_ + bz * bz) AS bend FROM b), t AS (SELEC
 SELECT track, win AS window_id, j AS joint, any_value(points) AS points FROM t GROUP BY ALL""")
 def q110_pose_tiers(t: Tables) -> DataFrame:
     """Control points of every joint in every window of eight frames."""
-    w = pose.track_tokens(_tracks(t))
-    names = F.array(*[F.lit(n) for n in pose.JOINTS])
-    each = w.select("track", "window_id", F.explode("cp_counts").alias("name", "points"))
-    return each.select("track", "window_id", (F.array_position(names, F.col("name")) - 1).alias("joint"), "points")
+    w = poseframes.window_tokens(_windows(t))
+    return w.select("track", "window_id", F.posexplode("cp_counts").alias("joint", "points"))
 
 
 @query(f"""{_POINTS}, b AS (SELECT *, lag(x) OVER o - 2 * x + lead(x) OVER o AS bx, lag(y) OVER o - 2 * y + lead(y) OVER o AS by_, lag(z) OVER o - 2 * z + lead(z) OVER o AS bz, {_NAMES}[j + 1] AS name FROM w WINDOW o AS (PARTITION BY track, win, j ORDER BY i)),
@@ -205,13 +205,13 @@ s AS (SELECT track, win, j, '<' || name || '> ' || string_agg('<' || name || '_t
 SELECT track, win AS window_id, md5('<fps_30> ' || string_agg(piece, ' ' ORDER BY j)) AS token_md5 FROM s GROUP BY ALL""")
 def q111_pose_tokens(t: Tables) -> DataFrame:
     """Control-point tokens of every window of eight frames."""
-    return pose.track_tokens(_tracks(t)).select("track", "window_id", F.md5("token_str").alias("token_md5"))
+    return poseframes.window_tokens(_windows(t)).select("track", "window_id", F.md5("token_str").alias("token_md5"))
 
 
 @query(f"""{_POINTS} SELECT track, win AS window_id, md5('<fps_30> ' || string_agg('<joint_' || j || '_x_' || {_CODE.format("x")} || '> <joint_' || j || '_y_' || {_CODE.format("y")} || '> <joint_' || j || '_z_' || {_CODE.format("z")} || '>', ' ' ORDER BY i, j)) AS token_md5 FROM w GROUP BY ALL""")
 def q112_dense_pose_tokens(t: Tables) -> DataFrame:
     """Every coordinate of every window as a token."""
-    return pose.track_windows(_tracks(t), pose.dense_tokens).select("track", "window_id", F.md5("token_str").alias("token_md5"))
+    return poseframes.window_text(_windows(t), pose.dense_tokens).select("track", "window_id", F.md5("token_str").alias("token_md5"))
 
 
 def _source(k: int) -> str:
@@ -250,22 +250,71 @@ u AS (SELECT track, f, unnest(range(17)) AS joint, unnest([{joints}]) AS q FROM
 @query(_bone_sql())
 def q114_normalised_poses(t: Tables) -> DataFrame:
     """Poses with the pelvis at the origin and bones of fixed lengths."""
-    d = pose.map_tracks(_tracks(t), pose.normalise).select("track", F.posexplode("frames").alias("f", "joints"))
-    d = d.select("track", F.col("f").cast("bigint").alias("f"), F.posexplode("joints").alias("joint", "q"))
-    return d.select("track", "f", F.col("joint").cast("bigint").alias("joint"), *[F.round(F.get("q", F.lit(k)), 5).alias(n) for k, n in enumerate("xyz")])
+    d = poseframes.map_frames(_frames(t), pose.normalise).select("track", "f", "xyz", F.explode(F.sequence(F.lit(0), F.lit(16))).alias("joint"))
+    return d.select("track", "f", F.col("joint").cast("bigint").alias("joint"), *[F.round(F.get("xyz", 3 * F.col("joint") + k), 5).alias(n) for k, n in enumerate("xyz")])
 
 
-@query(f"""{_POINTS}, b AS (SELECT *, lag(x) OVER o - 2 * x + lead(x) OVER o AS bx, lag(y) OVER o - 2 * y + lead(y) OVER o AS by_, lag(z) OVER o - 2 * z + lead(z) OVER o AS bz FROM w WINDOW o AS (PARTITION BY track, win, j ORDER BY i)),
-t AS (SELECT track, win, j, arg_min(x, i) AS x0, arg_max(x, i) AS x7 FROM b GROUP BY ALL HAVING max(sqrt(bx * bx + by_ * by_ + bz * bz)) < 0.005),
-v AS (SELECT track, win, j, {_CODE.format("x0")} / 255.0::DOUBLE * 4 - 2 AS a, {_CODE.format("x7")} / 255.0::DOUBLE * 4 - 2 AS b FROM t)
-SELECT track, win AS window_id, j AS joint, step, round(a + (b - a) * (step / 14.0::DOUBLE), 6) AS x FROM v, range(15) r(step)""")
+_TIERED = f"""{_POINTS}, b AS (SELECT *, lag(x) OVER o - 2 * x + lead(x) OVER o AS bx, lag(y) OVER o - 2 * y + lead(y) OVER o AS by_, lag(z) OVER o - 2 * z + lead(z) OVER o AS bz FROM w WINDOW o AS (PARTITION BY track, win, j ORDER BY i)),
+c AS (SELECT *, sqrt(bx * bx + by_ * by_ + bz * bz) AS bend FROM b), tiers AS (SELECT *, max(bend) OVER g AS most, CASE WHEN max(bend) OVER g < 0.005 THEN 2 WHEN max(bend) OVER g < 0.05 THEN 4 ELSE 8 END AS points, row_number() OVER (PARTITION BY track, win, j ORDER BY bend DESC NULLS LAST, i DESC) AS rank FROM c WINDOW g AS (PARTITION BY track, win, j))"""
+
+
+def _coded(axis: str) -> str:
+    return f"{_CODE.format(axis)} / 255.0::DOUBLE * 4 - 2"
+
+
+def _curve_sql(knots: str, key: str, steps: str) -> str:
+    """CTEs from ``knots`` (key, t, y) to ``curve`` (key, pos, y): the monotone cubic at the places of ``steps`` (pos)."""
+    end = lambda h0, h1, d0, d1: f"CASE WHEN ((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1}) * {d0} <= 0 THEN 0 WHEN {d0} * {d1} <= 0 AND abs(((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1})) > 3 * abs({d0}) THEN 3 * {d0} ELSE ((2 * {h0} + {h1}) * {d0} - {h0} * {d1}) / ({h0} + {h1}) END"
+    o = f"(PARTITION BY {key} ORDER BY t)"
+    return f"""k1 AS (SELECT *, (lead(t) OVER {o} - t)::DOUBLE AS h, (lead(y) OVER {o} - y) / (lead(t) OVER {o} - t) AS d, lead(y) OVER {o} AS y1, count(*) OVER (PARTITION BY {key}) AS many FROM {knots}),
+k2 AS (SELECT *, lag(h) OVER {o} AS hp, lag(d) OVER {o} AS dp, lag(h, 2) OVER {o} AS hpp, lag(d, 2) OVER {o} AS dpp, lead(h) OVER {o} AS hn, lead(d) OVER {o} AS dn FROM k1),
+k3 AS (SELECT *, CASE WHEN many < 3 THEN 0 WHEN hp IS NULL THEN {end("h", "hn", "d", "dn")} WHEN h IS NULL THEN {end("hp", "hpp", "dp", "dpp")} WHEN dp * d > 0 THEN (3 * h + 3 * hp) / ((2 * h + hp) / dp + (h + 2 * hp) / d) ELSE 0 END AS m FROM k2),
+k4 AS (SELECT *, lead(m) OVER {o} AS m1 FROM k3),
+curve AS (SELECT {key}, pos, CASE WHEN many = 1 THEN y WHEN many = 2 THEN y + d * (pos - t) ELSE (1 + 2 * ((pos - t) / h)) * (1 - (pos - t) / h) ** 2 * y + (pos - t) / h * (1 - (pos - t) / h) ** 2 * h * m + ((pos - t) / h) ** 2 * (3 - 2 * ((pos - t) / h)) * y1 + ((pos - t) / h) ** 2 * ((pos - t) / h - 1) * h * m1 END AS y FROM k4, {steps} WHERE many = 1 OR (h IS NOT NULL AND pos >= t AND (pos < t + h OR (hn IS NULL AND pos = t + h))))"""
+
+
+@query(f"""{_TIERED}, knots AS (SELECT track, win, j, i AS t, unnest([0, 1, 2]) AS axis, unnest([{_coded("x")}, {_coded("y")}, {_coded("z")}]) AS y FROM tiers WHERE i IN (0, 7) OR rank <= points - 2),
+steps AS (SELECT step, step / 2.0::DOUBLE AS pos FROM range(15) r(step)), {_curve_sql("knots", "track, win, j, axis", "steps")}
+SELECT track, win AS window_id, j AS joint, CAST(pos * 2 AS BIGINT) AS step, round(max(y) FILTER (axis = 0), 6) AS x, round(max(y) FILTER (axis = 1), 6) AS y, round(max(y) FILTER (axis = 2), 6) AS z FROM curve GROUP BY ALL""")
 def q118_decoded_poses(t: Tables) -> DataFrame:
-    """Tokens decoded at twice the frame rate: joints with two control points move on a line."""
-    names = F.array(*[F.lit(n) for n in pose.JOINTS])
-    w = pose.track_tokens(_tracks(t)).select("track", "window_id", "token_str", F.explode("cp_counts").alias("name", "points")).filter("points = 2")
-    d = pose.decoded(w.select("track", "window_id", "token_str").distinct(), times=2)
-    still = w.select("track", "window_id", (F.array_position(names, F.col("name")) - 1).alias("joint"))
-    return d.join(still, ["track", "window_id", "joint"]).select("track", "window_id", "joint", "step", F.round("x", 6).alias("x"))
+    """Tokens decoded at twice the frame rate: every joint on the monotone cubic through its two, four or eight points."""
+    d = poseframes.decoded(poseframes.window_tokens(_windows(t)), times=2)
+    return d.select("track", "window_id", "joint", "step", *[F.round(c, 6).alias(c) for c in "xyz"])
+
+
+@query(f"""{_POINTS}, counts AS (SELECT n, CASE WHEN n = 1 THEN [0::BIGINT] ELSE list_distinct(list_transform(range(n), lambda k: CAST(round_even(k * 7 / (n - 1)::DOUBLE, 0) AS BIGINT))) END AS kept FROM range(1, 9) r(n)),
+knots AS (SELECT n, track, win, j, i AS t, unnest([0, 1, 2]) AS axis, unnest([{_coded("x")}, {_coded("y")}, {_coded("z")}]) AS y FROM w, counts WHERE list_contains(kept, i)),
+steps AS (SELECT k::DOUBLE AS pos FROM range(8) r(k)), {_curve_sql("knots", "n, track, win, j, axis", "steps")},
+e AS (SELECT n, track, win, j, avg(abs(curve.y - CASE axis WHEN 0 THEN w.x WHEN 1 THEN w.y ELSE w.z END)) AS error FROM curve JOIN w USING (track, win, j) WHERE w.i = pos GROUP BY ALL)
+SELECT n AS count, count(*) AS samples, round(avg(error), 6) AS mean, round(quantile_cont(error, 0.95), 6) AS high FROM e GROUP BY n""")
+def q117b_control_point_sweep(t: Tables) -> DataFrame:
+    """Mean and 95th percentile of the error that one to eight evenly spaced coded points leave, over all joints and windows."""
+    r = poseframes.sweep_report(_windows(t))
+    return r.select("count", "samples", F.round("mean", 6).alias("mean"), F.round("high", 6).alias("high"))
+
+
+@query(f"""{_TIERED}, s AS (SELECT track, win, j, bool_and(points = 2) AS straight, bool_and(points = 2) AND {" AND ".join(f"max({_CODE.format(c)}) FILTER (i = 0) = max({_CODE.format(c)}) FILTER (i = 7)" for c in "xyz")} AS static FROM tiers GROUP BY ALL)
+SELECT count(DISTINCT (track, win)) AS windows, count(*) FILTER (straight) AS straight, count(*) FILTER (static) AS static FROM s""")
+def q117c_static_joints(t: Tables) -> DataFrame:
+    """Joints on a line, and those of them whose coded ends agree, so that one point would do."""
+    return poseframes.static_joints(_windows(t))
+
+
+@query(f"""{_POINTS}, a AS (SELECT *, x - first(x) OVER g AS rx, y - first(y) OVER g AS ry, z - first(z) OVER g AS rz, first(x) OVER g AS ax, first(y) OVER g AS ay, first(z) OVER g AS az FROM w WINDOW g AS (PARTITION BY track, win, j ORDER BY i)),
+s AS (SELECT *, max(greatest(abs(rx), abs(ry), abs(rz))) OVER (PARTITION BY track, win) + 1e-6::DOUBLE AS scale FROM a), u AS (SELECT *, rx / scale AS nx, ry / scale AS ny, rz / scale AS nz FROM s),
+d AS (SELECT *, sqrt((nx - lag(nx) OVER o) ** 2 + (ny - lag(ny) OVER o) ** 2 + (nz - lag(nz) OVER o) ** 2) AS step, sqrt((lag(nx) OVER o - 2 * nx + lead(nx) OVER o) ** 2 + (lag(ny) OVER o - 2 * ny + lead(ny) OVER o) ** 2 + (lag(nz) OVER o - 2 * nz + lead(nz) OVER o) ** 2) AS bend FROM u WINDOW o AS (PARTITION BY track, win, j ORDER BY i)),
+f AS (SELECT track, win, i, avg(bend) AS bend, CASE WHEN i > 0 THEN greatest(avg(step), 1e-5::DOUBLE) ELSE 0 END AS step FROM d GROUP BY track, win, i),
+r AS (SELECT *, row_number() OVER (PARTITION BY track, win ORDER BY bend DESC NULLS LAST, i DESC) AS rank, sum(step) OVER (PARTITION BY track, win ORDER BY i) / sum(step) OVER (PARTITION BY track, win) AS arc FROM f),
+k AS (SELECT track, win, i, arc FROM r WHERE i IN (0, 7) OR rank <= 2),
+picks AS (SELECT track, win, string_agg(i::VARCHAR, ',' ORDER BY i) AS kept, list(arc ORDER BY i) AS arcs FROM k GROUP BY track, win),
+m AS (SELECT track, win, string_agg(concat_ws(',', CAST(floor((least(greatest(nx, -1), 1) + 1) * 127.5::DOUBLE) AS BIGINT), CAST(floor((least(greatest(ny, -1), 1) + 1) * 127.5::DOUBLE) AS BIGINT), CAST(floor((least(greatest(nz, -1), 1) + 1) * 127.5::DOUBLE) AS BIGINT)), ',' ORDER BY i, j) AS motion FROM d SEMI JOIN k USING (track, win, i) GROUP BY track, win),
+h AS (SELECT track, win, CAST(round_even(least(max(scale), 2) / 2 * 255, 0) AS BIGINT) AS scale, string_agg(concat_ws(',', {", ".join(f"CAST(round_even((least(greatest(a{c}, -2), 2) + 2) / 4 * 255, 0) AS BIGINT)" for c in "xyz")}), ',' ORDER BY j) AS anchor FROM s WHERE i = 0 GROUP BY track, win)
+SELECT track, win AS window_id, kept, round(arcs[2], 6) AS arc_2, round(arcs[3], 6) AS arc_3, md5(scale || ',' || anchor || ',' || motion) AS tokens_md5 FROM picks JOIN m USING (track, win) JOIN h USING (track, win)""")
+def q112b_legacy_packages(t: Tables) -> DataFrame:
+    """Windows as packages of 256 numbers: scale, anchor and four frames, with their places along the arc."""
+    w = poseframes.window_packages(_windows(t))
+    arc = lambda k: F.round(F.get("arc", F.lit(k)), 6).alias(f"arc_{k + 1}")
+    return w.select("track", "window_id", F.array_join("kept", ",").alias("kept"), arc(1), arc(2), F.md5(F.array_join("tokens", ",")).alias("tokens_md5"))
 
 
 def _distance(a: str, b: str) -> str:
@@ -277,7 +326,7 @@ d AS (SELECT track, f, {_distance("ps[1]", "ps[9]")} + 1e-6::DOUBLE AS torso, {_
 SELECT track, f, shoulders / torso < {pose.SHOULDER_RATIO[0]} OR shoulders / torso > {pose.SHOULDER_RATIO[1]} OR longest > {pose.LONGEST_BONE} * torso OR middle < {pose.NEAREST_MEDIAN} * torso AS implausible FROM d""")
 def q119_implausible_poses(t: Tables) -> DataFrame:
     """Frames that no body can make."""
-    d = pose.track_flags(_tracks(t), pose.implausible)
+    d = poseframes.frame_flags(_frames(t), pose.implausible)
     return d.select("track", "f", F.col("flag").alias("implausible"))
 
 
@@ -286,17 +335,85 @@ c AS (SELECT p.track, greatest(mx, my, mz) >= 1e-4 AS moved, max(greatest(abs(p.
 SELECT track, far > 2 AS out_of_range, round(far, 6) AS far FROM c""")
 def q119b_input_guard(t: Tables) -> DataFrame:
     """Tracks centred on the pelvis if they are not, and whether a coordinate is out of the coded range."""
-    guarded = pose.map_tracks(_tracks(t), lambda a: pose.centre_if_needed(a)[0])
-    far = F.array_max(F.flatten(F.transform("frames", lambda f: F.transform(f, lambda j: F.array_max(F.transform(j, lambda v: F.abs(v)))))))
-    return guarded.select("track", (far > 2).alias("out_of_range"), F.round(far, 6).alias("far"))
+    guarded = poseframes.guarded(_frames(t))
+    return guarded.groupBy("track").agg(F.max(F.array_max(F.transform("xyz", lambda v: F.abs(v)))).alias("far")).select("track", (F.col("far") > 2).alias("out_of_range"), F.round("far", 6).alias("far"))
 
 
-@query()
+def _rest() -> list[float]:
+    """A standing body: every bone down or up, the hips and shoulders to the side."""
+    at = {0: (0.0, 0.0, 0.0)}
+    for parent, child, length in pose.BONES:
+        side = {1: 1, 14: 1, 4: -1, 11: -1}.get(child, 0)
+        way = (side, 0, 0) if side else (0, 1 if child in (2, 3, 5, 6, 12, 13, 15, 16) else -1, 0.1)
+        at[child] = tuple(a + w * length for a, w in zip(at[parent], way, strict=True))
+    return [round(v + 1.0, 6) for j in range(17) for v in at[j]]
+
+
+# Bodies that move with the vectors: some frames shaken, some moved away, some without a pelvis; coordinates missing here and there, and for longer.
+_SHAKEN, _AWAY, _ROOTLESS = "CASE WHEN vec_id % 7 = 0 THEN 1.5D ELSE 0.1D END", "CASE WHEN vec_id % 13 = 0 THEN 0.6D ELSE 0.0D END", "vec_id % 29 = 0"
+_MISSING = "(vec_id * 31 + {c}) % 53 = 0 OR ({c} BETWEEN 24 AND 26 AND vec_id // 80 % 5 = 1)"
+
+
+def _bodies(t: Tables) -> DataFrame:
+    def value(c: int, rest: float):
+        moved = F.lit(rest) + F.get("embedding", F.lit(c)).cast("double") * F.expr(_SHAKEN) + F.expr(_AWAY)
+        missing = F.expr(_MISSING.format(c=c).replace("//", "DIV"))
+        return F.when(F.expr(_ROOTLESS), F.lit(0.0)).when(~missing, moved)
+
+    return poseframes.pose_frames(t.embeddings, F.col("label"), "vec_id", F.array(*[value(c, r) for c, r in enumerate(_rest())]))
+
+
+_BODIES = f"""WITH fr AS (SELECT vec_id, label::VARCHAR AS track, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS f FROM embeddings),
+raw AS (SELECT track, f, c, CASE WHEN {_ROOTLESS} THEN 0.0::DOUBLE WHEN NOT ({_MISSING.format(c="c")}) THEN {[*_rest()]}[c + 1]::DOUBLE + embedding[c + 1]::DOUBLE * {_SHAKEN.replace("D ", "::DOUBLE ")} + {_AWAY.replace("D ", "::DOUBLE ")} END AS v FROM fr, range(51) r(c)),
+n AS (SELECT track, count(*) AS n, greatest(2, CAST(round_even(count(*) / 24.0::DOUBLE * 30, 0) AS BIGINT)) AS m FROM fr GROUP BY track),
+g AS (SELECT track, n, m, unnest(range(m)) AS f FROM n), i AS (SELECT *, least(f * (n - 1) // (m - 1), n - 2) AS k FROM g),
+u AS (SELECT i.track, i.f, m, a.c, CASE WHEN i.f * (n - 1) = k * (m - 1) THEN a.v WHEN i.f * (n - 1) = (k + 1) * (m - 1) THEN b.v ELSE a.v + (b.v - a.v) * ((i.f * (n - 1) - k * (m - 1)) / (m - 1)::DOUBLE) END AS v FROM i JOIN raw a ON a.track = i.track AND a.f = i.k JOIN raw b ON b.track = i.track AND b.f = i.k + 1 AND b.c = a.c),
+ends AS (SELECT *, last(CASE WHEN v IS NOT NULL THEN {{'f': f, 'v': v}} END IGNORE NULLS) OVER (PARTITION BY track, c ORDER BY f) AS lo, first(CASE WHEN v IS NOT NULL THEN {{'f': f, 'v': v}} END IGNORE NULLS) OVER (PARTITION BY track, c ORDER BY f ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi FROM u),
+filled AS (SELECT track, f, c, CASE WHEN v IS NOT NULL OR coalesce(hi.f, m) - coalesce(lo.f, -1) - 1 > 5 THEN v WHEN lo IS NULL THEN hi.v WHEN hi IS NULL THEN lo.v ELSE lo.v + (hi.v - lo.v) / (hi.f - lo.f) * (f - lo.f) END AS v FROM ends),
+s AS (SELECT track, f, list_transform(range(17), lambda j: vs[3 * j + 1:3 * j + 3]) AS ps FROM (SELECT track, f, list(v ORDER BY c) AS vs FROM filled GROUP BY track, f))"""
+
+
+def _clean_sql() -> str:
+    """The steps of cleaning as CTEs over frames, 24 to 30 a second."""
+    bones, named = [], ["n0 AS (SELECT track, f, out, bad, ps, [0.0::DOUBLE, 0.0, 0.0] AS q0 FROM m)"]
+    for i, (parent, child, length) in enumerate(pose.BONES):
+        d = [f"(ps[{child + 1}][{k}] - ps[{parent + 1}][{k}])" for k in (1, 2, 3)]
+        norm = f"(sqrt({d[0]} * {d[0]} + {d[1]} * {d[1]} + {d[2]} * {d[2]}) + 1e-8::DOUBLE)"
+        named.append(f"n{i + 1} AS (SELECT *, [" + ", ".join(f"q{parent}[{k}] + {d[k - 1]} / {norm} * {length}::DOUBLE" for k in (1, 2, 3)) + f"] AS q{child} FROM n{i})")
+    bones = ", ".join(named)
+    unit = lambda v: f"(CASE WHEN {v} IS NOT NULL THEN list_transform({v}, lambda c: c / (sqrt(list_sum(list_transform({v}, lambda e: e * e))) + 1e-8::DOUBLE)) END)"
+    less = lambda a, b: f"[q[{a + 1}][1] - q[{b + 1}][1], q[{a + 1}][2] - q[{b + 1}][2], q[{a + 1}][3] - q[{b + 1}][3]]"
+    leg = lambda hip, knee, ankle: f"(coalesce(-(q[{ankle + 1}][2] - q[1][2]) > {pose.FOOT_MARGIN} * span, false) OR coalesce((t{hip}[2] * c{hip}[3] - t{hip}[3] * c{hip}[2]) * hips[1] + (t{hip}[3] * c{hip}[1] - t{hip}[1] * c{hip}[3]) * hips[2] + (t{hip}[1] * c{hip}[2] - t{hip}[2] * c{hip}[1]) * hips[3] < {pose.BEND_LEAST}, false) OR coalesce(t{hip}[1] * c{hip}[1] + t{hip}[2] * c{hip}[2] + t{hip}[3] * c{hip}[3] < 0, false))"
+    laid = lambda j, hip, far: f"[q[{hip + 1}][k] + spine[k] * {far}::DOUBLE for k in [1, 2, 3]]"
+    moved = {5: (4, 0.45), 6: (4, 0.9), 2: (1, 0.45), 3: (1, 0.9)}
+    joints = ", ".join(f"CASE WHEN w{moved[j][0]} THEN {laid(j, *moved[j])} ELSE q[{j + 1}] END" if j in moved else f"q[{j + 1}]" for j in range(17))
+    return f"""{_BODIES},
+d AS (SELECT *, {_distance("ps[1]", "ps[9]")} + 1e-6::DOUBLE AS torso, {_distance("ps[15]", "ps[12]")} AS shoulders, greatest({", ".join(_distance(f"ps[{c + 1}]", f"ps[{p + 1}]") for p, c, _ in pose.BONES)}) AS longest, list_median([{", ".join(_distance(f"ps[{k + 1}]", "ps[1]") for k in range(1, 17))}]) AS middle FROM s),
+o AS (SELECT track, f, ps, coalesce(shoulders / torso < {pose.SHOULDER_RATIO[0]} OR shoulders / torso > {pose.SHOULDER_RATIO[1]}, false) OR coalesce(longest > {pose.LONGEST_BONE} * torso, false) OR coalesce(middle < {pose.NEAREST_MEDIAN} * torso, false) AS out FROM d),
+m AS (SELECT track, f, out, ps, coalesce({_distance("(CASE WHEN NOT out THEN ps[1] END)", "(lag(CASE WHEN NOT out THEN ps[1] END) OVER (PARTITION BY track ORDER BY f))")} > {pose.PELVIS_JUMP}, false) OR (NOT out AND coalesce(ps[1] = [0.0::DOUBLE, 0.0, 0.0], false)) AS bad FROM o),
+{bones}, v AS (SELECT track, f, bad, unnest(range(17)) AS j, unnest([{", ".join(f"CASE WHEN NOT bad AND NOT (out AND {k} > 0) AND q{k}[1] IS NOT NULL THEN q{k} END" for k in range(17))}]) AS q FROM n{len(pose.BONES)}),
+l AS (SELECT track, max(f) AS last FROM v GROUP BY track),
+e AS (SELECT v.*, last, first(q) OVER (PARTITION BY track, j ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS q_first, last(q) OVER (PARTITION BY track, j ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS q_last, {", ".join(f"lag(q, {k}) OVER t AS b{k}, lead(q, {k}) OVER t AS a{k}" for k in (1, 2))} FROM v JOIN l USING (track) WINDOW t AS (PARTITION BY track, j ORDER BY f)),
+near AS (SELECT track, f, bad, j, q, list_filter([CASE WHEN f < 2 THEN q_first ELSE b2 END, CASE WHEN f < 1 THEN q_first ELSE b1 END, q, CASE WHEN f + 1 > last THEN q_last ELSE a1 END, CASE WHEN f + 2 > last THEN q_last ELSE a2 END], lambda x: x IS NOT NULL) AS around FROM e),
+sm AS (SELECT track, f, bad, j, CASE WHEN q IS NOT NULL THEN [list_sum([x[c] for x in around]) / len(around) for c in [1, 2, 3]] END AS q FROM near),
+reach AS (SELECT track, f, avg(sqrt((q[1] - r[1]) ** 2 + (q[2] - r[2]) ** 2 + (q[3] - r[3]) ** 2)) AS reach FROM (SELECT *, max(q) FILTER (j = 0) OVER (PARTITION BY track, f) AS r FROM sm) GROUP BY ALL), span AS (SELECT track, median(reach) AS span FROM reach GROUP BY track),
+sp AS (SELECT *, [(q[c] - (lag(q) OVER t)[c]) * 30 for c in [1, 2, 3]] AS v FROM sm JOIN span USING (track) WINDOW t AS (PARTITION BY track, j ORDER BY f)),
+ac AS (SELECT *, [(v[c] - (lag(v) OVER t)[c]) * 30 for c in [1, 2, 3]] AS a FROM sp WINDOW t AS (PARTITION BY track, j ORDER BY f)),
+kept AS (SELECT track, f, bad, span, j, CASE WHEN coalesce(sqrt(v[1] ** 2 + v[2] ** 2 + v[3] ** 2) / span > {pose.MOST_SPEED}, false) OR coalesce(sqrt(a[1] ** 2 + a[2] ** 2 + a[3] ** 2) / span > {pose.MOST_ACCELERATION}, false) THEN NULL ELSE q END AS q FROM ac),
+fr2 AS (SELECT track, f, any_value(bad) AS bad, any_value(span) AS span, list(q ORDER BY j) AS q FROM kept GROUP BY track, f),
+legs AS (SELECT *, {unit(less(4, 1))} AS hips, {unit(less(0, 8))} AS spine, {", ".join(f"{unit(less(hip + 1, hip))} AS t{hip}, {unit(less(hip + 2, hip + 1))} AS c{hip}" for hip in (1, 4))} FROM fr2),
+wrong AS (SELECT *, {", ".join(f"{leg(hip, hip + 1, hip + 2)} AS w{hip}" for hip in (1, 4))} FROM legs),
+fin AS (SELECT track, f, CASE WHEN bad OR span IS NULL OR span = 0 THEN [] ELSE [x for x in [{joints}] if x IS NOT NULL AND x[1] IS NOT NULL AND x[2] IS NOT NULL AND x[3] IS NOT NULL] END AS q FROM wrong)
+SELECT track, f, len(q) AS joints, round(coalesce(list_sum([x[1] + x[2] + x[3] for x in q]), 0), 4) AS total FROM fin"""
+
+
+@query(_clean_sql())
 def q115_cleaned_poses(t: Tables) -> DataFrame:
-    """Raw tracks resampled, filled and cleaned: frames and joints left of each track (iterative, tested against numpy by hand)."""
-    c = pose.clean_tracks(_tracks(t), src_fps=24.0)
-    whole = lambda j: F.forall(j, lambda v: v.isNotNull())
-    return c.select("track", F.size("frames").alias("frames"), F.aggregate("frames", F.lit(0), lambda n, f: n + F.size(F.filter(f, whole))).alias("joints"))
+    """Raw tracks resampled, filled and cleaned in blocks with a halo: joints left of every frame, and the sum of their coordinates."""
+    c = poseframes.cleaned(_bodies(t), src_fps=24.0, size=64)
+    joints = F.filter(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda j: F.slice("xyz", 3 * j + 1, 3)), lambda p: F.forall(p, lambda v: v.isNotNull()))
+    total = F.aggregate(F.flatten(joints), F.lit(0.0), lambda acc, v: acc + v)
+    return c.select("track", "f", F.size(joints).cast("bigint").alias("joints"), F.round(total, 4).alias("total"))
 
 
 @query(f"""{FR}, n AS (SELECT user_id, count(*) AS n FROM fr GROUP BY user_id), g AS (SELECT fr.user_id, fr.f, min(w) AS w FROM fr JOIN n USING (user_id), LATERAL (SELECT unnest([fr.f // 4 * 4 - 4, fr.f // 4 * 4]) AS w) x WHERE w >= 0 AND w + 8 <= n AND event_type <> 'error' GROUP BY ALL)

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: The folder that holds this package.
 ROOT = str(Path(__file__).resolve().parent.parent)
@@ -40,3 +40,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nobody else uses."""
     return f"{shared_folder(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from files in the shared folder, so that it is computed once and a lost executor loses nothing."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
