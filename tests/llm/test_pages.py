@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,12 +61,59 @@ def test_pages_through_spark(spark):
 def test_words_of_names_drop_no_article():
     pages = [f'<body><div class="layout-with-sidebar"><article><div class="entry-header"><h1>Head {i}</h1></div><section id="form-of-government"><p>text {i}</section><div class="ad">buy {i}</div></article></div></body>' for i in range(4)]
     assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(4)]
-    assert templates.main_texts(pages[:1]) == ["Head 0\ntext 0\nbuy 0"]  # one page shows no template
+    assert templates.main_texts(pages[:1]) == ["Head 0\ntext 0"]
 
 
-def test_repeated_text_inside_articles_is_template():
-    pages = [f"<article><h1>Head {i}</h1><p>text {i}<div class=x>Send this to a friend</div></article>" for i in range(10)]
-    assert templates.main_texts(pages) == [f"Head {i}\ntext {i}" for i in range(10)]
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 10, 40])
+def test_what_articles_share_stays_on_any_number_of_pages(n):
+    pages = [page(f"<article><h2>Introduction</h2><p>unique {i}</p><h2>See also</h2><p>All rights of man.</p></article>") for i in range(n)]
+    assert templates.main_texts(pages) == [f"Introduction\nunique {i}\nSee also\nAll rights of man." for i in range(n)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5])
+def test_readers_comments_go_on_any_number_of_pages(n):
+    inner = ["<div class='comments'><p>first!</p></div>", "<div id='comments-wrapper'><p>nice</p></div>", "<article class=comment>me too</article>", "<ol class='commentlist'><li>so long a comment that it is longer than the text</ol>"]
+    pages = [f"<body><article><h1>Head {i}</h1><p>text {i} and more of it, as an article has</p>{''.join(inner)}</article></body>" for i in range(n)]
+    assert templates.main_texts(pages) == [f"Head {i}\ntext {i} and more of it, as an article has" for i in range(n)]
+
+
+def several(n, tag="article"):
+    return [f"<html><body><nav><a href=/a>One {i}</a><a>Two</a></nav><div class=x1>buy {'it' * (i % 3)} now</div><div class=wrap><{tag} class=q><h1>Head {i}</h1>{''.join(f'<p>text {i} {k} of some length' for k in range(1 + i % 4))}</{tag}></div><div class=y>me {i}</div></body></html>" for i in range(n)]
+
+
+def test_the_template_decides_without_tags_and_words(monkeypatch):
+    want = ["\n".join([f"Head {i}", *(f"text {i} {k} of some length" for k in range(1 + i % 4))]) for i in range(12)]
+    assert templates.main_texts(several(12)) == want
+    assert templates.main_texts(several(12, "div")) == want
+    assert all(templates.main_text(templates.tokens(p), templates.Template(0, (), set())) != w for p, w in zip(several(12), want, strict=True))
+    for name in ("BOILERPLATE", "MAIN", "BOILERPLATE_WORDS", "COMMENT_WORDS", "START_WORDS"):
+        monkeypatch.setattr(templates, name, frozenset())
+    assert templates.main_texts(several(12)) == want
+
+
+def test_pages_without_the_main_element_of_their_host():
+    pages = [*several(6), "<html><body><nav><a>One</a></nav><p>not found</p></body></html>", "loose text"]
+    assert templates.main_texts(pages)[-2:] == ["not found", "loose text"]
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<a ", '<a "', "<a '>\"", "<![CDATA[", "<!--", "<p><table><tr><td><div>", "<div class=ad>", "</div>", "<li>", "<b>", "<", '<a ">"', "<ul><li><p>", "<td>", "x < y "])
+def test_broken_markup_takes_time_in_proportion(piece):
+    page = (piece * (400_000 // len(piece))) + "end"
+    before = time.process_time()
+    text = templates.main_texts([page])[0]
+    assert time.process_time() - before < 20 and text is not None
+
+
+def test_spark_gives_what_one_host_at_a_time_gives(spark):
+    rows = [(100 * h + i, f"http://h{h}.org/{i}", p) for h, n in enumerate((1, 2, 3, 9, 70)) for i, p in enumerate(several(n, "article" if h % 2 else "section"))]
+    rows += [(9000 + i, "http://h4.org/copy", several(3, "article")[2]) for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {}
+    for h in range(5):
+        own = [r for r in rows if f"//h{h}." in r[1]]
+        want |= dict(zip([r[0] for r in own], templates.main_texts([r[2] for r in own]), strict=True))
+    for n in (5, 64):
+        assert {r.page_id: r.text for r in templates.extract_main_text(df, group_pages=n).collect()} == want
 
 
 def test_template_is_of_all_pages_of_a_host(spark):
@@ -167,8 +216,9 @@ def brute_classes(pages):
     """Classes by whole occurrence vectors: tokens on half of the distinct pages or more, in an order that all pages keep."""
     distinct = {}
     for page in pages:
-        key, seq = templates.features(page)
-        distinct[key] = seq
+        key, seq, _ = templates.features(page)
+        if key not in distinct or np.array(seq, np.int64).tobytes() < np.array(distinct[key], np.int64).tobytes():
+            distinct[key] = seq
     keys = sorted(distinct)
     places = {}
     for k in keys:

@@ -9,15 +9,17 @@ order on all of them (those that break it leave the class).  On a page the
 classes nest, one in a gap between two tokens of another; tokens that overlap
 are no part of the template there.  What remains between are the slots.
 
-Template text is dropped; inside an article or main only from MAIN_PAGES
-distinct pages on, as fewer pages can share real sentences.  Tags and words
-label the slots: menus, page headers, footers, sidebars, notices, adverts,
-forms, comments, scripts and styles are dropped, and where a page has an
-article, so is what stands outside it.  A class, id or role word counts only
-if the element's start tag is part of the template, and is not handed down into
-an article.
-
-Four passes: pages to token hashes, dealt by host; candidates of blocks of
+Each slot is judged by the host's pages together.  What counts is text outside
+links, by the path of elements that it stands in: from the page down, the main
+text is sought in the element that holds at least half of it, as long as that
+element belongs to the class of what is once on a page and holds other blocks,
+not text of its own.  Slots outside the element found are furniture, and so are
+slots in it whose start tag is part of the template and named like furniture.
+Tags weigh in: text of menus, footers, forms, scripts and the like counts
+nothing and is never kept, text of an article counts more, and the search ends
+at an article.  A host's single page is judged in the same way.
+
+Four passes: pages to token hashes, dealt by host, and the text of each path; candidates of blocks of
 pages (what occurs on half of a host's pages does so in one of its blocks);
 their exact vectors and order over all blocks; pages beside their template.
 """
@@ -48,8 +50,10 @@ HOT_PAGES, HOT_SHARE = 256, 10_000
 TASK_PAGES = 1_024
 #: Share of a host's distinct pages on which a class must occur to be part of the template.
 SUPPORT = 0.5
-#: Distinct pages from which a host has a template, and from which template text inside an article goes.
-LEAST_PAGES, MAIN_PAGES = 3, 8
+#: Share of the text above it that an element must hold to be searched further; times that text of an article counts.
+MAIN_SHARE, MAIN_WEIGHT = 0.5, 4
+#: Fewer distinct pages than this tell no template from what a page holds by itself, so every start tag counts as part of it.
+LEAST_PAGES = 3
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -63,11 +67,16 @@ BOILERPLATE_WORDS = frozenset(
 #: No label inside an article, as its own header is text.
 NOT_IN_MAIN = frozenset(("header", "masthead"))
 MAIN = frozenset(("article", "main"))
+#: Words of readers' comments, which are no main text even as an article inside an article.
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
+#: Words that say furniture at the start of a longer name too, inside an article.
+START_WORDS = COMMENT_WORDS | frozenset("ad ads advert adverts advertisement".split())
 NEVER_BY_CLASS = frozenset("html body article main".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SIBLINGS = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+_TAG_NAME = re.compile(r"/?[A-Za-z][^\s/>]*")
+_QUOTE_OR_END = re.compile(r"[\"'>]")
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[A-Za-z]+")
@@ -76,89 +85,178 @@ _SPACE = re.compile(r"\s+")
 Token = tuple  # (kind, what, path, block, inside): kind 0 tag, 1 text
 
 
+#: Elements within which an open element of each name may be closed by a following one.
+_SCOPES = {"p": ("td", "th", "button", "object", "caption"), **SIBLINGS}
+_STARTS_SCOPE: dict[str, tuple[str, ...]] = {}
+for _name, _stops in _SCOPES.items():
+    for _stop in _stops:
+        _STARTS_SCOPE[_stop] = (*_STARTS_SCOPE.get(_stop, ()), _name)
+
+
 class Element:
-    __slots__ = ("name", "key", "path", "hard", "main", "whole", "labelled")
+    __slots__ = ("name", "key", "path", "parent", "hard", "main", "starts_main", "label", "chars", "own", "gone")
 
     def __init__(self, name: str, attributes: str, parent: Element | None):
         names = {k.lower(): v.strip("\"'") for k, v in _NAME.findall(attributes)} if attributes and "=" in attributes else {}
-        self.name = name
+        self.name, self.parent = name, parent
         self.key = _DIGITS.sub("9", " ".join([name, *(f"{k}={v}" for k, v in sorted(names.items()))]))
-        self.path = self.key if parent is None else parent.path if name in INLINE else f"{parent.path}>{self.key}"
-        starts_main = name in MAIN or names.get("role") in ("main", "article")
-        self.main = (parent is not None and parent.main) or starts_main
+        #: A number for the path of block elements down to this one.
+        self.path = 0 if parent is None else parent.path if name in INLINE else xxhash.xxh3_64_intdigest(f"{parent.path}>{self.key}".encode("utf-8", "surrogatepass")) - (1 << 63)
+        self.starts_main = name in MAIN or names.get("role") in ("main", "article")
+        within = parent is not None and parent.main
+        self.main = within or self.starts_main
         self.hard = (parent is not None and parent.hard) or name in BOILERPLATE or (name == "header" and not self.main)
-        #: Elements from the article or page down whose names hold a word of boilerplate; ``whole`` if it is a name by itself.
-        self.labelled = () if parent is None or starts_main else parent.labelled
-        self.whole = False
-        if names and name not in NEVER_BY_CLASS and not starts_main:
-            words = BOILERPLATE_WORDS - NOT_IN_MAIN if self.main else BOILERPLATE_WORDS
-            if any(w.lower() in words for v in names.values() for w in _WORDS.findall(v)):
-                self.whole = any(x.lower() in words for v in names.values() for x in v.split())
-                self.labelled = (*self.labelled, self)
+        #: Whether a name says furniture: inside an article one that is such a word, or starts with one of a few, else one that holds one.
+        self.label = False
+        if names and (within if self.starts_main else name not in NEVER_BY_CLASS):
+            each = [x.lower() for v in names.values() for x in v.split()]
+            if self.main:
+                whole = COMMENT_WORDS if self.starts_main else BOILERPLATE_WORDS - NOT_IN_MAIN
+                self.label = any(x in whole or (first := _WORDS.match(x)) and first[0] in START_WORDS for x in each)
+            else:
+                self.label = any(w in BOILERPLATE_WORDS for x in each for w in _WORDS.findall(x))
+        #: Characters outside links in it, and of its own blocks' text.
+        self.chars = self.own = 0
+        self.gone = False
 
 
 def tokens(page: str) -> list[Token]:
-    """The tokens of a page in order.  Blocks are numbered; a raw element's content is one text."""
+    """The tokens of a page in order.  Blocks are numbered; a raw element's content is one text.
+
+    Takes time in proportion to the page: what is sought to its end without
+    success is not sought again, and open elements are counted by name.
+    """
     out: list[Token] = []
     stack = [Element("#", "", None)]
-    at = block = 0
+    opened: dict[str, int] = defaultdict(int)
+    scopes = {name: [0] for name in _SCOPES}
+    links = block = at = 0
+    last_end, last_quote = page.rfind(">"), {q: page.rfind(q) for q in "\"'"}
+    last_comment, last_cdata = page.rfind("-->"), page.rfind("]]>")
+    quotes = True
 
     def text(s: str, raw: bool = False) -> None:
+        top = stack[-1]
         if s and not s.isspace():
-            top = stack[-1]
             out.append((1, s if raw else entities.unescape(s), top.path, block, top))
+            if not links and not top.hard:
+                top.own += len(s) * (MAIN_WEIGHT if top.main else 1)
         elif s:
-            out.append((1, " ", stack[-1].path, block, stack[-1]))
+            out.append((1, " ", top.path, block, top))
+
+    def push(e: Element) -> None:
+        nonlocal links
+        stack.append(e)
+        opened[e.name] += 1
+        links += e.name == "a"
+        if e.name in scopes:
+            scopes[e.name][-1] += 1
+        for name in _STARTS_SCOPE.get(e.name, ()):
+            scopes[name].append(0)
 
     def close(depth: int) -> None:
-        for e in reversed(stack[depth:]):
+        nonlocal links
+        while len(stack) > depth:
+            e = stack.pop()
             out.append((0, "/" + e.key, e.path, block, e))
-        del stack[depth:]
-
-    def find(names: tuple[str, ...], stop: tuple[str, ...] = ()) -> int:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                return k
-            if stack[k].name in stop:
+            opened[e.name] -= 1
+            links -= e.name == "a"
+            for name in _STARTS_SCOPE.get(e.name, ()):
+                scopes[name].pop()
+            if e.name in scopes:
+                scopes[e.name][-1] -= 1
+            e.chars += e.own
+            e.parent.chars += e.chars
+            if e.name in INLINE:
+                e.parent.own += e.own
+                e.parent.chars -= e.own
+
+    def innermost(name: str) -> int:
+        return next(k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name)
+
+    def tag_end(start: int) -> int:
+        """The place of the ``>`` that ends a tag: one outside quotes, or the next one where quotes stay open."""
+        nonlocal quotes
+        i = start
+        while quotes:
+            m = _QUOTE_OR_END.search(page, i)
+            if not m:
+                break
+            if m[0] == ">":
+                return m.start()
+            if m.start() >= last_quote[m[0]]:
                 break
-        return 0
-
-    while m := _TAG.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
-        if not name:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:-3], raw=True)
+            i = page.index(m[0], m.start() + 1) + 1
+            if i > last_end:
+                quotes = False
+        return page.index(">", start)
+
+    while (start := page.find("<", at)) >= 0 and start < last_end:
+        m = _TAG_NAME.match(page, start + 1)
+        if not m:
+            if page.startswith("<!--", start):
+                text(page[at:start])
+                at = page.index("-->", start) + 3 if start < last_comment else len(page)
+                out.append((0, _DIGITS.sub("9", page[start:at]), stack[-1].path, block, stack[-1]))
+            elif page.startswith("<![CDATA[", start) and start < last_cdata:
+                text(page[at:start])
+                at = page.index("]]>", start) + 3
+                text(page[start + 9 : at - 3], raw=True)
+            elif page[start + 1] in "!?":
+                text(page[at:start])
+                at = page.index(">", start) + 1
+                out.append((0, _DIGITS.sub("9", page[start:at]), stack[-1].path, block, stack[-1]))
             else:
-                out.append((0, _DIGITS.sub("9", m[0]), stack[-1].path, block, stack[-1]))
+                text(page[at : start + 1])
+                at = start + 1
             continue
+        text(page[at:start])
+        name = m[0].lower()
+        end = tag_end(m.end())
+        attributes, at = page[m.end() : end], end + 1
+        ends, name = name[0] == "/", name.lstrip("/")
         if name not in INLINE:
             block += 1
-        if m[1] or m[4]:
-            if depth := find((name,)):
-                close(depth)
+        if ends:
+            if opened[name]:
+                close(innermost(name))
             continue
-        if name in CLOSES_P and (depth := find(("p",), ("td", "th", "button", "object", "caption"))):
-            close(depth)
-        if name in SIBLINGS and (depth := find((name,), SIBLINGS[name])):
-            close(depth)
-        e = Element(name, m[3] or m[6] or "", stack[-1])
+        if name in CLOSES_P and scopes["p"][-1]:
+            close(innermost("p"))
+        if name in SIBLINGS and scopes[name][-1]:
+            close(innermost(name))
+        e = Element(name, attributes, stack[-1])
         out.append((0, e.key, e.path, block, e))
-        if name in VOID or (m[3] or m[6] or "").endswith("/"):
+        if name in VOID or attributes.endswith("/"):
             continue
-        stack.append(e)
+        push(e)
         if name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            text(page[at : end.start() if end else len(page)], raw=True)
-            at = end.end() if end else len(page)
+            found = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            text(page[at : found.start() if found else len(page)], raw=True)
+            at = found.end() if found else len(page)
             close(len(stack) - 1)
             block += 1
-    text(page[at:])
+    rest = page[at:]
+    text(rest[: rest.find("<!--")] if "<!--" in rest else rest)
     close(1)
+    stack[0].chars += stack[0].own
     return out
 
 
+def path_texts(page: list[Token]) -> dict[int, list[int]]:
+    """For every path of blocks that holds text: [the path above, text that counts, such text of its own, times it is there, whether it starts an article]."""
+    found: dict[int, list[int]] = {}
+    for kind, what, path, _, e in page:
+        if kind == 0 and what == e.key and e.chars and e.name not in INLINE:
+            row = found.setdefault(path, [e.parent.path, 0, 0, 0, 0])
+            row[1] += e.chars
+            row[2] += e.own
+            row[3] += 1
+            row[4] |= int(e.starts_main)
+    found[0] = [0, sum(r[1] for p, r in found.items() if r[0] == 0 and p), 0, 1, 0]
+    return found
+
+
 def _hashes(page: list[Token]) -> list[int | None]:
     """A number for every token of a page; none for blanks."""
     seen: dict[tuple, int] = {}
@@ -169,7 +267,7 @@ def _hashes(page: list[Token]) -> list[int | None]:
             continue
         token = kind, what.strip() if kind else what, path
         if token not in seen:
-            seen[token] = xxhash.xxh3_64_intdigest("\0".join((str(kind), *token[1:])).encode("utf-8", "surrogatepass")) - (1 << 63)
+            seen[token] = xxhash.xxh3_64_intdigest("\0".join(map(str, token)).encode("utf-8", "surrogatepass")) - (1 << 63)
         out.append(seen[token])
     return out
 
@@ -178,12 +276,12 @@ def _has_main(page: list[Token]) -> bool:
     return any(e.main and not e.hard for *_, e in page)
 
 
-def features(page: list[Token]) -> tuple[int, list[int]]:
-    """What makes a page distinct, its text in the article or outside menus and the like, and its token numbers in order."""
+def features(page: list[Token]) -> tuple[int, list[int], dict[int, list[int]]]:
+    """What makes a page distinct, its text in the article or outside menus and the like; its token numbers in order; its text by path."""
     inside = _has_main(page)
     content = (what.strip() for kind, what, _, _, e in page if kind and not e.hard and (e.main or not inside))
     key = xxhash.xxh3_64_intdigest("\0".join(x for x in content if x).encode("utf-8", "surrogatepass")) - (1 << 63)
-    return key, [h for h in _hashes(page) if h is not None]
+    return key, [h for h in _hashes(page) if h is not None], path_texts(page)
 
 
 Block = list  # of (key, token numbers), each key once
@@ -232,11 +330,32 @@ def vectors(block: Block, wanted: dict[int, tuple[int, int]]) -> tuple[dict[int,
     return found, bad
 
 
+def main_chain(paths: dict[int, list[int]]) -> list[int]:
+    """The paths from a page down to its main text; ``paths`` has [above, text, own text, times, starts an article, pages] of each."""
+    chain = [0]
+    if 0 not in paths:
+        return chain
+    below: dict[int, list[int]] = defaultdict(list)
+    for path, row in paths.items():
+        if path:
+            below[row[0]].append(path)
+    while below[chain[-1]]:
+        here = paths[chain[-1]]
+        best = max(below[chain[-1]], key=lambda p: (paths[p][1], p))
+        _, text, own, times, article, pages = paths[best]
+        once = times == pages and 2 * own <= text
+        if text < MAIN_SHARE * here[1] or pages < SUPPORT * paths[0][5] or not (article or (once and not here[4])):
+            break
+        chain.append(best)
+    return chain
+
+
 class Template:
-    """The valid classes of a host, from rows (token, pages, digest, first page, place on it) over its ``total`` distinct pages."""
+    """The valid classes of a host, from rows (token, pages, digest, first page, place on it) over its ``total`` distinct pages, and the way to its main text from the texts of ``paths``."""
 
-    def __init__(self, total: int, rows: Iterable[tuple[int, int, int, int, int]], bad: set[tuple[int, int]]):
-        self.total = total
+    def __init__(self, total: int, rows: Iterable[tuple[int, int, int, int, int]], bad: set[tuple[int, int]], paths: dict[int, list[int]] | None = None):
+        self.total, self.paths = total, paths or {}
+        self.chain = main_chain(self.paths)
         classes: dict[tuple, list[tuple]] = defaultdict(list)
         for t, n, digest, page, at in rows:
             if n >= SUPPORT * total:
@@ -266,11 +385,28 @@ class Template:
         return out
 
 
+def add_paths(total: dict[int, list[int]], page: dict[int, list[int]]) -> None:
+    """Add a page's texts by path to those of others; the last figure counts pages."""
+    for path, (above, text, own, times, article) in page.items():
+        row = total.setdefault(path, [above, 0, 0, 0, 0, 0])
+        row[1] += text
+        row[2] += own
+        row[3] += times
+        row[4] |= article
+        row[5] += 1
+
+
 def _template(pages: list[list[Token]]) -> Template:
-    block = list(dict(map(features, pages)).items())
-    wanted = candidates(block)
-    found, bad = vectors(block, wanted)
-    return Template(len(block), ((t, *v, *wanted[t]) for t, v in found.items()), bad)
+    block: dict[int, list[int]] = {}
+    paths: dict[int, list[int]] = {}
+    for key, seq, texts in sorted(map(features, pages), key=lambda x: (x[0], np.array(x[1], np.int64).tobytes())):
+        if key not in block:
+            block[key] = seq
+            add_paths(paths, texts)
+    rows = list(block.items())
+    wanted = candidates(rows)
+    found, bad = vectors(rows, wanted)
+    return Template(len(rows), ((t, *v, *wanted[t]) for t, v in found.items()), bad, paths)
 
 
 def template(pages: list[list[Token]]) -> tuple[set[tuple], dict[tuple, int]]:
@@ -287,27 +423,22 @@ def template(pages: list[list[Token]]) -> tuple[set[tuple], dict[tuple, int]]:
 
 def main_text(page: list[Token], made: Template) -> str:
     """What the slots of a page hold that are main text."""
-    depths = made.depths(_hashes(page)) if made.total >= LEAST_PAGES else [-1] * len(page)
-    inside = _has_main(page)
-    confirmed = {id(e) for (kind, what, _, _, e), d in zip(page, depths, strict=True) if d >= 0 and not kind and what == e.key}
-    chars, held = 0, defaultdict(int)
-    for kind, what, _, _, e in page:
-        if kind and not e.hard and (e.main or not inside):
-            chars += len(what)
-            for x in e.labelled:
-                held[id(x)] += len(what)
+    depths = made.depths(_hashes(page)) if made.total >= LEAST_PAGES else [0 if made.total else -1] * len(page)
+    there = {e.path for kind, what, _, _, e in page if kind == 0 and what == e.key}
+    main = next((p for p in reversed(made.chain) if p in there), 0)
+    above, most = set(made.chain), made.paths[main][1] if main in made.paths else 0
+    kept = {0}  # ids of elements in the main text
     blocks: dict[int, list[str]] = {}
-    for (kind, what, _, block, e), d in zip(page, depths, strict=True):
-        if not kind or e.hard or (inside and not e.main):
-            continue
-        labels = [x for x in e.labelled if id(x) in confirmed]
-        if any(x.whole for x in labels):
-            continue
-        if d >= 0 and (not e.main or labels or made.total >= MAIN_PAGES):
-            continue
-        if not e.main and any(2 * held[id(x)] < chars for x in labels):  # one that holds most of the page is a wrapper
-            continue
-        blocks.setdefault(block, []).append(what)
+    for (kind, what, path, block, e), d in zip(page, depths, strict=True):
+        if kind:
+            repeated = d >= 0 and made.total >= LEAST_PAGES and not (main in made.paths and made.paths[main][4])  # what articles share is theirs
+            if not e.gone and not e.hard and not repeated and (not main or id(e) in kept):
+                blocks.setdefault(block, []).append(what)
+        elif what == e.key and e.parent is not None:
+            weighty = path in made.paths and 2 * made.paths[path][1] >= most
+            e.gone = e.parent.gone or (e.label and d >= 0 and path not in above and not (weighty and e.name not in INLINE))
+            if path == main or id(e.parent) in kept:
+                kept.add(id(e))
     lines = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
     return "\n".join(x for x in lines if x)
 
@@ -321,15 +452,19 @@ def main_texts(group: list[str | None]) -> list[str]:
 
 _CANDIDATE = pa.list_(pa.struct([("token", pa.int64()), ("page", pa.int64()), ("at", pa.int64())]))
 _VECTOR = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("page", pa.int64()), ("at", pa.int64())]))
+_PATH = pa.list_(pa.struct([(n, pa.int64()) for n in ("path", "above", "text", "own", "times", "article", "pages")]))
 _PAIR = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
 
+_PATH_COLUMNS = [f.name for f in _PATH.value_type]
+
+
 def _batch(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], names=list(columns))
 
 
 def _templates(base: DataFrame, hot: DataFrame, block_pages: int, tasks: int) -> DataFrame:
-    """``host``, ``total`` (distinct pages), ``vectors`` and ``bad`` of every host with a template."""
+    """``host``, ``total`` (distinct pages), ``vectors``, ``bad`` and ``paths`` of every host."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple] = set()  # spares copies the way; bounded
@@ -337,32 +472,34 @@ def _templates(base: DataFrame, hot: DataFrame, block_pages: int, tasks: int) ->
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 for host, page in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
-                    key, seq = features(tokens(page or ""))
-                    if (host, key) not in seen:
+                    key, seq, texts = features(tokens(page or ""))
+                    if (known := (host, key, hash(tuple(seq)))) not in seen:
                         if len(seen) >= 100_000:
                             seen.clear()
-                        seen.add((host, key))
-                        rows.append((host, key, np.array(seq, np.int64).tobytes()))
-                hosts, keys, seqs = zip(*rows, strict=True) if rows else ((), (), ())
-                yield _batch(host=(hosts, pa.string()), key=(keys, pa.int64()), seq=(seqs, pa.binary()))
+                        seen.add(known)
+                        rows.append((host, key, np.array(seq, np.int64).tobytes(), np.array([(p, *r) for p, r in texts.items()], np.int64).tobytes()))
+                hosts, keys, seqs, texts = zip(*rows, strict=True) if rows else ((), (), (), ())
+                yield _batch(host=(hosts, pa.string()), key=(keys, pa.int64()), seq=(seqs, pa.binary()), texts=(texts, pa.binary()))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, block, size, last = None, [], 0, None
+        paths: dict[int, list[int]] = {}
 
         def flush() -> pa.RecordBatch:
             found = [{"token": t, "page": p, "at": a} for t, (p, a) in candidates(block).items()]
             data = b"".join(np.array(s, np.int64).tobytes() for _, s in block)
-            return _batch(host=([place[0]], pa.string()), part=([place[1]], pa.int64()), keys=([[k for k, _ in block]], pa.list_(pa.int64())), sizes=([[len(s) for _, s in block]], pa.list_(pa.int64())), seqs=([data], pa.binary()), found=([found], _CANDIDATE))
+            return _batch(host=([place[0]], pa.string()), part=([place[1]], pa.int64()), keys=([[k for k, _ in block]], pa.list_(pa.int64())), sizes=([[len(s) for _, s in block]], pa.list_(pa.int64())), seqs=([data], pa.binary()), found=([found], _CANDIDATE), paths=([[dict(zip(_PATH_COLUMNS, (p, *r), strict=True)) for p, r in paths.items()]], _PATH))
 
         for batch in batches:
-            for host, part, key, seq in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for host, part, key, seq, texts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if block and ((host, part) != place or len(block) >= block_pages or size >= BLOCK_TOKENS):
                     yield flush()
-                    block, size = [], 0
+                    block, size, paths = [], 0, {}
                 if (host, part, key) == last:
                     continue  # a copy
                 place, last = (host, part), (host, part, key)
                 block.append((key, np.frombuffer(seq, np.int64).tolist()))
+                add_paths(paths, {p: r for p, *r in np.frombuffer(texts, np.int64).reshape(-1, 6).tolist()})
                 size += len(block[-1][1])
         if block:
             yield flush()
@@ -376,21 +513,25 @@ def _templates(base: DataFrame, hot: DataFrame, block_pages: int, tasks: int) ->
                 rows = [{"token": t, "n": n, "digest": d, "page": wanted[t][0], "at": wanted[t][1]} for t, (n, d) in got.items()]
                 yield _batch(host=([host], pa.string()), vectors=([rows], _VECTOR), bad=([[{"a": a, "b": b} for a, b in bad]], _PAIR))
 
-    pages = base.select("host", "html").mapInArrow(read, "host string, key long, seq binary")
-    pages = pages.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod("key", F.coalesce("parts", F.lit(1)))).select("host", "part", "key", "seq")
-    dealt = pages.repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "key")
+    pages = base.select("host", "html").mapInArrow(read, "host string, key long, seq binary, texts binary")
+    pages = pages.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod("key", F.coalesce("parts", F.lit(1)))).select("host", "part", "key", "seq", "texts")
+    dealt = pages.repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "key", "seq")
     found = "array<struct<token:long,page:long,at:long>>"
-    blocks = materialise(dealt.mapInArrow(gather, f"host string, part long, keys array<long>, sizes array<long>, seqs binary, found {found}"), "blocks")
-    total = blocks.groupBy("host").agg(F.sum(F.size("keys")).alias("total")).filter(F.col("total") >= LEAST_PAGES)
-    each = blocks.select("host", F.explode("found").alias("x")).groupBy("host", "x.token").agg(F.min(F.struct("x.page", "x.at")).alias("x"))
+    blocks = materialise(dealt.mapInArrow(gather, f"host string, part long, keys array<long>, sizes array<long>, seqs binary, found {found}, paths array<struct<{', '.join(f'{n}:long' for n in _PATH_COLUMNS)}>>"), "blocks")
+    every = blocks.groupBy("host").agg(F.sum(F.size("keys")).alias("total"))
+    total = every.filter(F.col("total") >= LEAST_PAGES)
+    each = blocks.join(total.select("host"), "host", "left_semi").select("host", F.explode("found").alias("x")).groupBy("host", "x.token").agg(F.min(F.struct("x.page", "x.at")).alias("x"))
     wanted = _at_parts(each.groupBy("host").agg(F.collect_list(F.struct("token", "x.page", "x.at")).alias("found")), hot)
     joined = blocks.drop("found").join(wanted, ["host", "part"]).select("host", "keys", "sizes", "seqs", "found")
     measured = materialise(joined.mapInArrow(measure, "host string, vectors array<struct<token:long,n:long,digest:long,page:long,at:long>>, bad array<struct<a:long,b:long>>"), "vectors")
     v = measured.select("host", F.explode("vectors").alias("v")).groupBy("host", "v.token").agg(F.sum("v.n").alias("n"), F.bit_xor("v.digest").alias("digest"), F.min(F.struct("v.page", "v.at")).alias("x"))
     v = v.join(total, "host").filter(F.col("n") >= SUPPORT * F.col("total"))
-    v = v.groupBy("host", "total").agg(F.collect_list(F.struct("token", "n", "digest", "x.page", "x.at")).alias("vectors"))
+    v = v.groupBy("host").agg(F.collect_list(F.struct("token", "n", "digest", "x.page", "x.at")).alias("vectors"))
     bad = measured.select("host", F.explode("bad").alias("x")).groupBy("host").agg(F.collect_set("x").alias("bad"))
-    return v.join(bad, "host", "left")
+    p = blocks.select("host", F.explode("paths").alias("p")).groupBy("host", "p.path").agg(F.min("p.above").alias("above"), *[F.sum(f"p.{n}").alias(n) for n in ("text", "own", "times")], F.max("p.article").alias("article"), F.sum("p.pages").alias("pages"))
+    p = p.join(every, "host").filter(F.col("pages") >= SUPPORT * F.col("total"))
+    p = p.groupBy("host").agg(F.collect_list(F.struct(*_PATH_COLUMNS)).alias("paths"))
+    return every.join(v, "host", "left").join(bad, "host", "left").join(p, "host", "left")
 
 
 def _at_parts(rows: DataFrame, hot: DataFrame) -> DataFrame:
@@ -402,8 +543,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row.
 
     Null and empty pages give an empty text.  Pages without a host (null url)
-    are one host; hosts of one or two distinct pages have no template, so only
-    tags count there.  Repeated rows are extracted each, pages of any length
+    are one host.  On hosts of one or two distinct pages every start tag counts
+    as template.  Repeated rows are extracted each, pages of any length
     whole; an empty table gives no rows.  Other columns are not read.  ``group_pages`` bounds a block and does not change the result.  One
     shuffle brings the pages to their host's template; before, token numbers
     are shuffled.
@@ -418,7 +559,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     made = _at_parts(materialise(_templates(base, hot, group_pages, tasks), "templates"), hot)
     dealt = base.join(F.broadcast(hot), "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1)))).drop("parts")
     dealt = dealt.withColumn("is_page", F.lit(True)).unionByName(made.withColumn("is_page", F.lit(False)), allowMissingColumns=True)
-    columns = ["host", "part", "is_page", "page_id", "url", "html", "total", "vectors", "bad"]
+    columns = ["host", "part", "is_page", "page_id", "url", "html", "total", "vectors", "bad", "paths"]
     dealt = dealt.select(*columns).repartition(tasks, "host", "part").sortWithinPartitions("host", "part", "is_page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -426,13 +567,13 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         for batch in batches:
             rows: list[tuple] = []
             for at in range(0, batch.num_rows, 64):  # pages can be long
-                for host, part, is_page, page_id, url, page, n, found, bad in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                for host, part, is_page, page_id, url, page, n, found, bad, paths in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
                     if (host, part) != place:
                         place, now = (host, part), Template(0, (), set())
                     if is_page:
                         rows.append((page_id, url, main_text(tokens(page or ""), now)))
                     else:
-                        now = Template(n, (tuple(x.values()) for x in found), {(x["a"], x["b"]) for x in bad or ()})
+                        now = Template(n, (tuple(x.values()) for x in found or ()), {(x["a"], x["b"]) for x in bad or ()}, {p: r for p, *r in (x.values() for x in paths or ())})
             ids, urls, texts = zip(*rows, strict=True) if rows else ((), (), ())
             yield _batch(page_id=(ids, pa.int64()), url=(urls, pa.string()), text=(texts, pa.string()), n_chars=(list(map(len, texts)), pa.int64()))
 
