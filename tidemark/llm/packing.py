@@ -36,7 +36,7 @@ RANKED_TOGETHER = 50_000
 #: White space for str.split() that the tokenizer takes for symbols.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Words, and words without their end symbols, whose ids a worker keeps, in each of two generations.
-WORDS_KEPT, STEMS_KEPT = 600_000, 200_000
+WORDS_KEPT, STEMS_KEPT = 400_000, 150_000
 #: Words whose ids are gathered at once.
 WORDS_AT_ONCE = 1 << 14
 #: Characters of the texts whose distinct words are looked up together; a longer text is a slice of its own.
