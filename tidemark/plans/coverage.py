@@ -14,7 +14,7 @@ from ..operators import streams as stream_ops
 from ..session import new_path
 from ..sources import sinks
 from ..sources import text as text_sources
-from ..streaming import incremental
+from ..streaming import incremental, manifest, ordered
 from .documents import UNIFORM_SQL
 from .records import side_streams
 from .registry import ORACLE_SQL, QUERIES, Tables, query
@@ -553,6 +553,29 @@ def q127_stream_presence(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).select(F.col("track").alias("user_id"), "window_id", "absent")
 
 
+@query(f"""{FR} SELECT user_id, f // 8 * 8 AS window_id, round(sum(value), 6) AS total, arg_min(value, f) AS first_value, count(*) FILTER (event_type = 'error') AS absent FROM fr GROUP BY ALL HAVING count(*) = 8 AND count(*) FILTER (event_type = 'error') <= 3""")
+def q127b_ordered_windows(t: Tables) -> DataFrame:
+    """Windows of a stream whose frames come in no order: each is given out, with its values in order, when it and all before it are whole."""
+    source, out, state = (new_path(t.spark, n) for n in ("frames", "ordered", "state"))
+    frames = fr(t).select(F.col("user_id").alias("track"), "f", F.col("value").cast("double").alias("value"), (F.col("event_type") != "error").alias("present"), F.col("ts").cast("timestamp").alias("seen_at"))
+    frames.repartition(3, F.xxhash64("f", "track")).write.parquet(source)
+    stream = ordered.ordered_windows(incremental.stream_parquet(t.spark, source, 1), 8, lateness="36500 days")
+    incremental.run_available(stream, out, state)
+    w = t.spark.read.parquet(out)
+    return w.select(F.col("track").alias("user_id"), "window_id", F.round(F.aggregate("states", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.get("states", F.lit(0)).alias("first_value"), "absent")
+
+
+@query("""SELECT doc_id, lang, n_chars, (SELECT count(*) FROM documents) AS listed FROM documents""")
+def q126b_manifest_shards(t: Tables) -> DataFrame:
+    """A stream into shards with a manifest, run twice: every row once, and as many as the manifest lists."""
+    source, out, state = (new_path(t.spark, n) for n in ("stream", "shards", "state"))
+    t.documents.select("doc_id", "lang", "n_chars").repartition(3, "doc_id").write.parquet(source)
+    for _ in range(2):
+        manifest.run_to_manifest(incremental.stream_parquet(t.spark, source, 1), out, state)
+    listed = manifest.read_manifest(t.spark, out).agg(F.sum("rows").alias("listed"))
+    return manifest.read_shards(t.spark, out, "doc_id bigint, lang string, n_chars bigint").drop("shard").crossJoin(F.broadcast(listed))  # one row
+
+
 @query(f"""WITH w AS (SELECT doc_id, text FROM documents WHERE contains(text, 'e')), a AS (SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 1000)
 SELECT doc_id FROM a WHERE contains(text, 'e') ORDER BY {UNIFORM_SQL.format("doc_id || '|7'")} LIMIT 1""")
 def q128_random_pick(t: Tables) -> DataFrame:

@@ -39,7 +39,7 @@ SEEK_BYTES = 1 << 20
 LONGEST_RECORD = (1 << 31) - 64
 
 
-def _system(path: str):
+def system_of(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
@@ -49,7 +49,7 @@ def listed(path: str) -> list[tuple[str, int]]:
     """Files and their lengths, in order of name."""
     from pyarrow import fs
 
-    system, name = _system(path)
+    system, name = system_of(path)
     scheme = re.match(r"(\w+://)?", path if "://" in path else "file://")[0]
     info = system.get_file_info(name)
     found = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(name, recursive=True))
@@ -58,7 +58,7 @@ def listed(path: str) -> list[tuple[str, int]]:
 
 
 def opened(path: str) -> BinaryIO:
-    system, name = _system(path)
+    system, name = system_of(path)
     return system.open_input_file(name)
 
 
@@ -353,7 +353,7 @@ class _Shards(DataSourceArrowWriter):
         first = next(filled, None)
         if first is None:
             return Written("", 0, 0)
-        system, folder = _system(self.path)
+        system, folder = system_of(self.path)
         system.create_dir(f"{folder}/_temporary-{self.job}")
         name = f"{folder}/_temporary-{self.job}/{uuid.uuid4().hex}"
         rows = 0
@@ -375,7 +375,7 @@ class _Shards(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         from pyarrow import fs
 
-        system, folder = _system(self.path)
+        system, folder = system_of(self.path)
         system.create_dir(folder)
         if self.overwrite:
             for f in system.get_file_info(fs.FileSelector(folder)):
@@ -389,7 +389,7 @@ class _Shards(DataSourceArrowWriter):
     def abort(self, messages: list[Written | None]) -> None:
         from pyarrow import fs
 
-        system, folder = _system(self.path)
+        system, folder = system_of(self.path)
         left = f"{folder}/_temporary-{self.job}"
         if system.get_file_info(left).type == fs.FileType.Directory:
             system.delete_dir(left)
@@ -488,7 +488,7 @@ class _Each(_Shards):
     """Every row as a file of its own, ``member`` with ``content``; all appear when all tasks are done."""
 
     def fill(self, out: BinaryIO, batches: Iterator[pa.RecordBatch], scratch: Callable[[str], BinaryIO]) -> None:
-        system, folder = _system(self.path)
+        system, folder = system_of(self.path)
         for name, content in _members(batches):
             inner = f"{folder}/_temporary-{self.job}/{uuid.uuid4().hex}.content"
             with system.open_output_stream(inner, compression=None) as f:
@@ -496,7 +496,7 @@ class _Each(_Shards):
             out.write(f"{inner}\t{name}\n".encode())
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, folder = _system(self.path)
+        system, folder = system_of(self.path)
         for m in (m for m in messages if m and m.rows):
             with system.open_input_stream(m.temporary) as f:
                 for line in f.read().decode().splitlines():
