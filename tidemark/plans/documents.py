@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, tokens
 from ..functions.sampling import hash_uniform, keep_at_rate
-from ..operators import corpus, windows
+from ..operators import corpus, mixture, windows
 from .registry import Tables, query
 
 WORDS_SQL = "list_filter(string_split_regex(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')"
@@ -258,3 +258,25 @@ SELECT doc_id, len(w)::BIGINT AS words, len(list_filter(w, lambda x, i: NOT coal
 def q68_collapse_repeats(t: Tables) -> DataFrame:
     """Words without the third and later of equal ones in a row."""
     return words_of(t.documents).select("doc_id", F.size("w").cast("bigint").alias("words"), F.size(text.collapse_triples(F.col("w"))).cast("bigint").alias("left_over"))
+
+
+#: Target shares in percent; the first language is cut, the last ones are repeated.
+SHARES = {"en": 20, "de": 40, "fr": 25, "es": 15}
+_SHARES = f"w AS (SELECT unnest({list(SHARES)}) AS lang, unnest({list(SHARES.values())}) AS w)"
+
+
+@query(f"""WITH {_SHARES}, t AS (SELECT count(*) * 3 // 2 AS total FROM documents), a AS (SELECT lang, total * w // 100 AS q, total * w % 100 AS rest, total FROM w, t),
+q AS (SELECT lang, q + CASE WHEN row_number() OVER (ORDER BY rest DESC, lang) <= total - sum(q) OVER () THEN 1 ELSE 0 END AS q FROM a), s AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {UNIFORM_SQL.format("doc_id || '|mixture'")}, doc_id) AS rank FROM documents)
+SELECT doc_id, lang, unnest(range(q // n + CASE WHEN rank <= q % n THEN 1 ELSE 0 END)) AS copy FROM r JOIN q USING (lang) JOIN s USING (lang)""")
+def q144_mixture(t: Tables) -> DataFrame:
+    """Half as many documents again as there are, in given shares of languages, exactly."""
+    return mixture.mixture(t.documents.select("doc_id", "lang"), "doc_id", "lang", SHARES, t.documents.count() * 3 // 2)
+
+
+@query(f"""WITH {_SHARES}, s AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), j AS (SELECT lang, coalesce(n, 0) AS n, w / 100.0::DOUBLE AS target FROM w LEFT JOIN s USING (lang))
+SELECT lang, n, round(n / sum(n) OVER (), 6) AS physical, target, round(target / (n / sum(n) OVER ()), 6) AS factor FROM j""")
+def q144b_shares(t: Tables) -> DataFrame:
+    """Physical and target shares of languages, and how much oftener a row must come."""
+    s = mixture.shares(t.documents, "lang", SHARES)
+    return s.select("lang", "n", F.round("physical", 6).alias("physical"), "target", F.round("factor", 6).alias("factor"))
