@@ -36,11 +36,11 @@ RANKED_TOGETHER = 50_000
 #: White space for str.split() that the tokenizer takes for symbols.
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Words, and words without their end symbols, whose ids a worker keeps, in each of two generations.
-WORDS_KEPT, STEMS_KEPT = 400_000, 150_000
+WORDS_KEPT, STEMS_KEPT = 400_000, 200_000
 #: Words whose ids are gathered at once.
 WORDS_AT_ONCE = 1 << 14
-#: Characters of the texts whose distinct words are looked up together; a longer text is a slice of its own.
-CHARS_AT_ONCE = 1 << 23
+#: Bytes of the texts whose distinct words are looked up together; a longer text is a slice of its own.
+BYTES_AT_ONCE = 1 << 21
 #: First character after the Latin letters.
 LATIN_END = "\u0250"
 
@@ -125,7 +125,7 @@ class WordIds:
             out[x] = ids
         for at in range(0, len(letters), 8192):
             part = letters[at : at + 8192]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             coded, ends = ids.tobytes(), (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(part):  # a vocabulary without tokens that end words
                 others += part
@@ -174,11 +174,12 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load(vocabulary)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            slices = np.flatnonzero(np.diff(np.cumsum([len(t) for t in texts]) // CHARS_AT_ONCE, prepend=0)).tolist()
-            for first, last in pairwise([0, *(k for k in slices if k), len(texts)]):
+            ids, sizes = batch.column(0).to_pylist(), pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            slices = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // BYTES_AT_ONCE, prepend=0)).tolist()
+            for first, last in pairwise([0, *(k for k in slices if k), len(ids)]):
+                texts = [t or "" for t in batch.column(1).slice(first, last - first).to_pylist()]
                 rows = []
-                for i, coded in zip(ids[first:last], words.encode(texts[first:last]), strict=True):
+                for i, coded in zip(ids[first:last], words.encode(texts), strict=True):
                     coded += b"\0\0\0\0"
                     for k, at in enumerate(range(0, len(coded), 4 * capacity)):
                         part = coded[at : at + 4 * capacity]
