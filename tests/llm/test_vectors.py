@@ -57,6 +57,23 @@ def test_large_leaves_grow_subtrees(spark, monkeypatch):
     assert max(r["count"] for r in split[-1][0].groupBy("leaf").count().collect()) <= 120
 
 
+def test_leaf_numbers_never_run_over(spark, monkeypatch):
+    for name, value in {"FIT_ROWS": 400, "LEAF_ROWS": 30, "SPLIT_ROWS": 60, "BLOCK_ROWS": 100, "NUMBERS": 16, "LEVELS": 3}.items():
+        monkeypatch.setattr(kmtree, name, value)
+    draw = np.random.default_rng(7)
+    for n in (20, 500, 4000):
+        assert len(kmtree.Tree(draw.normal(size=(n, 5)), 8, 16).leaf_of) <= 16
+    rows = vectors(4000, 6, 4)
+    split = []
+    grow = kmtree._split
+    monkeypatch.setattr(kmtree, "_split", lambda index, level: (split.append(grow(index, level)), split[-1])[1])
+    got, want = search(spark, rows, every=50), brute(rows, 10, 50)
+    assert len([m for _, m in split if m is not None]) >= 2
+    assert sum(len({v for v, _ in got[q]} & {v for v, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
+    leaves = [r.leaf for r in split[-1][0].select("leaf").distinct().collect()]
+    assert all(1 <= p - (q * 16 if q else 0) <= 16 for x in leaves for q, p in zip([0, *kmtree._path(x)], kmtree._path(x), strict=False))
+
+
 def test_ties_and_copies_go_to_smaller_ids(spark, monkeypatch):
     monkeypatch.setattr(kmtree, "BLOCK_ROWS", 50)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(0, 900, 3)] + [(i, v) for i, v in vectors(200, 3) if i % 3]

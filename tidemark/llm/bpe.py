@@ -148,7 +148,8 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     ``vocabulary`` is the path of a byte-level BPE tokenizer file that every
     executor can read.  Null texts count as empty; the digests are then those
     of no bytes.  Repeated rows give repeated results, texts of any length are
-    encoded whole.  No shuffle.
+    encoded whole; rows with a null id keep it.  An empty table gives no rows;
+    other columns are not read, whatever their names.  No shuffle.
     """
 
     def rows(bpe: ByteBPE, ids: list, texts: list) -> Iterator[tuple]:

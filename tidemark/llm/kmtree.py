@@ -41,37 +41,47 @@ SPLIT_ROWS, LEVELS = 4_096, 4
 CALIBRATION_ROWS, RECALL = 100, 0.97
 #: Rows of a leaf, and of its queries, in one block.
 BLOCK_ROWS = 8_192
-#: The leaves of the tree that grew from leaf n have the numbers n * NUMBERS + 1 and on; those of the top tree 1 and on.
+#: Leaves of one tree at most.  Those of the tree that grew from leaf n have the numbers n * NUMBERS + 1 and on; those of the top tree 1 and on.
 NUMBERS = 4_096
 
 
 class Tree:
     """Centroids of all nodes, children of each node ([]: a leaf) and the leaf number of each leaf."""
 
-    def __init__(self, sample: np.ndarray, leaf_rows: int = LEAF_ROWS):
+    def __init__(self, sample: np.ndarray, leaf_rows: int, most: int):
         self.centroids: list[np.ndarray] = []
         self.children: list[list[int]] = []
-        self._grow(sample, np.random.default_rng(11), leaf_rows)
+        self._grow(sample, np.random.default_rng(11), leaf_rows, most)
         self.centroids = np.array(self.centroids)
         self.leaf_of = {n: k for k, n in enumerate(n for n, c in enumerate(self.children) if not c)}
         #: Rows known to be in each leaf.
         self.counts = np.bincount(self.leaves(sample), minlength=len(self.leaf_of))
 
-    def _grow(self, rows: np.ndarray, draw: np.random.Generator, leaf_rows: int) -> int:
-        node = len(self.children)
-        self.centroids.append(rows.mean(0))
-        self.children.append([])
-        if len(rows) <= max(leaf_rows, BRANCHES):
+    def _grow(self, sample: np.ndarray, draw: np.random.Generator, leaf_rows: int, most: int) -> None:
+        """Split the largest node first, as long as nodes have over ``leaf_rows`` rows and there are no more than ``most`` leaves."""
+        todo: list[tuple[int, int, np.ndarray]] = []
+
+        def add(rows: np.ndarray) -> int:
+            node = len(self.children)
+            self.centroids.append(rows.mean(0))
+            self.children.append([])
+            if len(rows) > max(leaf_rows, BRANCHES):
+                heapq.heappush(todo, (-len(rows), node, rows))
             return node
-        centers = rows[draw.choice(len(rows), BRANCHES, replace=False)]
-        for _ in range(ROUNDS):
+
+        add(sample)
+        leaves = 1
+        while todo and leaves + BRANCHES - 1 <= most:
+            _, node, rows = heapq.heappop(todo)
+            centers = rows[draw.choice(len(rows), BRANCHES, replace=False)]
+            for _ in range(ROUNDS):
+                near = _squared(rows, centers).argmin(1)
+                centers = np.array([rows[near == k].mean(0) if (near == k).any() else centers[k] for k in range(BRANCHES)])
             near = _squared(rows, centers).argmin(1)
-            centers = np.array([rows[near == k].mean(0) if (near == k).any() else centers[k] for k in range(BRANCHES)])
-        near = _squared(rows, centers).argmin(1)
-        parts = [rows[near == k] for k in range(BRANCHES) if (near == k).any()]
-        if len(parts) > 1:  # else all rows are the same
-            self.children[node] = [self._grow(p, draw, leaf_rows) for p in parts]
-        return node
+            parts = [rows[near == k] for k in range(BRANCHES) if (near == k).any()]
+            if len(parts) > 1:  # else all rows are the same
+                self.children[node] = [add(p) for p in parts]
+                leaves += len(parts) - 1
 
     def leaves(self, rows: np.ndarray) -> np.ndarray:
         """The leaf of every row: the nearest child, level by level."""
@@ -191,7 +201,7 @@ def _split(index: DataFrame, level: int) -> tuple[DataFrame, DataFrame | None]:
 
     def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         n, drawn = int(rows["all"].iloc[0]), len(rows)
-        tree = Tree(_matrix(rows["v"]), max(BRANCHES, LEAF_ROWS * drawn // n))
+        tree = Tree(_matrix(rows["v"]), max(BRANCHES, LEAF_ROWS * drawn // n), NUMBERS)
         return pd.DataFrame({"leaf": [key[0]], "n": [n], "model": [pickle.dumps(tree)]}) if len(tree.leaf_of) > 1 else pd.DataFrame({"leaf": [], "n": [], "model": []})
 
     models = materialise(sample.select("leaf", "all", "v").groupBy("leaf").applyInPandas(fit, "leaf long, n long, model binary"), "models")
@@ -227,7 +237,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     clean = clean.filter(F.size("embedding") == sizes[0].d)
     by_hash = clean.orderBy(F.xxhash64("vec_id"), "vec_id")
-    tree = Tree(np.array([r[0] for r in by_hash.select("embedding").limit(FIT_ROWS).collect()], np.float64))
+    tree = Tree(np.array([r[0] for r in by_hash.select("embedding").limit(FIT_ROWS).collect()], np.float64), LEAF_ROWS, NUMBERS)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +268,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield _to_leaves(tree, batch, many, k)
+                yield _to_leaves(tree, batch, many, k, NUMBERS)
 
     columns = "vec_id long, v binary, leaf long"
     routed = queries.mapInArrow(first, columns)
@@ -270,7 +280,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col
 
         inner = _widened([r.place for r in _planted(below, models, f"{columns}, child long", measure, "place long").collect()], share)  # k * CALIBRATION_ROWS rows
         routed = materialise(routed, "routed")
-        deeper = _planted(routed, models, columns, lambda t, batch, inner=inner: _to_leaves(t, batch, inner, k, batch.column(2).to_numpy()), columns)
+        deeper = _planted(routed, models, columns, lambda t, batch, inner=inner: _to_leaves(t, batch, inner, k, NUMBERS, batch.column(2).to_numpy()), columns)
         routed = deeper.unionByName(routed.join(models.select("leaf"), "leaf", "left_anti").select("vec_id", "v", "leaf"))
     routed = materialise(routed.withColumnsRenamed({"vec_id": "query_id", "v": "query"}), "routed")
 
@@ -296,11 +306,11 @@ def nearest_neighbours(vectors: DataFrame, k: int = 10, every: int = 100, id_col
     return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _to_leaves(tree: Tree, batch: pa.RecordBatch, many: int, k: int, above: np.ndarray | None = None) -> pa.RecordBatch:
+def _to_leaves(tree: Tree, batch: pa.RecordBatch, many: int, k: int, numbers: int, above: np.ndarray | None = None) -> pa.RecordBatch:
     """Each query of a batch once for each of its first ``many`` leaves, or more until they hold over ``k`` rows."""
     at, leaf = [], []
     for q, distances in enumerate(_squared(_matrix(batch.column(1)), tree.centroids)):
-        base, room = 1 if above is None else int(above[q]) * NUMBERS + 1, 0
+        base, room = 1 if above is None else int(above[q]) * numbers + 1, 0
         for visit, x in enumerate(tree.visits(distances)):
             if visit >= many and room > k:
                 break

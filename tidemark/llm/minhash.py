@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     signed = materialise(map_rows(base, ["doc_id", "text"], sign, "doc_id long, n long, set_key binary, bands array<long>"), "signed")
     linked = signed.filter("n > 0 and doc_id is not null")
-    classes = linked.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = linked.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count("*").alias("rows"))
     classes = materialise(classes, "classes")
 
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
@@ -284,7 +284,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         component = connected_components(links.unionByName(more))
 
-    of_class = placed(classes.select("set_key", "rep"), component).select("set_key", "component")
-    out = signed.select("doc_id", "n", "set_key").join(of_class, "set_key", "left")
+    of_class = materialise(placed(classes.select("set_key", "rep", F.col("rows").alias("n")), component).select("set_key", "component", "n"), "of-class")
+    in_class = F.col("n_shingles").isNotNull() & (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    signed = signed.select("doc_id", F.col("n").alias("n_shingles"), "set_key")
+    found = join_counted(signed.filter(in_class), of_class, ["set_key"], signed.count())
+    out = found.unionByName(signed.filter(~in_class).withColumn("component", F.lit(None).cast("long")))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))

@@ -174,8 +174,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
     """Bytes and tokens of every whole text, and whether there are more tokens than ``limit``.
 
     Null texts count as empty (0 bytes, 0 tokens).  Repeated rows give
-    repeated results.  Texts of any length, also unbroken ones, count whole.
-    No shuffle; other columns are not read.
+    repeated results, and rows with a null id keep it.  Texts of any length,
+    also unbroken ones, count whole.  An empty table gives no rows.  No
+    shuffle; other columns are not read, whatever their names.
     """
 
     def rows(counter: RankSync, ids: list, texts: list) -> Iterator[tuple]:
