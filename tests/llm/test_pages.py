@@ -88,7 +88,9 @@ def test_the_template_decides_without_tags_and_words(monkeypatch):
     assert all(templates.main_text(templates.tokens(p), templates.Template(0, (), set())) != w for p, w in zip(several(12), want, strict=True))
     for name in ("BOILERPLATE", "MAIN", "BOILERPLATE_WORDS", "COMMENT_WORDS", "START_WORDS"):
         monkeypatch.setattr(templates, name, frozenset())
+    templates._named.cache_clear()
     assert templates.main_texts(several(12)) == want
+    templates._named.cache_clear()
 
 
 def test_pages_without_the_main_element_of_their_host():

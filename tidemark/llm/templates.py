@@ -30,6 +30,7 @@ import html as entities
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -55,6 +56,9 @@ MAIN_SHARE, MAIN_WEIGHT = 0.5, 4
 #: Fewer distinct pages than this tell no template from what a page holds by itself, so every start tag counts as part of it.
 LEAST_PAGES = 3
 
+#: Characters of tags and attributes that are remembered from page to page.
+LONGEST_KEPT = 200
+
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -93,28 +97,45 @@ for _name, _stops in _SCOPES.items():
         _STARTS_SCOPE[_stop] = (*_STARTS_SCOPE.get(_stop, ()), _name)
 
 
+@lru_cache(maxsize=50_000)
+def _named(name: str, attributes: str) -> tuple[str, bool, tuple[str, ...]]:
+    """Of a start tag: its key, whether it starts an article or main text, and the words of its class, id and role."""
+    names = {k.lower(): v.strip("\"'") for k, v in _NAME.findall(attributes)} if "=" in attributes else {}
+    key = _DIGITS.sub("9", " ".join([name, *(f"{k}={v}" for k, v in sorted(names.items()))]))
+    return key, name in MAIN or names.get("role") in ("main", "article"), tuple(x.lower() for v in names.values() for x in v.split())
+
+
+@lru_cache(maxsize=50_000)
+def _path(above: int, key: str) -> int:
+    return xxhash.xxh3_64_intdigest(f"{above}>{key}".encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _token_number(token: tuple[int, str, int]) -> int:
+    return xxhash.xxh3_64_intdigest("\0".join(map(str, token)).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+_tag_number = lru_cache(maxsize=50_000)(_token_number)
+
+
 class Element:
     __slots__ = ("name", "key", "path", "parent", "hard", "main", "starts_main", "label", "chars", "own", "gone")
 
     def __init__(self, name: str, attributes: str, parent: Element | None):
-        names = {k.lower(): v.strip("\"'") for k, v in _NAME.findall(attributes)} if attributes and "=" in attributes else {}
         self.name, self.parent = name, parent
-        self.key = _DIGITS.sub("9", " ".join([name, *(f"{k}={v}" for k, v in sorted(names.items()))]))
-        #: A number for the path of block elements down to this one.
-        self.path = 0 if parent is None else parent.path if name in INLINE else xxhash.xxh3_64_intdigest(f"{parent.path}>{self.key}".encode("utf-8", "surrogatepass")) - (1 << 63)
-        self.starts_main = name in MAIN or names.get("role") in ("main", "article")
+        self.key, self.starts_main, names = (_named if len(attributes) <= LONGEST_KEPT else _named.__wrapped__)(name, attributes)
         within = parent is not None and parent.main
+        #: A number for the path of block elements down to this one.
+        self.path = 0 if parent is None else parent.path if name in INLINE else (_path if len(self.key) <= LONGEST_KEPT else _path.__wrapped__)(parent.path, self.key)
         self.main = within or self.starts_main
         self.hard = (parent is not None and parent.hard) or name in BOILERPLATE or (name == "header" and not self.main)
         #: Whether a name says furniture: inside an article one that is such a word, or starts with one of a few, else one that holds one.
         self.label = False
         if names and (within if self.starts_main else name not in NEVER_BY_CLASS):
-            each = [x.lower() for v in names.values() for x in v.split()]
             if self.main:
                 whole = COMMENT_WORDS if self.starts_main else BOILERPLATE_WORDS - NOT_IN_MAIN
-                self.label = any(x in whole or (first := _WORDS.match(x)) and first[0] in START_WORDS for x in each)
+                self.label = any(x in whole or (first := _WORDS.match(x)) and first[0] in START_WORDS for x in names)
             else:
-                self.label = any(w in BOILERPLATE_WORDS for x in each for w in _WORDS.findall(x))
+                self.label = any(w in BOILERPLATE_WORDS for x in names for w in _WORDS.findall(x))
         #: Characters outside links in it, and of its own blocks' text.
         self.chars = self.own = 0
         self.gone = False
@@ -177,7 +198,9 @@ def tokens(page: str) -> list[Token]:
     def tag_end(start: int) -> int:
         """The place of the ``>`` that ends a tag: one outside quotes, or the next one where quotes stay open."""
         nonlocal quotes
-        i = start
+        i, near = start, page.find(">", start)
+        if '"' not in (inner := page[start:near]) and "'" not in inner:
+            return near
         while quotes:
             m = _QUOTE_OR_END.search(page, i)
             if not m:
@@ -267,7 +290,7 @@ def _hashes(page: list[Token]) -> list[int | None]:
             continue
         token = kind, what.strip() if kind else what, path
         if token not in seen:
-            seen[token] = xxhash.xxh3_64_intdigest("\0".join(map(str, token)).encode("utf-8", "surrogatepass")) - (1 << 63)
+            seen[token] = _token_number(token) if kind or len(what) > LONGEST_KEPT else _tag_number(token)
         out.append(seen[token])
     return out
 
