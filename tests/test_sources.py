@@ -169,8 +169,10 @@ def test_sinks(spark, tmp_path):
         sinks.check_shards(spark, f"{tmp_path}/p", 5)
     sinks.write_jsonl(d, f"{tmp_path}/j", shards=2)
     assert spark.read.json(f"{tmp_path}/j").count() == 100
-    sinks.write_row_shards(d.coalesce(1), f"{tmp_path}/r", 30)
-    assert len(list((tmp_path / "r").glob("part-*"))) == 4
+    sinks.write_row_shards(d, f"{tmp_path}/r", "id", 30)
+    assert {(r.shard, r["count"]) for r in spark.read.json(f"{tmp_path}/r").groupBy("shard").count().collect()} == {(0, 30), (1, 30), (2, 30), (3, 10)}
+    assert sinks.write_jsonl_if_any(d, f"{tmp_path}/some") and spark.read.json(f"{tmp_path}/some").count() == 100
+    assert not sinks.write_jsonl_if_any(d.limit(0), f"{tmp_path}/none") and not (tmp_path / "none").exists()
     assert sinks.shard_name("train", 3, 20) == "train-00003-of-00020.jsonl.gz"
     out = sinks.replace_columns(d, spark.createDataFrame([(1, 24.0)], "id bigint, fps double"), "id", {"fps": 30.0})
     assert {r.fps for r in out.filter("id < 3").collect()} == {24.0, 30.0}

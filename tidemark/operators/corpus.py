@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sampling import hash_uniform
 from ..functions.tokens import words
+from ..session import written
 
 
 def split_units(units: DataFrame, key: str, ratio: float, seed: str, rounding: str = "max1") -> DataFrame:
@@ -73,22 +74,26 @@ def longest_prefix(rows: DataFrame, name: str, prefixes: DataFrame, prefix: str,
     return out.withColumnRenamed("_best", value)
 
 
+def split_by_shard(shard: Column, test: tuple[int, ...]) -> Column:
+    """``test`` for the shards named so, else ``train``."""
+    return F.when(shard.isin(*test), "test").otherwise("train")
+
+
 def size_shards(rows: DataFrame, order: str, size: str, limit: int, slices: int | None = None) -> DataFrame:
     """``shard`` by running size in ``order``: a new shard every ``limit``.
 
-    Running sums are taken within ``slices`` parts of about equal row counts
-    (by approximate quantiles of ``order``; the session's partitions if not
-    given) and shifted by the totals before, so no single task sees all rows.
+    Rows are dealt by ranges of ``order`` (``slices`` of them; the session's
+    partitions if not given), sorted and written once; running sums are taken
+    within a range and shifted by the totals before, so no task sees all rows.
     """
     slices = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)] or [0.5], 10 * slices)).first()[0] or []
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array(F.lit(None).cast(rows.schema[order].dataType))
-    ranged = rows.withColumn("_slice", F.size(F.filter(bounds, lambda c: c < F.col(order))))
+    ranged = rows.repartitionByRange(slices, order).sortWithinPartitions(order)
+    ranged = written(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
     totals = ranged.groupBy("_slice").agg(F.sum(size).alias("_t"))
-    before = totals.withColumn("_skip", F.coalesce(F.sum("_t").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
+    before = totals.withColumn("_skip", F.coalesce(F.sum("_t").over(Window.partitionBy(F.lit(0)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")  # a row for each range
     inside = F.sum(size).over(Window.partitionBy("_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     out = ranged.withColumn("_sum", inside).join(F.broadcast(before), "_slice")
-    return out.withColumn("shard", F.floor((F.col("_sum") + F.col("_skip") - F.col(size)) / limit).cast("bigint")).drop("_sum", "_skip", "_slice")
+    return out.withColumn("shard", F.floor((F.col("_sum") + F.col("_skip") - F.col(size)) / limit).cast("bigint")).select(*rows.columns, "shard")
 
 
 def drop_repeated_ngrams(docs: DataFrame, key: str, text: str, n: int = 3, dull: tuple[str, ...] = ()) -> DataFrame:

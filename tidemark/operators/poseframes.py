@@ -28,10 +28,10 @@ BLOCK = 4_096
 HALO = 9
 
 
-def pose_frames(rows: DataFrame, track: Column, order: str, xyz: Column) -> DataFrame:
-    """Frames of each track in ``order``."""
-    named = rows.select(track.cast("string").alias("track"), F.col(order).alias("_order"), xyz.alias("xyz"))
-    return number_rows(named, ["_order"], "f", ["track"]).select("track", F.col("f").cast("bigint").alias("f"), "xyz")
+def pose_frames(rows: DataFrame, track: Column, order: str, xyz: Column, **more: Column) -> DataFrame:
+    """Frames of each track in ``order``, with ``more`` columns."""
+    named = rows.select(track.cast("string").alias("track"), F.col(order).alias("_order"), xyz.alias("xyz"), *[c.alias(n) for n, c in more.items()])
+    return number_rows(named, ["_order"], "f", ["track"]).select("track", F.col("f").cast("bigint").alias("f"), "xyz", *more)
 
 
 def points_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -287,3 +287,27 @@ def cleaned(frames: DataFrame, src_fps: float = 30.0, most_gap: int = 5, size: i
         return pa.table({"track": pa.array([track] * int(own.sum())), "f": pa.array(f[own]), "xyz": _lists(q[own])})
 
     return _of_block(dealt.join(blocks, ["track", "block"]), limit, "track string, f bigint, xyz array<double>")
+
+
+def cleaned_mocap(frames: DataFrame, least: float = 0.3, most_gap: int = 5, size: int = BLOCK) -> DataFrame:
+    """Motion capture: frames with a ``confidence`` of each joint; joints under ``least`` go, gaps are filled, poses centred and given fixed bone lengths.
+
+    None of the noise tests is made.  Blocks have a halo for the gaps.
+    """
+    if most_gap > 5 or size < HALO:
+        raise ValueError("the halo covers gaps of five frames, and a block must be no shorter")
+    gated = F.transform("xyz", lambda v, i: F.when(F.get("confidence", F.floor(i / 3).cast("int")) >= least, v))
+
+    def clean(track: str, block: int, f: np.ndarray, points: np.ndarray, table: pa.Table) -> pa.Table | None:
+        own = (f >= block * size) & (f < (block + 1) * size)
+        if not own.any():
+            return None
+        p = pose.fill_gaps(points, most_gap)[own]
+        return pa.table({"track": pa.array([track] * len(p)), "f": pa.array(f[own]), "xyz": _lists(pose.normalise(p - p[:, :1]))})
+
+    return _of_block(_dealt(frames.withColumn("xyz", gated), size, HALO, HALO), clean, "track string, f bigint, xyz array<double>")
+
+
+def unchanged_rate(fps: Column, target: float = 30.0, tolerance: float = 0.05) -> Column:
+    """Whether a track of a frame rate is passed through by resampling: within ``tolerance`` of the target."""
+    return F.abs(fps / target - 1) < tolerance

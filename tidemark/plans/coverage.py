@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text, tokens
@@ -110,6 +110,14 @@ def q108_speak_codec(t: Tables) -> DataFrame:
     return g.select("user_id", "frame", F.array_join("ids", " ").alias("ids"), F.size(valid).cast("bigint").alias("valid"))
 
 
+@query(f"""{_BLOCKS}, l AS (SELECT user_id, chunk, list(k ORDER BY pos) AS l FROM b GROUP BY ALL)
+SELECT user_id, chunk, concat_ws('|', array_to_string(l[1:len(l) // 3], ','), array_to_string(l[len(l) // 3 + 1:2 * (len(l) // 3)], ','), array_to_string(l[2 * (len(l) // 3) + 1:], ',')) AS shared FROM l""")
+def q109b_shared_tokens(t: Tables) -> DataFrame:
+    """The numbers of a chunk dealt over three frames, what is left to the last."""
+    c = fr(t).groupBy("user_id", F.floor(F.col("f") / 8).alias("chunk")).agg(F.transform(F.array_sort(F.collect_list(F.struct("f", k_of().alias("k")))), lambda x: x.k).alias("l"))
+    return c.select("user_id", "chunk", F.array_join(F.transform(stream_ops.share_tokens(F.col("l"), 3), lambda x: F.array_join(x, ",")), "|").alias("shared"))
+
+
 @query(f"""{_BLOCKS} SELECT user_id, chunk, count(*) // 3 AS slices, count(*) % 3 AS left_over, 'doc ' || user_id AS header FROM b GROUP BY ALL""")
 def q109_slices_and_header(t: Tables) -> DataFrame:
     """Whole slices of three blocks, what is left over, and the text before the first block."""
@@ -354,13 +362,14 @@ _SHAKEN, _AWAY, _ROOTLESS = "CASE WHEN vec_id % 7 = 0 THEN 1.5D ELSE 0.1D END",
 _MISSING = "(vec_id * 31 + {c}) % 53 = 0 OR ({c} BETWEEN 24 AND 26 AND vec_id // 80 % 5 = 1)"
 
 
-def _bodies(t: Tables) -> DataFrame:
+def _bodies(t: Tables, confidence: Column | None = None) -> DataFrame:
     def value(c: int, rest: float):
         moved = F.lit(rest) + F.get("embedding", F.lit(c)).cast("double") * F.expr(_SHAKEN) + F.expr(_AWAY)
         missing = F.expr(_MISSING.format(c=c).replace("//", "DIV"))
         return F.when(F.expr(_ROOTLESS), F.lit(0.0)).when(~missing, moved)
 
-    return poseframes.pose_frames(t.embeddings, F.col("label"), "vec_id", F.array(*[value(c, r) for c, r in enumerate(_rest())]))
+    xyz = F.array(*[value(c, r) for c, r in enumerate(_rest())])
+    return poseframes.pose_frames(t.embeddings, F.col("label"), "vec_id", xyz, **({} if confidence is None else {"confidence": confidence}))
 
 
 _BODIES = f"""WITH fr AS (SELECT vec_id, label::VARCHAR AS track, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS f FROM embeddings),
@@ -416,6 +425,35 @@ def q115_cleaned_poses(t: Tables) -> DataFrame:
     return c.select("track", "f", F.size(joints).cast("bigint").alias("joints"), F.round(total, 4).alias("total"))
 
 
+def _mocap_sql() -> str:
+    """Gating, filling, centring and bone lengths."""
+    named = ["n0 AS (SELECT track, f, ps, [0.0::DOUBLE, 0.0, 0.0] AS q0 FROM s)"]
+    for i, (parent, child, length) in enumerate(pose.BONES):
+        d = [f"((ps[{child + 1}][{k}] - ps[1][{k}]) - (ps[{parent + 1}][{k}] - ps[1][{k}]))" for k in (1, 2, 3)]
+        norm = f"(sqrt({d[0]} * {d[0]} + {d[1]} * {d[1]} + {d[2]} * {d[2]}) + 1e-8::DOUBLE)"
+        named.append(f"n{i + 1} AS (SELECT *, [" + ", ".join(f"q{parent}[{k}] + {d[k - 1]} / {norm} * {length}::DOUBLE" for k in (1, 2, 3)) + f"] AS q{child} FROM n{i})")
+    gated = _BODIES[: _BODIES.index("n AS (SELECT track")]
+    filled = _BODIES[_BODIES.index("ends AS (") :]
+    return f"""{gated}u AS (SELECT raw.track, raw.f, raw.c, m, CASE WHEN abs(embedding[c // 3 + 20]::DOUBLE) * 5 >= 0.3 THEN v END AS v FROM raw JOIN fr USING (track, f) JOIN (SELECT track, count(*) AS m FROM fr GROUP BY track) USING (track)),
+{filled}, {", ".join(named)}, j AS (SELECT track, f, [x for x in [{", ".join(f"q{k}" for k in range(17))}] if x[1] IS NOT NULL] AS q FROM n{len(pose.BONES)})
+SELECT track, f, len(q) AS joints, round(list_sum([x[1] + x[2] + x[3] for x in q]), 4) AS total FROM j"""
+
+
+@query(_mocap_sql())
+def q115b_mocap_poses(t: Tables) -> DataFrame:
+    """Motion capture gated by confidence, filled and given fixed bone lengths, without noise tests."""
+    confidence = F.array(*[F.abs(F.get("embedding", F.lit(j + 19)).cast("double")) * 5 for j in range(17)])
+    c = poseframes.cleaned_mocap(_bodies(t, confidence), size=32)
+    joints = F.filter(F.transform(F.sequence(F.lit(0), F.lit(16)), lambda j: F.slice("xyz", 3 * j + 1, 3)), lambda p: F.forall(p, lambda v: v.isNotNull()))
+    return c.select("track", "f", F.size(joints).cast("bigint").alias("joints"), F.round(F.aggregate(F.flatten(joints), F.lit(0.0), lambda acc, v: acc + v), 4).alias("total"))
+
+
+@query("SELECT event_id, abs(value / 30.0::DOUBLE - 1) < 0.05 AS unchanged FROM events")
+def q115c_unchanged_rates(t: Tables) -> DataFrame:
+    """Frame rates near enough to thirty to be left as they are."""
+    return t.events.select("event_id", poseframes.unchanged_rate(F.col("value").cast("double")).alias("unchanged"))
+
+
 @query(f"""{FR}, n AS (SELECT user_id, count(*) AS n FROM fr GROUP BY user_id), g AS (SELECT fr.user_id, fr.f, min(w) AS w FROM fr JOIN n USING (user_id), LATERAL (SELECT unnest([fr.f // 4 * 4 - 4, fr.f // 4 * 4]) AS w) x WHERE w >= 0 AND w + 8 <= n AND event_type <> 'error' GROUP BY ALL)
 SELECT g.user_id::VARCHAR AS track, g.f, round(fr.value + g.w, 6) AS value FROM g JOIN fr ON fr.user_id = g.user_id AND fr.f = g.f""")
 def q116_first_window_wins(t: Tables) -> DataFrame:
@@ -511,6 +549,27 @@ def q122b_rolled_shards(t: Tables) -> DataFrame:
     return d.groupBy(F.col("shard").cast("bigint").alias("shard")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
+@query("""WITH d AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 150 AS shard FROM documents) SELECT shard, count(*) AS n, min(doc_id) AS first, max(doc_id) AS last, CASE WHEN shard = 5 THEN 'test' ELSE 'train' END AS split FROM d GROUP BY shard""")
+def q122c_row_shards(t: Tables) -> DataFrame:
+    """Shards of 150 rows, and the split that the shard's name decides."""
+    path = new_path(t.spark, "row-shards")
+    sinks.write_row_shards(t.documents.select("doc_id", "lang"), path, "doc_id", 150)
+    shard = F.regexp_extract(F.col("_metadata.file_path"), r"shard=(\d+)/", 1).cast("bigint")
+    files = t.spark.read.schema("doc_id bigint, lang string").json(path).withColumn("shard", shard)
+    split = corpus.split_by_shard(F.col("shard"), (5,))
+    return files.groupBy("shard").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).withColumn("split", split)
+
+
+@query("SELECT doc_id, n_chars, 0::BIGINT AS empty_files FROM documents WHERE n_chars > 1000")
+def q122d_all_or_nothing(t: Tables) -> DataFrame:
+    """Lines that appear at once, and no file at all for an empty result."""
+    path, none = new_path(t.spark, "lines"), new_path(t.spark, "none")
+    d = t.documents.select("doc_id", "n_chars")
+    sinks.write_jsonl_if_any(d.filter("n_chars > 1000"), path)
+    empty = 1 if sinks.write_jsonl_if_any(d.filter("n_chars < 0"), none) else 0
+    return t.spark.read.schema("doc_id bigint, n_chars bigint").json(path).withColumn("empty_files", F.lit(empty).cast("bigint"))
+
+
 @query("""SELECT user_id % 3 AS rank, count(*) AS n FROM events GROUP BY ALL""")
 def q123_files_by_rank(t: Tables) -> DataFrame:
     """Output by the rank in the input file's name."""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.corpus import size_shards
+from ..operators.numbering import number_rows
+from ..session import written
 
 
 def write_jsonl(df: DataFrame, path: str, shards: int | None = None, compress: bool = True, by: str | None = None) -> None:
@@ -20,9 +22,24 @@ def write_per_rank(df: DataFrame, path: str, name: str = "file_name") -> None:
     df.withColumn("rank", rank).repartition("rank").write.partitionBy("rank").option("compression", "gzip").json(path)
 
 
-def write_row_shards(df: DataFrame, path: str, rows: int = 5000) -> None:
-    """Files of at most ``rows`` rows."""
-    df.write.option("maxRecordsPerFile", rows).json(path)
+def write_jsonl_if_any(df: DataFrame, path: str) -> bool:
+    """JSON lines that appear at once when all are written; nothing at all where there are no rows, and then False."""
+    rows = written(df, "rows")
+    if rows.isEmpty():
+        return False
+    rows.write.option("compression", "gzip").json(path)
+    return True
+
+
+def write_row_shards(df: DataFrame, path: str, order: str, rows: int = 5000) -> None:
+    """JSON lines in one folder ``shard=N`` for every ``rows`` rows in ``order``; the last one may have fewer."""
+    numbered = number_rows(df, [order], "_n").withColumn("shard", F.floor(F.col("_n") / rows)).drop("_n")
+    _by_range(numbered, order).json(path)
+
+
+def _by_range(sharded: DataFrame, order: str) -> DataFrameWriter:
+    """Shards in order over tasks of about equal size: a task may write several, and several tasks one."""
+    return sharded.repartitionByRange("shard", order).sortWithinPartitions("shard", order).write.partitionBy("shard").option("compression", "gzip")
 
 
 def write_parquet_shards(df: DataFrame, path: str, shards: int) -> None:
@@ -55,8 +72,7 @@ def write_named_shards(df: DataFrame, path: str, prefix: str, total: int, order:
 
 def write_size_shards(df: DataFrame, path: str, order: str, size: str, limit: int) -> None:
     """JSON lines in one folder ``shard=N`` for every ``limit`` of running ``size`` in ``order``, sorted inside."""
-    sharded = size_shards(df, order, size, limit)
-    sharded.repartition("shard").sortWithinPartitions("shard", order).write.partitionBy("shard").option("compression", "gzip").json(path)
+    _by_range(size_shards(df, order, size, limit), order).json(path)
 
 
 def check_shards(spark: SparkSession, path: str, expected: int) -> None:
