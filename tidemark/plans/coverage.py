@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text, tokens
 from ..functions.numeric import pchip
+from ..functions.tokens import words
 from ..operators import corpus, flatten, pose, poseframes, records, windows
 from ..operators import streams as stream_ops
 from ..session import new_path
 from ..sources import sinks
 from ..sources import text as text_sources
 from ..streaming import incremental, manifest, ordered
-from .documents import UNIFORM_SQL
+from .documents import UNIFORM_SQL, WORDS_SQL
 from .records import side_streams
 from .registry import ORACLE_SQL, QUERIES, Tables, query
 from .tracks import FR, K_SQL, KIND_SQL, fr, k_of, kind_of, streams
@@ -84,6 +85,32 @@ def q105_swaps(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.array_join(stream_ops.swap_some(items, 0.1, F.col("event_id")), " ").alias("items"))
 
 
+_PLACE = UNIFORM_SQL.format("conv_id || ':' || turn || '|' || (s + 1) || '|{}'")
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT conv_id, turn, string_split(text, ' ') AS l FROM conversations WHERE text IS NOT NULL),
+r AS (SELECT conv_id, turn, l, 0 AS s, greatest(1, CAST(floor(len(l) * 0.02::DOUBLE) AS INT)) AS m FROM c UNION ALL
+SELECT conv_id, turn, [CASE i WHEN a THEN l[b + 1] WHEN b THEN l[a + 1] ELSE l[i + 1] END for i in range(len(l))], s + 1, m FROM (SELECT *, CAST(floor({_PLACE.format("a")} * len(l)) AS BIGINT) AS a, CAST(floor({_PLACE.format("b")} * len(l)) AS BIGINT) AS b FROM r WHERE s < m AND len(l) >= 2) x)
+SELECT conv_id, turn, md5(array_to_string(l, ' ')) AS text_md5 FROM r WHERE s = m OR len(l) < 2""")
+def q105b_swapped_words(t: Tables) -> DataFrame:
+    """Two words in a hundred of every turn swapped with others, one after the other."""
+    key = F.concat_ws(":", "conv_id", "turn")
+    c = t.conversations.filter("text is not null")
+    return c.select("conv_id", "turn", F.md5(F.array_join(stream_ops.swap_some(F.split("text", " ", -1), 0.02, key), " ")).alias("text_md5"))
+
+
+@query("""SELECT conv_id, turn, md5(trim(replace(text, '<', '')) || CASE WHEN role = 'user' THEN ' /media/' || conv_id || '-' || turn || '.png' ELSE ' <image_' || turn || '>' END) AS filled_md5, md5(trim(replace(text, '<', ''))) AS caption_md5 FROM conversations WHERE text IS NOT NULL""")
+def q107b_media_of_turns(t: Tables) -> DataFrame:
+    """Captions of all turns with their placeholders filled from the conversation's media map, which has the user's images alone; and without wrapper and placeholders."""
+    c = t.conversations.filter("text is not null").withColumn("plain", F.trim(F.replace("text", F.lit("<"), F.lit(""))))
+    image = F.concat(F.lit("image_"), "turn")
+    user = F.col("role") == "user"
+    media = c.filter(user).groupBy("conv_id").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(image, F.concat(F.lit("/media/"), "conv_id", F.lit("-"), "turn", F.lit(".png")))))).alias("media"))
+    wrapped = F.concat(F.lit("<caption>"), "plain", F.lit(" <"), image, F.lit("></caption>"))
+    filled = stream_ops.fill_placeholders(F.concat("plain", F.lit(" <"), image, F.lit(">")), F.col("media"))
+    return c.join(media, "conv_id", "left").select("conv_id", "turn", F.md5(filled).alias("filled_md5"), F.md5(F.trim(stream_ops.strip_outer(wrapped))).alias("caption_md5"))
+
+
 @query(f"""SELECT conv_id, 'USER: ' || CASE CAST(floor({UNIFORM_SQL.format("conv_id || '|clip.mp4'")} * 3) AS BIGINT) WHEN 0 THEN 'What does clip.mp4 show?' WHEN 1 THEN 'Describe clip.mp4.' ELSE 'What can be seen in clip.mp4?' END || ' ASSISTANT: ' || count(*) || ' turns' AS text FROM conversations GROUP BY conv_id""")
 def q106_question_answers(t: Tables) -> DataFrame:
     """Questions in a wording drawn by hash, from a media map."""
@@ -653,3 +680,14 @@ def q129_synonyms(t: Tables) -> DataFrame:
     w = fr(t).select("user_id", "f", F.expr(f"CASE get_json_object(props, '$.k') % 3 WHEN 0 THEN 'Wonder' WHEN 1 THEN 'mention' ELSE 'station' END").alias("w"))
     texts = w.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("f", "w"))), lambda x: x.w), " ").alias("text"))
     return stream_ops.replace_words(texts, "user_id", "text", t.spark.createDataFrame(list(_SYNONYMS), "word string, synonym string"), 0.15)
+
+
+@query(f"""WITH s AS (SELECT DISTINCT lower(w) AS word FROM (SELECT unnest({WORDS_SQL}) AS w FROM benchmark) WHERE length(w) > 5),
+w AS (SELECT doc_id, unnest({WORDS_SQL}) AS w, unnest(range(len({WORDS_SQL}))) AS i FROM documents),
+n AS (SELECT doc_id, i, CASE WHEN word IS NOT NULL AND length(w) > 5 AND {UNIFORM_SQL.format("doc_id || '|' || i || '|syn'")} < 0.15 THEN CASE WHEN w[1] = upper(w[1]) THEN upper(reverse(word)[1]) || reverse(word)[2:] ELSE reverse(word) END ELSE w END AS w FROM w LEFT JOIN s ON word = lower(w)),
+j AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM n GROUP BY doc_id) SELECT doc_id, md5(j.text) AS text_md5 FROM documents LEFT JOIN j USING (doc_id)""")
+def q129b_replaced_words(t: Tables) -> DataFrame:
+    """Words of whole documents that the benchmark knows, replaced at a rate by their entry in a table (here the word backwards)."""
+    known = t.benchmark.select(F.explode(words(F.col("text"))).alias("w")).filter(F.length("w") > 5).select(F.lower("w").alias("word")).distinct()
+    d = stream_ops.replace_words(t.documents.select("doc_id", "text"), "doc_id", "text", known.withColumn("synonym", F.reverse("word")), 0.15)
+    return d.select("doc_id", F.md5("text").alias("text_md5"))
