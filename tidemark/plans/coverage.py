@@ -310,7 +310,7 @@ curve AS (SELECT {key}, pos, CASE WHEN many = 1 THEN y WHEN many = 2 THEN y + d
 
 @query(f"""{_TIERED}, knots AS (SELECT track, win, j, i AS t, unnest([0, 1, 2]) AS axis, unnest([{_coded("x")}, {_coded("y")}, {_coded("z")}]) AS y FROM tiers WHERE i IN (0, 7) OR rank <= points - 2),
 steps AS (SELECT step, step / 2.0::DOUBLE AS pos FROM range(15) r(step)), {_curve_sql("knots", "track, win, j, axis", "steps")}
-SELECT track, win AS window_id, j AS joint, CAST(pos * 2 AS BIGINT) AS step, round(max(y) FILTER (axis = 0), 6) AS x, round(max(y) FILTER (axis = 1), 6) AS y, round(max(y) FILTER (axis = 2), 6) AS z FROM curve GROUP BY ALL""")
+SELECT track, win AS window_id, j AS joint, CAST(pos * 2 AS BIGINT) AS step, round(max(y) FILTER (axis = 0), 6) + 0.0::DOUBLE AS x, round(max(y) FILTER (axis = 1), 6) + 0.0::DOUBLE AS y, round(max(y) FILTER (axis = 2), 6) + 0.0::DOUBLE AS z FROM curve GROUP BY ALL""")
 def q118_decoded_poses(t: Tables) -> DataFrame:
     """Tokens decoded at twice the frame rate: every joint on the monotone cubic through its two, four or eight points."""
     d = poseframes.decoded(poseframes.window_tokens(_windows(t)), times=2)
