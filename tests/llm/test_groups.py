@@ -111,6 +111,23 @@ def test_a_large_family_is_not_compared_in_pairs(spark, monkeypatch):
     assert len(most) == 1 and max((r[1] for r in blocks), default=0) <= 4
 
 
+@pytest.mark.parametrize("kept", [0, 150, minhash.KEPT_SHINGLES])
+def test_nearly_similar_documents_are_no_pairs_to_confirm(spark, monkeypatch, kept):
+    """Documents that share 72 % of their shingles in pairs pass the sketches; their bucket's task tells them apart, if their sets are at hand."""
+    monkeypatch.setattr(minhash, "KEPT_SHINGLES", kept)
+    draw = random.Random(9)
+    core = [f"c{i}" for i in range(130)]
+    rows = [(i, " ".join(core + [f"d{i}x{j}" for j in range(25)])) for i in range(60)]
+    rows += [(100 + i, " ".join(core + [f"d{i}x{j}" for j in range(22)] + [f"e{i}"] * 3)) for i in range(0, 60, 4)]
+    draw.shuffle(rows)
+    asked = []
+    confirm = minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda pairs, *x: (asked.append(pairs.count()), confirm(pairs, *x))[1])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(documents(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in brute_groups(rows).items()}
+    assert len(asked) == 2 and (asked[1] == 0) == (kept > 150)
+
+
 def test_prefixes_lose_no_link(spark):
     draw = random.Random(6)
     rows = []

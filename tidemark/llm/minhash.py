@@ -14,7 +14,11 @@ is connectivity, so not all pairs of a bucket are looked at:
    confirmed links give components;
 2. only in buckets that still hold several components, classes of different
    components are compared by longer sketches (the low byte of each of 1,024
-   signature values), and pairs with enough agreement are confirmed too.
+   signature values), and pairs with enough agreement are confirmed too.  Sets
+   of up to KEPT_SHINGLES come along with the sketches, so the task of the
+   bucket confirms such a pair itself and counts the two components as one from
+   then on: it gives fewer links than it has classes, however many pairs are
+   nearly similar.  Only pairs with a larger set leave it unconfirmed.
 
 In buckets of more than BUCKET_ROWS classes not all pairs are compared, however
 large a family of half-similar documents is: their classes are met again by
@@ -54,6 +58,9 @@ SKETCH_PERMUTATIONS = 512
 #: Agreeing sketch values, of the first 128 and of all 1,024, from which a pair is confirmed on full sets.  A similarity of 0.75 gives 96 and 768 on average; these are 6 and 5.2 deviations less.
 FIRST_LEAST, SKETCH_LEAST = 66, 696
 
+#: Shingles of a set that is sent along with its sketch (8 bytes each).
+KEPT_SHINGLES = 2_048
+
 _draw = np.random.default_rng(20240229)
 _A = _draw.integers(0, 1 << 63, SKETCH_PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _draw.integers(0, 1 << 63, SKETCH_PERMUTATIONS, np.uint64)
@@ -132,20 +139,23 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
 def sketch_pairs(members: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """Pairs (a, b) of different components whose sketches agree enough.
 
-    ``members`` has ``bucket``, ``rep``, ``n``, ``component``, ``sketch``,
-    ``bands``, ``outer``, ``side`` and ``indexed``.  Pairs are those of one
+    A pair is ``sure`` if it is confirmed on the full sets; what such pairs
+    connect is one component from there on.  Others have a set that is not at
+    hand.  ``members`` has ``bucket``, ``rep``, ``n``, ``component``, ``sketch``,
+    ``set`` (null if large), ``bands``, ``outer``, ``side`` and ``indexed``.  Pairs are those of one
     bucket whose sizes fit and of which the smaller by (n, rep) is
     ``indexed``; where ``side`` is 0 or 1 and not -1, those of two sides.  Where
     ``outer`` is set it is the band hash that makes the bucket, and a pair that
     shares several bands is looked at only in the bucket of the first.
     """
     reach_workers(members.sparkSession)
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sure", pa.bool_())])
 
     def close(group: list[tuple]) -> Iterator[pa.RecordBatch]:
         group.sort(key=lambda r: (r[2], r[1]))
         reps, sizes, comps, sides = (np.array([r[k] for r in group], np.int64) for k in (1, 2, 3, 7))
         sketches = np.frombuffer(b"".join(r[4] for r in group), np.uint8).reshape(len(group), -1)
+        sets = [None if r[9] is None else np.frombuffer(r[9], np.uint64) for r in group]
         outer = group[0][6]
         hashes = None if outer is None else np.array([r[5] for r in group], np.int64)
         for i in range(len(group) - 1):
@@ -160,22 +170,30 @@ def sketch_pairs(members: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataF
                 near = near[hashes[i][common.argmax(1)] == outer]
             near = near[(sketches[near, :128] == sketches[i, :128]).sum(1) >= FIRST_LEAST]
             near = near[(sketches[near] == sketches[i]).sum(1) >= SKETCH_LEAST]
-            if len(near):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(reps[near], reps[i])), pa.array(np.maximum(reps[near], reps[i]))], schema=schema)
+            found = []
+            for j in near:
+                if sets[i] is None or sets[j] is None:
+                    found.append((min(reps[i], reps[j]), max(reps[i], reps[j]), False))
+                elif comps[i] != comps[j] and similar(sets[i], sets[j], percent):
+                    found.append((min(reps[i], reps[j]), max(reps[i], reps[j]), True))
+                    comps[comps == comps[j]] = comps[i]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and group[0][0] != row[0]:
-                    yield from close(group)
-                    group = []
-                group.append(row)
+            for at in range(0, batch.num_rows, 64):  # sets can be large
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                    if group and group[0][0] != row[0]:
+                        yield from close(group)
+                        group = []
+                    group.append(row)
         if group:
             yield from close(group)
 
-    dealt = members.select("bucket", "rep", "n", "component", "sketch", "bands", "outer", "side", "indexed").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
-    return dealt.mapInArrow(run, "a long, b long")
+    dealt = members.select("bucket", "rep", "n", "component", "sketch", "bands", "outer", "side", "indexed", "set").repartition(F.col("bucket")).sortWithinPartitions("bucket", "rep")
+    return dealt.mapInArrow(run, "a long, b long, sure boolean")
 
 
 def _mixed_buckets(members: DataFrame) -> DataFrame:
@@ -246,7 +264,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sketch(reps: list, texts: list) -> Iterator[tuple]:
         for i, text in zip(reps, texts, strict=True):
-            yield i, mix(signature(shingle_set(text, words), SKETCH_PERMUTATIONS)).astype(np.uint8).tobytes()
+            found = shingle_set(text, words)
+            yield i, mix(signature(found, SKETCH_PERMUTATIONS)).astype(np.uint8).tobytes(), found.tobytes() if len(found) <= KEPT_SHINGLES else None
 
     signed = materialise(map_rows(base, ["doc_id", "text"], sign, "doc_id long, n long, set_key binary, bands array<long>"), "signed")
     linked = signed.filter("n > 0 and doc_id is not null")
@@ -270,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     open_members = placed(members.select("bucket", "rep"), component)
     open_members = materialise(join_counted(open_members, _mixed_buckets(open_members).withColumn("many", F.col("n")), ["bucket"], members.count()), "open")
-    sketches = map_rows(texts.join(open_members.select("rep").distinct(), "rep", "left_semi"), ["rep", "text"], sketch, "rep long, sketch binary")
+    sketches = map_rows(texts.join(open_members.select("rep").distinct(), "rep", "left_semi"), ["rep", "text"], sketch, "rep long, sketch binary, set binary")
     sketches = sketches.join(classes.select("rep", "n", "bands"), "rep").dropDuplicates(["rep"])
     small = open_members.filter(F.col("many") <= bucket_rows).select("bucket", "rep", "component", F.col("bucket").alias("outer"), F.lit(-1).alias("side"), F.lit(True).alias("indexed"))
     near = sketch_pairs(small.join(sketches, "rep"), percent)
@@ -278,9 +297,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     large = open_members.filter(F.col("many") > bucket_rows).select("rep", "component").distinct()
     if not large.isEmpty():
         met = materialise(prefixes(texts.join(large.select("rep"), "rep", "left_semi").dropDuplicates(["rep"]), words, percent).join(large, "rep"), "prefixes")
-        near = near.unionByName(sketch_pairs(meetings(met, bucket_rows).join(sketches, "rep"), percent)).distinct()
-    near = near.join(stars, ["a", "b"], "left_anti")
-    more = materialise(confirm(near, texts, words, percent), "links")
+        near = near.unionByName(sketch_pairs(meetings(met, bucket_rows).join(sketches, "rep"), percent))
+    near = materialise(near, "near")
+    open_pairs = near.filter("not sure").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    more = near.filter("sure").select("a", "b")
+    more = materialise(more.unionByName(confirm(open_pairs, texts, words, percent)), "links")
     if not more.isEmpty():
         component = connected_components(links.unionByName(more))
 
