@@ -86,3 +86,16 @@ def test_every_window_of_a_vector_has_a_row(spark, tmp_path):
     got = {(r.vec_id, r.win): r.points for r in registry.QUERIES["q24b_window_control_points"](spark, str(tmp_path)).collect()}
     assert got == {(1, 0): 2, (1, 1): 8, (2, 0): 2, (2, 1): 2}
     assert (r := registry.QUERIES["q25b_window_tiers"](spark, str(tmp_path)).first()).p2 == 3 and r.p8 == 1
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Scans in splits smaller than a row group, so the first tasks have no rows."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_strict_lines_where_the_first_task_has_no_rows(spark, small_splits):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    assert registry.QUERIES["q120b_strict_json_lines"](spark, SF).count() == events.count() > 0
