@@ -99,3 +99,12 @@ def small_splits(spark):
 def test_strict_lines_where_the_first_task_has_no_rows(spark, small_splits):
     events = spark.read.parquet(f"{SF}/events.parquet")
     assert registry.QUERIES["q120b_strict_json_lines"](spark, SF).count() == events.count() > 0
+
+
+def test_a_capital_is_one_letter(spark):
+    from tidemark.operators.streams import replace_words
+
+    rows = [(1, "Abcdefß"), (2, "abcdefß"), (3, "Abcdefg"), (4, "ßbcdefg")]
+    synonyms = spark.createDataFrame([("abcdefß", "ßfedcba"), ("abcdefg", "a.foo-bar"), ("ßbcdefg", "gfedcbß")], "word string, synonym string")
+    got = replace_words(spark.createDataFrame(rows, "k long, text string"), "k", "text", synonyms, 2.0)
+    assert {r.k: r.text for r in got.collect()} == {1: "ẞfedcba", 2: "ßfedcba", 3: "A.foo-bar", 4: "gfedcbß"}

@@ -81,11 +81,24 @@ def swap_some(items: Column, rate: float, key: Column) -> Column:
     return F.when(n < 2, items).otherwise(F.aggregate(F.sequence(F.lit(1), swaps), items, step))
 
 
+#: Letters whose upper case is more than one letter, though there is one capital.
+_LETTERS = "ß" + "".join(c for c in map(chr, range(0x1F80, 0x1FFD)) if len(c.upper()) > 1 and len(c.title()) == 1 and c.title() != c)
+_CAPITALS = "ẞ" + "".join(c.title() for c in _LETTERS[1:])
+
+
+def _capital(letter: Column) -> Column:
+    """The capital of one letter, which is one letter too; the letter itself if it has none."""
+    upper = F.upper(letter)
+    return F.when(F.length(upper) == 1, upper).otherwise(F.translate(letter, _LETTERS, _CAPITALS))
+
+
 def replace_words(text: DataFrame, key: str, column: str, synonyms: DataFrame, rate: float) -> DataFrame:
     """Words of more than five letters replaced at ``rate`` by their entry in ``synonyms`` (word, synonym), the first letter's case kept."""
     w = text.select(key, F.posexplode(words(F.col(column))).alias("i", "w")).join(synonyms.withColumnRenamed("word", "_w"), F.lower("w") == F.col("_w"), "left")
     use = F.col("synonym").isNotNull() & (F.length("w") > 5) & (hash_uniform(F.col(key), F.col("i"), "syn") < rate)
-    cased = F.when(F.substring("w", 1, 1) == F.upper(F.substring("w", 1, 1)), F.initcap("synonym")).otherwise(F.col("synonym"))
+    first = F.substring("w", 1, 1)
+    capital = F.concat(_capital(F.substring("synonym", 1, 1)), F.expr("substring(synonym, 2)"))
+    cased = F.when(first == _capital(first), capital).otherwise(F.col("synonym"))
     new = w.withColumn("w", F.when(use, cased).otherwise(F.col("w")))
     joined = new.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "w"))), lambda x: x.w), " ").alias(column))
     return text.drop(column).join(joined, key, "left")
