@@ -157,14 +157,16 @@ def q140_sequence_examples(t: Tables) -> DataFrame:
     steps = fr(t).select("user_id", F.floor(F.col("f") / 64).alias("part"), F.struct("f", k_of().alias("k"), kind_of().alias("kind"), F.col("value").cast("double").alias("value")).alias("s"))
 
     @F.pandas_udf("binary")
-    def coded(user: pd.Series, rows: pd.Series) -> pd.Series:
-        def one(u: int, r: list) -> bytes:
-            return archives.coded_example({"user_id": [int(u)]}, {"k": [[int(x["k"])] for x in r], "kind": [[x["kind"]] for x in r], "value": [[float(x["value"])] for x in r], "f": [[int(x["f"])] for x in r]})
+    def coded(user: pd.Series, f: pd.Series, k: pd.Series, kind: pd.Series, value: pd.Series) -> pd.Series:
+        def one(u: int, f: list, k: list, kind: list, value: list) -> bytes:
+            single = lambda kind, xs: [[kind(x)] for x in xs]
+            return archives.coded_example({"user_id": [int(u)]}, {"k": single(int, k), "kind": single(str, kind), "value": single(float, value), "f": single(int, f)})
 
-        return pd.Series([one(u, r) for u, r in zip(user, rows, strict=True)])
+        return pd.Series([one(*x) for x in zip(user, f, k, kind, value, strict=True)])
 
     examples = steps.groupBy("user_id", "part").agg(F.array_sort(F.collect_list("s")).alias("s"))  # 64 rows at most
-    examples.select(coded("user_id", "s").alias("content")).write.format("tfrecord").mode("append").save(path)
+    of_step = lambda name: F.transform("s", lambda x: x[name])  # noqa: E731  arrays of numbers, no row of Python's for each step
+    examples.select(coded("user_id", *map(of_step, ("f", "k", "kind", "value"))).alias("content")).write.format("tfrecord").mode("append").save(path)
     features = archives.sequence_examples(t.spark, path).withColumn("v", F.get("values", F.lit(0)))
     of = lambda name, kind: F.max(F.when(F.col("name") == name, F.col("v"))).cast(kind).alias(name)
     users = features.filter("list = -1").groupBy("path", "record").agg(of("user_id", "bigint"))
