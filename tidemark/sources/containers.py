@@ -33,6 +33,8 @@ from . import decoding
 
 #: Bytes of a file in one partition, where its format can be cut.
 SPLIT_BYTES = 128 << 20
+#: A file counts as so many bytes more, so that a partition of small ones stays short; with many files there are so many partitions at least.
+OPEN_BYTES, LEAST_PARTS = 64 << 10, 64
 #: Bytes looked at together for the start of a framed record.
 SEEK_BYTES = 1 << 20
 #: Longer framed records are broken ones.
@@ -72,8 +74,15 @@ class Part(InputPartition):
     end: int = 0
 
 
+@dataclass
+class Parts(InputPartition):
+    """Small parts that one task reads one after another."""
+
+    parts: list[Part]
+
+
 class _Files(DataSourceReader):
-    """One partition per file; ``cut`` may give more, ``rows`` reads one."""
+    """Parts of files, small ones together in a partition; ``cut`` gives the parts of a file, ``rows`` reads one."""
 
     #: Columns whose filters are taken along.
     pushed_column: str | None = None
@@ -96,15 +105,32 @@ class _Files(DataSourceReader):
         answers = {"is": lambda v: name == v, "in": lambda v: name in v, "starts": lambda v: name.startswith(v), "ends": lambda v: name.endswith(v), "holds": lambda v: v in name}
         return all(answers[kind](value) for kind, value in self.tests)
 
-    def partitions(self) -> list[Part]:
-        parts = [p for path, length in listed(self.options["path"]) for p in self.cut(path, length)]
-        return parts or [Part("", 0)]
+    def partitions(self) -> list[Parts]:
+        """Whole small files are put together, as a task for each costs more than to read them."""
+        files = listed(self.options["path"])
+        cost = lambda length: length + OPEN_BYTES
+        most = min(self.split, -(-sum(cost(length) for _, length in files) // LEAST_PARTS))
+        out, held = [Parts([])], 0
+        for path, length in files:
+            parts = list(self.cut(path, length))
+            if len(parts) > 1:
+                out += [Parts([p]) for p in parts]
+                held = most
+                continue
+            if not out[-1].parts or held + cost(length) <= most:
+                held += cost(length)
+            else:
+                out.append(Parts([]))
+                held = cost(length)
+            out[-1].parts += parts
+        return out
 
     def cut(self, path: str, length: int) -> Iterator[Part]:
         yield Part(path, length)
 
-    def read(self, part: Part) -> Iterator:
-        return iter(()) if not part.path else self.rows(part)
+    def read(self, partition: Parts) -> Iterator:
+        for part in partition.parts:
+            yield from self.rows(part)
 
     def rows(self, part: Part) -> Iterator:
         raise NotImplementedError
@@ -497,12 +523,15 @@ class _Each(_Shards):
 
     def commit(self, messages: list[Written | None]) -> None:
         system, folder = system_of(self.path)
+        made: set[str] = set()
         for m in (m for m in messages if m and m.rows):
             with system.open_input_stream(m.temporary) as f:
                 for line in f.read().decode().splitlines():
                     inner, name = line.split("\t")
                     target = f"{folder}/{name}"
-                    system.create_dir(target.rpartition("/")[0])
+                    if (inside := target.rpartition("/")[0]) not in made:
+                        system.create_dir(inside)
+                        made.add(inside)
                     system.move(inner, target)
         self.abort(messages)
 
