@@ -37,6 +37,8 @@ SPLIT_BYTES = 128 << 20
 OPEN_BYTES, LEAST_PARTS = 64 << 10, 64
 #: Bytes looked at together for the start of a framed record.
 SEEK_BYTES = 1 << 20
+#: Records and bytes that are worked on or handed on together.
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
 #: Longer framed records are broken ones.
 LONGEST_RECORD = (1 << 31) - 64
 
@@ -288,11 +290,28 @@ class _TFRecord(_Files):
             at += 16 + n
 
     def _checked(self, path: str, frames: Iterator[tuple[int, bytes, int]]) -> Iterator[tuple]:
-        verify = self.options.get("verify", "false").lower() == "true"
-        for at, body, stored in frames:
-            if verify and int(decoding.masked_checksums([body])[0]) != stored:
-                raise ValueError(f"{path}: the record at {at} does not have its checksum")
-            yield path, at, body
+        if self.options.get("verify", "false").lower() != "true":
+            yield from ((path, at, body) for at, body, _ in frames)
+            return
+        for some in _together(frames, lambda frame: len(frame[1])):
+            wrong = np.flatnonzero(decoding.masked_checksums([body for _, body, _ in some]) != np.array([stored for *_, stored in some], np.uint32))
+            for at, body, _ in some[: wrong[0]] if len(wrong) else some:
+                yield path, at, body
+            if len(wrong):
+                raise ValueError(f"{path}: the record at {some[wrong[0]][0]} does not have its checksum")
+
+
+def _together[T](items: Iterator[T], size: Callable[[T], int]) -> Iterator[list[T]]:
+    """Items in lists of BATCH_ROWS, or of about BATCH_BYTES."""
+    some, held = [], 0
+    for item in items:
+        some.append(item)
+        held += size(item)
+        if len(some) >= BATCH_ROWS or held >= BATCH_BYTES:
+            yield some
+            some, held = [], 0
+    if some:
+        yield some
 
 
 class _Joined(io.RawIOBase):
