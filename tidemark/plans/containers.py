@@ -18,6 +18,8 @@ from .tracks import FR, K_SQL, KIND_SQL, fr, k_of, kind_of
 CAP, WHOLE = 1 << 15, 100
 #: Events of one file.
 OF_FILE = 256
+#: Bytes of one archive: a tar is read by one task, and one inside another as one row.
+SHARD_BYTES = 16 << 20
 
 _FILES = f"WITH e AS (SELECT *, row_number() OVER (PARTITION BY event_id // {OF_FILE} ORDER BY event_id) AS n FROM events)"
 
@@ -103,9 +105,9 @@ def q136_tar_members(t: Tables) -> DataFrame:
     inner, outer = new_path(t.spark, "inner"), new_path(t.spark, "outer")
     archives.register(t.spark)
     name = F.concat(F.lit("texts/"), "doc_id", F.when(F.col("doc_id") % 2 == 0, ".txt").otherwise(".bin"))
-    t.documents.filter("text is not null").select(name.alias("member"), F.encode("text", "utf-8").alias("content")).write.format("tar").option("suffix", ".tar.gz").mode("append").save(inner)
+    t.documents.filter("text is not null").select(name.alias("member"), F.encode("text", "utf-8").alias("content")).write.format("tar").option("suffix", ".tar.gz").option("shard_bytes", SHARD_BYTES).mode("append").save(inner)
     shards = archives.read(t.spark, "each_file", inner).select(F.concat(F.lit("shards/"), "member").alias("member"), "content")
-    shards.write.format("tar").mode("append").save(outer)
+    shards.write.format("tar").option("shard_bytes", SHARD_BYTES).mode("append").save(outer)
     m = archives.tar_members(t.spark, outer, ".txt")
     return m.select(F.regexp_extract("member", r"texts/(\d+)\.txt$", 1).cast("bigint").alias("doc_id"), F.md5("content").alias("text_md5"))
 
@@ -116,7 +118,7 @@ def q137_zip_members(t: Tables) -> DataFrame:
     path = new_path(t.spark, "zip")
     archives.register(t.spark)
     name = F.concat_ws("/", "lang", F.lpad((F.col("doc_id") % 50).cast("string"), 3, "0"), F.concat("doc_id", F.lit(".txt")))
-    t.documents.select(name.alias("member"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content")).write.format("zip").mode("append").save(path)
+    t.documents.select(name.alias("member"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content")).write.format("zip").option("shard_bytes", SHARD_BYTES).mode("append").save(path)
     m = archives.zip_members(t.spark, path, r"^(\w+)/(\d+)/")
     return m.groupBy("category", "seq_id").agg(F.count("*").alias("members"), F.sum(F.octet_length("content")).alias("bytes"))
 

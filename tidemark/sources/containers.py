@@ -18,7 +18,6 @@ import zipfile
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
@@ -89,8 +88,10 @@ class _Files(DataSourceReader):
     #: Columns whose filters are taken along.
     pushed_column: str | None = None
 
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: dict[str, str], columns: str = ""):
         self.options = options
+        kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+        self.columns = pa.schema([(name, kinds.get(kind)) for name, kind in (c.split() for c in columns.split(", ") if c)]) if "<" not in columns else pa.schema([])
         self.split = int(options.get("split_bytes", SPLIT_BYTES))
         self.tests: list[tuple[str, object]] = []
 
@@ -130,9 +131,10 @@ class _Files(DataSourceReader):
     def cut(self, path: str, length: int) -> Iterator[Part]:
         yield Part(path, length)
 
-    def read(self, partition: Parts) -> Iterator:
-        for part in partition.parts:
-            yield from self.rows(part)
+    def read(self, partition: Parts) -> Iterator[pa.RecordBatch]:
+        rows = (row for part in partition.parts for row in self.rows(part))
+        for some in _together(rows, lambda row: sum(len(x) for x in row if isinstance(x, bytes | str))):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), self.columns.types, strict=True)], schema=self.columns)
 
     def rows(self, part: Part) -> Iterator:
         raise NotImplementedError
@@ -168,6 +170,7 @@ def tar_entries(stream: BinaryIO, wanted: Callable[[str], bool], depth: int = 1)
     """Members of a tar, packed or not, and of tars inside it, ``depth`` levels down; only wanted ones are read."""
     with tarfile.open(fileobj=stream, mode="r|*") as tar:
         for m in tar:
+            tar.members.clear()  # else every header stays in memory
             if not m.isfile():
                 continue
             if m.name.endswith((".tar", ".tar.gz", ".tgz")) and depth:
@@ -334,6 +337,10 @@ class _Joined(io.RawIOBase):
 class _Npy(_Files):
     """Arrays by rows; a partition reads the bytes of its rows, where rows lie one after another."""
 
+    def read(self, partition: Parts) -> Iterator[pa.RecordBatch]:
+        for part in partition.parts:
+            yield from self.rows(part)
+
     def cut(self, path: str, length: int) -> Iterator[Part]:
         if not path.endswith(".npy"):
             return
@@ -373,10 +380,9 @@ def npy_header(stream: BinaryIO) -> tuple[tuple[int, ...], bool, np.dtype, int]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """A shard under its temporary name, the rows in it and the partition they are of."""
+    """A partition's shards under their temporary names, and its number."""
 
-    temporary: str
-    rows: int
+    temporary: list[str]
     partition: int
 
 
@@ -384,7 +390,9 @@ class _Shards(DataSourceArrowWriter):
     """One shard per task that has rows, written under a temporary name and moved to ``part-N`` when all tasks are done.
 
     N is the number of the task's partition; where shards are added to a folder
-    the job's mark follows it.
+    the job's mark follows it.  With the option ``shard_bytes`` a shard ends
+    when its rows hold so many bytes, and the next one of the task has a
+    further number in its name.
     """
 
     suffix = ""
@@ -392,26 +400,33 @@ class _Shards(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], overwrite: bool):
         self.path, self.overwrite, self.job = options["path"], overwrite, uuid.uuid4().hex
         self.suffix = options.get("suffix", self.suffix)
+        self.most = int(options["shard_bytes"]) if "shard_bytes" in options else None
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
-        filled = (b for b in batches if b.num_rows)
-        first = next(filled, None)
-        if first is None:
-            return Written("", 0, 0)
+        rows = self._rows(batches)
         system, folder = system_of(self.path)
-        system.create_dir(f"{folder}/_temporary-{self.job}")
-        name = f"{folder}/_temporary-{self.job}/{uuid.uuid4().hex}"
-        rows = 0
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            nonlocal rows
-            for batch in chain([first], filled):
-                rows += batch.num_rows
-                yield batch
+        names: list[str] = []
+        while (first := next(rows, None)) is not None:
+            system.create_dir(f"{folder}/_temporary-{self.job}")
+            name = f"{folder}/_temporary-{self.job}/{uuid.uuid4().hex}"
+            with system.open_output_stream(name, compression=None) as out:
+                self.fill(out, self._shard(first, rows), lambda mode, name=name: system.open_output_stream(f"{name}.cells") if mode == "w" else system.open_input_stream(f"{name}.cells"))
+            names.append(name)
+        return Written(names, TaskContext.get().partitionId())
+
+    def _rows(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches that have rows, cut so that little is held in Python at once."""
+        for batch in batches:
+            many = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+            for at in range(0, batch.num_rows, many):
+                yield batch.slice(at, many)
 
-        with system.open_output_stream(name, compression=None) as out:
-            self.fill(out, counted(), lambda mode: system.open_output_stream(f"{name}.cells") if mode == "w" else system.open_input_stream(f"{name}.cells"))
-        return Written(name, rows, TaskContext.get().partitionId())
+    def _shard(self, first: pa.RecordBatch, rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = first.nbytes
+        yield first
+        while (self.most is None or held < self.most) and (batch := next(rows, None)) is not None:
+            held += batch.nbytes
+            yield batch
 
     def fill(self, out: BinaryIO, batches: Iterator[pa.RecordBatch], scratch: Callable[[str], BinaryIO]) -> None:
         """Write a shard; ``scratch`` opens a file beside it, to write or to read."""
@@ -427,8 +442,9 @@ class _Shards(DataSourceArrowWriter):
                 if f.type == fs.FileType.File:
                     system.delete_file(f.path)
         mark = "" if self.overwrite else f"-{self.job[:8]}"
-        for m in (m for m in messages if m and m.rows):
-            system.move(m.temporary, f"{folder}/part-{m.partition:05d}{mark}{self.suffix}")
+        for m in (m for m in messages if m):
+            for k, name in enumerate(m.temporary):
+                system.move(name, f"{folder}/part-{m.partition:05d}{mark}{f'-{k:04d}' if k else ''}{self.suffix}")
         self.abort(messages)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -543,8 +559,8 @@ class _Each(_Shards):
     def commit(self, messages: list[Written | None]) -> None:
         system, folder = system_of(self.path)
         made: set[str] = set()
-        for m in (m for m in messages if m and m.rows):
-            with system.open_input_stream(m.temporary) as f:
+        for listing in (name for m in messages if m for name in m.temporary):
+            with system.open_input_stream(listing) as f:
                 for line in f.read().decode().splitlines():
                     inner, name = line.split("\t")
                     target = f"{folder}/{name}"
@@ -565,7 +581,7 @@ def _source(kind: str, columns: str, reads: type[_Files], writes: type[_Shards]
             return columns
 
         def reader(self, schema: StructType) -> DataSourceReader:
-            return reads(dict(self.options))
+            return reads(dict(self.options), columns)
 
         def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
             if writes is None:
