@@ -128,7 +128,8 @@ def q138_webdataset_pairs(t: Tables) -> DataFrame:
     """Records of line shards with the media of the tar shard of the same name; a fifth of the media is missing."""
     path = new_path(t.spark, "webdataset")
     archives.register(t.spark)
-    dealt = t.documents.select("doc_id", "lang", "text").repartition(4, "doc_id")
+    d = t.documents.select("doc_id", "lang", "text")
+    dealt = d.repartition(4 * d.rdd.getNumPartitions(), "doc_id")  # both sides get the same shards, and their number grows with the input
     record = F.to_json(F.struct("doc_id", "lang", F.concat("doc_id", F.lit(".png")).alias("media")))
     dealt.select(record.alias("value")).write.format("lines").option("suffix", ".jsonl.gz").mode("overwrite").save(f"{path}/records")
     media = dealt.filter("doc_id % 5 <> 0").select(F.concat(F.lit("media/"), "doc_id", F.lit(".png")).alias("member"), F.encode(F.coalesce("text", F.lit("")), "utf-8").alias("content"))
