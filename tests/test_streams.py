@@ -122,3 +122,21 @@ def test_a_failing_epoch_leaves_no_shards(spark, tmp_path):
         manifest.run_to_manifest(bad, f"{tmp_path}/out", f"{tmp_path}/c")
     assert list((tmp_path / "out").glob("shard-*")) == []
     shutil.rmtree(tmp_path / "c")
+
+
+def kept_rows(spark, state):
+    """Rows of a stream's last state."""
+    return spark.read.format("statestore").load(state).count()
+
+
+def test_presence_windows_share_the_state_of_a_bucket(spark, tmp_path):
+    big = 2**60 + 1
+    rows = [(t, f, 0.0, f > 1, START + f) for t in [*range(big, big + 60), None] for f in range(8)] + [(big, 8, 0.0, True, START)]
+    typed = lambda part: frames(spark, [(None if t is None else str(t), *x) for t, *x in part]).withColumn("track", F.col("track").cast("bigint")).coalesce(1)
+    for n, part in enumerate(([r for r in rows if r[1] in (0, 3, 8)], [r for r in rows if r[1] in (1, 2, 4, 5, 6, 7)])):
+        typed(part).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = incremental.presence_windows(incremental.stream_parquet(spark, f"{tmp_path}/in", 1), 8, lateness="1 hour", buckets=2)
+        incremental.run_available(stream, f"{tmp_path}/out", f"{tmp_path}/c")
+        assert kept_rows(spark, f"{tmp_path}/c") == (2, 1)[n]  # 62 windows were pending, then one
+    got = sorted((r.track or 0, r.window_id, r.absent) for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out").collect())
+    assert got == sorted((t or 0, 0, 2) for t in [*range(big, big + 60), None])

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+#: Hash buckets by which streams keep state: Python is called for a bucket, not for every key.  A stream keeps the number it began with.
+BUCKETS = 4096
+
+
 def windowed_counts(events: DataFrame, window: str = "1 day", lateness: str = "1 hour", time: str = "ts") -> DataFrame:
     """Counts per event-time window and type, for streams (with a watermark) and batches alike."""
     timed = events.withColumn("_t", F.col(time).cast("timestamp"))
@@ -19,14 +23,15 @@ def windowed_counts(events: DataFrame, window: str = "1 day", lateness: str = "1
     return w.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, lateness: str = "1 minute", unresolved: str = "drop") -> DataFrame:
+def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, lateness: str = "1 minute", unresolved: str = "drop", buckets: int = BUCKETS) -> DataFrame:
     """Windows of ``width`` frames with at most ``most_absent`` absent ones; ``frames`` has ``track``, ``f``, ``present``, ``seen_at``.
 
     On a stream a window is decided as soon as its last frame is in, whatever
     day it is, and its state goes.  A window that is still not whole when the
     watermark is ``lateness`` past its last frame seen is dropped like in a
     batch, or, with ``unresolved="raise"``, an error.  Rows of one frame count
-    once each.
+    once each.  State is kept by hash bucket of track and window, the pending
+    windows of one bucket together.
     """
     keyed = frames.withColumn("window_id", (F.floor(F.col("f") / width) * width).cast("bigint"))
     if not frames.isStreaming:
@@ -34,26 +39,40 @@ def presence_windows(frames: DataFrame, width: int, most_absent: int = 3, latene
         return w.filter((F.col("frames") == width) & (F.col("absent") <= most_absent)).select("track", "window_id", "absent")
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            if unresolved == "raise":
-                raise ValueError(f"window {key[1]} of {key[0]} has {state.get[0]} of {width} frames")
+        now = state.getCurrentWatermarkMs()
+        pending = {(t, w): (seen, absent, due) for t, w, seen, absent, due in zip(*state.get, strict=True)} if state.exists else {}
+        fresh: dict[tuple, list[int]] = {}
+        for b in () if state.hasTimedOut else batches:
+            for t, w, present, at in zip(*(b[c].tolist() for c in ("track", "window_id", "present", "at")), strict=True):
+                x = fresh.setdefault((t, w), [0, 0, 0])
+                x[0], x[1], x[2] = x[0] + 1, x[1] + (not present), max(x[2], at)
+        whole = []
+        for window, (seen, absent, last) in fresh.items():
+            old = pending.pop(window, (0, 0, 0))
+            seen, absent = seen + old[0], absent + old[1]
+            if seen < width:
+                pending[window] = (seen, absent, max(old[2], last + 1, now + 1))
+            elif seen == width and absent <= most_absent:
+                whole.append((*window, absent))
+        for window, (seen, _, due) in list(pending.items()):
+            if due < now:  # the watermark has passed all its frames, and none came
+                if unresolved == "raise":
+                    raise ValueError(f"window {window[1]} of {window[0]} has {seen} of {width} frames")
+                del pending[window]
+        if pending:
+            state.update(tuple(map(list, zip(*((*window, *x) for window, x in pending.items()), strict=True))))
+            state.setTimeoutTimestamp(min(due for _, _, due in pending.values()))
+        elif state.exists:
             state.remove()
-            return
-        seen, absent, last = state.get if state.exists else (0, 0, 0)
-        for b in batches:
-            seen, absent = seen + len(b), absent + int((~b["present"].astype(bool)).sum())
-            last = max(last, int(b["seen_at"].max().timestamp() * 1000))
-        if seen >= width:
-            state.remove() if state.exists else None
-            if seen == width and absent <= most_absent:
-                yield pd.DataFrame({"track": [key[0]], "window_id": [key[1]], "absent": [absent]})
-            return
-        state.update((seen, absent, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + 1)
-
-    kinds = f"track {frames.schema['track'].dataType.simpleString()}, window_id bigint, absent bigint"
-    grouped = keyed.withWatermark("seen_at", lateness).select("track", "window_id", "present", "seen_at").groupBy("track", "window_id")
-    return grouped.applyInPandasWithState(decide, kinds, "seen bigint, absent bigint, last bigint", "append", GroupStateTimeout.EventTimeTimeout)
+        if whole:
+            yield pd.DataFrame(whole, columns=["track", "window_id", "absent"])
+
+    # as strings, which pandas keeps as they are where some are null
+    timed = keyed.withWatermark("seen_at", lateness).select(F.col("track").cast("string").alias("track"), F.col("window_id").cast("string").alias("window_id"), "present", "seen_at", F.coalesce(F.unix_millis("seen_at"), F.lit(0)).alias("at"))
+    grouped = timed.withColumn("bucket", F.pmod(F.xxhash64("track", "window_id"), F.lit(buckets))).groupBy("bucket")
+    held = "tracks array<string>, windows array<string>, seen array<bigint>, absent array<bigint>, due array<bigint>"
+    w = grouped.applyInPandasWithState(decide, "track string, window_id string, absent bigint", held, "append", GroupStateTimeout.EventTimeTimeout)
+    return w.select(F.col("track").cast(frames.schema["track"].dataType).alias("track"), F.col("window_id").cast("bigint").alias("window_id"), "absent")
 
 
 def run_available(stream: DataFrame, target: str, checkpoint: str, step: Callable[[DataFrame], DataFrame] | None = None, mode: str = "append") -> None:
