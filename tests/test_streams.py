@@ -140,3 +140,15 @@ def test_presence_windows_share_the_state_of_a_bucket(spark, tmp_path):
         assert kept_rows(spark, f"{tmp_path}/c") == (2, 1)[n]  # 62 windows were pending, then one
     got = sorted((r.track or 0, r.window_id, r.absent) for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out").collect())
     assert got == sorted((t or 0, 0, 2) for t in [*range(big, big + 60), None])
+
+
+def test_ordered_tracks_share_a_bucket_and_fall_due_each_for_itself(spark, tmp_path):
+    whole = [(t, f, float(f), True, START + 1014.5) for t in "abcdefgh" for f in range(16)]
+    lacking = [(t, f, float(f), True, START + at + f) for t, at in (("x", 0), ("y", 100), ("z", 1000)) for f in range(16) if f != 5]
+    stream = lambda: ordered.ordered_windows(incremental.stream_parquet(spark, f"{tmp_path}/in", 1), 8, lateness="1 second", buckets=1)
+    for part in (whole[::2] + lacking, whole[1::2]):  # the watermark comes to 1014 seconds: x and y are overdue, z is not
+        batches(spark, f"{tmp_path}/in", [part])
+        incremental.run_available(stream(), f"{tmp_path}/out", f"{tmp_path}/c")
+    got = [(r[0], r[1]) for r in collected(spark, f"{tmp_path}/out")]
+    assert [g for g in got if g[0] in "abcdefgh"] == [(t, s) for t in "abcdefgh" for s in (0, 8)]
+    assert [g for g in got if g[0] in "xyz"] == [("x", 8), ("y", 8)]
