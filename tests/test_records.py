@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -151,6 +153,24 @@ def test_repeated_ngrams(spark):
     assert one(w.select(text.ngrams(F.col("w"), 3))) == ["a b c", "b c d"] and one(w.select(text.ngrams(F.col("w"), 3, last=False))) == ["a b c"]
 
 
+def test_counted_ngrams_and_their_exchange(spark, monkeypatch):
+    texts = ["a b c a b c", " a\tb\x0bc\x85d\u00a0e ", None, "", "x y", "\u00e9 \u00e9 \u00e9 \u00e9", "a b c"]
+    d = spark.createDataFrame([(t,) for t in texts], "t string").repartition(2)
+    for last, most in ((True, 1), (True, 100), (False, 1), (False, 100)):
+        times, rows = Counter(), Counter()
+        for t in texts:
+            w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", t or "") if x]
+            grams = [" ".join(w[i : i + 3]) for i in range(len(w) - 2 - (not last))]
+            times.update(grams)
+            rows.update(set(grams))
+        got = corpus.count_ngrams(d, "t", 3, last, most).collect()
+        assert sorted(map(tuple, got)) == sorted((g, n, rows[g]) for g, n in times.items())
+    # the more text there is, the more partitions the grams are dealt to
+    one_task = spark.range(1000, numPartitions=1).select(F.concat_ws(" ", *[F.col("id") % k for k in range(2, 40)]).alias("t"))
+    monkeypatch.setattr(corpus, "CHARS_A_SLICE", 1000)
+    assert corpus.count_ngrams(one_task, "t", 3).rdd.getNumPartitions() > 50
+
+
 def test_images_and_punctuation(spark):
     page = '<img src="x/a.png"> <img src="x/a.png"> ![t](y/b.png) ![t](none.png)'
     d = spark.createDataFrame([(page,)], "t string")

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from zlib import crc32
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +16,9 @@ from ..functions.sampling import hash_uniform
 from ..functions.tokens import words
 from ..session import written
 
+#: Different n-grams that a task combines before it hands them on, characters of text for a partition of their exchange.
+GRAMS_AT_ONCE, CHARS_A_SLICE = 400_000, 16_000_000
+
 
 def split_units(units: DataFrame, key: str, ratio: float, seed: str, rounding: str = "max1") -> DataFrame:
     """``split`` for every distinct unit: the first ``count`` units in hash order are test.
@@ -96,6 +106,53 @@ def size_shards(rows: DataFrame, order: str, size: str, limit: int, slices: int
     return out.withColumn("shard", F.floor((F.col("_sum") + F.col("_skip") - F.col(size)) / limit).cast("bigint")).select(*rows.columns, "shard")
 
 
+def count_ngrams(docs: DataFrame, text: str, n: int = 3, last: bool = True, most: int = GRAMS_AT_ONCE) -> DataFrame:
+    """(gram, n, docs): how often each n-gram of words occurs and in how many rows; without ``last``, the last of each text is left out.
+
+    A task combines its texts' grams up to ``most`` different ones (and those
+    of one text) before it hands them on, so it holds no more however large it
+    is.  They are dealt by hash, many to a row, which saves a row's bytes for
+    each.  The exchange has more partitions for more characters, so none
+    outgrows the memory.
+    """
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    slices = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // CHARS_A_SLICE))
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times: Counter = Counter()
+        again: Counter = Counter()  # occurrences after the first of a text
+
+        def made() -> pa.RecordBatch:
+            part = np.fromiter((crc32(gram) % (4 * slices) for gram in times), np.int64, len(times))
+            order = np.argsort(part, kind="stable")
+            parts, starts = np.unique(part[order], return_index=True)
+            listed = lambda values: pa.ListArray.from_arrays(pa.array([*starts, len(order)], pa.int32()), values.take(pa.array(order)))
+            count = np.fromiter(times.values(), np.int64, len(times))
+            more = np.fromiter(map(again.__getitem__, times), np.int64, len(times)) if again else 0
+            grams = pc.binary_join(listed(pa.array(times, pa.binary())), b"\n").cast(pa.string())
+            return pa.RecordBatch.from_arrays([pa.array(parts), grams, listed(pa.array(count)), listed(pa.array(count - more))], ["part", "grams", "n", "docs"])
+
+        for batch in batches:
+            for raw in batch.column(0):
+                w = (raw.as_py() or b"").split()  # bytes are cut at ASCII white space only, as by tokens.words
+                if not last:
+                    w = w[:-1]
+                grams = list(map(b" ".join, zip(*(w[i:] for i in range(n)), strict=False)))
+                times.update(grams)
+                if len(set(grams)) < len(grams):
+                    again.update({g: c - 1 for g, c in Counter(grams).items() if c > 1})
+                if len(times) >= most:
+                    yield made()
+                    times.clear()
+                    again.clear()
+        if times:
+            yield made()
+
+    packed = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(combine, "part bigint, grams string, n array<bigint>, docs array<bigint>")
+    dealt = packed.repartition(slices, "part").select("part", F.explode(F.arrays_zip(F.split("grams", "\n").alias("gram"), "n", "docs")).alias("x"))
+    return dealt.groupBy("part", "x.gram").agg(F.sum("x.n").alias("n"), F.sum("x.docs").alias("docs")).drop("part")
+
+
 def drop_repeated_ngrams(docs: DataFrame, key: str, text: str, n: int = 3, dull: tuple[str, ...] = ()) -> DataFrame:
     """(key, at, word): words in order, without those inside later copies of an n-gram that the text has before.
 

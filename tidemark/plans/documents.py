@@ -150,18 +150,14 @@ def q41_scripts(t: Tables) -> DataFrame:
 SELECT gram, count(*) AS n, count(DISTINCT doc_id) AS docs FROM g GROUP BY gram HAVING count(*) >= 5""")
 def q42_ngrams(t: Tables) -> DataFrame:
     """Three-word grams found five times or more."""
-    g = words_of(t.documents).select(F.array_sort(text.ngrams(F.col("w"), 3)).alias("grams"))
-    # sorted inside the document, the first of each run stands for it: one aggregate that combines before its shuffle
-    g = g.select(F.explode(F.transform("grams", lambda x, i: F.struct(x.alias("gram"), F.coalesce((x != F.get("grams", i - 1)).cast("bigint"), F.lit(1)).alias("new")))).alias("x"))
-    return g.groupBy("x.gram").agg(F.count("*").alias("n"), F.sum("x.new").alias("docs")).filter("n >= 5")
+    return corpus.count_ngrams(t.documents, "text", 3).filter("n >= 5")
 
 
 @query(f"""WITH d AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents), g AS (SELECT unnest(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS gram FROM d)
 SELECT gram, count(*) AS n FROM g GROUP BY gram HAVING count(*) >= 2""")
 def q42b_inner_ngrams(t: Tables) -> DataFrame:
     """Repeated three-word grams, the last of each document left out."""
-    g = words_of(t.documents).select(F.explode(text.ngrams(F.col("w"), 3, last=False)).alias("gram"))
-    return g.groupBy("gram").agg(F.count("*").alias("n")).filter("n >= 2")
+    return corpus.count_ngrams(t.documents, "text", 3, last=False).filter("n >= 2").select("gram", "n")
 
 
 @query("""WITH a AS (SELECT DISTINCT doc_id FROM documents), b AS (SELECT DISTINCT doc_id FROM labels UNION SELECT item_id + 100000000 FROM benchmark), c AS (SELECT (SELECT count(*) FROM a) AS n_a, (SELECT count(*) FROM b) AS n_b, (SELECT count(*) FROM a JOIN b USING (doc_id)) AS n_both)
