@@ -171,6 +171,18 @@ def test_counted_ngrams_and_their_exchange(spark, monkeypatch):
     assert corpus.count_ngrams(one_task, "t", 3).rdd.getNumPartitions() > 50
 
 
+def test_repeated_ngrams_need_no_exchange(spark):
+    d = spark.createDataFrame([(1, "The this that the this that"), (2, "one two four\x85 one two four\x85 one two four\x85"), (3, None), (None, "aa bb cccc aa bb cccc dd")], "id bigint, t string")
+    w = corpus.drop_repeated_ngrams(d, "id", "t", 3, ("that", "this"))
+    assert "Exchange" not in w._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in w.collect():
+        got.setdefault(r.id, []).append((r.at, r.word))
+    words = {1: "The this that the this that", 2: "one two four\x85", None: "aa bb cccc dd"}
+    assert {k: [x for _, x in sorted(v)] for k, v in got.items()} == {k: v.split(" ") for k, v in words.items()}
+    assert [at for at, _ in sorted(got[None])] == [0, 1, 2, 6]
+
+
 def test_images_and_punctuation(spark):
     page = '<img src="x/a.png"> <img src="x/a.png"> ![t](y/b.png) ![t](none.png)'
     d = spark.createDataFrame([(page,)], "t string")

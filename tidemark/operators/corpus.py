@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -11,13 +12,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.sampling import hash_uniform
 from ..functions.tokens import words
 from ..session import written
 
-#: Different n-grams that a task combines before it hands them on, characters of text for a partition of their exchange.
-GRAMS_AT_ONCE, CHARS_A_SLICE = 400_000, 16_000_000
+#: Different n-grams that a task combines before it hands them on, characters of text for a partition of their exchange, words handed on at once.
+GRAMS_AT_ONCE, CHARS_A_SLICE, WORDS_AT_ONCE = 400_000, 16_000_000, 50_000
+
+#: What ``tokens.words`` takes for a word.
+_WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
 
 
 def split_units(units: DataFrame, key: str, ratio: float, seed: str, rounding: str = "max1") -> DataFrame:
@@ -157,17 +162,40 @@ def drop_repeated_ngrams(docs: DataFrame, key: str, text: str, n: int = 3, dull:
     """(key, at, word): words in order, without those inside later copies of an n-gram that the text has before.
 
     A copy counts from where the first one ends, and only if the n-gram has a
-    word of more than three letters that is not in ``dull``.  Windows by
-    document and n-gram; no text is held in one row.
+    word of more than three letters that is not in ``dull``.  Every text is
+    read where it lies; words are handed on by number.
     """
-    w = docs.select(key, F.posexplode(words(F.col(text))).alias("at", "word"))
-    rows = Window.partitionBy(key).orderBy("at")
-    ahead = rows.rowsBetween(0, n - 1)
-    telling = (F.length("word") > 3) & (~F.lower("word").isin(*dull) if dull else F.lit(True))
-    w = w.withColumns({"gram": F.array_join(F.collect_list("word").over(ahead), " "), "whole": F.count("*").over(ahead) == n, "telling": F.max(telling).over(ahead)})
-    first = F.min("at").over(Window.partitionBy(key, "gram", "whole"))
-    w = w.withColumn("copy", F.col("whole") & F.col("telling") & (F.col("at") >= first + n))
-    return w.withColumn("gone", F.max("copy").over(rows.rowsBetween(1 - n, 0))).filter(~F.col("gone")).select(key, "at", "word")
+    kind = StructType([docs.schema[key], StructField("at", IntegerType()), StructField("word", StringType())])
+
+    def left(w: list[str]) -> list[int]:
+        grams = list(zip(*(w[i:] for i in range(n)), strict=False))
+        if len(set(grams)) == len(grams):
+            return list(range(len(w)))
+        first: dict[tuple, int] = {}
+        kept, end = [], 0  # up to where words are gone
+        for i, gram in enumerate(grams):
+            if i >= first.setdefault(gram, i) + n and any(len(x) > 3 and x.lower() not in dull for x in gram):
+                end = i + n
+            if i >= end:
+                kept.append(i)
+        return kept + list(range(max(end, len(grams)), len(w)))
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at: list[int] = []
+            of: list[int] = []
+            words: list[str] = []
+            for r, t in enumerate(batch.column(1)):
+                w = _WORD.findall(t.as_py() or "")
+                kept = left(w)
+                at += kept
+                of += [r] * len(kept)
+                words += w if len(kept) == len(w) else [w[i] for i in kept]
+                if len(at) >= WORDS_AT_ONCE or r == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of, pa.int32())), pa.array(at, pa.int32()), pa.array(words, pa.string())], [key, "at", "word"])
+                    at, of, words = [], [], []
+
+    return docs.select(key, text).mapInArrow(drop, kind)
 
 
 def compare_sets(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
