@@ -271,3 +271,35 @@ def test_held_out_labels_do_not_matter(spark):
     docs = documents(spark, rows, clash=False)
     a, b = (sorted(map(tuple, pairwise.quality_scores(docs, f).collect())) for f in frames)
     assert a == b
+
+
+def test_fit_covers_every_pair():
+    draw = np.random.default_rng(0)
+    good, bad = draw.normal(0.3, 1, (300, 6)), draw.normal(-0.3, 1.3, (70, 6))
+    mean, scale, w, cut = pairwise.fit(good, bad)
+    both = np.vstack([good, bad])
+    assert np.allclose(mean, both.mean(0), atol=1e-12) and np.allclose(scale, both.std(0), atol=1e-8)
+    g, b = (np.clip((x - mean) / scale, -6, 6) for x in (good, bad))
+    lost = 1 / (1 + np.exp((g @ w)[:, None] - b @ w))
+    slope = (lost.sum(0) @ b - lost.sum(1) @ g) / lost.size + pairwise.DECAY * w
+    assert np.abs(slope).max() < 2e-4
+    right = lambda c: (g @ w >= c).sum() + (b @ w < c).sum()
+    assert right(cut) >= max(map(right, np.concatenate([g @ w, b @ w]))) - 1  # the standardised features are rounded
+
+
+def test_every_label_is_fitted_on(spark):
+    from pyspark.sql import functions as F
+
+    ids = [r.id for r in spark.range(9000).filter("crc32(cast(id as string)) % 3 != 1").orderBy(F.xxhash64("id"), "id").collect()]
+    told = {i: ("kind", 1) if k < 3100 else ("numbered", 1) if k < 4400 else ("poor", 0) for k, i in enumerate(ids)}
+    text = {"kind": "calm words tell of a hill and its river", "numbered": "77 %%% a$$$ 88 | b### 99 q&&& 66", "poor": "xy %%% a$$$ zz | b### uv q&&& st"}
+    rows = [(i, f"{text[kind]} {'so ' * (i % 7)}") for i, (kind, _) in told.items()]
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in told.items()], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows, clash=False)
+    found = [sorted(map(tuple, pairwise.quality_scores(docs.repartition(n), labels).collect())) for n in (1, 7)]
+    assert [(i, p) for i, _, _, p in found[0]] == sorted((i, q) for i, (_, q) in told.items())
+    assert found[0] == found[1]
+    x = {i: pairwise.features(t) for i, t in rows}
+    mean, scale, w, cut = pairwise.fit(*(np.array([x[i] for i, (_, q) in told.items() if q == side]) for side in (1, 0)))
+    strength = np.clip((np.array([x[i] for i, *_ in found[0]]) - mean) / scale, -6, 6) @ w - cut
+    assert np.allclose([s for _, _, s, _ in found[0]], 1 / (1 + np.exp(-strength)), atol=0.01)
